@@ -69,10 +69,9 @@ def pay_cycle(as_of: dt.date) -> tuple[dt.date, dt.date]:
 
 def weekday_count(first: Column, last: Column, dow: Column | int) -> Column:
     """How many days of ``first..last`` fall on a weekday (Sunday = 1), without listing the days."""
-    dow = dow if isinstance(dow, Column) else F.lit(dow)
-    days = F.datediff(last, first) + 1
-    skip = F.pmod(dow - F.dayofweek(first), F.lit(7))
-    return F.when(days > skip, F.floor((days - skip - 1) / 7).cast("int") + 1).otherwise(F.lit(0))
+    days = F.greatest(F.datediff(last, first) + 1, F.lit(0))
+    skip = F.pmod(F.lit(dow) - F.dayofweek(first), F.lit(7))
+    return F.floor((days - skip + 6) / 7).cast("int")
 
 
 def clock_minutes(text: Column) -> Column:

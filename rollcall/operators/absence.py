@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,23 +42,20 @@ def weekday_minutes(schedule: DataFrame) -> DataFrame:
 
 def ideal_minutes(first: Column, last: Column, default: Column) -> Column:
     """Planned minutes of a span of days, from the ``m1..m7`` columns; ``default`` fills an unplanned weekday."""
-    total = F.lit(0.0)
-    for w in WEEKDAYS:
-        total = total + weekday_count(first, last, w) * F.coalesce(F.col(f"m{w}"), default)
-    return total
+    return reduce(add, [weekday_count(first, last, w) * F.coalesce(F.col(f"m{w}"), default) for w in WEEKDAYS])
 
 
 def absence_hours(
     events: DataFrame, first: DateLike, measures: dict[str, tuple[Column, DateLike]], codes_in: Sequence[str]
 ) -> DataFrame:
-    """Absence minutes per employee and month, one column per measure, in one pass over the events.
+    """Absence minutes per employee and month, one column ``<measure>_minutes`` each, in one pass over the events.
 
     A measure is a condition on the event and the last day it looks at.
     """
     low, high = as_date(first), F.greatest(*[as_date(d) for _, d in measures.values()], F.lit(None))
     minutes = hhmm_minutes(F.col("hours_calc"))
     sums = [
-        F.sum(F.when(test & (F.col("date") <= as_date(last)), minutes)).alias(name)
+        F.sum(F.when(test & (F.col("date") <= as_date(last)), minutes)).alias(f"{name}_minutes")
         for name, (test, last) in measures.items()
     ]
     return (
@@ -81,10 +80,8 @@ def _monthly(
     )
     absent = absence_hours(events, first, measures, codes_in)
     joined = planned.join(absent, [*EMPLOYEE, "month"], "left")
-    return joined.withColumns(
-        {name: F.coalesce(F.col(name), F.lit(0)) / 60 for name in measures}
-        | {"ideal_hours": F.col("ideal_minutes") / 60}
-    )
+    hours = {f"{name}_hours": F.coalesce(F.col(f"{name}_minutes"), F.lit(0)) / 60 for name in ["ideal", *measures]}
+    return joined.withColumns(hours)
 
 
 def absenteeism(
@@ -101,7 +98,7 @@ def absenteeism(
     Planned hours come from counting weekdays per span, so no row per day is built, and descriptions join last.
     """
     last = F.last_day(F.add_months(as_date(first), months - 1))
-    measures = {"absent_hours": (F.lit(True), last)}
+    measures = {"absent": (F.lit(True), last)}
     rows = _monthly(emp, events, schedule, first, months, measures, codes_in)
     return rows.join(cost_centres, ["branch", "cost_centre"], "left").select(
         F.date_format("month", "dd/MM/yyyy").alias("month_label"),
@@ -113,7 +110,7 @@ def absenteeism(
         "branch",
         "ideal_hours",
         "absent_hours",
-        rate(F.col("absent_hours"), F.col("ideal_hours")).alias("absenteeism_rate"),
+        rate(F.coalesce("absent_minutes", F.lit(0)), F.col("ideal_minutes")).alias("absenteeism_rate"),
     )
 
 
@@ -131,8 +128,8 @@ def absenteeism_split(
     """Absent hours without waiver and with a medical waiver, side by side, per employee and month."""
     last = F.last_day(F.add_months(as_date(first), months - 1))
     measures = {
-        "absent_hours": (F.col("waiver") == "", as_date(unwaived_until)),
-        "medical_hours": (F.col("waiver") == codes.MEDICAL_WAIVER, last),
+        "absent": (F.col("waiver") == "", as_date(unwaived_until)),
+        "medical": (F.col("waiver") == codes.MEDICAL_WAIVER, last),
     }
     rows = _monthly(emp.join(shifts, "shift"), events, schedule, first, months, measures, codes_in)
     return rows.join(cost_centres, ["branch", "cost_centre"], "left").select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,12 +55,14 @@ def receipt_pages(pages: DataFrame) -> DataFrame:
 
 
 def parse_receipts(pages: DataFrame) -> DataFrame:
-    """All fields of each page; a field that is not there is NULL."""
+    """All fields of each page; a field that is not there is NULL.
+
+    The fields come out of a generator, which keeps later filters on them from running the patterns again.
+    """
     text = F.col("text")
-    fields = pages.select(
-        "doc", "page", *[capture(text, pattern, empty).alias(name) for name, (pattern, empty) in FIELDS.items()]
-    )
-    cleaned = fields.withColumns({c: remove_chars(F.col(c), NAME_CHARS) for c in CLEANED} | {"payee": F.trim("payee")})
+    fields = [capture(text, pattern, empty).alias(name) for name, (pattern, empty) in FIELDS.items()]
+    parsed = pages.select("doc", "page", F.inline(F.array(F.struct(*fields))))
+    cleaned = parsed.withColumns({c: remove_chars(F.col(c), NAME_CHARS) for c in CLEANED} | {"payee": F.trim("payee")})
     return cleaned.withColumn("amount", brazilian_money(F.col("amount")))
 
 
@@ -67,10 +72,7 @@ def extract_receipts(pages: DataFrame, existing: DataFrame) -> tuple[DataFrame,
     ``existing`` holds the names of the receipts known already.
     """
     parsed = parse_receipts(receipt_pages(pages))
-    missing = F.lit(False)
-    for name in FIELDS:
-        missing = missing | F.col(name).isNull()
-    rejects, complete = split_by(parsed, missing)
+    rejects, complete = split_by(parsed, reduce(or_, [F.col(name).isNull() for name in FIELDS]))
     named = complete.withColumn("receipt", receipt_name([F.col(c) for c in NAME_PARTS]))
     receipts = anti_load(keep_first(named, ["receipt"], ["doc", "page"]), existing, ["receipt"])
     return receipts, rejects.select("doc", "page")

@@ -9,6 +9,7 @@ from rollcall.operators import leave, timeclock
 from rollcall.operators.relational import all_duplicates, assign_recno, max_or
 from rollcall.plans import roles
 from rollcall.plans.report import report
+from rollcall.sinks.tables import stage
 from rollcall.sources.files import parse_clockings
 from rollcall.streaming.folders import run_folder
 from rollcall.streaming.jobs import stream_clockings as clocking_stream
@@ -158,8 +159,9 @@ def pending_punches_by_day(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def surrogate_ids(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pending(spark, folder).withColumn("number", F.col("id").cast("long"))
+    rows = pending(spark, folder).select("id", "date", F.col("id").cast("long").alias("number"))
     start = max_or(roles.loaded_punches(spark, folder), "recno", 0)
+    rows = stage(rows, run_folder(spark, "pending"))
     return report(assign_recno(rows, start, "number", within=["date"]), "id", "date", "recno")
 
 

@@ -61,6 +61,11 @@ def copies(value: str, n: str) -> str:
     )
 
 
+def percent(part: str, whole: str) -> str:
+    """Whole numbers only, halves up to two places."""
+    return f"(2 * 10000 * ({part}) + {whole}) // (2 * {whole}) / 100"
+
+
 ZONE_HOURS = "(CASE user_id % 5 WHEN 0 THEN -3 WHEN 1 THEN 2 WHEN 2 THEN 5 WHEN 3 THEN 0 ELSE -7 END)"
 LOCAL = f"(ts + to_hours({ZONE_HOURS}))"
 
@@ -130,7 +135,8 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
             greatest(admission, m), least(coalesce(termination, next_m - 1), next_m - 1), INTERVAL 1 DAY)) AS DATE) AS day
         FROM emp JOIN months ON (termination IS NULL OR termination > m) AND admission < next_m"""),
     "ideal": (("spine", "plan"), """
-        SELECT branch, emp_no, m, sum(coalesce(p.minutes, daily_hours * 60)) / 60 AS ideal_hours
+        SELECT branch, emp_no, m, sum(coalesce(p.minutes, daily_hours * 60)) / 60 AS ideal_hours,
+          CAST(sum(coalesce(p.minutes, daily_hours * 60)) AS BIGINT) AS ideal_minutes
         FROM spine s LEFT JOIN plan p ON p.shift = s.shift AND p.day = dayofweek(s.day) + 1
         GROUP BY ALL"""),
     "absent": (("ev",), f"""
@@ -434,10 +440,10 @@ ORACLE: dict[str, str] = {
         SELECT CAST(month(m) AS INTEGER) AS month_no, strftime(m, '%m/%Y') AS month_label, CAST(m AS VARCHAR) AS first_day,
           CAST(last_day(m) AS VARCHAR) AS last_day, CAST(last_day(m) + 1 AS VARCHAR) AS snapshot_day
         FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)""",
-    "turnover_monthly": sql("""
+    "turnover_monthly": sql(f"""
         SELECT h.cost_centre, strftime(h.m, '%m/%Y') AS month_label, headcount, coalesce(a.n, 0) AS admitted,
           coalesce(t.n, 0) AS terminated,
-          round((coalesce(t.n, 0) + coalesce(a.n, 0)) / 2 / headcount * 100, 2) AS turnover_rate
+          {percent('coalesce(t.n, 0) + coalesce(a.n, 0)', '2 * headcount')} AS turnover_rate
         FROM (SELECT cost_centre, m, count(emp_no) AS headcount
             FROM months JOIN emp ON admission < next_m AND (termination IS NULL OR termination >= next_m) GROUP BY ALL) h
         LEFT JOIN (SELECT cost_centre, date_trunc('month', admission) AS m, count(emp_no) AS n FROM emp GROUP BY ALL) a
@@ -459,10 +465,10 @@ ORACLE: dict[str, str] = {
           CAST(coalesce(unwaived_minutes, 0) AS BIGINT) AS unwaived_minutes,
           CAST(coalesce(medical_minutes, 0) AS BIGINT) AS medical_minutes
         FROM absent""", "absent"),
-    "absenteeism_rate": sql("""
+    "absenteeism_rate": sql(f"""
         SELECT strftime(i.m, '%d/%m/%Y') AS month_label, emp_no, name, cost_centre, cost_centre_desc, shift, branch,
           round(ideal_hours, 4) AS ideal_hours, round(coalesce(all_minutes, 0) / 60, 4) AS absent_hours,
-          round(coalesce(all_minutes, 0) / 60 / ideal_hours * 100, 2) AS absenteeism_rate
+          {percent('CAST(coalesce(all_minutes, 0) AS BIGINT)', 'ideal_minutes')} AS absenteeism_rate
         FROM ideal i JOIN emp USING (branch, emp_no) LEFT JOIN cc USING (branch, cost_centre)
         LEFT JOIN absent a USING (branch, emp_no, m)""", "ideal", "emp", "cc", "absent"),
     "absenteeism_split": sql("""

@@ -38,9 +38,9 @@ def scheduled_hours(spark: SparkSession, folder: str) -> DataFrame:
 
 def absence_hours(spark: SparkSession, folder: str) -> DataFrame:
     measures = {
-        "all_minutes": (F.lit(True), "1998-12-31"),
-        "unwaived_minutes": (F.col("waiver") == "", "1998-10-31"),
-        "medical_minutes": (F.col("waiver") == codes.MEDICAL_WAIVER, "1998-12-31"),
+        "all": (F.lit(True), "1998-12-31"),
+        "unwaived": (F.col("waiver") == "", "1998-10-31"),
+        "medical": (F.col("waiver") == codes.MEDICAL_WAIVER, "1998-12-31"),
     }
     rows = absence.absence_hours(
         roles.clock_events(spark, folder, *YEAR), roles.FIRST_MONTH, measures, codes.ABSENCE_CODES

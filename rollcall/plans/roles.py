@@ -16,6 +16,7 @@ from rollcall.functions import codes
 from rollcall.operators.absence import shift_hours_dim
 from rollcall.operators.timeclock import AFD_LENGTH, shift_starts
 from rollcall.sources.erp import normalize
+from rollcall.sources.files import split_records
 
 AS_OF = "1998-07-15"
 FIRST_MONTH = "1998-01-01"
@@ -333,7 +334,7 @@ def afd_lines(spark: SparkSession, folder: str) -> DataFrame:
         "value": f"CASE WHEN id % 41 = 0 THEN concat(record, 'X') "
         f"WHEN id % 43 = 0 THEN substring(record, 1, {AFD_LENGTH - 1}) ELSE record END",
     }
-    return project(written, columns)
+    return split_records(project(written, columns), "value")
 
 
 def erp_punch_rows(spark: SparkSession, folder: str) -> DataFrame:

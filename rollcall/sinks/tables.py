@@ -20,6 +20,12 @@ def append_jdbc(df: DataFrame, table: str, options: dict[str, str], batch: int =
     df.write.format("jdbc").options(**options).option("dbtable", table).option("batchsize", batch).mode("append").save()
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame once and read it back, so that what follows does not work it out again."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table in one job. ``df`` must not read the table it replaces."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

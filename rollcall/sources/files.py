@@ -41,9 +41,10 @@ def read_afd_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.regexp_replace("value", "\r$", "").alias("value"))
 
 
-def split_records(df: DataFrame, column: str = "payload") -> DataFrame:
-    """Text records delivered as one CR LF separated text, one row each."""
-    return df.select(F.explode(F.split(F.col(column), "\r\n")).alias("value"))
+def split_records(df: DataFrame, column: str = "value") -> DataFrame:
+    """Records delivered as one CR LF separated text, one row each; the other columns stay."""
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.split(F.col(column), "\r\n")).alias(column))
 
 
 def read_payroll_files(spark: SparkSession, path: str) -> DataFrame:
