@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        people.month_dimension, people.turnover_monthly, people.headcount_monthly, people.active_days,
+        people.month_dimension, people.turnover_monthly, people.turnover_report, people.headcount_monthly, people.active_days,
         people.scheduled_hours, people.absence_hours, people.absenteeism_rate, people.absenteeism_split,
         people.medical_days, people.unexcused_days, people.absence_days_cycle, people.shift_catalogue_check,
         people.shift_catalogue_outer, people.terminated_employees, people.new_employees, people.erp_normalize,

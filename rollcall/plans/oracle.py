@@ -435,22 +435,24 @@ REGISTRY_NEEDS = ("emp", "job", "cc", "unions", "shifts", "dep_name")
 IMPORT = """id, CAST(user_id AS VARCHAR) AS pis, event_type AS collector, event_type AS rep, right(id, 9) AS nsr, date, seconds,
   'clockinmobile' AS unit, '0' AS ip, '0' AS geofence, '99999999999' AS cc_rep, 0 AS layout"""
 
+TURNOVER = f"""
+    SELECT h.cost_centre, strftime(h.m, '%m/%Y') AS month_label, headcount, coalesce(a.n, 0) AS admitted,
+      coalesce(t.n, 0) AS terminated, {percent('coalesce(t.n, 0) + coalesce(a.n, 0)', '2 * headcount')} AS turnover_rate
+    FROM (SELECT cost_centre, m, count(emp_no) AS headcount
+        FROM months JOIN emp ON admission < next_m AND (termination IS NULL OR termination >= next_m) GROUP BY ALL) h
+    LEFT JOIN (SELECT cost_centre, date_trunc('month', admission) AS m, count(emp_no) AS n FROM emp GROUP BY ALL) a
+      ON a.cost_centre = h.cost_centre AND a.m = h.m
+    LEFT JOIN (SELECT cost_centre, date_trunc('month', termination) AS m, count(emp_no) AS n FROM emp
+        WHERE status = 'D' GROUP BY ALL) t
+      ON t.cost_centre = h.cost_centre AND t.m = h.m"""
+
 ORACLE: dict[str, str] = {
     "month_dimension": """
         SELECT CAST(month(m) AS INTEGER) AS month_no, strftime(m, '%m/%Y') AS month_label, CAST(m AS VARCHAR) AS first_day,
           CAST(last_day(m) AS VARCHAR) AS last_day, CAST(last_day(m) + 1 AS VARCHAR) AS snapshot_day
         FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)""",
-    "turnover_monthly": sql(f"""
-        SELECT h.cost_centre, strftime(h.m, '%m/%Y') AS month_label, headcount, coalesce(a.n, 0) AS admitted,
-          coalesce(t.n, 0) AS terminated,
-          {percent('coalesce(t.n, 0) + coalesce(a.n, 0)', '2 * headcount')} AS turnover_rate
-        FROM (SELECT cost_centre, m, count(emp_no) AS headcount
-            FROM months JOIN emp ON admission < next_m AND (termination IS NULL OR termination >= next_m) GROUP BY ALL) h
-        LEFT JOIN (SELECT cost_centre, date_trunc('month', admission) AS m, count(emp_no) AS n FROM emp GROUP BY ALL) a
-          ON a.cost_centre = h.cost_centre AND a.m = h.m
-        LEFT JOIN (SELECT cost_centre, date_trunc('month', termination) AS m, count(emp_no) AS n FROM emp
-            WHERE status = 'D' GROUP BY ALL) t
-          ON t.cost_centre = h.cost_centre AND t.m = h.m""", "emp", "months"),
+    "turnover_monthly": sql(TURNOVER, "emp", "months"),
+    "turnover_report": sql(f"SELECT month_label, cost_centre, turnover_rate FROM ({TURNOVER})", "emp", "months"),
     "headcount_monthly": sql("""
         SELECT cost_centre, CAST(m AS VARCHAR) AS month, count(*) AS headcount
         FROM months JOIN emp ON admission < m AND (termination IS NULL OR termination >= m) GROUP BY ALL""",

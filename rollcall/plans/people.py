@@ -22,6 +22,13 @@ def turnover_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return report(headcount.turnover(roles.employees(spark, folder), roles.FIRST_MONTH, roles.MONTHS))
 
 
+def turnover_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Turnover, the latest month first; months sort as dates, not by their label."""
+    rows = headcount.turnover(roles.employees(spark, folder), roles.FIRST_MONTH, roles.MONTHS)
+    month = F.to_date(F.concat(F.lit("01/"), F.col("month_label")), "dd/MM/yyyy")
+    return report(rows.orderBy(month.desc(), "cost_centre"), "month_label", "cost_centre", "turnover_rate")
+
+
 def headcount_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return report(headcount.headcount(roles.employees(spark, folder), roles.FIRST_MONTH, roles.MONTHS, "start"))
 
