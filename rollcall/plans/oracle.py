@@ -96,7 +96,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
           CAST(6 + c_custkey % 3 AS DOUBLE) AS daily_hours, c_acctbal AS salary, c_custkey AS pis,
           CAST(c_custkey * 37 AS VARCHAR) AS cpf
         FROM (SELECT *, DATE '1997-01-01' + CAST(c_custkey * 7919 % 700 AS INTEGER) AS admission FROM customer)
-        WHERE c_custkey % 97 <> 96"""),
+        WHERE c_acctbal >= -900"""),
     "ev": ((), f"""
         SELECT *, CASE WHEN waiver = '' THEN 0 ELSE l_quantity % 5 + (l_linenumber * 11 % 60) / 100 END AS hours_waived
         FROM (SELECT {branch('l_partkey')} AS branch, l_partkey AS emp_no, CAST(l_shipdate AS DATE) AS date,
@@ -104,7 +104,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
             CASE l_linenumber % 4 WHEN 1 THEN '001' WHEN 2 THEN '004' ELSE '' END AS waiver,
             l_quantity % 8 + (l_linenumber * 7 % 60) / 100 AS hours_calc,
             CASE WHEN l_linestatus = 'F' THEN 'X' ELSE '' END AS processed, l_quantity, l_linenumber
-          FROM lineitem WHERE l_suppkey % 50 <> 0)"""),
+          FROM lineitem WHERE l_tax < 0.08)"""),
     "cc": ((), f"""
         SELECT b.branch, {cc('n_nationkey')} AS cost_centre,
           CASE WHEN n_nationkey % 10 = 3 THEN n_name || ' ABANDONO' ELSE n_name END AS cost_centre_desc
@@ -112,7 +112,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "dep": ((), f"""
         SELECT 'DEPT-' || lpad(CAST(k AS VARCHAR), 4, '0') AS dept, {cc('n_nationkey')} AS cost_centre,
           'DEPARTMENT ' || k AS dept_desc
-        FROM nation, range(7) AS r(k) WHERE k < 6 OR n_nationkey % 2 = 0"""),
+        FROM nation, range(7) AS r(k) WHERE k < 6 OR n_regionkey < 3"""),
     "dep_name": (("dep",), "SELECT DISTINCT dept, dept_desc FROM dep"),
     "job": ((), "SELECT 'J' || k AS job, 'JOB ' || k AS job_desc FROM range(9) AS r(k)"),
     "shifts": ((), values(roles.SHIFTS, "shift, shift_desc")),
@@ -226,7 +226,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "erp_punch": ((), f"""
         SELECT DISTINCT {branch('user_id')} AS branch, user_id AS emp_no, CAST(ts AS DATE) AS date,
           hour(ts) * 60 + minute(ts) AS minute
-        FROM events WHERE event_id % 10 <> 0"""),
+        FROM events WHERE event_type <> 'error'"""),
     "device": (("matched",), """
         SELECT branch, emp_no, date, minute, count(*) AS punches FROM matched
         WHERE emp_no IS NOT NULL AND date IS NOT NULL GROUP BY ALL"""),
@@ -254,7 +254,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "imports": (("import_once",), """
         SELECT * FROM import_once UNION ALL SELECT * FROM import_once WHERE event_id % 4 = 0"""),
     "pending": (("import_once", "emp"), """
-        SELECT i.* FROM import_once i WHERE event_id % 5 <> 1
+        SELECT i.* FROM import_once i WHERE event_type <> 'signup'
           AND EXISTS (SELECT 1 FROM emp WHERE status <> 'D' AND emp.pis = i.user_id)"""),
     "sheet_rows": ((), f"""
         SELECT *, CASE WHEN o_orderkey % 29 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS file_date,
@@ -290,7 +290,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         FROM receipt_raw WHERE auth_no <> ''"""),
     "known_receipt": ((), """
         SELECT 'PESSOA' || o_custkey || '_0' || o_custkey || '0001_' || strftime(o_orderdate, '%d%m%Y')
-          || '_A' || (o_orderkey - o_orderkey % 2) AS receipt FROM orders WHERE o_orderkey % 11 = 0"""),
+          || '_A' || (o_orderkey - o_orderkey % 2) AS receipt FROM orders WHERE o_orderstatus = 'P'"""),
     "request": ((), f"""
         SELECT CASE WHEN o_orderkey % 37 = 0 THEN ' ' ELSE CAST(o_custkey * 37 AS VARCHAR) END AS cpf,
           CASE WHEN o_orderkey % 6 = 0 THEN '02' ELSE {branch('o_custkey')} END AS branch, o_orderstatus <> 'F' AS accepted,
@@ -299,7 +299,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "person": (("emp", "cc", "dep_name"), """
         SELECT emp.*, cost_centre_desc, dept_desc
         FROM emp JOIN cc USING (branch, cost_centre) JOIN dep_name USING (dept)"""),
-    "consented": ((), "SELECT CAST(c_custkey * 37 AS VARCHAR) AS cpf FROM customer WHERE c_custkey % 5 = 0"),
+    "consented": ((), "SELECT CAST(c_custkey * 37 AS VARCHAR) AS cpf FROM customer WHERE c_mktsegment = 'BUILDING'"),
 }
 
 
@@ -498,7 +498,7 @@ ORACLE: dict[str, str] = {
     "new_employees": sql(f"""
         SELECT branch, emp_no, name, {iso('admission')} AS admission, cost_centre, dept, cpf, cost_centre_desc, dept_desc
         FROM emp JOIN cc USING (branch, cost_centre) JOIN dep USING (dept, cost_centre)
-        WHERE status <> 'D' AND emp_no NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0)""",
+        WHERE status <> 'D' AND emp_no NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')""",
         "emp", "cc", "dep"),
     "erp_normalize": sql(f"""
         SELECT branch, emp_no, name, {iso('admission')} AS admission, {iso('termination')} AS termination, cost_centre, dept,
@@ -543,7 +543,7 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT *, 'basket', {BASKET_DAYS}, {BASKET_AMOUNT} FROM rich WHERE contains(benefit_desc, 'TK CESTA'))
         LEFT JOIN (SELECT {cc('n_nationkey')} AS cost_centre,
             CASE n_nationkey % 4 WHEN 0 THEN '5' WHEN 1 THEN '1' ELSE '0' END AS payment_day
-          FROM nation WHERE n_nationkey % 4 < 3) USING (cost_centre)""", FOOD, JULY, JULY, "0"),
+          FROM nation WHERE n_regionkey <> 3) USING (cost_centre)""", FOOD, JULY, JULY, "0"),
     "abandonment_split": sql("""
         SELECT branch, emp_no, benefit_row,
           CASE WHEN contains(cost_centre_desc, 'ABANDONO') THEN 'abandonment' ELSE 'other' END AS part FROM base""",
@@ -591,7 +591,7 @@ ORACLE: dict[str, str] = {
     "pending_punches": sql(f"SELECT {IMPORT} FROM pending", "pending"),
     "pending_punches_by_day": sql("SELECT date, count(*) AS punches FROM pending GROUP BY ALL", "pending"),
     "surrogate_ids": sql("""
-        SELECT id, date, (SELECT max(event_id) FROM events WHERE event_id % 5 = 1)
+        SELECT id, date, (SELECT max(event_id) FROM events WHERE event_type = 'signup')
           + row_number() OVER (ORDER BY date, CAST(id AS BIGINT) % 64, id) AS recno FROM pending""", "pending"),
     "stream_clockings": sql("""
         SELECT id, CAST(user_id AS VARCHAR) AS pis, right(id, 9) AS nsr, date, seconds FROM import_once""", "import_once"),

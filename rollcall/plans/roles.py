@@ -91,6 +91,10 @@ def cc_of(nation: str) -> str:
     return f"concat('CC', lpad(CAST({nation} AS string), 2, '0'))"
 
 
+# Rows that are not soft-deleted.
+KEPT_EMPLOYEE = "c_acctbal >= -900"
+KEPT_EVENT = "l_tax < 0.08"
+
 ADMISSION = "date_add(DATE '1997-01-01', CAST(c_custkey * 7919 % 700 AS int))"
 TERMINATION = f"CASE WHEN c_custkey % 3 = 0 THEN date_add({ADMISSION}, CAST(30 + c_custkey * 104729 % 500 AS int)) END"
 NOT_TERMINATED = "CASE WHEN c_custkey % 2 = 0 THEN rpad('', 8, ' ') ELSE '19000101' END"
@@ -127,7 +131,7 @@ AS_LANDED = (
     | {
         "admission": f"date_format({ADMISSION}, 'yyyyMMdd')",
         "termination": f"coalesce(date_format({TERMINATION}, 'yyyyMMdd'), {NOT_TERMINATED})",
-        "deleted": "CASE WHEN c_custkey % 97 = 96 THEN '*' ELSE '' END",
+        "deleted": f"CASE WHEN {KEPT_EMPLOYEE} THEN '' ELSE '*' END",
     }
 )
 
@@ -138,7 +142,7 @@ def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def employees(spark: SparkSession, folder: str) -> DataFrame:
     """Employees from ``customer``, as the operators expect them."""
-    return project(table(spark, folder, "customer").filter("c_custkey % 97 <> 96"), EMPLOYEE)
+    return project(table(spark, folder, "customer").filter(KEPT_EMPLOYEE), EMPLOYEE)
 
 
 def normalized_employees(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,7 +166,7 @@ CLOCK_EVENT = {
 
 def clock_events(spark: SparkSession, folder: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Clock events from ``lineitem``: employee = part number. The bounds restrict the scan itself."""
-    items = table(spark, folder, "lineitem").filter("l_suppkey % 50 <> 0")
+    items = table(spark, folder, "lineitem").filter(KEPT_EVENT)
     if first:
         items = items.filter(f"l_shipdate >= TIMESTAMP_NTZ '{first}'")
     if last:
@@ -237,14 +241,14 @@ def cost_centres(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def departments(spark: SparkSession, folder: str) -> DataFrame:
-    """Departments per cost centre from ``nation``; department 6 exists in half of them only."""
-    numbered = table(spark, folder, "nation").selectExpr("n_nationkey", "explode(sequence(0, 6)) AS number")
+    """Departments per cost centre from ``nation``; department 6 exists in some regions only."""
+    numbered = table(spark, folder, "nation").selectExpr("n_nationkey", "n_regionkey", "explode(sequence(0, 6)) AS number")
     columns = {
         "dept": "concat('DEPT-', lpad(CAST(number AS string), 4, '0'))",
         "cost_centre": cc_of("n_nationkey"),
         "dept_desc": "concat('DEPARTMENT ', number)",
     }
-    return project(numbered.filter("number < 6 OR n_nationkey % 2 = 0"), columns)
+    return project(numbered.filter("number < 6 OR n_regionkey < 3"), columns)
 
 
 def jobs(spark: SparkSession) -> DataFrame:
@@ -254,7 +258,7 @@ def jobs(spark: SparkSession) -> DataFrame:
 def payment_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Payment day per cost centre from ``nation``; some have none."""
     day = "CASE n_nationkey % 4 WHEN 0 THEN '5' WHEN 1 THEN '1' ELSE '0' END"
-    dated = table(spark, folder, "nation").filter("n_nationkey % 4 < 3")
+    dated = table(spark, folder, "nation").filter("n_regionkey <> 3")
     return project(dated, {"cost_centre": cc_of("n_nationkey"), "payment_day": day})
 
 
@@ -338,14 +342,14 @@ def afd_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def erp_punch_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Punches known to the ERP: all but every tenth, time as HH.MM."""
+    """Punches known to the ERP: all but those of device type ``error``, time as HH.MM."""
     columns = {
         "branch": branch_of("pis"),
         "emp_no": "pis",
         "date": "CAST(at AS date)",
         "hhmm": "hour(at) + minute(at) / 100",
     }
-    return project(punches(spark, folder).filter("id % 10 <> 0"), columns)
+    return project(punches(spark, folder).filter("device <> 'error'"), columns)
 
 
 ZONES = ["America/Sao_Paulo", "EUROPE/MADRID", "ASIA/AQTOBE", "MOON/BASE", "AMERICA/PHOENIX"]
@@ -363,9 +367,9 @@ def clockings(source: DataFrame) -> DataFrame:
 
 
 def loaded_punches(spark: SparkSession, folder: str) -> DataFrame:
-    """Punches loaded before: every fifth, the id with the ending a float column leaves."""
+    """Punches loaded before: those of device type ``signup``, the id with the ending a float column leaves."""
     columns = {"recno": "id", "id": "concat(CAST(id + 10000000000 AS string), '.0')"}
-    return project(punches(spark, folder).filter("id % 5 = 1"), columns)
+    return project(punches(spark, folder).filter("device = 'signup'"), columns)
 
 
 def receipt_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -393,12 +397,12 @@ def receipt_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def known_receipts(spark: SparkSession, folder: str) -> DataFrame:
-    """Receipts written before: the names of every eleventh order."""
+    """Receipts written before: the names of the orders with status P."""
     name = (
         "concat('PESSOA', o_custkey, '_0', o_custkey, '0001_', date_format(o_orderdate, 'ddMMyyyy'), "
         "'_A', o_orderkey - o_orderkey % 2)"
     )
-    return project(table(spark, folder, "orders").filter("o_orderkey % 11 = 0"), {"receipt": name})
+    return project(table(spark, folder, "orders").filter("o_orderstatus = 'P'"), {"receipt": name})
 
 
 def payroll_rows(orders: DataFrame) -> DataFrame:
@@ -430,10 +434,10 @@ def consent_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def known_consents(spark: SparkSession, folder: str) -> DataFrame:
-    """Consents registered before: every fifth employee."""
-    return table(spark, folder, "customer").filter("c_custkey % 5 = 0").selectExpr("CAST(c_custkey * 37 AS string) AS cpf")
+    """Consents registered before: the employees of segment BUILDING."""
+    return table(spark, folder, "customer").filter("c_mktsegment = 'BUILDING'").selectExpr("CAST(c_custkey * 37 AS string) AS cpf")
 
 
 def synced_employees(spark: SparkSession, folder: str) -> DataFrame:
-    """Employees the warehouse holds already: three of four."""
-    return table(spark, folder, "customer").filter("c_custkey % 4 <> 0").selectExpr("c_custkey AS emp_no")
+    """Employees the warehouse holds already: all but segment MACHINERY."""
+    return table(spark, folder, "customer").filter("c_mktsegment <> 'MACHINERY'").selectExpr("c_custkey AS emp_no")
