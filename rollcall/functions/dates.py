@@ -81,6 +81,12 @@ def clock_minutes(text: Column) -> Column:
     return F.when(hour.between(0, 23) & minute.between(0, 59), hour * 60 + minute)
 
 
+def clock_seconds(text: Column) -> Column:
+    """``HH:mm:ss`` text as seconds of the day; anything that is no time is NULL."""
+    time = F.try_to_timestamp(F.trim(text), F.lit("HH:mm:ss"))
+    return F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+
 def minutes_text(minutes: Column) -> Column:
     """Minutes of the day as ``HH:mm:00``."""
     return F.format_string("%02d:%02d:00", F.floor(minutes / 60).cast("int"), (minutes % 60).cast("int"))

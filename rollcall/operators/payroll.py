@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from rollcall.functions.dates import period_date
 from rollcall.functions.text import pad_left
-from rollcall.operators.relational import align_schema, rename, split_by
+from rollcall.operators.relational import align_schema, rename, skew_join
 
 # Sheet heading -> payroll column (fixed values).
 PAYROLL_COLUMNS = {
@@ -60,20 +62,22 @@ def new_files(
     return dated.filter(F.col("file_date").isNotNull() & (mark.isNull() | (F.col("file_date") > mark)))
 
 
-def ingest_payroll(rows: DataFrame, target: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Payroll rows in the shape of the target, and the rows that cannot be loaded.
+def ingest_payroll(rows: DataFrame, target: T.StructType, file: str = "file_name") -> tuple[DataFrame, DataFrame]:
+    """Payroll rows in the shape of the target, and the files that cannot be loaded.
 
-    Headings become column names, the ``yyyyMM`` period its first day, and the CPF has 11 digits. A row with a period
-    that is no month is a reject with the reason ``period``.
+    Headings become column names, the ``yyyyMM`` period its first day (NULL if it is no month), and the CPF has 11 digits.
+    A file with a value that does not fit its column is left out as a whole and reported with its number of bad rows.
     """
     named = rename(rows, PAYROLL_COLUMNS)
     if "data_referencia" in named.columns:
-        raw = F.col("data_referencia").try_cast("double")
-        named = named.withColumns({"_raw_period": F.col("data_referencia").cast("string"), "data_referencia": period_date(raw)})
-        bad = F.col("data_referencia").isNull() & F.col("_raw_period").isNotNull()
-    else:
-        bad = F.lit(False)
+        named = named.withColumn("data_referencia", period_date(F.col("data_referencia").try_cast("double")))
     if "cpf" in named.columns:
         named = named.withColumn("cpf", pad_left(F.trim(F.col("cpf").cast("string")), 11))
-    rejects, good = split_by(named, bad)
-    return align_schema(good, target), rejects.withColumn("reason", F.lit("period"))
+    texts = {name for name, kind in named.dtypes if kind == "string"}
+    typed = [f for f in target.fields if f.name in texts and not isinstance(f.dataType, T.StringType)]
+    misfits = [(F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull() for f in typed]
+    bad = F.coalesce(reduce(or_, misfits, F.lit(False)), F.lit(False))
+    files = named.groupBy(file).agg(F.count(F.lit(1)).alias("rows_per_key"), F.count_if(bad).alias("bad_rows"))
+    rejects = files.filter("bad_rows > 0").select(file, F.col("rows_per_key").alias("rows"), "bad_rows")
+    good = skew_join(named, rejects.select(file), [file], "left_anti", counts=files)
+    return align_schema(good, target), rejects

@@ -43,10 +43,10 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_per_key"))
 
 
-def hot_key_hashes(counts: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS) -> Column:
-    """Hashes of the keys with at least ``min_rows`` rows, at most ``max_keys`` of them, as one array value."""
-    large = counts.filter(F.col("rows_per_key") >= min_rows).withColumn("_hash", F.xxhash64(*keys))
-    top = large.orderBy(F.desc("rows_per_key"), "_hash").limit(max_keys)
+def hot_key_hashes(counts: DataFrame, keys: Sequence[str]) -> Column:
+    """Hashes of the keys with at least ``HOT_ROWS`` rows, at most ``HOT_KEYS`` of them, as one array value."""
+    large = counts.filter(F.col("rows_per_key") >= HOT_ROWS).withColumn("_hash", F.xxhash64(*keys))
+    top = large.orderBy(F.desc("rows_per_key"), "_hash").limit(HOT_KEYS)
     return top.agg(F.collect_list("_hash").alias("_hot")).scalar()
 
 
@@ -56,9 +56,6 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     counts: DataFrame | None = None,
-    min_rows: int = HOT_ROWS,
-    max_keys: int = HOT_KEYS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join a large frame whose key may hold a large share of the rows to a smaller frame.
 
@@ -72,19 +69,19 @@ def skew_join(
     types = [[df.schema[c].dataType for c in on] for df in (fact, other)]
     if types[0] != types[1]:
         raise TypeError(f"join keys {on} differ in type: {types[0]} and {types[1]}")
-    hot = hot_key_hashes(key_counts(fact, on) if counts is None else counts, on, min_rows, max_keys)
+    hot = hot_key_hashes(key_counts(fact, on) if counts is None else counts, on)
     is_hot = F.array_contains(hot, F.xxhash64(*on))
-    salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    every_salt = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)
+    every_salt = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     left, right = fact.withColumn("_salt", salt), other.withColumn("_salt", F.explode(every_salt))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def all_duplicates(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+def all_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row whose key occurs more than once."""
     counts = key_counts(df, keys)
     repeated = counts.filter("rows_per_key > 1").select(*keys)
-    return skew_join(df, repeated, keys, "left_semi", counts, min_rows)
+    return skew_join(df, repeated, keys, "left_semi", counts)
 
 
 def anti_load(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -92,9 +89,9 @@ def anti_load(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataF
     return new.join(existing.select(*keys), list(keys), "left_anti")
 
 
-def known(df: DataFrame, reference: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+def known(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key exists in the reference frame."""
-    return skew_join(df, reference.select(*keys).distinct(), keys, "left_semi", min_rows=min_rows)
+    return skew_join(df, reference.select(*keys).distinct(), keys, "left_semi")
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import codes
-from rollcall.functions.dates import DateLike, clock_minutes, minutes_text, punch_timestamp, weekday_label
+from rollcall.functions.dates import DateLike, clock_minutes, clock_seconds, minutes_text, punch_timestamp, weekday_label
 from rollcall.functions.hours import hhmm_minutes
 from rollcall.functions.text import drop_decimal_suffix, keep_last
 from rollcall.operators.calendar import day_grid
@@ -123,20 +123,22 @@ def unmatched_pis(punches: DataFrame, emp: DataFrame) -> DataFrame:
 
 
 def work_date(date: Column, minute: Column, shift_start: Column) -> Column:
-    """Day a punch belongs to: on shifts that start after 13:20, a punch after 00:00 and before 10:00 ends the day before."""
-    night = (shift_start > 13 * 60 + 20) & (minute > 0) & (minute < 10 * 60)
+    """Day a punch belongs to: on shifts that start after 13:20:00, a punch after 00:00 and before 10:00 ends the day before.
+
+    The shift start counts in seconds of the day, the punch in minutes.
+    """
+    night = (shift_start > (13 * 60 + 20) * 60) & (minute > 0) & (minute < 10 * 60)
     return F.when(night, F.date_sub(date, 1)).otherwise(date)
 
 
 def shift_starts(raw: DataFrame) -> DataFrame:
-    """Shift-start sheet (``HH:mm:ss`` text) as minutes of the day; rows that repeat are dropped."""
-    start = clock_minutes(F.replace(F.substring("start", 1, 5), F.lit(":"), F.lit("")))
-    return raw.select("shift_desc", start.alias("start_minute")).distinct()
+    """Shift-start sheet (``HH:mm:ss`` text) as seconds of the day; rows that repeat are dropped."""
+    return raw.select("shift_desc", clock_seconds(F.col("start")).alias("start_second")).distinct()
 
 
 def with_work_date(matched: DataFrame, starts: DataFrame) -> DataFrame:
     joined = matched.join(starts, "shift_desc", "left")
-    return joined.withColumn("work_date", work_date(F.col("date"), F.col("minute"), F.col("start_minute")))
+    return joined.withColumn("work_date", work_date(F.col("date"), F.col("minute"), F.col("start_second")))
 
 
 def erp_punches(raw: DataFrame) -> DataFrame:

@@ -81,8 +81,8 @@ def unmatched_punches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def work_date_shift(spark: SparkSession, folder: str) -> DataFrame:
-    rows = worked(spark, folder).filter("emp_no IS NOT NULL").fillna(-1, subset=["start_minute"])
-    return report(rows, "value", "branch", "emp_no", "date", "minute", "start_minute", "work_date")
+    rows = worked(spark, folder).filter("emp_no IS NOT NULL").fillna(-1, subset=["start_second"])
+    return report(rows, "value", "branch", "emp_no", "date", "minute", "start_second", "work_date")
 
 
 def reconciled(spark: SparkSession, folder: str) -> DataFrame:

@@ -51,7 +51,7 @@ def payroll_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 def payroll_rejects(spark: SparkSession, folder: str) -> DataFrame:
     _, bad = payroll.ingest_payroll(fresh(spark, folder), TARGET)
-    return report(bad.groupBy("file_name", "reason").agg(F.count(F.lit(1)).alias("rows")))
+    return report(bad)
 
 
 def stream_payroll(spark: SparkSession, folder: str) -> DataFrame:

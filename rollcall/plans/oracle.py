@@ -217,10 +217,10 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT value, afd.pis, date, minute, branch, emp_no, cost_centre, shift_desc
         FROM afd LEFT JOIN (SELECT * FROM staff WHERE status <> 'D') s ON s.pis = afd.pis"""),
     "worked": (("matched",), f"""
-        SELECT m.*, start_minute, CASE WHEN start_minute > 800 AND minute > 0 AND minute < 600 THEN date - 1 ELSE date END
+        SELECT m.*, start_second, CASE WHEN start_second > 48000 AND minute > 0 AND minute < 600 THEN date - 1 ELSE date END
           AS work_date
-        FROM matched m LEFT JOIN (SELECT DISTINCT shift_desc, CAST(left(start, 2) AS INTEGER) * 60
-            + CAST(substr(start, 4, 2) AS INTEGER) AS start_minute
+        FROM matched m LEFT JOIN (SELECT DISTINCT shift_desc, CAST(left(start, 2) AS INTEGER) * 3600
+            + CAST(substr(start, 4, 2) AS INTEGER) * 60 + CAST(right(start, 2) AS INTEGER) AS start_second
           FROM {values(roles.SHIFT_START, "shift_desc, start")}) s USING (shift_desc)
         WHERE emp_no IS NOT NULL"""),
     "erp_punch": ((), f"""
@@ -259,8 +259,12 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "sheet_rows": ((), f"""
         SELECT *, CASE WHEN o_orderkey % 29 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS file_date,
           strftime(o_orderdate, '%Y-%m') || CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE '-01' END || '.xlsx' AS file_name,
-          CASE WHEN o_orderkey % 31 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS period
+          CASE WHEN o_orderkey % 31 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS period,
+          month(o_orderdate) = 3 AND o_orderkey % 20 = 0 AS bad
         FROM orders"""),
+    "bad_file": (("sheet_rows",), """
+        SELECT file_name, CAST(count(*) AS BIGINT) AS rows, count(*) FILTER (bad) AS bad_rows FROM sheet_rows
+        GROUP BY ALL HAVING bool_or(bad)"""),
     "mark": (("sheet_rows",), "SELECT max(file_date) AS file_date FROM sheet_rows WHERE file_date <= DATE '1998-07-01'"),
     "fresh": (("sheet_rows", "mark"), "SELECT s.* FROM sheet_rows s, mark WHERE s.file_date > mark.file_date"),
     "receipt_text": ((), """
@@ -564,7 +568,7 @@ ORACLE: dict[str, str] = {
           coalesce(cost_centre, '') AS cost_centre, coalesce(shift_desc, '') AS shift_desc FROM matched""", "matched"),
     "unmatched_punches": sql("SELECT DISTINCT pis FROM matched WHERE emp_no IS NULL", "matched"),
     "work_date_shift": sql(f"""
-        SELECT value, branch, emp_no, {iso('date')} AS date, minute, coalesce(start_minute, -1) AS start_minute,
+        SELECT value, branch, emp_no, {iso('date')} AS date, minute, coalesce(start_second, -1) AS start_second,
           {iso('work_date')} AS work_date FROM worked""", "worked"),
     "punch_reconciliation": sql("""
         SELECT branch, emp_no, CAST(date AS VARCHAR) AS date, minute, punches, e.minute IS NOT NULL AS in_erp
@@ -603,14 +607,16 @@ ORACLE: dict[str, str] = {
         SELECT CAST(o_custkey AS VARCHAR) AS matricula, {branch('o_custkey')} AS filial,
           CASE WHEN o_orderkey % 23 <> 0 THEN lpad(CAST(o_custkey * 37 + 1 AS VARCHAR), 11, '0') ELSE '' END AS cpf,
           o_orderstatus AS status, o_orderpriority AS descricao_verba, '' AS funcao, o_totalprice AS valor,
-          CAST(period AS VARCHAR) AS data_referencia
-        FROM fresh WHERE period IS NOT NULL""", "fresh"),
+          coalesce(CAST(period AS VARCHAR), '') AS data_referencia
+        FROM fresh ANTI JOIN bad_file USING (file_name)""", "fresh", "bad_file"),
     "payroll_rejects": sql("""
-        SELECT file_name, 'period' AS reason, count(*) AS rows FROM fresh WHERE period IS NULL GROUP BY ALL""", "fresh"),
+        SELECT file_name, rows, bad_rows FROM bad_file WHERE file_name IN (SELECT file_name FROM fresh)""",
+        "bad_file", "fresh"),
     "stream_payroll": sql("""
-        SELECT CAST(period AS VARCHAR) AS data_referencia, count(*) AS rows,
+        SELECT coalesce(CAST(period AS VARCHAR), '') AS data_referencia, count(*) AS rows,
           count(*) FILTER (o_orderkey % 23 <> 0) AS with_cpf
-        FROM sheet_rows WHERE file_date IS NOT NULL AND period IS NOT NULL GROUP BY ALL""", "sheet_rows"),
+        FROM sheet_rows ANTI JOIN bad_file USING (file_name) WHERE file_date IS NOT NULL GROUP BY ALL""",
+        "sheet_rows", "bad_file"),
     "all_text": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",
     "receipt_extract": sql("""
         SELECT * FROM receipt WHERE receipt NOT IN (SELECT receipt FROM known_receipt)

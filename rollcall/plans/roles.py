@@ -40,7 +40,7 @@ SHIFT_HOURS = [
 ]
 SHIFT_START = [
     ("ESCALA 19:00-07:00 (12X36)", "19:00:00"), ("NOTURNO 22:00", "22:00:00"), ("TARDE 13:20", "13:20:00"),
-    ("TARDE 13:21", "13:21:00"), ("ADMINISTRATIVO", "08:00:00"), ("ADMINISTRATIVO", "08:00:00"),
+    ("TARDE 13:21", "13:20:01"), ("ADMINISTRATIVO", "08:00:00"), ("ADMINISTRATIVO", "08:00:00"),
 ]
 EVENT_CODES = [
     ("000", "HE 50% - IN"), ("001", "HE 70% - NO"), ("002", "ADIC.NOT.EXTRA 50%"), ("003", "ADIC.NOTURNO 20%"),
@@ -406,7 +406,10 @@ def known_receipts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payroll_rows(orders: DataFrame) -> DataFrame:
-    """Payroll sheet rows from ``orders``, all text, with the name of their file; one column is missing, one too many."""
+    """Payroll sheet rows from ``orders``, all text, with the name of their file; one column is missing, one too many.
+
+    Some files of March hold a value that is no number.
+    """
     columns = {
         "file_name": "concat(date_format(o_orderdate, 'yyyy-MM'), CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE '-01' END, '.xlsx')",
         "Filial": branch_of("o_custkey"),
@@ -414,7 +417,7 @@ def payroll_rows(orders: DataFrame) -> DataFrame:
         "CPF": "CASE WHEN o_orderkey % 23 <> 0 THEN CAST(o_custkey * 37 + 1 AS string) END",
         "Status": "o_orderstatus",
         "Descrição Verba": "o_orderpriority",
-        "Valor": "CAST(o_totalprice AS string)",
+        "Valor": "CASE WHEN month(o_orderdate) = 3 AND o_orderkey % 20 = 0 THEN 'x' ELSE CAST(o_totalprice AS string) END",
         "PERIODO DA FOLHA": "CASE WHEN o_orderkey % 31 = 0 THEN '199813' ELSE date_format(o_orderdate, 'yyyyMM') END",
         "Observação": "'x'",
     }

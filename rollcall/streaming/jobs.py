@@ -64,7 +64,7 @@ def stream_payroll(
     def load(batch: DataFrame, batch_id: int) -> None:
         good, bad = ingest_payroll(new_files(batch, None, extension=extension), target)
         good.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        bad.select("file_name", "reason").write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
 
     return rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -38,14 +38,20 @@ def test_new_files(spark):
 
 def test_payroll(spark):
     rows = spark.createDataFrame(
-        [("1", "202402", "1.5", "x"), (None, "202412", "2", "x"), ("123456789012", "202413", "3", "x"), ("9", None, "4", "x")],
-        ["CPF", "PERIODO DA FOLHA", "Valor", "extra"],
+        [
+            ("1", "202402", "1.5", "x", "a"), (None, "202412", "2", "x", "a"), ("123456789012", "202413", "3", "x", "a"),
+            ("9", None, "", "x", "a"), ("8", "202401", "1", "x", "b"), ("8", "202401", "one", "x", "b"),
+        ],
+        "CPF string, `PERIODO DA FOLHA` string, Valor string, extra string, file_name string",
     )
     good, bad = payroll.ingest_payroll(rows, TARGET)
     assert good.schema == TARGET
     assert sorted((tuple(r) for r in good.collect()), key=repr) == sorted(
-        [("00000000001", 1.5, None, D(2024, 2, 1)), (None, 2.0, None, D(2024, 12, 1)), ("00000000009", 4.0, None, None)], key=repr)
-    assert [(r.cpf, r.reason) for r in bad.collect()] == [("123456789012", "period")]
+        [
+            ("00000000001", 1.5, None, D(2024, 2, 1)), (None, 2.0, None, D(2024, 12, 1)), ("123456789012", 3.0, None, None),
+            ("00000000009", None, None, None),
+        ], key=repr)
+    assert [tuple(r) for r in bad.collect()] == [("b", 2, 1)]
 
 
 PAGE = """COMPROVANTE
@@ -163,8 +169,8 @@ def test_stream_payroll(spark, tmp_path):
     source.mkdir()
     head = ",".join(payroll.PAYROLL_COLUMNS)
 
-    def deliver(name, period):
-        line = ",".join({"CPF": "7", "Valor": "10.5", "PERIODO DA FOLHA": period}.get(c, "") for c in payroll.PAYROLL_COLUMNS)
+    def deliver(name, period, value="10.5"):
+        line = ",".join({"CPF": "7", "Valor": value, "PERIODO DA FOLHA": period}.get(c, "") for c in payroll.PAYROLL_COLUMNS)
         (source / name).write_text(f"{head}\n{line}\n", encoding="utf-8")
 
     def run():
@@ -176,9 +182,9 @@ def test_stream_payroll(spark, tmp_path):
     deliver("notes.csv", "202401")
     assert run() == ["2024-01-01"]
     deliver("2024-02-01.csv", "202402")
-    deliver("2024-03-01.csv", "202413")
+    deliver("2024-03-01.csv", "202403", "ten")
     assert run() == ["2024-01-01", "2024-02-01"]
-    assert [r.reason for r in spark.read.parquet(f"{out}/rejects").collect()] == ["period"]
+    assert [r.file_name for r in spark.read.parquet(f"{out}/rejects").collect()] == ["2024-03-01.csv"]
     assert files.read_payroll_files(spark, str(source)).select("file_name").distinct().count() == 4
 
 

@@ -23,26 +23,40 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_plain_join(skewed, how):
+def test_skew_join_equals_plain_join(skewed, how, monkeypatch):
+    monkeypatch.setattr(rel, "HOT_ROWS", 100)
     fact, other = skewed
-    got = rel.skew_join(fact, other, ["k"], how, min_rows=100, salts=16)
-    assert tuples(got) == tuples(fact.join(other, "k", how))
+    assert tuples(rel.skew_join(fact, other, ["k"], how)) == tuples(fact.join(other, "k", how))
 
 
-def test_skew_join_spreads_the_hot_key(spark, skewed):
-    fact, _ = skewed
-    hot = rel.hot_key_hashes(rel.key_counts(fact, ["k"]), ["k"], min_rows=500)
-    found = spark.range(1).select(hot.alias("h")).first().h
-    assert found == [fact.filter("k = 7").select(F.xxhash64("k").alias("h")).first().h]
-    partitions = fact.filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert partitions == 8
-
-
-def test_skew_join_with_known_counts_and_two_keys(spark):
+def test_skew_join_spreads_the_hot_key(spark, skewed, monkeypatch):
+    fact, other = skewed
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+
+    def partitions():
+        joined = rel.skew_join(fact, other, ["k"])
+        return joined.filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert partitions() == 1
+        monkeypatch.setattr(rel, "HOT_ROWS", 500)
+        hot = spark.range(1).select(rel.hot_key_hashes(rel.key_counts(fact, ["k"]), ["k"]).alias("h")).first().h
+        assert hot == [fact.filter("k = 7").select(F.xxhash64("k").alias("h")).first().h]
+        assert partitions() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_skew_join_with_known_counts_and_two_keys(spark, monkeypatch):
+    monkeypatch.setattr(rel, "HOT_ROWS", 10)
     fact = spark.range(400).select((F.col("id") % 2).alias("a"), F.lit("x").alias("b"), "id")
     other = spark.createDataFrame([(0, "x", "zero"), (1, "x", "one")], "a long, b string, name string")
     counts = rel.key_counts(fact, ["a", "b"])
-    got = rel.skew_join(fact, other, ["a", "b"], counts=counts, min_rows=10, salts=4)
+    got = rel.skew_join(fact, other, ["a", "b"], counts=counts)
     assert got.count() == 400 and got.filter("name = 'one'").count() == 200
 
 
@@ -57,11 +71,12 @@ def test_keep_first_and_last(spark):
     assert tuples(rel.keep_last(df, ["k"], ["o"])) == [("a", 2, "x"), ("b", 5, "q")]
 
 
-def test_all_duplicates(spark):
+def test_all_duplicates(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c")], "k int, v string")
     want = [(1, "a"), (1, "b"), (1, "b")]
     assert tuples(rel.all_duplicates(df, ["k"])) == want
-    assert tuples(rel.all_duplicates(df, ["k"], min_rows=2)) == want
+    monkeypatch.setattr(rel, "HOT_ROWS", 2)
+    assert tuples(rel.all_duplicates(df, ["k"])) == want
 
 
 def test_loads_nothing_twice(spark):

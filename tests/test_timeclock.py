@@ -37,12 +37,12 @@ def test_match(spark):
 
 
 def test_work_date(spark):
-    rows = [(m, s) for s in (None, 800, 801) for m in (0, 1, 599, 600)]
+    rows = [(m, s) for s in (None, 48000, 48001) for m in (0, 1, 599, 600)]
     df = spark.createDataFrame(rows, "m int, s int").withColumn("d", F.to_date(F.lit("2024-03-01")))
     moved = {(r.m, r.s) for r in df.withColumn("w", tc.work_date(F.col("d"), F.col("m"), F.col("s"))).filter("w <> d").collect()}
-    assert moved == {(1, 801), (599, 801)}
-    starts = tc.shift_starts(spark.createDataFrame([("a", "13:21:00"), ("a", "13:21:00"), ("b", "x")], "shift_desc string, start string"))
-    assert {(r.shift_desc, r.start_minute) for r in starts.collect()} == {("a", 801), ("b", None)}
+    assert moved == {(1, 48001), (599, 48001)}
+    starts = tc.shift_starts(spark.createDataFrame([("a", "13:20:01"), ("a", "13:20:01"), ("b", "x")], "shift_desc string, start string"))
+    assert {(r.shift_desc, r.start_second) for r in starts.collect()} == {("a", 48001), ("b", None)}
 
 
 def test_reconcile_and_daily(spark):
