@@ -44,8 +44,7 @@ PAYROLL_COLUMNS = {
 
 def file_date(name: Column) -> Column:
     """Date of a file named ``YYYY-MM-DD.<ext>``; any other name is NULL."""
-    stem = F.element_at(F.split(F.element_at(F.split(name, "/"), -1), r"\."), 1)
-    return F.when(stem.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(stem, "yyyy-MM-dd"))
+    return F.regexp_extract(name, r"(?:^|/)(\d{4}-\d{1,2}-\d{1,2})\.[^/]*$", 1).try_cast("date")
 
 
 def high_water_mark(target: DataFrame, column: str) -> DataFrame:

@@ -28,7 +28,7 @@ TARGET = T.StructType(
 
 
 def test_new_files(spark):
-    names = ["2024-01-01.xlsx", "/share/2024-03-01.xlsx", "2024-13-01.xlsx", "jan.xlsx", "2024-02-01.csv", "2024-02-30.xlsx"]
+    names = ["2024-01-01.xlsx", "/share/2024-03-01.xlsx", "2024-13-01.xlsx", "jan.xlsx", "2024-02-01.csv", "2024-02-30.xlsx", "x2024-02-01.xlsx"]
     df = spark.createDataFrame([(n,) for n in names], "file_name string")
     assert sorted(r.file_name for r in payroll.new_files(df, None).collect()) == ["/share/2024-03-01.xlsx", "2024-01-01.xlsx"]
     assert [r.file_name for r in payroll.new_files(df, D(2024, 1, 1)).collect()] == ["/share/2024-03-01.xlsx"]
