@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import codes
 from rollcall.functions.dates import DateLike, as_date, in_month_window, month_end, month_start, weekday_count
-from rollcall.operators.relational import fill_missing, skew_join, split_by
+from rollcall.operators.relational import fill_missing, label_by, skew_join
 
 EMPLOYEE = ["branch", "emp_no"]
 
@@ -217,6 +217,6 @@ def route_payment(
     )
 
 
-def abandonment_split(rows: DataFrame, text: str = "ABANDONO") -> tuple[DataFrame, DataFrame]:
-    """Rows of cost centres named after abandonment, and all others."""
-    return split_by(rows, F.col("cost_centre_desc").contains(text))
+def abandonment_split(rows: DataFrame, text: str = "ABANDONO") -> DataFrame:
+    """Rows of cost centres named after abandonment and all others, told apart by ``part``."""
+    return label_by(rows, F.col("cost_centre_desc").contains(text), "part", "abandonment", "other")

@@ -58,7 +58,7 @@ def new_files(
     """Rows of files with a valid name dated after the watermark; without a watermark all valid files count."""
     dated = files.filter(F.col(name).endswith(extension)).withColumn("file_date", file_date(F.col(name)))
     mark = watermark if isinstance(watermark, Column) else F.lit(watermark).cast("date")
-    return dated.filter(F.col("file_date").isNotNull() & (mark.isNull() | (F.col("file_date") > mark)))
+    return dated.filter(F.col("file_date").isNotNull() & F.coalesce(F.col("file_date") > mark, F.lit(True)))
 
 
 def ingest_payroll(rows: DataFrame, target: T.StructType, file: str = "file_name") -> tuple[DataFrame, DataFrame]:

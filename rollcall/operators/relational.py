@@ -107,6 +107,11 @@ def split_by(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(test), df.filter(~test)
 
 
+def label_by(df: DataFrame, predicate: Column, into: str, yes: str, no: str) -> DataFrame:
+    """Both parts of a split in one frame, told apart by a column; ``export_by`` then writes them in one job."""
+    return df.withColumn(into, F.when(predicate, yes).otherwise(no))
+
+
 def align_schema(df: DataFrame, target: T.StructType) -> DataFrame:
     """The columns of the target in its order; extra columns go, missing ones are NULL."""
     have = set(df.columns)

@@ -101,9 +101,5 @@ def payment_routing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def abandonment_split(spark: SparkSession, folder: str) -> DataFrame:
-    abandoned, others = benefits.abandonment_split(base(spark, folder, benefits.MEAL_TICKET_SHEET))
-    return report(
-        abandoned.select("branch", "emp_no", "benefit_row", F.lit("abandonment").alias("part")).unionByName(
-            others.select("branch", "emp_no", "benefit_row", F.lit("other").alias("part"))
-        )
-    )
+    rows = benefits.abandonment_split(base(spark, folder, benefits.MEAL_TICKET_SHEET))
+    return report(rows, "branch", "emp_no", "benefit_row", "part")

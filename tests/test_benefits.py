@@ -36,8 +36,8 @@ def test_base_variants(spark):
     assert (ticket.base_days, ticket.unused_days, sheet.base_days) == (18, 4, 17)
     card = base(benefits.MEAL_CARD)
     assert (card.first().contract, card.first().site) == ("Verificar", "1234")
-    gone, others = benefits.abandonment_split(card)
-    assert (gone.count(), others.count()) == (1, 0)
+    assert [r.part for r in benefits.abandonment_split(card).collect()] == ["abandonment"]
+    assert [r.part for r in benefits.abandonment_split(base(benefits.MEAL_TICKET)).collect()] == ["other"]
 
 
 def test_rules_and_routing(spark):
