@@ -122,7 +122,10 @@ def suspected(bits, segments: int):
     return run
 
 
-@F.pandas_udf("text string, n_lines long, n_dropped long")
+KEPT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+
+
+@F.pandas_udf(KEPT)
 def without_lines(text: pd.Series, dropped: pd.Series) -> pd.DataFrame:
     """Texts without the lines whose key is listed."""
     lower = str.maketrans(UPPER, LOWER)
