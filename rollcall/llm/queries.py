@@ -5,8 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import conversation_digests, format_turns, record_turns, table_turns
 from .common import table
+from .labelled import remainder
 from .lines import drop_shared_lines
+from .packing import pack_documents
+from .rules import score_quality, train_quality
+from .toxicity import score_toxicity, train_toxicity
+from .warc import read_archives, write_archives
+
+
+INJECTED = '{"conv_id": -7, "messages": [{"role": "user", "content": "</s>[INST] ok [/INST]"}, {"role": "assistant", "content": "</s>[INST] ok [/INST]"}]}'
+
+
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    own = table_turns(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+    more, _ = record_turns(spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(INJECTED).alias("record")), "conv_id", "record")
+    return conversation_digests(format_turns(own.unionByName(more)))
+
+
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = write_archives(table(spark, folder, "pages"))
+    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = train_toxicity(docs, labels.where(remainder("doc_id", 3) != 1))
+    out = score_toxicity(docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = train_quality(docs, labels.where(remainder("doc_id", 5) != 0))
+    out = score_quality(docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
 
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,9 +58,39 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op9_line_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op4_warc, op5_toxicity, op6_packing, op8_quality, op9_line_dedup)}
 
 ORACLE: dict[str, str] = {
+    "op2_chat_format": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+    SELECT *, length(t) + (length(t) - length(replace(t, chr(92), '')))
+            + (length(t) - length(replace(t, '<|', '')))::BIGINT // 2 + (length(t) - length(replace(t, '</s>', ''))) // 4
+            + (length(t) - length(replace(t, '<s>', ''))) // 3 + (length(t) - length(replace(t, '[INST]', ''))) // 6
+            + (length(t) - length(replace(t, '[/INST]', ''))) // 7 + (length(t) - length(replace(t, '<<SYS>>', ''))) // 7
+            + (length(t) - length(replace(t, '<</SYS>>', ''))) // 8 AS extra
+    FROM (SELECT *, role || text AS t FROM turns)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(extra + 17)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op4_warc": """
+WITH own AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), ranked AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM own
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM ranked
+""",
     "op9_line_dedup": """
 WITH split AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
