@@ -1,26 +1,31 @@
 """Toxicity classifier that is held to the same score when identity terms are swapped.
 
-A logistic regression over the words that a text holds. Besides the usual loss, training swaps identity terms of a group inside the
-labelled texts and penalises the square of the change in score, so that naming a group says little by itself.
+A logistic regression over the words that a text holds and their beginnings. Besides the usual loss, training swaps identity terms
+of a group inside the labelled texts and penalises the square of the change in score, so that naming a group says little by itself.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces
+from .common import pieces, text_bytes
 from .labelled import labelled_sample
-from .words import hash_of, words
+from .words import BYTE_VALUE, inverse_powers, mix, running_hash, words
 
 #: Labelled rows that a model is fitted on, at most.
-TRAIN_ROWS = 10_000
-LEAST_TEXTS, CHOSEN = 5, 4096
-LASSO, RIDGE, SWAP = 2e-3, 1e-3, 1.0
+TRAIN_ROWS = 20_000
+#: Features are hashed into 2 ** BITS places; CHOSEN of them at most, each in LEAST_TEXTS texts of the sample or more, are fitted.
+BITS, LEAST_TEXTS, CHOSEN = 22, 5, 4096
+#: Bytes of a word's beginning that are features besides the word.
+BEGINNINGS = (4, 5, 6, 7, 8)
+LASSO, RIDGE, SWAP = 1e-3, 3e-5, 1.0
 #: Groups of terms that may stand for each other (fixed values).
 IDENTITY_TERMS = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -30,96 +35,137 @@ IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("female", "male"), ("girls", "boys"), ("girl", "boy"),
     ("old", "young"), ("immigrant", "native"), ("immigrants", "natives"), ("deaf", "blind", "disabled"),
 )
+#: Bytes that end a word here: all of ASCII but letters, digits, apostrophe and hyphen. They read as blanks.
+PUNCTUATION = np.arange(256, dtype=np.uint8)
+PUNCTUATION[[b for b in range(128) if not (chr(b).isalnum() or chr(b) in "'-")]] = 32
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     bias: float
-    vocabulary: np.ndarray  # hashes, ascending
-    weights: np.ndarray
+    weights: np.ndarray  # one for each place, nearly all 0
+
+
+def swapped_text(text: str, groups=IDENTITY_TERMS) -> str:
+    """``text`` with each identity term, whatever its case, replaced by the next of its group."""
+    others = {a: b for g in groups for a, b in zip(g, g[1:] + g[:1])}
+    if not others:
+        return text
+    return re.sub(r"(?i)\b(?:" + "|".join(sorted(others, key=len, reverse=True)) + r")\b", lambda m: others[m[0].lower()], text)
+
+
+def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The words with the first byte of each: their places, then those of their beginnings, for words that are longer."""
+    data = PUNCTUATION[data]
+    shift = np.uint64(64 - BITS)
+    hashes, first, last, _ = words(data, offsets)
+    out = [((hashes >> shift).astype(np.int32), first)]
+    sums, back = running_hash(data, BYTE_VALUE), inverse_powers(len(data) + 1)
+    for n in BEGINNINGS:
+        at = first[last - first > n]
+        out.append(((mix((sums[at + n] - sums[at]) * back[at] + np.uint64(n)) >> shift).astype(np.int32), at))
+    return out
 
 
-def swaps(groups=IDENTITY_TERMS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the identity terms, ascending, and of the term that replaces each: the next of its group."""
-    pairs = sorted((hash_of(a), hash_of(b)) for g in groups for a, b in zip(g, g[1:] + g[:1]))
-    return np.array([a for a, _ in pairs], np.uint64), np.array([b for _, b in pairs], np.uint64)
+def places_held(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text and place of each feature, each place once a text; with ``wanted``, only places where it is true."""
+    held = []
+    for place, at in features(data, offsets):
+        if wanted is not None:
+            keep = np.flatnonzero(wanted[place])
+            place, at = place[keep], at[keep]
+        held.append((np.searchsorted(offsets, at, "right") - 1 << BITS) + place)
+    held = np.unique(np.concatenate(held))
+    return held >> BITS, held & ((1 << BITS) - 1)
 
 
-def word_sets(sample: DataFrame, text_col: str, groups=IDENTITY_TERMS) -> DataFrame:
-    """For each labelled text its distinct words, and its distinct words after the swap (null if it names no identity term)."""
-    terms, others = swaps(groups)
+def place_counts(sample: DataFrame, text_col: str) -> DataFrame:
+    """From each task, in how many of its texts of either label each place is held; the sample bounds the number of rows."""
 
     def run(batches):
+        counts = np.zeros((2, 1 << BITS), np.int32)
         for batch in batches:
-            labels = batch.column("__label").to_pylist()
+            labels = batch.column("__label").to_numpy()
             done = 0
             for rows, data, offsets in pieces(batch, text_col):
-                hashes, _, _, bounds = words(trimmed(data), offsets)
-                at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1) if len(terms) else np.zeros(len(hashes), int)
-                named = terms[at] == hashes if len(terms) else np.zeros(len(hashes), bool)
-                swapped = np.where(named, others[at] if len(terms) else hashes, hashes)
-                spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(labels[done : done + len(rows)], pa.int32()),
-                        pa.array([np.unique(hashes[a:b]).tobytes() for a, b in spans], pa.binary()),
-                        pa.array([np.unique(swapped[a:b]).tobytes() if named[a:b].any() else None for a, b in spans], pa.binary()),
-                    ],
-                    names=["label", "words", "swapped"],
-                )
+                text, place = places_held(data, offsets)
+                toxic = labels[done + text] > 0
+                for label in (0, 1):
+                    counts[label] += np.bincount(place[toxic == bool(label)], minlength=1 << BITS).astype(np.int32)
                 done += len(rows)
+        some = np.flatnonzero(counts.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some]), pa.array(counts[1, some])], names=["place", "clean", "toxic"])
 
-    return sample.mapInArrow(run, "label int, words binary, swapped binary")
+    return sample.mapInArrow(run, "place long, clean int, toxic int").groupBy("place").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    )
 
 
-#: Bytes that end a word here: all of ASCII but letters, digits, apostrophe and hyphen.
-PUNCTUATION = np.arange(256, dtype=np.uint8)
-PUNCTUATION[[b for b in range(128) if not (chr(b).isalnum() or chr(b) in "'-")]] = 32
+def place_sets(sample: DataFrame, text_col: str, chosen: np.ndarray, groups=IDENTITY_TERMS) -> DataFrame:
+    """For each labelled text the chosen places that it holds, and those it holds after the swap (null if it names no group)."""
 
+    def run(batches):
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[chosen] = True
 
-def trimmed(data: np.ndarray) -> np.ndarray:
-    """The bytes with blanks for punctuation, so that "word," and "word" are one word."""
-    return PUNCTUATION[data]
+        def sets(texts):
+            if not texts:
+                return []
+            text, place = places_held(*text_bytes(pa.array(texts, pa.large_string())), wanted)
+            return np.split(place.astype(np.int32), np.searchsorted(text, np.arange(1, len(texts))))
 
+        for batch in batches:
+            done = 0
+            labels = batch.column("__label")
+            for rows, _, _ in pieces(batch, text_col):
+                texts = [t or "" for t in rows.column(text_col).to_pylist()]
+                others = [swapped_text(t, groups) for t in texts]
+                named = [i for i, (t, o) in enumerate(zip(texts, others)) if t != o]
+                after = dict(zip(named, sets([others[i] for i in named])))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        labels.slice(done, len(rows)),
+                        pa.array([x.tobytes() for x in sets(texts)], pa.binary()),
+                        pa.array([after[i].tobytes() if i in after else None for i in range(len(texts))], pa.binary()),
+                    ],
+                    names=["label", "places", "swapped"],
+                )
+                done += len(rows)
 
-def sparse(sets: list[np.ndarray], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of each word of the vocabulary in each set."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    at = np.minimum(np.searchsorted(vocabulary, flat), max(0, len(vocabulary) - 1))
-    known = vocabulary[at] == flat if len(vocabulary) else np.zeros(len(flat), bool)
-    return row[known], at[known]
+    return sample.mapInArrow(run, "label int, places binary, swapped binary")
 
 
-def choose_words(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """The words in at least LEAST_TEXTS texts whose share differs most, in standard errors, between the classes."""
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    found, inverse = np.unique(flat, return_inverse=True)
-    label = np.repeat(y, [len(s) for s in sets])
-    total, toxic = np.bincount(inverse, minlength=len(found)), np.bincount(inverse, weights=label, minlength=len(found))
-    share = y.mean()
+def choose(place: np.ndarray, clean: np.ndarray, toxic: np.ndarray, rows: int, positive: int) -> np.ndarray:
+    """The places in at least LEAST_TEXTS texts whose share differs most, in standard errors, between the classes."""
+    share, total = positive / rows, clean + toxic
     z = np.abs(toxic - total * share) / np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
     z[total < LEAST_TEXTS] = -1
-    order = np.lexsort((found, -z))[:CHOSEN]
-    return np.sort(found[order[z[order] >= 0]])
+    order = np.lexsort((place, -z))[:CHOSEN]
+    return np.sort(place[order[z[order] >= 0]])
+
+
+def sparse(sets: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each chosen place in each set."""
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.int32)
+    return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(chosen, flat)
 
 
-def fit_toxicity(labels: np.ndarray, sets: list[np.ndarray], swapped: list[np.ndarray | None], swap: float = SWAP) -> ToxicityModel:
+def fit_toxicity(labels: np.ndarray, chosen: np.ndarray, sets: list[np.ndarray], swapped: list[np.ndarray | None], swap: float = SWAP) -> ToxicityModel:
     """With one class only, or no rows at all, every score is the smoothed share of ones."""
     y = labels.astype(np.float64)
     share = (y.sum() + 0.5) / (len(y) + 1)
     prior = float(np.log(share / (1 - share)))
-    vocabulary = choose_words(sets, y) if len(y) and y.min() < y.max() else np.zeros(0, np.uint64)
-    if not len(vocabulary):
-        return ToxicityModel(prior, vocabulary, np.zeros(0))
+    weights = np.zeros(1 << BITS)
+    if not len(chosen):
+        return ToxicityModel(prior, weights)
     named = [i for i, s in enumerate(swapped) if s is not None]
-    row, col = sparse(sets, vocabulary)
-    row_b, col_b = sparse([sets[i] for i in named], vocabulary)
-    row_a, col_a = sparse([swapped[i] for i in named], vocabulary)
-    # Rows of the change that a swap makes: +1 for words it brings, -1 for words it takes away.
+    row, col = sparse(sets, chosen)
+    row_b, col_b = sparse([sets[i] for i in named], chosen)
+    row_a, col_a = sparse([swapped[i] for i in named], chosen)
+    # Rows of the change that a swap makes: +1 for what it brings, -1 for what it takes away.
     d_row, d_col = np.concatenate([row_a, row_b]), np.concatenate([col_a, col_b])
     d_value = np.concatenate([np.ones(len(row_a)), -np.ones(len(row_b))])
-    n, k = len(y), len(vocabulary)
+    n, k = len(y), len(chosen)
 
     def slope(bias, w, ridge):
         margin = bias + np.bincount(row, weights=w[col], minlength=n)
@@ -148,54 +194,57 @@ def fit_toxicity(labels: np.ndarray, sets: list[np.ndarray], swapped: list[np.nd
 
     _, w = descend(LASSO, 0.0, np.ones(k, bool), 400)
     support = w != 0
-    used = support[col]  # the second fit only has the words that the lasso kept
+    used = support[col]  # the second fit only has what the lasso kept
     row, col = row[used], col[used]
     used = support[d_col]
     d_row, d_col, d_value = d_row[used], d_col[used], d_value[used]
     bias, w = descend(0.0, RIDGE, support, 400)
-    return ToxicityModel(float(bias), vocabulary[support], w[support])
+    weights[chosen[support]] = w[support]
+    return ToxicityModel(float(bias), weights)
 
 
 def train_toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS,
     groups=IDENTITY_TERMS, swap: float = SWAP,
 ) -> ToxicityModel:
-    """A model of ``label`` over the words of the texts, fitted on a bounded sample of the given labels."""
-    sample = labelled_sample(docs.select(id_col, text_col), labels, label, id_col, rows)
-    found = sorted((r["label"], r["words"], r["swapped"] or b"") for r in word_sets(sample, text_col, groups).toLocalIterator())
-    sets = [np.frombuffer(w, np.uint64) for _, w, _ in found]
-    swapped = [np.frombuffer(s, np.uint64) if s else None for _, _, s in found]
-    return fit_toxicity(np.array([v for v, _, _ in found], np.float64), sets, swapped, swap)
+    """A model of ``label`` over whole texts, fitted on a bounded sample of the given labels."""
+    sample = labelled_sample(docs.select(id_col, text_col), labels, label, id_col, rows).select("__label", text_col).checkpoint()
+    classes = {r["__label"]: r["count"] for r in sample.groupBy("__label").count().collect()}
+    total, positive = sum(classes.values()), sum(n for k, n in classes.items() if k > 0)
+    chosen = np.zeros(0, np.int64)
+    if 0 < positive < total:
+        counts = place_counts(sample, text_col).where(F.col("clean") + F.col("toxic") >= LEAST_TEXTS).toPandas().to_numpy(np.int64)
+        chosen = choose(*counts[np.argsort(counts[:, 0])].T, total, positive) if len(counts) else chosen
+    found = sorted((r["label"], r["places"], r["swapped"] is not None, r["swapped"] or b"") for r in place_sets(sample, text_col, chosen, groups).collect())
+    sets = [np.frombuffer(w, np.int32) for _, w, _, _ in found]
+    swapped = [np.frombuffer(s, np.int32) if named else None for _, _, named, s in found]
+    return fit_toxicity(np.array([v > 0 for v, _, _, _ in found], np.float64), chosen, sets, swapped, swap)
 
 
 def scores(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The score of each text."""
-    n, k = len(offsets) - 1, len(model.vocabulary)
-    margin = np.full(n, model.bias)
-    if k:
-        hashes, _, _, bounds = words(trimmed(data), offsets)
-        sieve = np.zeros(1 << 16, bool)
-        sieve[(model.vocabulary >> np.uint64(48)).astype(np.int64)] = True
-        maybe = np.flatnonzero(sieve[(hashes >> np.uint64(48)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(model.vocabulary, hashes[maybe]), k - 1)
-        known = model.vocabulary[at] == hashes[maybe]
-        text = np.searchsorted(bounds, maybe[known], "right") - 1
-        held = np.unique(text * k + at[known])
-        margin += np.bincount(held // k, weights=model.weights[held % k], minlength=n)
+    n = len(offsets) - 1
+    text, place = places_held(data, offsets, model.weights != 0)
+    margin = model.bias + np.bincount(text, weights=model.weights[place], minlength=n)
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` from 0 to 1 over the whole text. Null and empty texts get the score of a text without known words; a
-    column named ``score`` is replaced; repeated rows get the same score; an empty table stays empty."""
+    """``docs`` with ``score`` from 0 to 1 over the whole text. Null and empty texts get the score of a text that holds nothing known;
+    a column named ``score`` is replaced; repeated rows get the same score; an empty table stays empty."""
     fields = [f for f in docs.schema.fields if f.name != "score"]
     docs = docs.select(*[f"`{f.name}`" for f in fields])
+    known = np.flatnonzero(model.weights)
+    bias, values = model.bias, model.weights[known]
 
     def run(batches):
+        weights = np.zeros(1 << BITS)
+        weights[known] = values
+        own = ToxicityModel(bias, weights)
         for batch in batches:
             for rows, data, offsets in pieces(batch, text_col):
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(scores(model, data, offsets))], names=[*rows.schema.names, "score"]
+                    [*rows.columns, pa.array(scores(own, data, offsets))], names=[*rows.schema.names, "score"]
                 )
 
     return docs.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
