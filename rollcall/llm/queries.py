@@ -11,6 +11,7 @@ from .labelled import remainder
 from .lines import drop_shared_lines
 from .packing import pack_documents
 from .rules import score_quality, train_quality
+from .topk import top_k, whole_vector
 from .toxicity import score_toxicity, train_toxicity
 from .warc import read_archives, write_archives
 
@@ -58,7 +59,12 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op4_warc, op5_toxicity, op6_packing, op8_quality, op9_line_dedup)}
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", whole_vector(F.col("embedding")).alias("vector"))
+    return top_k(rows.where(F.col("vec_id") % 100 == 0), rows)
+
+
+QUERIES = {f.__name__: f for f in (op2_chat_format, op4_warc, op5_toxicity, op6_packing, op8_quality, op9_line_dedup, op10_topk)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_format": r"""
@@ -109,5 +115,17 @@ WITH split AS (
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op10_topk": """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
 """,
 }
