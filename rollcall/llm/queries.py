@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .chat import conversation_digests, format_turns, record_turns, table_turns
 from .common import table
+from .hyperminhash import near_duplicates
 from .labelled import remainder
 from .lines import drop_shared_lines
 from .packing import pack_documents
@@ -45,6 +46,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = train_quality(docs, labels.where(remainder("doc_id", 5) != 0))
@@ -64,7 +69,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(rows.where(F.col("vec_id") % 100 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op4_warc, op5_toxicity, op6_packing, op8_quality, op9_line_dedup, op10_topk)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op4_warc, op5_toxicity, op6_packing, op7_near_dedup, op8_quality, op9_line_dedup, op10_topk)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_format": r"""
