@@ -12,6 +12,7 @@ from .hyperminhash import near_duplicates
 from .labelled import remainder
 from .lines import drop_shared_lines
 from .packing import pack_documents
+from .runindex import remove_repeats
 from .rules import score_quality, train_quality
 from .topk import top_k, whole_vector
 from .toxicity import score_toxicity, train_toxicity
@@ -31,6 +32,13 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(format_turns(own.unionByName(more)))
 
 
+def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    out = remove_repeats(table(spark, folder, "documents"))
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     manifest = write_archives(table(spark, folder, "pages"))
     return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -74,7 +82,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(rows.where(F.col("vec_id") % 100 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_format, op4_warc, op5_toxicity, op6_packing, op7_near_dedup, op8_quality, op9_line_dedup, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_format, op3_repeats, op4_warc, op5_toxicity, op6_packing, op7_near_dedup, op8_quality, op9_line_dedup, op10_topk)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_format": r"""
