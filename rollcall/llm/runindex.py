@@ -3,8 +3,8 @@
 Every string of SPAN bytes has an anchor, the GRAM bytes in it with the smallest hash; equal strings have equal anchors at equal
 places. The index therefore sorts only the suffixes that begin at anchors (a sparse suffix array), and what its transform holds for a
 suffix is the text before the anchor. Neighbours with the same text before them form a run. Inside a run a suffix matches its
-neighbours best, so its matching statistics are its longest common prefix with them; only the two ends of each run are sampled and
-stream their strings against the other ends. Suffixes whose whole surroundings are equal are one entry from the start.
+neighbours best, so its matching statistics are its longest common prefix with them; only the two ends of each run, which can match
+suffixes of other runs better, are sampled and stream their strings against the ends of the others. Suffixes whose whole surroundings are equal are one entry from the start.
 """
 
 from __future__ import annotations
@@ -165,12 +165,16 @@ def matching_statistics(a: np.ndarray, n: np.ndarray, before: list[bytes], after
     joins = (a[1:] == a[:-1]) & (text[1:] == text[:-1])  # a run goes on
     left, right = np.concatenate([[False], joins]), np.concatenate([joins, [False]])
     alone = n == 1  # others occur as a whole more than once
-    inner = np.flatnonzero(left & right & alone)
-    if len(inner):
-        reach = np.maximum(common_prefixes(after, inner - 1), common_prefixes(after, inner))
-        for i, r in zip(inner.tolist(), reach.tolist()):
-            if len(before[i]) + r >= span:
-                out.append((i, 0, len(before[i]) + r - span))
+    # What a suffix shares with its neighbours of the run, and the whole text before it, repeats.
+    shared = np.zeros(size, np.int64)
+    pairs = np.flatnonzero(joins)
+    if len(pairs):
+        reach = common_prefixes(after, pairs)
+        np.maximum.at(shared, pairs, reach)
+        np.maximum.at(shared, pairs + 1, reach)
+    for i in np.flatnonzero((left | right) & alone).tolist():
+        if len(before[i]) + shared[i] >= span:
+            out.append((i, 0, len(before[i]) + int(shared[i]) - span))
     ends = np.flatnonzero(~(left & right))
     if len(ends):
         hashes, owner, start = string_hashes([before[i] for i in ends], [after[i] for i in ends], span)
