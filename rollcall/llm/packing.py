@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import Encoder
+from .tokens import worker_encoder
 
 SEQUENCE, END_ID = 4096, 1
 #: Lengths are priced in units, so that there are SEQUENCE / UNIT classes at most.
@@ -175,15 +175,18 @@ def located(table: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray)
     return table["sequence"][at] + rank - table["first"][at], table["offset"][at]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """The pieces of each document: id, ``piece``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit) and ``ids_crc32``."""
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, size: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = True
+) -> DataFrame:
+    """The pieces of each document: id, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids`` (little-endian
+    unsigned 32-bit)."""
     with open(tokenizer_path, encoding="utf-8") as file:  # one vocabulary file, read where the plan is made
         model = docs.sparkSession.sparkContext.broadcast(file.read())
     end = np.array([end_id], "<u4").tobytes()
     kind = docs.schema[id_col].dataType
 
     def run(batches):
-        encoder = Encoder(model.value)
+        encoder = worker_encoder(model.value)
         for batch in batches:
             for first in range(0, len(batch), 200):
                 rows = batch.slice(first, min(200, len(batch) - first))
@@ -194,20 +197,19 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: st
                     for piece, start in enumerate(range(0, len(data) // 4, size)):
                         own = data[4 * start : 4 * (start + size)]
                         cuts.append((n, piece, start, len(own) // 4, zlib.crc32(own)))
-                        ids.append(own)
+                        if with_ids:
+                            ids.append(own)
                 cut = np.array(cuts, np.int64).reshape(-1, 5)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pa.array(cut[:, 0])), pa.array(cut[:, 1].astype(np.int32)), *(pa.array(cut[:, i]) for i in (2, 3)), pa.array(ids, pa.binary()), pa.array(cut[:, 4])],
-                    names=[id_col, "piece", "start", "length", "ids", "ids_crc32"],
-                )
+                counts = [pa.array(cut[:, i]) for i in (2, 3, 4)]
+                columns = [rows.column(0).take(pa.array(cut[:, 0])), pa.array(cut[:, 1].astype(np.int32)), *counts]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(ids, pa.binary())] * with_ids], names=schema.names)
 
     schema = T.StructType(
         [
             T.StructField(id_col, kind),
             T.StructField("piece", T.IntegerType()),
-            *(T.StructField(n, T.LongType()) for n in ("start", "length")),
-            T.StructField("ids", T.BinaryType()),
-            T.StructField("ids_crc32", T.LongType()),
+            *(T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32")),
+            *[T.StructField("ids", T.BinaryType())] * with_ids,
         ]
     )
     return docs.select(id_col, text_col).mapInArrow(run, schema)
@@ -222,7 +224,7 @@ def pack_documents(
     alone. A repeated row is packed again. Ties among pieces of a length go by id, then piece. An empty table packs to no row; other
     columns are not read. ``packed_ids`` gives the ids of the sequences.
     """
-    pieces = token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id).drop("ids").checkpoint()
+    pieces = token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id, with_ids=False).checkpoint()
     counted = pieces.groupBy("length").count().collect()  # a row for each length: ``size`` rows at most
     table = docs.sparkSession.sparkContext.broadcast(places(plan({r["length"]: r["count"] for r in counted}, size)))
     groups = F.pmod(F.xxhash64(id_col, "piece"), F.lit(1 + sum(r["count"] for r in counted) // RANKED))

@@ -2,38 +2,90 @@
 
 from __future__ import annotations
 
+import json
 import os
+import sys
+from array import array
+from types import ModuleType
 
-import numpy as np
+#: Chunks that a worker process keeps encoded, at most; then it starts anew.
+KEPT_CHUNKS = 1_000_000
+ENDINGS = ".,;:!?"
 
-#: Encoded chunks that a task keeps, at most.
-KEPT_CHUNKS = 500_000
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-class Encoder:
-    """Encodes texts chunk by chunk, a chunk being what lies between spaces and line ends.
 
-    For tokenizers that drop white space and never join what it parts, the ids are those of the whole text; each task encodes a
-    chunk once and keeps the ids as bytes.
+class Encoder(dict):
+    """Chunks of text and the ids of each, as unsigned 32-bit numbers in the machine's order (little-endian); a chunk is what lies between spaces and line ends.
+
+    This is for tokenizers that drop white space and never join what it parts: the ids of a text are those of its chunks. Each chunk
+    is encoded when it is first seen. For a tokenizer with the settings that ``plain`` looks for, a word of Latin letters goes
+    straight to the vocabulary model, and marks at its end are encoded apart, as its pattern parts them.
     """
 
-    def __init__(self, model: str):
+    def __init__(self, description: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(model)
+        super().__init__({"": b""})
+        self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kept: dict[str, bytes] = {"": b""}
+        self.plain = plain(json.loads(description))
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk.rstrip(ENDINGS) if self.plain else ""
+        if word.isalpha() and (word.isascii() or max(word) < "Ā"):
+            if word != chunk:
+                found = self[word.lower()] + self[chunk[len(word) :]]
+            elif not word.islower():
+                found = self[word.lower()]
+            else:
+                letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                found = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        else:
+            found = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        self[chunk] = found
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*parts) - self.kept.keys()) if parts else []
-        if len(self.kept) + len(missing) > KEPT_CHUNKS:
-            self.kept = {"": b""}
-            missing = list(set().union(*parts) - self.kept.keys())
-        for chunk, encoded in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.kept[chunk] = np.array(encoded.ids, "<u4").tobytes()
-        get = self.kept.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        if len(self) > KEPT_CHUNKS:
+            self.clear()
+            self[""] = b""
+        get = self.__getitem__
+        return [b"".join(map(get, t.replace("\n", " ").split(" "))) for t in texts]
+
+
+def plain(description: dict) -> bool:
+    """Whether letters are lower-cased, runs of letters stand alone, and words become bytes without a mark before them."""
+    normal = [n.get("type") for n in (description.get("normalizer") or {}).get("normalizers", [])]
+    steps = (description.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        normal == ["NFC", "Replace", "Lowercase"]
+        and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
+        and "|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in str(steps[0].get("pattern"))
+        and not steps[1].get("add_prefix_space")
+        and not steps[1].get("use_regex")
+        and (description.get("model") or {}).get("type") == "BPE"
+    )
+
+
+def word_tokenizer() -> str:
+    """Where the public word vocabulary is described."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def worker_encoder(description: str) -> Encoder:
+    """The encoder of this worker process, kept from task to task."""
+    state = sys.modules.setdefault("rollcall_worker_state", ModuleType("rollcall_worker_state"))
+    if getattr(state, "description", None) != description:
+        state.description, state.encoder = description, Encoder(description)
+    return state.encoder
