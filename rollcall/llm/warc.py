@@ -69,7 +69,8 @@ def archive_head(samples: list[bytes]) -> tuple[bytes, object]:
     import zstandard
 
     try:
-        dictionary = zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL)
+        size = max(256, min(DICTIONARY_BYTES, sum(map(len, samples)) // 16))
+        dictionary = zstandard.train_dictionary(size, samples, level=LEVEL)
     except zstandard.ZstdError:
         return b"", zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
     packed = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes())
@@ -119,7 +120,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
             nonlocal out, size, records, compressor, name, archives
             name = f"{root}/part-{attempt}-{archives}.warc.zst"
             archives += 1
-            out = where.open_output_stream(name)
+            out = where.open_output_stream(name, compression=None)
             head, compressor = archive_head(samples)
             out.write(head)
             size, records = len(head), 0
@@ -260,7 +261,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
         for batch in batches:
             for path, records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, size, seen = [], 0, 0
-                with where.open_input_stream(path) as stream:
+                with where.open_input_stream(path, compression=None) as stream:
                     for position, data in frames(stream):
                         try:
                             rows.append((position, page_row(data)))
