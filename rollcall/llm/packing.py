@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from .tokens import worker_encoder
 
 SEQUENCE, END_ID = 4096, 1
-#: Lengths are priced in units, so that there are SEQUENCE / UNIT classes at most.
-UNIT = 16
+#: Lengths are priced in so many classes at most: sizes are rounded up to a class, and best fit uses what that leaves.
+CLASSES = 256
 #: The share of all tokens, in the shortest pieces, that is kept back to fill gaps.
 FILLER = 0.02
 STEP = 0.15
@@ -118,8 +118,9 @@ class Bins:
         return self.done + [g for room in self.rooms for g in self.open[room]]
 
 
-def plan(histogram: dict[int, int], size: int = SEQUENCE, unit: int = UNIT) -> list[tuple[tuple[int, ...], int]]:
-    """Groups of equal bins that hold all pieces of the histogram (length: number)."""
+def plan(histogram: dict[int, int], size: int = SEQUENCE, unit: int | None = None) -> list[tuple[tuple[int, ...], int]]:
+    """Groups of equal bins that hold all pieces of the histogram (length: number); ``unit``: the width of a class."""
+    unit = unit or max(1, size // CLASSES)
     left = np.zeros(size + 1, np.int64)
     for length, number in histogram.items():
         left[length] = number
@@ -128,7 +129,7 @@ def plan(histogram: dict[int, int], size: int = SEQUENCE, unit: int = UNIT) -> l
     classes = -(-np.arange(size + 1) // unit)
     planned = left.copy()
     planned[: filler + 1] = 0
-    demand = np.bincount(classes, weights=planned, minlength=size // unit + 1)[1:].astype(np.int64)
+    demand = np.bincount(classes, weights=planned, minlength=size // unit + 1)[1 : size // unit + 1].astype(np.int64)
     bins = Bins(size)
     for counts, number in configurations(demand):
         sizes = np.repeat(np.arange(1, len(counts) + 1), counts)[::-1]

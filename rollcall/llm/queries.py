@@ -14,6 +14,7 @@ from .lines import drop_shared_lines
 from .packing import pack_documents
 from .runindex import remove_repeats
 from .rules import score_quality, train_quality
+from .tokens import word_tokenizer
 from .topk import top_k, whole_vector
 from .toxicity import score_toxicity, train_toxicity
 from .warc import read_archives, write_archives
@@ -54,9 +55,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    import public_tokenizers
-
-    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(table(spark, folder, "documents"), word_tokenizer())
 
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,6 +17,7 @@ from .statistics import FEATURES, PREFIX, with_statistics
 
 #: Labelled rows that a model is fitted on, at most.
 TRAIN_ROWS = 20_000
+#: A node is split into parts of LEAF rows or a fortieth of all rows, whichever is fewer, and 3 at least.
 TREES, DEPTH, CUTS, LEAF = 24, 3, 24, 20
 PENALTY, STEPS = 2e-4, 600
 
@@ -43,12 +44,13 @@ class RuleModel:
 def tree_paths(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[tuple[Condition, ...]]:
     """All paths of one tree over a bootstrap sample; each node looks at a random half of the statistics."""
     out: list[tuple[Condition, ...]] = []
+    leaf = max(3, min(LEAF, len(y) // 40))
 
     def grow(rows: np.ndarray, path: tuple[Condition, ...]) -> None:
         if path:
             out.append(path)
         positive = y[rows].sum()
-        if len(path) == DEPTH or len(rows) < 2 * LEAF or positive in (0, len(rows)):
+        if len(path) == DEPTH or len(rows) < 2 * leaf or positive in (0, len(rows)):
             return
         best = (1e-9, 0, 0.0)
         base = positive * (len(rows) - positive) / len(rows)
@@ -60,7 +62,7 @@ def tree_paths(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[t
             m, q = len(rows) - n, positive - p
             with np.errstate(divide="ignore", invalid="ignore"):
                 gain = base - np.where(n, p * (n - p) / n, 0) - np.where(m, q * (m - q) / m, 0)
-            gain[(n < LEAF) | (m < LEAF)] = 0
+            gain[(n < leaf) | (m < leaf)] = 0
             if gain.max() > best[0]:
                 best = (gain.max(), int(feature), float(cuts[gain.argmax()]))
         if best[0] > 1e-9:
@@ -96,10 +98,10 @@ def lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps
 
 
 def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 8) -> RuleModel:
-    """With one class only, or no rows at all, the score is the smoothed share of ones."""
+    """With one class only, or fewer than 12 rows, the score is the smoothed share of ones."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     prior = float(np.log(share / (1 - share)))
-    if len(y) < 4 * LEAF or y.min() == y.max():
+    if len(y) < 12 or y.min() == y.max():
         return RuleModel(prior, ())
     rng = np.random.default_rng(seed)
     paths = list(dict.fromkeys(tuple(sorted(p)) for _ in range(TREES) for p in tree_paths(x, y, rng)))
