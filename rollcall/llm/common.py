@@ -16,7 +16,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 #: Arrow batches are cut into pieces of about so many text bytes, so that work arrays stay small.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -28,8 +28,8 @@ FEW = 40
 EMPTY = np.uint16(0xFFFF)
 #: An estimate must lie this many standard errors below the threshold to drop a pair.
 ERRORS = 6
-#: Star rounds before the members of a bucket are compared in blocks, and members of a block.
-ROUNDS, BLOCK = 3, 512
+#: Rounds in which the members of a bucket are compared with one of them, and documents of a block where all are compared.
+ROUNDS, BLOCK = 2, 256
 
 _random = np.random.default_rng(7)
 SEEDS = _random.integers(1, 2**63, REGISTERS, dtype=np.uint64)
@@ -207,28 +207,27 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def block_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Promising pairs of different components in the same bucket. Members of a bucket are dealt into blocks of about BLOCK; each pair
-    of blocks is compared at once, and only promising pairs come out."""
+def block_pairs(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Promising pairs of different families in the same bucket (``key``, ``node``, ``family``). Members of a bucket are dealt into
+    blocks of about BLOCK; each pair of blocks is compared at once, and only promising pairs come out."""
     sizes = buckets.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = buckets.join(sizes, "key").join(classes, "node").join(labels, "node", "left")
-    members = members.withColumn("component", F.coalesce("component", "node"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = buckets.join(sizes, "key").join(classes, "node")
+    members = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
     def run(key, rows):
         found = ([], [])
         rows = rows.combine_chunks().to_batches()[0] if len(rows) else None
         if rows is not None:
-            component = rows.column("component").to_numpy()
+            family = rows.column("family").to_numpy()
             own, node, n = rows.column("own").to_numpy(), rows.column("node").to_numpy(), rows.column("n").to_numpy()
             low, high = key[1].as_py(), key[2].as_py()
             for kind in ("many", "few"):
                 valid = rows.column(kind).is_valid().to_numpy(zero_copy_only=False)
                 regs = register_rows(rows, kind)
                 for i in np.flatnonzero(valid & (own == low)):
-                    others = np.flatnonzero(valid & (own == high) & (component != component[i]) & ((node > node[i]) if low == high else True))
+                    others = np.flatnonzero(valid & (own == high) & (family != family[i]) & ((node > node[i]) if low == high else True))
                     if len(others):
                         keep = others[possible(regs[i][None, :], regs[others], np.full(len(others), n[i]), n[others], percent)]
                         found[0].append(np.full(len(keep), node[i]))
@@ -236,25 +235,92 @@ def block_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, perce
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
         return pa.Table.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    columns = ["key", "low", "high", "own", "node", "component", "n", "many", "few"]
+    columns = ["key", "low", "high", "own", "node", "family", "n", "many", "few"]
     return members.select(*columns).groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
 
+def text_sets(batch: pa.RecordBatch, text: str) -> list[np.ndarray]:
+    out = []
+    for _, data, offsets in pieces(batch, text):
+        hashes, _, _, bounds = words(data, offsets)
+        out += shingles(hashes, bounds)
+    return out
+
+
+def common_elements(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many elements each set of ``left`` shares with each of ``right``, from products of membership matrices ``width`` elements
+    wide; only elements found on both sides have a column."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right)]
+    both = np.intersect1d(flat[0], flat[1])
+    at = []
+    for sets, values in zip((left, right), flat):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        column = np.minimum(np.searchsorted(both, values), max(0, len(both) - 1))
+        known = np.flatnonzero(both[column] == values) if len(both) else np.zeros(0, np.int64)
+        order = known[np.argsort(column[known], kind="stable")]
+        at.append((row[order], column[order]))
+    for first in range(0, len(both), width):
+        members = []
+        for (row, column), sets in zip(at, (left, right)):
+            low, high = np.searchsorted(column, [first, first + width])
+            matrix = np.zeros((len(sets), width), np.float32)
+            matrix[row[low:high], column[low:high] - first] = 1
+            members.append(matrix)
+        out += members[0] @ members[1].T
+    return out
+
+
+def family_links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Links between different components of a family (``node``, ``family``, ``component``), from the full sets.
+
+    The largest component of a family is never compared with itself: its blocks only meet the blocks of all others. Out of a pair of
+    blocks comes one link for each two components.
+    """
+    sizes = members.groupBy("family", "component").count()
+    split = sizes.groupBy("family").agg(
+        F.max_by("component", F.struct("count", "component")).alias("main"), F.max("count").alias("mains"), (F.sum("count") - F.max("count")).alias("rest")
+    )
+    dealt = members.join(split.where("rest > 0"), "family")
+    main = F.col("component") == F.col("main")
+    mains, rest = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("mains", "rest"))
+    own = F.when(main, F.pmod(F.xxhash64("node"), mains)).otherwise(mains + F.pmod(F.xxhash64("node"), rest)).cast("int")
+    dealt = dealt.withColumn("own", own).withColumn(
+        "other", F.explode(F.when(main, F.sequence(mains, mains + rest - 1)).otherwise(F.sequence(F.lit(0), mains + rest - 1)))
+    )
+    dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+
+    def run(key, rows):
+        found = []
+        rows = rows.combine_chunks().to_batches()[0] if len(rows) else None
+        if rows is not None:
+            own, node, component = (rows.column(c).to_numpy() for c in ("own", "node", "component"))
+            sets = text_sets(rows, "__text")
+            low, high = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == key[2].as_py())
+            sizes = np.array([len(x) for x in sets])
+            common = common_elements([sets[i] for i in low], [sets[i] for i in high]).astype(np.int64)
+            linked = (common > 0) & (100 * common >= percent * (sizes[low][:, None] + sizes[high][None, :] - common))
+            i, j = np.nonzero(linked & (component[low][:, None] != component[high][None, :]))
+            _, first = np.unique(np.stack([component[low[i]], component[high[j]]]), axis=1, return_index=True)
+            found = [node[low[i[first]]], node[high[j[first]]]]
+        a, b = found or (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return pa.Table.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    rows = dealt.select("family", "low", "high", "own", "node", "component").join(texts, "node")
+    return rows.groupBy("family", "low", "high").applyInArrow(run, "a long, b long")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     left = texts.select(F.col("__id").alias("a"), F.col("__text").alias("text_a"))
     right = texts.select(F.col("__id").alias("b"), F.col("__text").alias("text_b"))
 
-    def sets_of(batch, text):
-        for rows, data, offsets in pieces(batch, text):
-            hashes, _, _, bounds = words(data, offsets)
-            yield from shingles(hashes, bounds)
-
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(sets_of(batch, "text_a"), sets_of(batch, "text_b")):
+            for x, y in zip(text_sets(batch, "text_a"), text_sets(batch, "text_b")):
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
@@ -278,28 +344,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     buckets = staged(shared_buckets(banded(classes)))
     regs = classes.select("node", "n", "many", "few").dropDuplicates(["node"])
-    labels = links = None
-    hubs = buckets.select("key", "node", "hub")
-    for turn in range(ROUNDS + 1):
+    hubs = buckets.where("node <> hub").select("node", "hub")
+    families = labels = None
+    for turn in range(ROUNDS):
+        # Members of a bucket meet one of them; pairs that the registers leave possible make families, those confirmed are links.
         if turn:
-            # Buckets that still hold more than one component.
-            known = buckets.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            ranges = known.groupBy("key").agg(
-                F.min("component").alias("least"), F.max("component").alias("most"), F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("hub")
-            )
-            mixed = staged(known.join(ranges.where("least < most").select("key", "hub"), "key"))
-            if mixed.isEmpty():
-                break
-            if turn == ROUNDS:
-                pairs = block_pairs(mixed.select("key", "node"), regs, labels, percent)
-            else:
-                hubs = mixed.where("component <> hub.component").select("key", "node", F.col("hub.node").alias("hub"))
-        if turn < ROUNDS:
-            pairs = hubs.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-            pairs = promising(pairs, regs, percent)
-        new = staged(confirmed(pairs, docs, id_col, text_col, percent))
-        links = new if links is None else links.union(new)
-        labels = components(links)
+            chosen = known.groupBy("key").agg(F.min_by(F.struct("node", "family"), F.xxhash64("node")).alias("hub"))
+            hubs = known.join(chosen, "key").where("family <> hub.family").select("node", F.col("hub.node").alias("hub"))
+        pairs = hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        near = staged(promising(pairs, regs, percent))
+        labels = components(confirmed(near, docs, id_col, text_col, percent), labels)
+        families = components(near, families)
+        known = buckets.select("key", "node").join(families.withColumnRenamed("component", "family"), "node", "left")
+        known = known.withColumn("family", F.coalesce("family", "node"))
+    # All pairs inside a family, then all pairs of a bucket that are in different families.
+    members = families.withColumnRenamed("component", "family").join(labels, "node", "left")
+    inside = family_links(members.withColumn("component", F.coalesce("component", "node")), docs, id_col, text_col, percent)
+    mixed = known.groupBy("key").agg(F.min("family").alias("least"), F.max("family").alias("most")).where("least < most")
+    across = staged(block_pairs(known.join(mixed.select("key"), "key"), regs, percent))
+    labels = components(inside.union(confirmed(across, docs, id_col, text_col, percent)), labels)
     own = classes.select("__digest", "node").join(labels, "node", "left").select("__digest", F.coalesce("component", "node").alias("component"))
     out = sets.select("__id", "__n", "__digest").join(own, "__digest", "left")
     by_id = F.when(F.col("__id").isNotNull(), F.coalesce("component", "__id"))
