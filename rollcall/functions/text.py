@@ -68,12 +68,6 @@ def joined(values: Column, separator: str = " | ") -> Column:
     return F.array_join(values, separator)
 
 
-def run_text(value: Column, copies: Column, spelled: int = 8, separator: str = " | ") -> Column:
-    """A value written once per copy; from ``spelled`` copies on as ``value xN``.
-
-    No copy is lost, and the text of one value stays short however many copies there are.
-    """
-    repeated = F.array_join(F.array_repeat(value, F.least(copies, F.lit(spelled)).cast("int")), separator)
-    return F.when(copies <= spelled, repeated).otherwise(
-        F.concat(value, F.lit(" x"), copies.cast("string"))
-    )
+def run_text(value: Column, copies: Column) -> Column:
+    """A value that occurs once as it is, and one that occurs N times as ``value xN``, whatever N is."""
+    return F.when(copies > 1, F.concat(value, F.lit(" x"), copies.cast("string"))).otherwise(value)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import codes
 from rollcall.functions.dates import DateLike, as_date, in_month_window, month_end, month_start, weekday_count
-from rollcall.operators.relational import fill_missing, label_by, skew_join
+from rollcall.operators.relational import fill_missing, keyed_join, label_by
 
 EMPLOYEE = ["branch", "emp_no"]
 
@@ -155,7 +155,7 @@ def enrich_people(
 
 def benefit_base(rows: DataFrame, people: DataFrame) -> DataFrame:
     """Benefit rows with their employee."""
-    return skew_join(rows, people, EMPLOYEE)
+    return keyed_join(rows, people, EMPLOYEE)
 
 
 def benefit_enriched(rows: DataFrame, people: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from rollcall.functions.dates import period_date
 from rollcall.functions.text import pad_left
-from rollcall.operators.relational import align_schema, rename, skew_join
+from rollcall.operators.relational import align_schema, keyed_join, rename
 
 # Sheet heading -> payroll column (fixed values).
 PAYROLL_COLUMNS = {
@@ -65,7 +65,8 @@ def ingest_payroll(rows: DataFrame, target: T.StructType, file: str = "file_name
     """Payroll rows in the shape of the target, and the files that cannot be loaded.
 
     Headings become column names, the ``yyyyMM`` period its first day (NULL if it is no month), and the CPF has 11 digits.
-    A file with a value that does not fit its column is left out as a whole and reported with its number of bad rows.
+    A file with a value that does not fit its column, or a row without any value under the known headings (as in a file
+    that lacks them all), is left out as a whole and reported with its number of bad rows.
     """
     named = rename(rows, PAYROLL_COLUMNS)
     if "data_referencia" in named.columns:
@@ -75,8 +76,10 @@ def ingest_payroll(rows: DataFrame, target: T.StructType, file: str = "file_name
     texts = {name for name, kind in named.dtypes if kind == "string"}
     typed = [f for f in target.fields if f.name in texts and not isinstance(f.dataType, T.StringType)]
     misfits = [(F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull() for f in typed]
-    bad = F.coalesce(reduce(or_, misfits, F.lit(False)), F.lit(False))
+    known = [c for c in named.columns if c in PAYROLL_COLUMNS.values()]
+    nothing = reduce(and_, [F.col(c).isNull() for c in known], F.lit(True))
+    bad = F.coalesce(reduce(or_, misfits, F.lit(False)), F.lit(False)) | nothing
     files = named.groupBy(file).agg(F.count(F.lit(1)).alias("rows_per_key"), F.count_if(bad).alias("bad_rows"))
     rejects = files.filter("bad_rows > 0").select(file, F.col("rows_per_key").alias("rows"), "bad_rows")
-    good = skew_join(named, rejects.select(file), [file], "left_anti", counts=files)
+    good = keyed_join(named, rejects.select(file), [file], "left_anti")
     return align_schema(good, target), rejects

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import brazilian_money, capture, count_char, remove_chars
-from rollcall.operators.relational import anti_load, keep_first, key_counts, skew_join, split_by
+from rollcall.operators.relational import anti_load, keep_first, key_counts, keyed_join, split_by
 
 MARKER = "COMPROVANTE"
 
@@ -49,9 +49,8 @@ def receipt_name(parts: list[Column]) -> Column:
 def receipt_pages(pages: DataFrame) -> DataFrame:
     """Pages that hold a receipt, of documents with more than one page."""
     whole = pages.filter(~is_split_file(F.col("doc")))
-    counts = key_counts(whole, ["doc"])
-    several = counts.filter("rows_per_key > 1").select("doc")
-    return skew_join(whole.filter(F.col("text").contains(MARKER)), several, ["doc"], "left_semi", counts=counts)
+    several = key_counts(whole, ["doc"]).filter("rows_per_key > 1").select("doc")
+    return keyed_join(whole.filter(F.col("text").contains(MARKER)), several, ["doc"], "left_semi")
 
 
 def parse_receipts(pages: DataFrame) -> DataFrame:

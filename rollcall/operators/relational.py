@@ -1,4 +1,4 @@
-"""Ordered dedup, anti-join loads, skew-proof joins, schema alignment and surrogate ids."""
+"""Ordered dedup, anti-join loads, typed joins, schema alignment and surrogate ids."""
 
 from __future__ import annotations
 
@@ -11,12 +11,6 @@ from pyspark.sql import Window as W
 
 from rollcall.functions.text import run_text
 
-# A key with at least this many rows is spread over SALTS partitions; the HOT_KEYS largest such keys are.
-HOT_ROWS = 5_000_000
-HOT_KEYS = 256
-SALTS = 1_024
-
-
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggregate) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
     row = F.struct(*order, *rest)
@@ -43,45 +37,23 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_per_key"))
 
 
-def hot_key_hashes(counts: DataFrame, keys: Sequence[str]) -> Column:
-    """Hashes of the keys with at least ``HOT_ROWS`` rows, at most ``HOT_KEYS`` of them, as one array value."""
-    large = counts.filter(F.col("rows_per_key") >= HOT_ROWS).withColumn("_hash", F.xxhash64(*keys))
-    top = large.orderBy(F.desc("rows_per_key"), "_hash").limit(HOT_KEYS)
-    return top.agg(F.collect_list("_hash").alias("_hot")).scalar()
-
+def keyed_join(fact: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of the same types; a type that differs is an error instead of a silent cast.
 
-def skew_join(
-    fact: DataFrame,
-    other: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """Join a large frame whose key may hold a large share of the rows to a smaller frame.
-
-    Rows of a hot key are spread by a salt, and the matching rows of ``other`` are repeated once per salt; every other
-    key joins as usual. The salt is the input partition of the row, so copies of a row spread too, and a task that runs
-    again gives its rows the salt they had. Each row meets every matching row once, so the result is that of the plain
-    join. ``how`` is inner, left, left_semi or left_anti. The hot keys come from a count of the key column; ``counts``
-    saves it where rows per key are known. Smaller skew is left to the adaptive planner.
+    A key with very many rows needs nothing here: the adaptive planner splits its partition on the side of ``fact`` (see
+    ``session``), also where that costs a shuffle more.
     """
     on = list(on)
     types = [[df.schema[c].dataType for c in on] for df in (fact, other)]
     if types[0] != types[1]:
         raise TypeError(f"join keys {on} differ in type: {types[0]} and {types[1]}")
-    hot = hot_key_hashes(key_counts(fact, on) if counts is None else counts, on)
-    is_hot = F.array_contains(hot, F.xxhash64(*on))
-    salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)
-    every_salt = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    left, right = fact.withColumn("_salt", salt), other.withColumn("_salt", F.explode(every_salt))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return fact.join(other, on, how)
 
 
 def all_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row whose key occurs more than once."""
-    counts = key_counts(df, keys)
-    repeated = counts.filter("rows_per_key > 1").select(*keys)
-    return skew_join(df, repeated, keys, "left_semi", counts)
+    repeated = key_counts(df, keys).filter("rows_per_key > 1").select(*keys)
+    return keyed_join(df, repeated, keys, "left_semi")
 
 
 def anti_load(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,7 +63,7 @@ def anti_load(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataF
 
 def known(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key exists in the reference frame."""
-    return skew_join(df, reference.select(*keys).distinct(), keys, "left_semi")
+    return keyed_join(df, reference.select(*keys).distinct(), keys, "left_semi")
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:
@@ -169,21 +141,24 @@ def run_lists(df: DataFrame, keys: Sequence[str], value: str, into: str, order:
 
 
 def assign_recno(
-    df: DataFrame, start: DataFrame, key: str, within: Sequence[str] = (), shards: int = 64, into: str = "recno"
+    df: DataFrame, start: DataFrame, key: str, within: Sequence[str] = (), width: int = 100_000, into: str = "recno"
 ) -> DataFrame:
-    """Gapless ids that go on from the number in the one-row frame ``start``.
+    """Gapless ids in the order of ``(within, key)`` that go on from the number in the one-row frame ``start``.
 
-    ``key`` is a unique number. Rows are numbered inside slices ``(within, key mod shards)``; a slice's offset is the
-    number of rows in the slices before it. Only slice counts are ordered as a whole, the rows never are.
-    ``df`` is read twice and must give the same rows each time.
+    ``key`` is a unique whole number. Rows are numbered inside slices of ``width`` key values, so a slice has that many rows
+    at most and there are more slices where there are more rows; a slice's offset is the number of rows before it. Only the
+    slice counts are ordered, per ``within`` and then over all; the ids do not depend on ``width``.
     """
-    slices = [*within, "_shard"]
-    cut = df.withColumn("_shard", F.pmod(F.col(key), F.lit(shards)))
+    groups, slices = list(within), [*within, "_slice"]
+    cut = df.withColumn("_slice", F.floor(F.col(key) / F.lit(width)))
     counts = cut.groupBy(*slices).agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy(*slices).rowsBetween(W.unboundedPreceding, -1)
-    base = F.coalesce(start.scalar(), F.lit(0))
-    offsets = counts.select(*slices, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = cut.withColumn("_at", F.row_number().over(W.partitionBy(*slices).orderBy(key)))
-    return numbered.join(offsets, slices).withColumn(into, F.col("_before") + F.col("_at") + base).drop(
-        "_shard", "_at", "_before"
-    )
+    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(*slices, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = cut.withColumn("_at", F.row_number().over(W.partitionBy(*slices).orderBy(key))).join(offsets, slices)
+    total = F.col("_before") + F.col("_at") + F.coalesce(start.scalar(), F.lit(0))
+    if groups:
+        sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_n"))
+        before = W.orderBy(*groups).rowsBetween(W.unboundedPreceding, -1)
+        sizes = sizes.select(*groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_groups"))
+        numbered, total = numbered.join(sizes, groups), total + F.col("_groups")
+    return numbered.withColumn(into, total).drop("_slice", "_at", "_before", "_groups")

@@ -12,7 +12,7 @@ from rollcall.functions.dates import DateLike, clock_minutes, clock_seconds, min
 from rollcall.functions.hours import hhmm_minutes
 from rollcall.functions.text import drop_decimal_suffix, keep_last
 from rollcall.operators.calendar import day_grid
-from rollcall.operators.relational import anti_load, keep_first, known, run_lists, skew_join
+from rollcall.operators.relational import anti_load, keep_first, keyed_join, known, run_lists
 
 EMPLOYEE = ["branch", "emp_no"]
 AFD_LENGTH = 34
@@ -40,7 +40,7 @@ def event_ledger(
         .join(departments.select("dept", "dept_desc").distinct(), "dept")
         .join(jobs, "job")
     )
-    ledger = skew_join(open_events.join(event_codes, "code"), people, EMPLOYEE)
+    ledger = keyed_join(open_events.join(event_codes, "code"), people, EMPLOYEE)
     return ledger.withColumn("net_hours", F.col("hours_calc") - F.col("hours_waived"))
 
 
@@ -114,7 +114,7 @@ def employees_by_pis(emp: DataFrame) -> DataFrame:
 
 def match_punches(punches: DataFrame, emp: DataFrame) -> DataFrame:
     """Punches with the employee of their PIS; an unknown PIS leaves the employee NULL."""
-    return skew_join(punches, employees_by_pis(emp), ["pis"], "left")
+    return keyed_join(punches, employees_by_pis(emp), ["pis"], "left")
 
 
 def unmatched_pis(punches: DataFrame, emp: DataFrame) -> DataFrame:
@@ -238,12 +238,21 @@ def import_rows(clockings: DataFrame, keep_date: bool = False) -> DataFrame:
     )
 
 
+def active_pis(emp: DataFrame) -> DataFrame:
+    """PIS of the active employees as text."""
+    return emp.filter(F.col("status") != "D").select(F.trim(F.col("pis").cast("string")).alias("pis"))
+
+
+def loaded_ids(loaded: DataFrame) -> DataFrame:
+    """Ids of the punches loaded before, without the ending a float column leaves."""
+    return loaded.select(drop_decimal_suffix(F.col("id").cast("string")).alias("id"))
+
+
 def pending_punches(rows: DataFrame, emp: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Import rows of active employees that are not loaded yet, one per punch id."""
-    active = emp.filter(F.col("status") != "D").select(F.trim(F.col("pis").cast("string")).alias("pis"))
-    done = loaded.select(drop_decimal_suffix(F.col("id").cast("string")).alias("id"))
-    once = keep_first(known(rows, active, ["pis"]), ["id"], ["date", "seconds"])
-    return anti_load(once, done, ["id"])
+    """Import rows of active employees that are not loaded yet, one per punch id. Rows without a date cannot be loaded."""
+    dated = rows.filter(F.col("date").isNotNull())
+    once = keep_first(known(dated, active_pis(emp), ["pis"]), ["id"], ["date", "seconds"])
+    return anti_load(once, loaded_ids(loaded), ["id"])
 
 
 def pending_by_day(pending: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +11,13 @@ from rollcall.operators import leave, timeclock
 from rollcall.operators.relational import all_duplicates, assign_recno, max_or
 from rollcall.plans import roles
 from rollcall.plans.report import report
-from rollcall.sinks.tables import stage
 from rollcall.sources.files import parse_clockings
 from rollcall.streaming.folders import run_folder
+from rollcall.streaming.jobs import pending_days
 from rollcall.streaming.jobs import stream_clockings as clocking_stream
-from rollcall.streaming.jobs import stream_punches_by_day
+from rollcall.streaming.jobs import stream_pending_by_day as pending_stream
 
+AS_OF = str(dt.date.fromisoformat(roles.AS_OF) + dt.timedelta(days=roles.TIME_SHIFT))
 LEDGER = ["branch", "emp_no", "name", "job_desc", "cost_centre_desc", "status", "shift_desc", "date", "code",
           "event_desc", "waiver", "hours_calc", "hours_waived", "net_hours", "dept_desc"]
 
@@ -23,9 +26,9 @@ def staff(spark: SparkSession, folder: str) -> DataFrame:
     return roles.employees(spark, folder).join(roles.shifts(spark), "shift")
 
 
-def ledger_tables(spark: SparkSession, folder: str) -> list[DataFrame]:
+def ledger_tables(spark: SparkSession, folder: str, first: str | None = None, end: str | None = None) -> list[DataFrame]:
     return [
-        roles.clock_events(spark, folder),
+        roles.clock_events(spark, folder, first, end),
         roles.employees(spark, folder),
         roles.event_codes(spark),
         roles.cost_centres(spark, folder),
@@ -111,7 +114,8 @@ def punch_parity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def grid(spark: SparkSession, folder: str) -> DataFrame:
-    latest = leave.latest_leave(roles.leaves(spark, folder), roles.leave_types(spark), roles.AS_OF)
+    leaves = roles.shifted(roles.leaves(spark, folder), "start_date", "end_date")
+    latest = leave.latest_leave(leaves, roles.leave_types(spark), AS_OF)
     people = staff(spark, folder).select("branch", "emp_no", "name", "cost_centre", "shift_desc")
     return timeclock.attendance_grid(
         people, daily(spark, folder), latest, roles.managers(spark, folder), roles.PUNCH_FIRST, roles.PUNCH_LAST
@@ -123,11 +127,10 @@ def attendance_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def timesheet(spark: SparkSession, folder: str) -> DataFrame:
-    events = timeclock.pivot_events(ledger(spark, folder))
-    january = events.withColumn("date", F.make_date(F.lit(2024), F.lit(1), F.dayofmonth("date")))
+    month = timeclock.event_ledger(*ledger_tables(spark, folder, roles.SHEET_FIRST, roles.SHEET_END))
+    events = roles.shifted(timeclock.pivot_events(month), "date")
+    rows = timeclock.timesheet(grid(spark, folder), events)
     names = ["overtime_events", "absence_events", "other_events"]
-    one_day = january.groupBy("branch", "emp_no", "date").agg(*[F.max(c).alias(c) for c in names])
-    rows = timeclock.timesheet(grid(spark, folder), one_day)
     return report(rows, "branch", "emp_no", "day", "manager", "weekday", "punches", *names)
 
 
@@ -161,20 +164,20 @@ def pending_punches_by_day(spark: SparkSession, folder: str) -> DataFrame:
 def surrogate_ids(spark: SparkSession, folder: str) -> DataFrame:
     rows = pending(spark, folder).select("id", "date", F.col("id").cast("long").alias("number"))
     start = max_or(roles.loaded_punches(spark, folder), "recno", 0)
-    rows = stage(rows, run_folder(spark, "pending"))
     return report(assign_recno(rows, start, "number", within=["date"]), "id", "date", "recno")
 
 
 def stream_clockings(spark: SparkSession, folder: str) -> DataFrame:
     out = run_folder(spark, "clockings")
     arriving = parse_clockings(roles.clockings(roles.punches(spark, folder, stream=True)))
-    clocking_stream(arriving, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    clocking_stream(arriving, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint").awaitTermination()
     schema = timeclock.import_rows(arriving).schema
     return report(spark.read.schema(schema).parquet(f"{out}/table"), "id", "pis", "nsr", "date", "seconds")
 
 
 def stream_pending_by_day(spark: SparkSession, folder: str) -> DataFrame:
     out = run_folder(spark, "by-day")
-    arriving = roles.punches(spark, folder, stream=True).withColumn("at", F.col("at").cast("timestamp"))
-    stream_punches_by_day(arriving, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return report(spark.read.parquet(f"{out}/table"))
+    arriving = parse_clockings(roles.clockings(roles.punches(spark, folder, stream=True)))
+    emp, loaded = roles.employees(spark, folder), roles.loaded_punches(spark, folder)
+    pending_stream(arriving, emp, loaded, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    return report(pending_days(spark, f"{out}/table"))

@@ -55,10 +55,7 @@ def weekday(date: str, labels: list[str]) -> str:
 
 
 def copies(value: str, n: str) -> str:
-    return (
-        f"CASE WHEN {n} <= 8 THEN array_to_string(list_transform(range({n}), lambda i: {value}), ' | ') "
-        f"ELSE {value} || ' x' || {n} END"
-    )
+    return f"CASE WHEN {n} = 1 THEN {value} ELSE {value} || ' x' || {n} END"
 
 
 def percent(part: str, whole: str) -> str:
@@ -99,12 +96,12 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE c_acctbal >= -900"""),
     "ev": ((), f"""
         SELECT *, CASE WHEN waiver = '' THEN 0 ELSE l_quantity % 5 + (l_linenumber * 11 % 60) / 100 END AS hours_waived
-        FROM (SELECT {branch('l_partkey')} AS branch, l_partkey AS emp_no, CAST(l_shipdate AS DATE) AS date,
+        FROM (SELECT {branch('o_custkey')} AS branch, o_custkey AS emp_no, CAST(l_shipdate AS DATE) AS date,
             {code3('(l_suppkey + l_linenumber) % 15')} AS code,
             CASE l_linenumber % 4 WHEN 1 THEN '001' WHEN 2 THEN '004' ELSE '' END AS waiver,
             l_quantity % 8 + (l_linenumber * 7 % 60) / 100 AS hours_calc,
             CASE WHEN l_linestatus = 'F' THEN 'X' ELSE '' END AS processed, l_quantity, l_linenumber
-          FROM lineitem WHERE l_tax < 0.08)"""),
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_tax < 0.08)"""),
     "cc": ((), f"""
         SELECT b.branch, {cc('n_nationkey')} AS cost_centre,
           CASE WHEN n_nationkey % 10 = 3 THEN n_name || ' ABANDONO' ELSE n_name END AS cost_centre_desc
@@ -237,8 +234,8 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         GROUP BY ALL"""),
     "grid": (("staff", "latest", "daily"), f"""
         SELECT s.branch, s.emp_no, g.day, s.cost_centre, name, shift_desc, supervisor, manager,
-          coalesce(leave_desc, '') AS leave_desc, {iso('start_date')} AS start_date, {iso('end_date')} AS end_date,
-          coalesce(punches_count, 0) AS punches_count, coalesce(punches, 'Sem registro') AS punches,
+          coalesce(leave_desc, '') AS leave_desc, {iso(f'(start_date + {roles.TIME_SHIFT})')} AS start_date,
+          {iso(f'(end_date + {roles.TIME_SHIFT})')} AS end_date, coalesce(punches_count, 0) AS punches_count, coalesce(punches, 'Sem registro') AS punches,
           {weekday('g.day', codes.TIMESHEET_WEEKDAYS)} AS weekday
         FROM staff s
         JOIN (SELECT {cc('n_nationkey')} AS cost_centre, 'SUP ' || (n_nationkey % 9) AS supervisor,
@@ -252,7 +249,11 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
           strftime(ts, '%Y%m%d') AS device_date
         FROM events"""),
     "imports": (("import_once",), """
-        SELECT * FROM import_once UNION ALL SELECT * FROM import_once WHERE event_id % 4 = 0"""),
+        SELECT * FROM import_once UNION ALL
+        SELECT * REPLACE (CASE WHEN event_id % 28 <> 0 THEN date ELSE '' END AS date,
+            CASE WHEN event_id % 28 <> 0 THEN seconds END AS seconds,
+            CASE WHEN event_id % 28 <> 0 THEN device_date ELSE '' END AS device_date)
+        FROM import_once WHERE event_id % 4 = 0"""),
     "pending": (("import_once", "emp"), """
         SELECT i.* FROM import_once i WHERE event_type <> 'signup'
           AND EXISTS (SELECT 1 FROM emp WHERE status <> 'D' AND emp.pis = i.user_id)"""),
@@ -585,21 +586,20 @@ ORACLE: dict[str, str] = {
     "attendance_grid": sql("SELECT * REPLACE (CAST(day AS VARCHAR) AS day) FROM grid", "grid"),
     "timesheet": sql("""
         SELECT g.branch, g.emp_no, CAST(g.day AS VARCHAR) AS day, manager, weekday, punches,
-          coalesce(max(overtime_events), '') AS overtime_events, coalesce(max(absence_events), '') AS absence_events,
-          coalesce(max(other_events), '') AS other_events
+          coalesce(overtime_events, '') AS overtime_events, coalesce(absence_events, '') AS absence_events,
+          coalesce(other_events, '') AS other_events
         FROM grid g LEFT JOIN event_days e
-          ON e.branch = g.branch AND e.emp_no = g.emp_no AND day(e.date) = day(g.day)
-        GROUP BY ALL""", "grid", "event_days"),
+          ON e.branch = g.branch AND e.emp_no = g.emp_no AND e.date + {shift} = g.day""".replace("{shift}", str(roles.TIME_SHIFT)), "grid", "event_days"),
     "import_rows": sql(f"SELECT {IMPORT} FROM imports", "imports"),
     "import_rows_keep_date": sql("SELECT id, device_date AS date, seconds FROM imports", "imports"),
     "pending_punches": sql(f"SELECT {IMPORT} FROM pending", "pending"),
     "pending_punches_by_day": sql("SELECT date, count(*) AS punches FROM pending GROUP BY ALL", "pending"),
     "surrogate_ids": sql("""
         SELECT id, date, (SELECT max(event_id) FROM events WHERE event_type = 'signup')
-          + row_number() OVER (ORDER BY date, CAST(id AS BIGINT) % 64, id) AS recno FROM pending""", "pending"),
+          + row_number() OVER (ORDER BY date, CAST(id AS BIGINT)) AS recno FROM pending""", "pending"),
     "stream_clockings": sql("""
         SELECT id, CAST(user_id AS VARCHAR) AS pis, right(id, 9) AS nsr, date, seconds FROM import_once""", "import_once"),
-    "stream_pending_by_day": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS punches FROM events GROUP BY ALL",
+    "stream_pending_by_day": sql("SELECT date, count(*) AS punches FROM pending GROUP BY ALL", "pending"),
     "high_water_mark": sql("SELECT CAST(file_date AS VARCHAR) AS file_date FROM mark", "mark"),
     "new_files": sql("""
         SELECT file_name, CAST(file_date AS VARCHAR) AS file_date, count(*) AS rows FROM fresh GROUP BY ALL""", "fresh"),

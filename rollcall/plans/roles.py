@@ -23,6 +23,9 @@ FIRST_MONTH = "1998-01-01"
 MONTHS = 12
 CYCLE_START = "1998-06-20"
 PUNCH_FIRST, PUNCH_LAST = "2024-01-01", "2024-01-30"
+# Days between the events of the ERP and the punches: June 1998 is the month of the timesheet, January 2024.
+TIME_SHIFT = 9345
+SHEET_FIRST, SHEET_END = "1998-06-01", "1998-07-01"
 
 # Small sheets the users keep by hand.
 SHIFTS = [
@@ -153,8 +156,8 @@ def normalized_employees(spark: SparkSession, folder: str) -> DataFrame:
 
 WAIVER = "CASE WHEN l_linenumber % 4 = 1 THEN '001' WHEN l_linenumber % 4 = 2 THEN '004' ELSE '' END"
 CLOCK_EVENT = {
-    "branch": branch_of("l_partkey"),
-    "emp_no": "l_partkey",
+    "branch": branch_of("o_custkey"),
+    "emp_no": "o_custkey",
     "date": "CAST(l_shipdate AS date)",
     "code": code3("(l_suppkey + l_linenumber) % 15"),
     "waiver": WAIVER,
@@ -165,13 +168,14 @@ CLOCK_EVENT = {
 
 
 def clock_events(spark: SparkSession, folder: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Clock events from ``lineitem``: employee = part number. The bounds restrict the scan itself."""
+    """Clock events from ``lineitem``: employee = customer of the order. The bounds restrict the scan itself."""
     items = table(spark, folder, "lineitem").filter(KEPT_EVENT)
     if first:
         items = items.filter(f"l_shipdate >= TIMESTAMP_NTZ '{first}'")
     if last:
         items = items.filter(f"l_shipdate < TIMESTAMP_NTZ '{last}'")
-    return project(items, CLOCK_EVENT)
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return project(items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), CLOCK_EVENT)
 
 
 def values(rows: list, columns: str) -> str:
@@ -301,6 +305,11 @@ def leaves(spark: SparkSession, folder: str) -> DataFrame:
     return project(table(spark, folder, "orders"), columns)
 
 
+def shifted(df: DataFrame, *dates: str) -> DataFrame:
+    """Dates of the ERP moved to the time of the punches."""
+    return df.withColumns({c: F.date_add(c, TIME_SHIFT) for c in dates})
+
+
 def benefits(spark: SparkSession, folder: str) -> DataFrame:
     """Benefit rows from ``orders``: the benefit is its priority."""
     number = "substring(o_orderpriority, 1, 1)"
@@ -356,14 +365,16 @@ ZONES = ["America/Sao_Paulo", "EUROPE/MADRID", "ASIA/AQTOBE", "MOON/BASE", "AMER
 
 
 def clockings(source: DataFrame) -> DataFrame:
-    """Punches as the JSON of the device service, every fourth delivered twice."""
+    """Punches as the JSON of the device service, every fourth delivered twice, one in 28 of these once with a date that is none."""
     zones = ", ".join(f"'{z}'" for z in ZONES)
     fields = (
         "'id', CAST(id + 10000000000 AS string), 'personPIS', CAST(pis AS string), 'clockingCollectorName', device, "
         f"'clockingDate', date_format(at, 'ddMMyyyyHHmmss'), 'timezone', element_at(array({zones}), CAST(pis % 5 + 1 AS int))"
     )
-    one = source.selectExpr("id", f"to_json(named_struct({fields})) AS one")
-    return one.selectExpr("CASE WHEN id % 4 = 0 THEN concat('[', one, ',', one, ']') ELSE concat('[', one, ']') END AS payload")
+    unreadable = fields.replace("date_format(at, 'ddMMyyyyHHmmss')", "'99999999999999'")
+    one = source.selectExpr("id", f"to_json(named_struct({fields})) AS one", f"to_json(named_struct({unreadable})) AS bad")
+    twice = "concat('[', CASE WHEN id % 28 = 0 THEN bad ELSE one END, ',', one, ']')"
+    return one.selectExpr(f"CASE WHEN id % 4 = 0 THEN {twice} ELSE concat('[', one, ']') END AS payload")
 
 
 def loaded_punches(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,18 +10,47 @@ from rollcall.operators.payroll import PAYROLL_COLUMNS
 from rollcall.operators.timeclock import CLOCKING_FIELDS
 
 CLOCKING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CLOCKING_FIELDS])
-PAYROLL_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PAYROLL_COLUMNS])
+PAYROLL_HEADINGS = list(PAYROLL_COLUMNS)
 
 
-def string_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+def sheet_lines(lines: DataFrame) -> DataFrame:
+    """Lines of sheets exported as CSV, with the file and the place in it that they come from."""
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("file_block"),
+    )
 
 
-def read_dim(spark: SparkSession, path: str, columns: list[str], skip_first_line: bool = True) -> DataFrame:
-    """A dimension sheet exported as CSV, all columns text, blanks stripped."""
-    reader = spark.read.schema(string_schema(columns)).option("header", str(skip_first_line).lower())
-    sheet = reader.option("enforceSchema", "true").csv(path)
-    return sheet.select(*[F.trim(c).alias(c) for c in columns])
+def sheet_rows(lines: DataFrame, headings: list[str], separator: str = ",") -> DataFrame:
+    """Rows of sheets, each file read by its own heading line: the named columns as text, and ``file_name``.
+
+    A heading that a file lacks is NULL in its rows, one that is not asked for is left out, and their order does not count.
+    A file with none of the headings gives rows of NULL only, which ``ingest_payroll`` reports. Empty lines are no rows.
+    """
+    # Lines keep their order inside a task, and the first block of a file is read by one task.
+    placed = lines.withColumn("_at", F.monotonically_increasing_id())
+    first = placed.filter("file_block = 0").groupBy("file_path").agg(F.min(F.struct("_at", "value")).alias("_first"))
+    first = first.select("file_path", F.col("_first._at").alias("_heading_at"), F.col("_first.value").alias("_heading"))
+    # As many columns as the widest heading has; quoted separators only make the count too high.
+    width = first.agg(F.max(F.size(F.split("_heading", f"[{separator}]")))).first()[0] or 1
+    kind = ", ".join(f"c{i} string" for i in range(width))
+
+    def cells(line: str) -> Column:
+        parsed = F.from_csv(F.regexp_replace(F.col(line), "\r$", ""), kind, {"sep": separator})
+        return F.array(*[F.trim(parsed[f"c{i}"]) for i in range(width)])
+
+    rows = placed.join(first, "file_path").filter("_at <> _heading_at AND trim(value) <> ''")
+    rows = rows.withColumns({"_cells": cells("value"), "_names": cells("_heading")})
+    place = {h: F.coalesce(F.array_position("_names", h), F.lit(0)) for h in headings}
+    return rows.select(*[F.when(p > 0, F.get("_cells", (p - 1).cast("int"))).alias(h) for h, p in place.items()], "file_name")
+
+
+def read_dim(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """A dimension sheet exported as CSV: ``columns`` names the column for each heading. All are text without outer blanks."""
+    sheet = sheet_rows(sheet_lines(spark.read.text(path)), list(columns))
+    return sheet.select(*[F.col(f"`{heading}`").alias(name) for heading, name in columns.items()])
 
 
 def read_clockings(spark: SparkSession, path: str) -> DataFrame:
@@ -48,9 +77,8 @@ def split_records(df: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_payroll_files(spark: SparkSession, path: str) -> DataFrame:
-    """Payroll sheets exported as CSV, all columns text, with the name of their file."""
-    rows = spark.read.schema(PAYROLL_SCHEMA).option("header", "true").csv(path)
-    return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+    """Payroll sheets exported as CSV, each read by its headings, with the name of their file."""
+    return sheet_rows(sheet_lines(spark.read.text(path)), PAYROLL_HEADINGS)
 
 
 def read_receipt_pages(spark: SparkSession, path: str) -> DataFrame:

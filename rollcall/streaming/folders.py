@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where the setting is missing (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="rollcall-")
+    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where that is not set. Both are shared."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/runs"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for one run."""
+    """A folder of its own for one run; it stays, as its tables are the result of the run."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

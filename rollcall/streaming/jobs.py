@@ -1,21 +1,25 @@
 """Incremental loads as streams: punches, payroll files and pending counts.
 
 All three run with ``availableNow``: they take what has arrived since the checkpoint and stop. None has a rule for late
-data, as a punch or a file that arrives late still counts.
+data, as a punch or a file that arrives late still counts. Every batch writes into a folder of its own number and replaces
+it when it runs again, so a run after a failure adds nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.operators.payroll import ingest_payroll, new_files
-from rollcall.operators.relational import keep_first
-from rollcall.operators.timeclock import import_rows
-from rollcall.sources.files import CLOCKING_SCHEMA, PAYROLL_SCHEMA
+from rollcall.operators.relational import anti_load, known
+from rollcall.operators.timeclock import active_pis, import_rows, loaded_ids
+from rollcall.sources.files import CLOCKING_SCHEMA, PAYROLL_HEADINGS, sheet_lines, sheet_rows
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_clocking_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -24,33 +28,40 @@ def read_clocking_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_payroll_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New payroll CSV files, with the name of their file."""
-    rows = spark.readStream.schema(PAYROLL_SCHEMA).option("header", "true").csv(path)
-    return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+    """Lines of new payroll CSV files with their file; ``stream_payroll`` reads them by heading."""
+    return sheet_lines(spark.readStream.text(path))
+
+
+def once_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row of each key that the stream ever delivers. The keys seen are kept in a state store on disk."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return rows.dropDuplicates(keys)
+
+
+def started(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
 
-def _loaded(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch={batch_id}"
 
 
-def stream_clockings(clockings: DataFrame, sink: str, checkpoint: str, keep_date: bool = False) -> StreamingQuery:
-    """Load punches once each, into a table partitioned by date.
+def stream_clockings(clockings: DataFrame, sink: str, rejects: str, checkpoint: str, keep_date: bool = False) -> StreamingQuery:
+    """Load each punch id once, whatever date a later delivery gives it.
 
-    A batch keeps one row per punch id and leaves out ids the table holds for the same dates, so a punch delivered again,
-    or a batch run again after a failure, adds nothing. That needs no state, and no punch is too late.
+    A punch with an unreadable date goes to ``rejects``, once, and its id can still be loaded with a date that is readable.
+    Of two deliveries of an id with different dates in the same batch, either may be the first.
     """
+    rows = import_rows(clockings, keep_date).withColumn("valid", F.col("date").isNotNull())
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_first(import_rows(batch, keep_date), ["id"], ["date", "seconds"])
-        dates = rows.select("date").distinct()
-        done = _loaded(batch.sparkSession, sink, rows.schema).join(dates, "date", "left_semi").select("id")
-        rows.join(done, "id", "left_anti").write.mode("append").partitionBy("date").parquet(sink)
+        batch.persist()
+        batch.filter("valid").drop("valid").write.mode("overwrite").parquet(batch_folder(sink, batch_id))
+        batch.filter("NOT valid").drop("valid").write.mode("overwrite").parquet(batch_folder(rejects, batch_id))
+        batch.unpersist()
 
-    writer = clockings.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return started(once_each(rows, ["id", "valid"]), load, checkpoint)
 
 
 def stream_payroll(
@@ -58,27 +69,37 @@ def stream_payroll(
 ) -> StreamingQuery:
     """Load payroll files once each; the checkpoint takes the place of a date watermark.
 
-    A batch writes into a folder of its own number and replaces it when it runs again.
+    ``rows`` are rows with a ``file_name``, or lines of files, which are read by the heading of their file.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        good, bad = ingest_payroll(new_files(batch, None, extension=extension), target)
-        good.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        by_name = sheet_rows(batch, PAYROLL_HEADINGS) if "value" in batch.columns else batch
+        good, bad = ingest_payroll(new_files(by_name, None, extension=extension), target)
+        good.write.mode("overwrite").parquet(batch_folder(sink, batch_id))
+        bad.write.mode("overwrite").parquet(batch_folder(rejects, batch_id))
 
-    return rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return started(rows, load, checkpoint)
 
 
-def stream_punches_by_day(punches: DataFrame, sink: str, checkpoint: str, time: str = "at") -> StreamingQuery:
-    """Running number of punches per day. The state is one number per day; a batch rewrites the small result."""
-    daily = (
-        punches.groupBy(F.window(time, "1 day").alias("w"))
-        .agg(F.count(F.lit(1)).alias("punches"))
-        .select(F.to_date("w.start").alias("day"), "punches")
-    )
+def stream_pending_by_day(
+    clockings: DataFrame, emp: DataFrame, loaded: DataFrame, sink: str, checkpoint: str, keep_date: bool = False
+) -> StreamingQuery:
+    """Number of pending punches per day: of active employees, not loaded yet, each id once.
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+    Each batch adds the counts of the ids it is the first to deliver; ``pending_days`` adds the batches up.
+    """
+    dated = import_rows(clockings, keep_date).filter("date IS NOT NULL")
+    rows = known(dated, active_pis(emp), ["pis"])
+    pending = once_each(anti_load(rows, loaded_ids(loaded), ["id"]), ["id"])
 
-    writer = daily.writeStream.foreachBatch(replace).outputMode("complete").option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    def count(batch: DataFrame, batch_id: int) -> None:
+        daily = batch.groupBy("date").agg(F.count(F.lit(1)).alias("punches"))
+        daily.write.mode("overwrite").parquet(batch_folder(sink, batch_id))
+
+    return started(pending, count, checkpoint)
+
+
+def pending_days(spark: SparkSession, sink: str) -> DataFrame:
+    """Pending punches per day over all batches."""
+    batches = spark.read.schema("date string, punches long").parquet(sink)
+    return batches.groupBy("date").agg(F.sum("punches").alias("punches"))

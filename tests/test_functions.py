@@ -39,12 +39,13 @@ def test_text(spark):
         clean=text.remove_chars(F.lit(" E.M/P-R "), "./-"),
         blank=text.blank_to_null(F.lit("   ")),
         few=text.run_text(F.lit("08:00"), F.lit(3)),
+        one=text.run_text(F.lit("08:00"), F.lit(1)),
         many=text.run_text(F.lit("08:00"), F.lit(1_000_000)),
     )
     assert row.asDict() == {
         "padded": "00123", "long": "123456789012", "none": None, "last": "567890123", "short": "77", "pipes": 2,
         "suffix": "123", "inside": "10.05", "comma": 7.33, "bad": None, "money": Decimal("1234.56"), "missing": None,
-        "empty": "", "clean": "EMPR", "blank": None, "few": "08:00 | 08:00 | 08:00", "many": "08:00 x1000000",
+        "empty": "", "clean": "EMPR", "blank": None, "few": "08:00 x3", "one": "08:00", "many": "08:00 x1000000",
     }
 
 

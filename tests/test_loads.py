@@ -103,8 +103,8 @@ def test_consents(spark):
 
 def test_file_sources(spark, tmp_path):
     (tmp_path / "dim.csv").write_text("Code,Day\n A ,5\nB,\n", encoding="utf-8")
-    rows = files.read_dim(spark, str(tmp_path / "dim.csv"), ["cost_centre", "payment_day"]).collect()
-    assert [tuple(r) for r in rows] == [("A", "5"), ("B", None)]
+    rows = files.read_dim(spark, str(tmp_path / "dim.csv"), {"Day": "payment_day", "Code": "cost_centre"}).collect()
+    assert {tuple(r) for r in rows} == {("5", "A"), (None, "B")}
     punch = {"id": 12, "personPIS": "0005", "clockingCollectorName": "d", "clockingDate": "01032024080000", "timezone": "x"}
     (tmp_path / "punch.json").write_text(json.dumps([punch, punch]))
     read = files.read_clockings(spark, str(tmp_path / "punch.json"))
@@ -144,24 +144,66 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "gaps")).count() == 1
 
 
-def test_stream_clockings_twice(spark, tmp_path):
+def clocking(i, date, zone="x"):
+    return {"id": str(i), "personPIS": "5", "clockingCollectorName": "d", "clockingDate": date, "timezone": zone}
+
+
+def test_stream_clockings_by_id(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
 
-    def deliver(name, ids):
-        rows = [{"id": str(i), "personPIS": "5", "clockingCollectorName": "d", "clockingDate": f"0{1 + i % 5}032024080000", "timezone": "x"} for i in ids]
-        (source / name).write_text(json.dumps(rows))
+    def run():
+        stream = jobs.read_clocking_stream(spark, str(source))
+        jobs.stream_clockings(stream, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint").awaitTermination()
+        loaded = spark.read.parquet(f"{out}/table").collect()
+        return sorted((int(r.nsr), r.date) for r in loaded), sorted(int(r.nsr) for r in spark.read.parquet(f"{out}/rejects").collect())
+
+    (source / "a.json").write_text(json.dumps([clocking(i, f"0{i}032024080000") for i in (1, 2, 2, 3)] + [clocking(9, "99999999999999")]))
+    first = [(1, "20240301"), (2, "20240302"), (3, "20240303")]
+    assert run() == (first, [9])
+    # The same ids with another date, another zone and no date; then the id without a date gets one.
+    again = [clocking(3, "05032024080000"), clocking(2, "02032024230000", "ASIA/AQTOBE"), clocking(1, "bad"), clocking(9, "99999999999999"), clocking(4, "04032024080000")]
+    (source / "b.json").write_text(json.dumps(again))
+    assert run() == ([*first, (4, "20240304")], [1, 9])
+    (source / "c.json").write_text(json.dumps([clocking(9, "09032024080000"), clocking(4, "01032024080000")]))
+    assert run() == ([*first, (4, "20240304"), (9, "20240309")], [1, 9])
+    assert run() == ([*first, (4, "20240304"), (9, "20240309")], [1, 9])
+
+
+def test_stream_pending_counts_each_id_once(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    emp = spark.createDataFrame([("A", 5), ("D", 6)], "status string, pis long")
+    loaded = spark.createDataFrame([("2.0",)], "id string")
 
     def run():
         stream = jobs.read_clocking_stream(spark, str(source))
-        jobs.stream_clockings(stream, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-        return sorted(int(r.nsr) for r in spark.read.parquet(f"{out}/table").collect())
-
-    deliver("a.json", [1, 2, 2, 3])
-    assert run() == [1, 2, 3]
-    deliver("b.json", [3, 4, 1])
-    assert run() == [1, 2, 3, 4]
-    assert run() == [1, 2, 3, 4]
+        jobs.stream_pending_by_day(stream, emp, loaded, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+        return {r.date: r.punches for r in jobs.pending_days(spark, f"{out}/table").collect()}
+
+    gone = clocking(7, "01032024080000") | {"personPIS": "6"}
+    (source / "a.json").write_text(json.dumps([*(clocking(i, "01032024080000") for i in (1, 1, 2, 3)), gone, clocking(8, "none")]))
+    assert run() == {"20240301": 2}
+    (source / "b.json").write_text(json.dumps([clocking(3, "02032024080000"), clocking(4, "02032024080000")]))
+    assert run() == {"20240301": 2, "20240302": 1}
+
+
+def test_sheets_by_heading(spark, tmp_path):
+    (tmp_path / "2024-01-01.csv").write_text("Filial,CPF,Valor,PERIODO DA FOLHA\n01,7,1.5,202401\n", encoding="utf-8")
+    (tmp_path / "2024-02-01.csv").write_text("CPF,Extra,Filial,PERIODO DA FOLHA,Valor\r\n8,x,02,202402,2.5\r\n\r\n", encoding="utf-8")
+    (tmp_path / "2024-03-01.csv").write_text('Valor,Filial,Descrição Verba\n3.5,03,"a, b"\n', encoding="utf-8")
+    (tmp_path / "2024-04-01.csv").write_text("nothing,known\n1,2\n", encoding="utf-8")
+    rows = files.read_payroll_files(spark, str(tmp_path))
+    got = {r.file_name: (r.Filial, r.CPF, r.Valor, r["PERIODO DA FOLHA"], r["Descrição Verba"]) for r in rows.collect()}
+    assert got == {
+        "2024-01-01.csv": ("01", "7", "1.5", "202401", None),
+        "2024-02-01.csv": ("02", "8", "2.5", "202402", None),
+        "2024-03-01.csv": ("03", None, "3.5", None, "a, b"),
+        "2024-04-01.csv": (None, None, None, None, None),
+    }
+    good, bad = payroll.ingest_payroll(payroll.new_files(rows, None, extension=".csv"), TARGET)
+    assert [(r.file_name, r.rows, r.bad_rows) for r in bad.collect()] == [("2024-04-01.csv", 1, 1)]
+    assert good.count() == 3
 
 
 def test_stream_payroll(spark, tmp_path):

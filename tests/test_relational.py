@@ -23,46 +23,37 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_plain_join(skewed, how, monkeypatch):
-    monkeypatch.setattr(rel, "HOT_ROWS", 100)
+def test_keyed_join_equals_plain_join(skewed, how):
     fact, other = skewed
-    assert tuples(rel.skew_join(fact, other, ["k"], how)) == tuples(fact.join(other, "k", how))
-
-
-def test_skew_join_spreads_the_hot_key(spark, skewed, monkeypatch):
-    fact, other = skewed
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {k: spark.conf.get(k) for k in settings}
-
-    def partitions():
-        joined = rel.skew_join(fact, other, ["k"])
-        return joined.filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-
+    assert tuples(rel.keyed_join(fact, other, ["k"], how)) == tuples(fact.join(other, "k", how))
+
+
+def test_the_planner_splits_a_hot_key(spark):
+    """A key with most of the rows is read by several tasks, though the join keeps its partitioning for what follows."""
+    fact = spark.range(400_000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    other = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        assert partitions() == 1
-        monkeypatch.setattr(rel, "HOT_ROWS", 500)
-        hot = spark.range(1).select(rel.hot_key_hashes(rel.key_counts(fact, ["k"]), ["k"]).alias("h")).first().h
-        assert hot == [fact.filter("k = 7").select(F.xxhash64("k").alias("h")).first().h]
-        assert partitions() > 1
+        joined = rel.keyed_join(fact, other, ["k"]).withColumn("p", F.spark_partition_id()).cache()
+        joined.count()
+        assert joined.filter("k = 7").select("p").distinct().count() > 1
+        assert joined.count() == fact.filter("k < 200000").count()
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
-
-
-def test_skew_join_with_known_counts_and_two_keys(spark, monkeypatch):
-    monkeypatch.setattr(rel, "HOT_ROWS", 10)
-    fact = spark.range(400).select((F.col("id") % 2).alias("a"), F.lit("x").alias("b"), "id")
-    other = spark.createDataFrame([(0, "x", "zero"), (1, "x", "one")], "a long, b string, name string")
-    counts = rel.key_counts(fact, ["a", "b"])
-    got = rel.skew_join(fact, other, ["a", "b"], counts=counts)
-    assert got.count() == 400 and got.filter("name = 'one'").count() == 200
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_skew_join_needs_equal_types(spark):
+def test_keyed_join_needs_equal_types(spark):
     with pytest.raises(TypeError):
-        rel.skew_join(spark.range(3), spark.range(3).select(F.col("id").cast("int").alias("id")), ["id"])
+        rel.keyed_join(spark.range(3), spark.range(3).select(F.col("id").cast("int").alias("id")), ["id"])
 
 
 def test_keep_first_and_last(spark):
@@ -71,12 +62,9 @@ def test_keep_first_and_last(spark):
     assert tuples(rel.keep_last(df, ["k"], ["o"])) == [("a", 2, "x"), ("b", 5, "q")]
 
 
-def test_all_duplicates(spark, monkeypatch):
+def test_all_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c")], "k int, v string")
-    want = [(1, "a"), (1, "b"), (1, "b")]
-    assert tuples(rel.all_duplicates(df, ["k"])) == want
-    monkeypatch.setattr(rel, "HOT_ROWS", 2)
-    assert tuples(rel.all_duplicates(df, ["k"])) == want
+    assert tuples(rel.all_duplicates(df, ["k"])) == [(1, "a"), (1, "b"), (1, "b")]
 
 
 def test_loads_nothing_twice(spark):
@@ -112,15 +100,14 @@ def test_small_helpers(spark):
 def test_run_lists_keep_every_copy(spark):
     df = spark.createDataFrame([("e", "b")] * 2 + [("e", "a")] + [("f", "c")] * 20 + [("f", None)], "k string, v string")
     got = {r.k: (r.all, r.all_count) for r in rel.run_lists(df, ["k"], "v", "all").collect()}
-    assert got == {"e": ("a | b | b", 3), "f": ("c x20", 20)}
+    assert got == {"e": ("a | b x2", 3), "f": ("c x20", 20)}
 
 
-def test_recno_has_no_gaps_and_keeps_order_of_slices(spark):
-    rows = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise("2024-01-02").alias("date"))
+@pytest.mark.parametrize("width", [1, 7, 100_000])
+def test_recno_has_no_gaps_and_keeps_the_order(spark, width):
+    rows = spark.range(500).select((F.col("id") * 3 - 200).alias("id"), F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise("2024-01-02").alias("date"))
     start = rel.max_or(spark.createDataFrame([(41,)], "recno long"), "recno", 0)
-    got = rel.assign_recno(rows, start, "id", within=["date"], shards=8)
-    numbers = sorted(r.recno for r in got.collect())
-    assert numbers == list(range(42, 542))
-    assert got.filter("date = '2024-01-01'").agg(F.max("recno")).first()[0] < got.filter("date = '2024-01-02'").agg(F.min("recno")).first()[0]
+    got = rel.assign_recno(rows, start, "id", within=["date"], width=width).orderBy("date", "id")
+    assert [r.recno for r in got.collect()] == list(range(42, 542))
     empty = rel.max_or(spark.createDataFrame([], "recno long"), "recno", 0)
-    assert rel.assign_recno(rows, empty, "id").agg(F.min("recno")).first()[0] == 1
+    assert [r.recno for r in rel.assign_recno(rows, empty, "id", width=width).orderBy("id").collect()] == list(range(1, 501))
