@@ -60,11 +60,10 @@ def between_open(d: Column, low: DateLike | None, high: DateLike | None) -> Colu
     return test
 
 
-def pay_cycle(as_of: dt.date) -> tuple[dt.date, dt.date]:
-    """Day 21 of the month before yesterday, up to yesterday."""
-    yesterday = as_of - dt.timedelta(days=1)
-    previous = yesterday.replace(day=1) - dt.timedelta(days=1)
-    return previous.replace(day=21), yesterday
+def pay_cycle(as_of: DateLike) -> tuple[Column, Column]:
+    """First and last day of the pay cycle: day 21 of the month before yesterday's, and yesterday."""
+    yesterday = F.date_sub(as_date(as_of), 1)
+    return F.date_add(F.add_months(F.trunc(yesterday, "MM"), -1), 20), yesterday
 
 
 def weekday_count(first: Column, last: Column, dow: Column | int) -> Column:

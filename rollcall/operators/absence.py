@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import codes
 from rollcall.functions.dates import DateLike, as_date, between_open, weekday_count, weekday_label
-from rollcall.functions.hours import hhmm_hundredths, hhmm_minutes, hundredths_to_hours, rate
+from rollcall.functions.hours import hhmm_minutes, rate
 from rollcall.functions.text import comma_decimal, strip
 from rollcall.operators.calendar import active_months
 
@@ -30,14 +30,18 @@ def scheduled_hours(schedule: DataFrame) -> DataFrame:
     )
 
 
-def weekday_minutes(schedule: DataFrame) -> DataFrame:
+def weekday_minutes(schedule: DataFrame, keys: Sequence[str] = ("week", "day")) -> DataFrame:
     """One row per shift with its planned minutes per weekday, ``m1`` (Sunday) to ``m7``.
 
-    A day of the plan counts for the weekday that both its week and its day number name.
+    A day of the plan counts for the weekday that all of ``keys`` name, by default both its week and its day number. Where
+    several days of a plan then count for a weekday, the longest does.
     """
-    planned = scheduled_hours(schedule).filter(F.col("week") == F.col("day"))
-    per_day = [F.max(F.when(F.col("day") == w, F.col("minutes"))).alias(f"m{w}") for w in WEEKDAYS]
-    return planned.groupBy("shift").agg(*per_day)
+    planned = scheduled_hours(schedule)
+
+    def on(w: int) -> Column:
+        return reduce(and_, [F.col(k) == w for k in keys])
+
+    return planned.groupBy("shift").agg(*[F.max(F.when(on(w), F.col("minutes"))).alias(f"m{w}") for w in WEEKDAYS])
 
 
 def ideal_minutes(first: Column, last: Column, default: Column) -> Column:
@@ -198,17 +202,22 @@ def is_absent_day(hours: Column, planned: Column) -> Column:
     return F.when(F.try_divide(hours, planned) < 0.5, 0).otherwise(1)
 
 
+def planned_hours(emp: DataFrame, shifts: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Planned hours of the day for each employee, from the catalogue of shifts."""
+    return (
+        emp.select(*EMPLOYEE, "shift")
+        .join(shifts.select("shift").distinct(), "shift")
+        .join(catalogue.select("shift", "main_hours", "secondary_hours", "secondary_weekday"), "shift", "left")
+    )
+
+
 def absence_days(
-    events: DataFrame,
-    emp: DataFrame,
-    shifts: DataFrame,
-    catalogue: DataFrame,
-    since: DateLike | None,
-    until: DateLike | None = None,
+    events: DataFrame, planned: DataFrame, since: DateLike | None, until: DateLike | None = None
 ) -> DataFrame:
     """Medical and unexcused absence days per employee, with one scan of the events.
 
-    Hours add up per employee and date first; that total decides whether the day counts.
+    ``planned`` has the hours of each employee's shift. HH.MM quantities become minutes row by row and add up per employee
+    and date; that total decides whether the day counts.
     """
     medical = ~F.col("waiver").isin(codes.NON_MEDICAL_WAIVERS)
     unexcused = (F.col("waiver") == "") & (F.col("code") == codes.UNEXCUSED_CODE)
@@ -216,22 +225,17 @@ def absence_days(
         events.filter(between_open(F.col("date"), since, until) & (medical | unexcused))
         .groupBy(*EMPLOYEE, "date")
         .agg(
-            F.sum(F.when(medical, hhmm_hundredths(F.col("hours_waived")))).alias("medical"),
-            F.sum(F.when(unexcused, hhmm_hundredths(F.col("hours_calc")))).alias("unexcused"),
+            F.sum(F.when(medical, hhmm_minutes(F.col("hours_waived")))).alias("medical"),
+            F.sum(F.when(unexcused, hhmm_minutes(F.col("hours_calc")))).alias("unexcused"),
         )
         .filter("medical > 0 OR unexcused IS NOT NULL")
     )
-    planned = (
-        emp.select(*EMPLOYEE, "shift")
-        .join(shifts.select("shift").distinct(), "shift")
-        .join(catalogue.select("shift", "main_hours", "secondary_hours", "secondary_weekday"), "shift", "left")
-    )
     hours = hours_for_day(F.col("date"))
     flags = daily.join(planned, EMPLOYEE).select(
         *EMPLOYEE,
-        F.when(F.col("medical") > 0, is_absent_day(hundredths_to_hours(F.col("medical")), hours)).alias("medical"),
+        F.when(F.col("medical") > 0, is_absent_day(F.col("medical") / 60, hours)).alias("medical"),
         F.when(
-            F.col("unexcused").isNotNull(), is_absent_day(hundredths_to_hours(F.col("unexcused")), hours)
+            F.col("unexcused").isNotNull(), is_absent_day(F.col("unexcused") / 60, hours)
         ).alias("unexcused"),
     )
     return (

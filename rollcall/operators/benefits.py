@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import codes
 from rollcall.functions.dates import DateLike, as_date, in_month_window, month_end, month_start, weekday_count
+from rollcall.operators.leave import payment_of
 from rollcall.operators.relational import fill_missing, keyed_join, label_by
 
 EMPLOYEE = ["branch", "emp_no"]
@@ -122,10 +123,19 @@ def benefit_people(
     contracts: DataFrame,
     kind: Benefit,
 ) -> DataFrame:
-    """Active employees with all descriptions and the contract of their branch."""
-    people = (
+    """Active employees with all descriptions and the contract of their branch; on the meal card also what it prints."""
+    columns = ["name", "cpf", "admission", "termination", "cost_centre", "union_code", "shift", "dept"]
+    card = {
+        "full_name": F.col("full_name"),
+        "printed_name": F.col("name"),
+        "birth_date": F.date_format("birth", "dd/MM/yyyy"),
+        "sex": F.col("sex"),
+        "site": F.right(F.trim("dept"), F.lit(4)),
+    }
+    own = [c.alias(name) for name, c in card.items()] if kind.site_from_dept else []
+    return (
         emp.filter("termination IS NULL")
-        .select(*EMPLOYEE, "name", "cpf", "admission", "cost_centre", "union_code", "shift", "dept")
+        .select(*EMPLOYEE, *columns, *own)
         .join(cost_centres, ["branch", "cost_centre"])
         .join(unions, "union_code")
         .join(shifts, "shift")
@@ -133,24 +143,42 @@ def benefit_people(
         .join(contracts, "branch", "left")
         .withColumn("contract", F.coalesce("contract", F.lit(codes.UNKNOWN_CONTRACT)))
     )
-    return people.withColumn("site", F.right(F.trim("dept"), F.lit(4))) if kind.site_from_dept else people
+
+
+def with_own_dates(people: DataFrame, holidays: DataFrame, as_of: DateLike, kind: Benefit) -> DataFrame:
+    """``admission_days`` and ``terminated``, which follow from the employee's own row; 0 days for those not admitted then."""
+    counted = F.add_months(as_date(as_of), -1)
+    days = prorata_days(
+        F.dayofmonth("admission"), shift_class(F.col("shift_desc")), counted, holidays_in_month(holidays, counted)
+    )
+    admitted = in_month_window(F.col("admission"), as_of, *kind.admitted_months) & F.col("termination").isNull()
+    left = in_month_window(F.col("termination"), as_of, *kind.terminated_months)
+    return people.withColumns(
+        {
+            "admission_days": F.when(admitted, days).otherwise(0),
+            "terminated": F.coalesce(left, F.lit(False)),
+        }
+    )
 
 
 def enrich_people(
-    people: DataFrame, absences: DataFrame, prorata: DataFrame, terminated: DataFrame, payments: DataFrame
+    people: DataFrame, absences: DataFrame, leave: DataFrame, union_rules: DataFrame, missing_limit: int | None
 ) -> DataFrame:
-    """Employees with absence days, admission days, termination flag and leave payment.
+    """Employees with absence days and leave payment.
 
-    Every side frame has one row per employee; they meet the employees here, so that the benefit rows join once.
+    ``absences`` and ``leave`` have one row per employee; they meet the employees here, so that the benefit rows join
+    once. A paid-leave licence has no payment.
     """
+    rules = union_rules.select("union_code", "maternity_120", "leave_limit_days")
     joined = (
         people.join(absences.select(*EMPLOYEE, "medical_days", "unexcused_days"), EMPLOYEE, "left")
-        .join(prorata.select(*EMPLOYEE, "admission_days"), EMPLOYEE, "left")
-        .join(terminated.select(*EMPLOYEE, "terminated"), EMPLOYEE, "left")
-        .join(payments.select(*EMPLOYEE, "payment"), EMPLOYEE, "left")
-        .withColumn("terminated", F.coalesce("terminated", F.lit(False)))
+        .join(leave.select(*EMPLOYEE, "leave_desc", "days_away"), EMPLOYEE, "left")
+        .join(rules, "union_code", "left")
     )
-    return fill_missing(joined, numbers=["medical_days", "unexcused_days", "admission_days"], texts=["payment"])
+    limit = F.col("leave_limit_days") if missing_limit is None else F.coalesce("leave_limit_days", F.lit(missing_limit))
+    paid = payment_of(F.col("leave_desc"), F.col("days_away"), limit, F.col("maternity_120"))
+    joined = joined.withColumn("payment", F.when(F.col("leave_desc") != codes.PAID_LEAVE, paid))
+    return fill_missing(joined, numbers=["medical_days", "unexcused_days"], texts=["payment"])
 
 
 def benefit_base(rows: DataFrame, people: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def month_columns(month: Column, snapshot: str = "start") -> list[Column]:
     ]
 
 
-def month_dim(spark: SparkSession, first: DateLike, months: int, snapshot: str = "start") -> DataFrame:
+def month_dim(spark: SparkSession, first: DateLike, months: int | Column, snapshot: str = "start") -> DataFrame:
     """One row per month, for a number of months."""
     start = as_date(first)
     month = F.explode(months_between(start, F.add_months(start, months - 1))).alias("month")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import codes
@@ -35,6 +35,14 @@ def open_leaves(
     )
 
 
+def first_leave(
+    leaves: DataFrame, leave_types: DataFrame, as_of: DateLike, excluded: Sequence[str] = tuple(codes.EXCLUDED_LEAVE_TYPES)
+) -> DataFrame:
+    """One running leave per employee: one without an end before one with an end, then the earliest start."""
+    rows = open_leaves(leaves, leave_types, as_of, excluded)
+    return keep_first(rows, EMPLOYEE, ["priority", "start_date", "leave_type"]).drop("priority")
+
+
 def current_leave(
     leaves: DataFrame,
     leave_types: DataFrame,
@@ -43,12 +51,9 @@ def current_leave(
     as_of: DateLike,
     excluded: Sequence[str] = tuple(codes.EXCLUDED_LEAVE_TYPES),
 ) -> DataFrame:
-    """One leave per employee: one without an end before one with an end, then the earliest start."""
-    one = keep_first(
-        open_leaves(leaves, leave_types, as_of, excluded), EMPLOYEE, ["priority", "start_date", "leave_type"]
-    )
+    """The first running leave of each employee, with name and union."""
     people = emp.select(*EMPLOYEE, "name", "union_code").join(unions, "union_code")
-    return one.drop("priority").join(people, EMPLOYEE)
+    return first_leave(leaves, leave_types, as_of, excluded).join(people, EMPLOYEE)
 
 
 def latest_leave(leaves: DataFrame, leave_types: DataFrame, as_of: DateLike) -> DataFrame:
@@ -58,25 +63,28 @@ def latest_leave(leaves: DataFrame, leave_types: DataFrame, as_of: DateLike) ->
     )
 
 
-def leave_payment(leave: DataFrame, union_rules: DataFrame, missing_limit: int | None = 0) -> DataFrame:
+def payment_of(leave_desc: Column, days: Column, limit: Column, maternity_120: Column) -> Column:
     """Whether a leave is paid. The first rule that applies decides:
 
     disability retirement or prison: no; maternity leave paid by the company or extended, where the union grants 120
     days: yes; longer than the union's limit: no; shorter: yes; no days and no limit: no. What is left is undefined.
-    A paid-leave licence has no row. ``missing_limit`` is the limit of a union without a rule.
     """
-    rules = union_rules.select("union_code", "maternity_120", "leave_limit_days")
-    joined = leave.filter(F.col("leave_desc") != codes.PAID_LEAVE).join(rules, "union_code", "left")
-    if missing_limit is not None:
-        joined = joined.fillna(missing_limit, subset=["leave_limit_days"])
-    days, limit = F.col("days_away"), F.col("leave_limit_days")
-    maternity = F.col("leave_desc").isin(codes.MATERNITY_LEAVES) & (F.col("maternity_120") == codes.YES)
-    payment = (
-        F.when(F.col("leave_desc").isin(codes.NEVER_PAID_LEAVES), codes.NOT_PAID)
+    maternity = leave_desc.isin(codes.MATERNITY_LEAVES) & (maternity_120 == codes.YES)
+    return (
+        F.when(leave_desc.isin(codes.NEVER_PAID_LEAVES), codes.NOT_PAID)
         .when(maternity, codes.PAID)
         .when(days > limit, codes.NOT_PAID)
         .when(days < limit, codes.PAID)
         .when((days == 0) & (limit == 0), codes.NOT_PAID)
         .otherwise(codes.UNDEFINED)
     )
-    return joined.withColumn("payment", payment)
+
+
+def leave_payment(leave: DataFrame, union_rules: DataFrame, missing_limit: int | None = 0) -> DataFrame:
+    """Leaves with their payment; a paid-leave licence has no row. ``missing_limit`` is the limit of a union without a rule."""
+    rules = union_rules.select("union_code", "maternity_120", "leave_limit_days")
+    joined = leave.filter(F.col("leave_desc") != codes.PAID_LEAVE).join(rules, "union_code", "left")
+    if missing_limit is not None:
+        joined = joined.fillna(missing_limit, subset=["leave_limit_days"])
+    columns = [F.col(c) for c in ("leave_desc", "days_away", "leave_limit_days", "maternity_120")]
+    return joined.withColumn("payment", payment_of(*columns))

@@ -17,7 +17,9 @@ MARKER = "COMPROVANTE"
 NAME_CHARS = '/\\:*?"<>.-'
 FILE_CHARS = NAME_CHARS + " "
 
-# Where each field stands on a page, and whether it may be empty.
+PAYEE_MARKER = "BENEFICIARIO:"
+
+# Where each field stands on a page, and whether it may be empty. PAYEE_FIELDS stand after PAYEE_MARKER.
 FIELDS = {
     "payer": (r"PAGADOR: (.+?)\n", False),
     "payer_branch": (r"AGENCIA: (\d+) +CONTA", False),
@@ -25,13 +27,14 @@ FIELDS = {
     "payer_doc_no": (r"NR\. DOCUMENTO:\s*(\d*)", True),
     "payee": (r"BENEFICIARIO: +(.+?)\n", False),
     "tax_id": (r"CPF/CNPJ: +([\d.-]+)", False),
-    "payee_branch": (r"(?s)BENEFICIARIO:.*?AGENCIA: (\d+)", False),
-    "payee_account": (r"(?s)BENEFICIARIO:.*?CONTA: ([\d.-]+)", False),
+    "payee_branch": (r"AGENCIA: (\d+)", False),
+    "payee_account": (r"CONTA: ([\d.-]+)", False),
     "paid_on": (r"DATA DO PAGAMENTO: +([\d/]+)", False),
     "amount": (r"VALOR: +([\d.,]+)", False),
     "auth_no": (r"NR. AUTENTICACAO: +([\w.]+)", False),
-    "payee_doc_no": (r"(?s)BENEFICIARIO:.*?NR\. DOCUMENTO:\s*(\d*)", True),
+    "payee_doc_no": (r"NR\. DOCUMENTO:\s*(\d*)", True),
 }
+PAYEE_FIELDS = ["payee_branch", "payee_account", "payee_doc_no"]
 CLEANED = ["payer", "tax_id", "auth_no"]
 NAME_PARTS = ["payee", "tax_id", "paid_on", "auth_no"]
 
@@ -58,9 +61,13 @@ def parse_receipts(pages: DataFrame) -> DataFrame:
 
     The fields come out of a generator, which keeps later filters on them from running the patterns again.
     """
-    text = F.col("text")
-    fields = [capture(text, pattern, empty).alias(name) for name, (pattern, empty) in FIELDS.items()]
-    parsed = pages.select("doc", "page", F.inline(F.array(F.struct(*fields))))
+    at = F.locate(PAYEE_MARKER, F.col("text"))
+    halves = pages.select("doc", "page", "text", F.when(at > 0, F.substring(F.col("text"), at, F.length("text"))).alias("after"))
+    fields = [
+        capture(F.col("after" if name in PAYEE_FIELDS else "text"), pattern, empty).alias(name)
+        for name, (pattern, empty) in FIELDS.items()
+    ]
+    parsed = halves.select("doc", "page", F.inline(F.array(F.struct(*fields))))
     cleaned = parsed.withColumns({c: remove_chars(F.col(c), NAME_CHARS) for c in CLEANED} | {"payee": F.trim("payee")})
     return cleaned.withColumn("amount", brazilian_money(F.col("amount")))
 

@@ -116,6 +116,11 @@ def fill_missing(df: DataFrame, numbers: Sequence[str] = (), texts: Sequence[str
     return df.fillna("", subset=list(texts)) if texts else df
 
 
+def first_rows(df: DataFrame, order: Sequence[str], rows: int = 1) -> DataFrame:
+    """The first rows in an order, as a preview. Each task keeps that many, so nothing is sorted as a whole."""
+    return df.orderBy(*order).limit(rows)
+
+
 def max_or(df: DataFrame, column: str, default) -> DataFrame:
     """One row with the highest value of a column, or the default for an empty frame."""
     return df.agg(F.coalesce(F.max(column), F.lit(default)).alias(column))

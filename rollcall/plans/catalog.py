@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.plans import clock, loads, people, vouchers
+from rollcall.plans import clock, loads, people, tables, vouchers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,6 @@ QUERIES: dict[str, Query] = {
         clock.pending_punches_by_day, clock.surrogate_ids, clock.stream_clockings, clock.stream_pending_by_day,
         loads.high_water_mark, loads.new_files, loads.payroll_ingest, loads.payroll_rejects, loads.stream_payroll,
         loads.all_text, loads.receipt_extract, loads.receipt_rejects, loads.text_markers, loads.consent_register,
-        loads.consent_rejects, loads.first_order, loads.last_order, loads.repeated_texts,
+        loads.consent_rejects, loads.first_order, loads.last_order, loads.repeated_texts, *tables.QUERIES,
     )
 }

@@ -68,7 +68,7 @@ def stream_payroll(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_text(spark: SparkSession, folder: str) -> DataFrame:
-    return report(as_strings(roles.table(spark, folder, "part").select("p_partkey", "p_name", "p_size")))
+    return report(as_strings(roles.table(spark, folder, "part")))
 
 
 def receipt_extract(spark: SparkSession, folder: str) -> DataFrame:

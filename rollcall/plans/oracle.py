@@ -46,10 +46,6 @@ def minutes(column: str) -> str:
     return f"(({hundredths(column)} // 100) * 60 + {hundredths(column)} % 100)"
 
 
-def hours(total: str) -> str:
-    return f"(({total}) // 100 + CAST(({total}) % 100 AS DOUBLE) / 60)"
-
-
 def weekday(date: str, labels: list[str]) -> str:
     return f"([{text_list(labels)}])[isodow({date})]"
 
@@ -333,12 +329,12 @@ def absence_days(until: str | None = None) -> tuple[tuple[str, ...], str]:
         SELECT branch, emp_no, CAST(coalesce(sum(m), 0) AS BIGINT) AS medical_days,
           CAST(coalesce(sum(u), 0) AS BIGINT) AS unexcused_days
         FROM (SELECT branch, emp_no,
-            CASE WHEN med > 0 THEN CASE WHEN {hours('med')} / nullif(planned, 0) < 0.5 THEN 0 ELSE 1 END END AS m,
-            CASE WHEN unx IS NOT NULL THEN CASE WHEN {hours('unx')} / nullif(planned, 0) < 0.5 THEN 0 ELSE 1 END END AS u
+            CASE WHEN med > 0 THEN CASE WHEN med / 60 / nullif(planned, 0) < 0.5 THEN 0 ELSE 1 END END AS m,
+            CASE WHEN unx IS NOT NULL THEN CASE WHEN unx / 60 / nullif(planned, 0) < 0.5 THEN 0 ELSE 1 END END AS u
           FROM (SELECT d.*, {planned} AS planned
             FROM (SELECT branch, emp_no, date,
-                sum({hundredths('hours_waived')}) FILTER (waiver NOT IN ({text_list(codes.NON_MEDICAL_WAIVERS)})) AS med,
-                sum({hundredths('hours_calc')}) FILTER (waiver = '' AND code = '010') AS unx
+                sum({minutes('hours_waived')}) FILTER (waiver NOT IN ({text_list(codes.NON_MEDICAL_WAIVERS)})) AS med,
+                sum({minutes('hours_calc')}) FILTER (waiver = '' AND code = '010') AS unx
               FROM ev WHERE date > DATE '{CYCLE_START}' {upper} GROUP BY ALL) d
             JOIN emp USING (branch, emp_no) JOIN shifts USING (shift) LEFT JOIN catalogue c ON c.shift = emp.shift))
         GROUP BY ALL HAVING sum(m) > 0 OR sum(u) > 0"""
@@ -455,7 +451,8 @@ ORACLE: dict[str, str] = {
     "month_dimension": """
         SELECT CAST(month(m) AS INTEGER) AS month_no, strftime(m, '%m/%Y') AS month_label, CAST(m AS VARCHAR) AS first_day,
           CAST(last_day(m) AS VARCHAR) AS last_day, CAST(last_day(m) + 1 AS VARCHAR) AS snapshot_day
-        FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)""",
+        FROM (SELECT CAST(unnest(generate_series(min(date_trunc('month', o_orderdate)), max(date_trunc('month', o_orderdate)),
+            INTERVAL 1 MONTH)) AS DATE) AS m FROM orders)""",
     "turnover_monthly": sql(TURNOVER, "emp", "months"),
     "turnover_report": sql(f"SELECT month_label, cost_centre, turnover_rate FROM ({TURNOVER})", "emp", "months"),
     "headcount_monthly": sql("""
@@ -533,7 +530,11 @@ ORACLE: dict[str, str] = {
     "benefit_base_food": sql(f"SELECT {BASE} FROM base", "base", base=FOOD),
     "benefit_base_meal_ticket": sql(f"SELECT {BASE} FROM base", "base", base=base("1", "'87'")),
     "benefit_base_meal_sheet": sql(f"SELECT {BASE} FROM base", "base", base=base("1", "'87'", "calc_days")),
-    "benefit_base_meal_card": sql(f"SELECT {BASE}, right(dept, 4) AS site FROM base", "base", base=base("2", "'94'")),
+    "benefit_base_meal_card": sql(f"""
+        SELECT {BASE}, right(dept, 4) AS site, name || ' DA SILVA' AS full_name, name AS printed_name,
+          strftime(DATE '1960-01-01' + CAST(emp_no * 37 % 14000 AS INTEGER), '%d/%m/%Y') AS birth_date,
+          CASE WHEN emp_no % 2 = 0 THEN 'F' ELSE 'M' END AS sex
+        FROM base""", "base", base=base("2", "'94'")),
     "benefit_enrich": enriched(f"SELECT {ENRICHED.format(amount='amount')} FROM rich", FOOD, JULY, JULY, "NULL"),
     "corrected_days": enriched(
         f"SELECT {ENRICHED.format(amount='amount')}, base_days, {CORRECTED} AS corrected_days FROM rich",
@@ -617,7 +618,9 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (o_orderkey % 23 <> 0) AS with_cpf
         FROM sheet_rows ANTI JOIN bad_file USING (file_name) WHERE file_date IS NOT NULL GROUP BY ALL""",
         "sheet_rows", "bad_file"),
-    "all_text": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",
+    "all_text": """
+        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
+          CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
     "receipt_extract": sql("""
         SELECT * FROM receipt WHERE receipt NOT IN (SELECT receipt FROM known_receipt)
         QUALIFY row_number() OVER (PARTITION BY receipt ORDER BY doc, page) = 1""", "receipt", "known_receipt"),
@@ -648,4 +651,41 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_totalprice DESC, o_orderkey DESC) = 1""",
     "repeated_texts": """
         SELECT doc_id, source FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""",
+    "append_orders": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
+    "refresh_orders": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'",
+    "append_rejects": """
+        SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 10 <> 0 THEN 'good' ELSE 'bad' END AS part FROM orders""",
+    "export_report": sql(
+        f"SELECT cost_centre, month_label, CAST(headcount AS VARCHAR) AS headcount FROM ({TURNOVER})", "emp", "months"),
+    "export_by_payment_day": enriched(f"""
+        SELECT branch, CAST(emp_no AS VARCHAR) AS emp_no, CAST(benefit_row AS VARCHAR) AS benefit_row, rule,
+          coalesce(payment_day, 'none') AS payment_day
+        FROM (SELECT *, 'food' AS rule FROM rich WHERE contains(benefit_desc, 'TK VA')
+          UNION ALL SELECT *, 'basket' FROM rich WHERE contains(benefit_desc, 'TK CESTA'))
+        LEFT JOIN (SELECT {cc('n_nationkey')} AS cost_centre,
+            CASE n_nationkey % 4 WHEN 0 THEN '5' WHEN 1 THEN '1' ELSE '0' END AS payment_day
+          FROM nation WHERE n_regionkey <> 3) USING (cost_centre)""", FOOD, JULY, JULY, "0"),
+    "export_by_manager": sql("""
+        SELECT branch, CAST(emp_no AS VARCHAR) AS emp_no, CAST(day AS VARCHAR) AS day, weekday, manager FROM grid""", "grid"),
+    "export_duplicate_punches": sql("""
+        SELECT tenant, value, CAST(date AS VARCHAR) AS date, CAST(minute AS INTEGER) AS minute, pis FROM afd
+        WHERE date IS NOT NULL QUALIFY count(*) OVER (PARTITION BY date, minute, pis) > 1""", "afd"),
+    "export_shift_gaps": sql("SELECT shift, shift_desc FROM catalogue WHERE shift_missing", "catalogue"),
+    "dimension_sheet": f"""
+        SELECT {cc('n_nationkey')} AS cost_centre, CASE n_nationkey % 4 WHEN 0 THEN '5' WHEN 1 THEN '1' ELSE '0' END AS payment_day,
+          '' AS name FROM nation WHERE n_regionkey <> 3""",
+    "receipt_pages": sql("""
+        SELECT doc, page, CAST(length(text) AS INTEGER) AS chars FROM receipt_text WHERE page % 11 <> 0""", "receipt_text"),
+    "target_columns": sql("""
+        SELECT count(branch) AS branch, count(emp_no) AS emp_no, count(termination) AS termination FROM emp""", "emp"),
+    "pay_cycle": """
+        SELECT CAST(d AS VARCHAR) AS as_of, CAST(y AS VARCHAR) AS last_day,
+          CAST(make_date(CAST(year(y) - CASE WHEN month(y) = 1 THEN 1 ELSE 0 END AS BIGINT),
+            CASE WHEN month(y) = 1 THEN 12 ELSE month(y) - 1 END, 21) AS VARCHAR) AS first_day
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, CAST(o_orderdate AS DATE) - 1 AS y FROM orders)""",
+    "employee_lookup": sql("SELECT branch, emp_no, name, cpf FROM emp WHERE cpf = '185' AND branch = '01'", "emp"),
+    "first_punches": "SELECT event_id AS id, user_id AS pis, event_type AS device FROM events ORDER BY event_id LIMIT 10",
+    "planned_by_day": sql("""
+        SELECT shift, CAST(0 AS BIGINT) AS m1, """ + ", ".join(
+        f"CAST(max(minutes) FILTER (day = {w}) AS BIGINT) AS m{w}" for w in range(2, 8)) + " FROM plan GROUP BY ALL", "plan"),
 }

@@ -14,8 +14,11 @@ YEAR = ("1998-01-01", "1999-01-01")
 
 
 def month_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    months = roles.table(spark, folder, "orders").select(F.trunc("o_orderdate", "MM").alias("month")).distinct()
-    return report(months.select(*calendar.month_columns(F.col("month"), "next")))
+    """The months from the first order to the last."""
+    orders = roles.table(spark, folder, "orders")
+    first, last = (orders.agg(f(F.trunc("o_orderdate", "MM"))).scalar() for f in (F.min, F.max))
+    months = F.months_between(last, first).cast("int") + 1
+    return report(calendar.month_dim(spark, first, months, "next"))
 
 
 def turnover_monthly(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,9 +94,7 @@ def absences(spark: SparkSession, folder: str, until: str | None = None) -> Data
     """Absence days of the cycle that starts after ``CYCLE_START``."""
     return absence.absence_days(
         roles.clock_events(spark, folder, roles.CYCLE_START, until),
-        roles.employees(spark, folder),
-        roles.shifts(spark),
-        catalogue(spark, folder),
+        absence.planned_hours(roles.employees(spark, folder), roles.shifts(spark), catalogue(spark, folder)),
         roles.CYCLE_START,
         until,
     )

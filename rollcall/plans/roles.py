@@ -148,6 +148,16 @@ def employees(spark: SparkSession, folder: str) -> DataFrame:
     return project(table(spark, folder, "customer").filter(KEPT_EMPLOYEE), EMPLOYEE)
 
 
+def card_holders(spark: SparkSession, folder: str) -> DataFrame:
+    """Employees with what a meal card shows."""
+    card = {
+        "full_name": "concat(c_name, ' DA SILVA')",
+        "birth": "date_add(DATE '1960-01-01', CAST(c_custkey * 37 % 14000 AS int))",
+        "sex": "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END",
+    }
+    return project(table(spark, folder, "customer").filter(KEPT_EMPLOYEE), EMPLOYEE | card)
+
+
 def normalized_employees(spark: SparkSession, folder: str) -> DataFrame:
     """Employees as the ERP lands them (padded text, ``yyyyMMdd`` dates, delete flag), then normalised."""
     landed = project(table(spark, folder, "customer"), AS_LANDED)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.operators import benefits, headcount
+from rollcall.operators import absence, benefits, leave
 from rollcall.operators.benefits import Benefit
-from rollcall.plans import people, roles
+from rollcall.plans import roles
 from rollcall.plans.report import report
 
 BASE = [
@@ -23,8 +23,9 @@ def rows_of(spark: SparkSession, folder: str, kind: Benefit) -> DataFrame:
 
 
 def people_of(spark: SparkSession, folder: str, kind: Benefit) -> DataFrame:
+    emp = roles.card_holders if kind.site_from_dept else roles.employees
     return benefits.benefit_people(
-        roles.employees(spark, folder),
+        emp(spark, folder),
         roles.cost_centres(spark, folder),
         roles.unions(spark),
         roles.shifts(spark),
@@ -45,12 +46,15 @@ def prorata(spark: SparkSession, folder: str, months: tuple[int, int] = (0, 0))
 
 
 def enriched(spark: SparkSession, folder: str, kind: Benefit) -> DataFrame:
+    staff = benefits.with_own_dates(people_of(spark, folder, kind), roles.holidays(spark), roles.AS_OF, kind)
+    planned = staff.join(roles.shift_hours(spark), "shift_desc", "left")
+    events = roles.clock_events(spark, folder, roles.CYCLE_START)
     staff = benefits.enrich_people(
-        people_of(spark, folder, kind),
-        people.absences(spark, folder),
-        prorata(spark, folder, kind.admitted_months),
-        headcount.terminated_flag(roles.employees(spark, folder), roles.AS_OF, *kind.terminated_months),
-        people.payments(spark, folder, kind.missing_limit),
+        staff,
+        absence.absence_days(events, planned, roles.CYCLE_START),
+        leave.first_leave(roles.leaves(spark, folder), roles.leave_types(spark), roles.AS_OF),
+        roles.union_rules(spark),
+        kind.missing_limit,
     )
     return benefits.benefit_enriched(rows_of(spark, folder, kind), staff)
 
@@ -78,7 +82,7 @@ def benefit_base_meal_sheet(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def benefit_base_meal_card(spark: SparkSession, folder: str) -> DataFrame:
-    return report(base(spark, folder, benefits.MEAL_CARD), *BASE, "site")
+    return report(base(spark, folder, benefits.MEAL_CARD), *BASE, "site", "full_name", "printed_name", "birth_date", "sex")
 
 
 def benefit_enrich(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.operators.relational import all_duplicates, split_by
+from rollcall.operators.relational import all_duplicates
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -20,12 +20,6 @@ def append_jdbc(df: DataFrame, table: str, options: dict[str, str], batch: int =
     df.write.format("jdbc").options(**options).option("dbtable", table).option("batchsize", batch).mode("append").save()
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write a frame once and read it back, so that what follows does not work it out again."""
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table in one job. ``df`` must not read the table it replaces."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -37,11 +31,19 @@ def refresh_jdbc(df: DataFrame, table: str, options: dict[str, str], batch: int
     writer.option("batchsize", batch).mode("overwrite").save()
 
 
-def append_with_rejects(df: DataFrame, valid: Column, path: str, rejects: str) -> None:
-    """Add the valid rows to a table and the others to a table of rejects."""
-    good, bad = split_by(df, valid)
-    append(good, path)
-    append(bad, rejects)
+def append_with_rejects(df: DataFrame, valid: Column, path: str) -> None:
+    """Add rows to a table and those that are not valid to its rejects, in one job: the folders ``valid=true`` and ``valid=false``."""
+    df.withColumn("valid", F.coalesce(valid, F.lit(False))).write.mode("append").partitionBy("valid").parquet(path)
+
+
+def accepted(spark: SparkSession, path: str) -> DataFrame:
+    """Valid rows that ``append_with_rejects`` wrote."""
+    return spark.read.parquet(path).filter("valid = true").drop("valid")
+
+
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that ``append_with_rejects`` rejected."""
+    return spark.read.parquet(path).filter("valid = false").drop("valid")
 
 
 def export(df: DataFrame, path: str) -> None:
@@ -49,9 +51,11 @@ def export(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def export_by(df: DataFrame, column: str, path: str) -> None:
-    """A report split by the values of a column, one folder per value."""
-    df.write.mode("overwrite").partitionBy(column).option("header", "true").csv(path)
+def export_by(df: DataFrame, column: str, path: str, files: int = 8) -> None:
+    """A report split by the values of a column: one folder per value, with ``files`` files at most, however many tasks write."""
+    part = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(files))
+    writer = df.repartition(F.col(column), part).write.mode("overwrite")
+    writer.partitionBy(column).option("header", "true").csv(path)
 
 
 def export_duplicates(df: DataFrame, keys: Sequence[str], path: str) -> None:

@@ -17,8 +17,9 @@ def test_base_variants(spark):
     )
     defs = spark.createDataFrame([("10", "TK VA", "2"), ("20", "TK CESTA", "2"), ("30", "VR DIAS", "1"), ("40", "CARD", "2")], "benefit_code string, benefit_desc string, voucher_type string")
     emp = spark.createDataFrame(
-        [("1", 1, "a", "1", D(2020, 1, 1), None, "C", "U", "S", "DP1234 "), ("1", 2, "b", "2", D(2020, 1, 1), None, "C", "U", "S", "DP1234 "), ("9", 3, "c", "3", D(2020, 1, 1), None, "C", "U", "S", "DP1234 "), ("1", 4, "gone", "4", D(2020, 1, 1), D(2024, 1, 1), "C", "U", "S", "DP1234 ")],
-        E + ", name string, cpf string, admission date, termination date, cost_centre string, union_code string, shift string, dept string",
+        [("1", 1, "a", "1", D(2020, 1, 1), None, "C", "U", "S", "DP1234 ", "a b", D(1990, 12, 31), "F"), ("1", 2, "b", "2", D(2020, 1, 1), None, "C", "U", "S", "DP1234 ", "b b", None, "M"),
+         ("9", 3, "c", "3", D(2020, 1, 1), None, "C", "U", "S", "DP1234 ", "c d", D(1990, 12, 31), "F"), ("1", 4, "gone", "4", D(2020, 1, 1), D(2024, 1, 1), "C", "U", "S", "DP1234 ", "g", None, "F")],
+        E + ", name string, cpf string, admission date, termination date, cost_centre string, union_code string, shift string, dept string, full_name string, birth date, sex string",
     )
     dims = [
         spark.createDataFrame([("1", "C", "c"), ("9", "C", "c ABANDONO")], "branch string, cost_centre string, cost_centre_desc string"),
@@ -35,7 +36,9 @@ def test_base_variants(spark):
     ticket, sheet = base(benefits.MEAL_TICKET).first(), base(benefits.MEAL_TICKET_SHEET).first()
     assert (ticket.base_days, ticket.unused_days, sheet.base_days) == (18, 4, 17)
     card = base(benefits.MEAL_CARD)
-    assert (card.first().contract, card.first().site) == ("Verificar", "1234")
+    one = card.first()
+    assert (one.contract, one.site) == ("Verificar", "1234")
+    assert (one.full_name, one.printed_name, one.birth_date, one.sex) == ("c d", "c", "31/12/1990", "F")
     assert [r.part for r in benefits.abandonment_split(card).collect()] == ["abandonment"]
     assert [r.part for r in benefits.abandonment_split(base(benefits.MEAL_TICKET)).collect()] == ["other"]
 
@@ -71,17 +74,27 @@ def test_prorata_uses_previous_month(spark):
     assert [r.emp_no for r in earlier.collect()] == [4]
 
 
-def test_enrich(spark):
-    people = spark.createDataFrame([("1", 1), ("1", 2)], E)
-    one = spark.createDataFrame([("1", 1)], E)
-    staff = benefits.enrich_people(
-        people,
-        one.withColumns({"medical_days": F.lit(2), "unexcused_days": F.lit(1)}),
-        one.withColumn("admission_days", F.lit(4)),
-        one.withColumn("terminated", F.lit(True)),
-        one.withColumn("payment", F.lit("PAGA")),
+def test_own_dates(spark):
+    people = spark.createDataFrame(
+        [("1", 1, D(2024, 1, 31), None, "ADM"), ("1", 2, D(2023, 12, 1), None, "ADM"), ("1", 3, D(2024, 1, 5), D(2024, 1, 9), "ADM")],
+        E + ", admission date, termination date, shift_desc string",
     )
-    rows = spark.createDataFrame([("1", 1, 2.5), ("1", 2, 2.5), ("1", 3, 2.5)], E + ", unit_value double")
-    got = {r.emp_no: tuple(r)[2:] for r in benefits.benefit_enriched(rows, staff).select(
-        "branch", "emp_no", "medical_days", "unexcused_days", "admission_days", "terminated", "payment", "admission_amount").collect()}
-    assert got == {1: (2, 1, 4, True, "PAGA", 10.0), 2: (0, 0, 0, False, "", 0.0)}
+    holidays = spark.createDataFrame([(D(2023, 12, 25),)], "date date")
+    got = benefits.with_own_dates(people, holidays, "2024-01-10", benefits.FOOD).collect()
+    assert {r.emp_no: (r.admission_days, r.terminated) for r in got} == {1: (-2, False), 2: (0, False), 3: (0, True)}
+
+
+def test_enrich(spark):
+    people = spark.createDataFrame([("1", 1, "U", 4), ("1", 2, "U", 0), ("1", 4, "V", 0)], E + ", union_code string, admission_days int")
+    absences = spark.createDataFrame([("1", 1, 2, 1)], E + ", medical_days int, unexcused_days int")
+    leave = spark.createDataFrame([("1", 1, "DOENCA", 5), ("1", 4, "DOENCA", 5)], E + ", leave_desc string, days_away int")
+    rules = spark.createDataFrame([("U", "NAO", 15)], "union_code string, maternity_120 string, leave_limit_days int")
+    rows = spark.createDataFrame([("1", 1, 2.5), ("1", 2, 2.5), ("1", 3, 2.5), ("1", 4, 2.5)], E + ", unit_value double")
+    columns = ["medical_days", "unexcused_days", "admission_days", "payment", "admission_amount"]
+
+    def rich(missing):
+        staff = benefits.enrich_people(people, absences, leave, rules, missing)
+        return {r[0]: tuple(r)[1:] for r in benefits.benefit_enriched(rows, staff).select("emp_no", *columns).collect()}
+
+    assert rich(0) == {1: (2, 1, 4, "PAGA", 10.0), 2: (0, 0, 0, "", 0.0), 4: (0, 0, 0, "NÃO PAGA", 0.0)}
+    assert rich(None)[4][3] == "UNDEFINED"

@@ -75,9 +75,13 @@ def test_dates(spark):
     }
 
 
-def test_pay_cycle():
-    assert dates.pay_cycle(dt.date(2024, 1, 10)) == (dt.date(2023, 12, 21), dt.date(2024, 1, 9))
-    assert dates.pay_cycle(dt.date(2024, 3, 1)) == (dt.date(2024, 1, 21), dt.date(2024, 2, 29))
+def test_pay_cycle(spark):
+    def cycle(day):
+        first, last = dates.pay_cycle(day)
+        return tuple(one(spark, first=first, last=last))
+
+    assert cycle(dt.date(2024, 1, 10)) == (dt.date(2023, 12, 21), dt.date(2024, 1, 9))
+    assert cycle("2024-03-01") == (dt.date(2024, 1, 21), dt.date(2024, 2, 29))
 
 
 def test_hours(spark):

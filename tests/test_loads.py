@@ -129,16 +129,17 @@ def test_sinks(spark, tmp_path):
     tables.refresh(df, table)
     tables.refresh(df, table)
     assert spark.read.parquet(table).count() == 3
-    tables.append_with_rejects(df, F.col("id") > 1, str(tmp_path / "good"), str(tmp_path / "bad"))
-    assert (spark.read.parquet(str(tmp_path / "good")).count(), spark.read.parquet(str(tmp_path / "bad")).count()) == (2, 1)
+    checked = str(tmp_path / "checked")
+    tables.append_with_rejects(df, F.when(F.col("id") > 1, F.lit(True)), checked)
+    assert (tables.accepted(spark, checked).count(), tables.rejected(spark, checked).count()) == (2, 1)
+    assert tables.rejected(spark, checked).columns == df.columns
     tables.export_by(df, "payment_day", str(tmp_path / "split"))
     assert sorted(p.name for p in (tmp_path / "split").glob("payment_day=*")) == ["payment_day=1", "payment_day=5", "payment_day=none"]
     tables.export_duplicates(df.union(df.filter("id = 1")), ["id"], str(tmp_path / "dq"))
     assert spark.read.option("header", True).csv(str(tmp_path / "dq")).count() == 2
-    staged = tables.stage(df, str(tmp_path / "staged"))
-    assert staged.schema == df.schema and staged.count() == 3
-    with pytest.raises(Exception):
-        tables.stage(df, str(tmp_path / "staged"))
+    wide = spark.range(0, 4000, 1, 16).select((F.col("id") % 2).alias("part"), "id")
+    tables.export_by(wide, "part", str(tmp_path / "wide"), files=3)
+    assert all(0 < len(list((tmp_path / "wide" / f"part={i}").glob("part-*"))) <= 3 for i in (0, 1))
     gaps = df.withColumn("shift_missing", F.col("id") == 3)
     tables.export_gaps(gaps, str(tmp_path / "gaps"))
     assert spark.read.option("header", True).csv(str(tmp_path / "gaps")).count() == 1

@@ -146,10 +146,10 @@ def test_catalogue_and_absence_days(spark, emp, hours):
             (9, D(2024, 2, 5), "010", "", 0.10, 0.0),       # shift not in the sheet: counts
         ],
     )
-    got = absence.absence_days(ev, more, shifts, catalogue, "2024-01-31")
+    got = absence.absence_days(ev, absence.planned_hours(more, shifts, catalogue), "2024-01-31")
     assert {r.emp_no: (r.medical_days, r.unexcused_days) for r in got.collect()} == {1: (1, 2), 3: (0, 1), 9: (0, 1)}
     assert [r.emp_no for r in absence.medical_days(got).collect()] == [1]
-    bounded = absence.absence_days(ev, more, shifts, catalogue, "2024-01-31", "2024-02-06")
+    bounded = absence.absence_days(ev, absence.planned_hours(more, shifts, catalogue), "2024-01-31", "2024-02-06")
     assert {r.emp_no for r in bounded.collect()} == {1, 9}
 
 
