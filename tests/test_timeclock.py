@@ -53,7 +53,7 @@ def test_reconcile_and_daily(spark):
     assert got == {(1, 485): (2, True), (1, 61): (1, False), (2, 720): (1, False)}
     daily = tc.with_parity(tc.daily_punches(matched.withColumn("work_date", F.col("date"))))
     lists = {r.emp_no: (r.punches, r.inconsistent) for r in daily.collect()}
-    assert lists == {1: ("01:01:00 | 08:05:00 | 08:05:00", True), 2: ("12:00:00", True)}
+    assert lists == {1: ("01:01:00 | 08:05:00 x2", True), 2: ("12:00:00", True)}
 
 
 def test_grid_and_timesheet(spark):
@@ -71,7 +71,7 @@ def test_grid_and_timesheet(spark):
     events = tc.pivot_events(ledger)
     sheet = tc.timesheet(grid, events).orderBy("day").collect()
     assert len(sheet) == 3 and sheet[0].absence_events == ""
-    assert sheet[1].absence_events == "ATRASO | FALTA    | FALTA    | SAIDA ANTECIPADA"
+    assert sheet[1].absence_events == "ATRASO | FALTA    x2 | SAIDA ANTECIPADA"
     assert (sheet[1].overtime_events, sheet[1].other_events) == ("HE 60% - IN", "x")
 
 
@@ -99,3 +99,21 @@ def test_pending_is_idempotent(spark):
     assert sorted(r.id for r in first.collect()) == ["1", "105", "3"]
     assert {r.date: r.punches for r in tc.pending_by_day(first).collect()} == {"20240301": 3}
     assert tc.pending_punches(rows, emp, loaded.union(first.select("id"))).count() == 0
+
+
+def test_each_event_day_is_on_the_sheet_once(spark):
+    """Every event day of an employee on the grid, in the month of the timesheet, is on exactly one line of it."""
+    from pathlib import Path
+
+    from rollcall.plans import clock, roles
+
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        return
+    ledger = tc.event_ledger(*clock.ledger_tables(spark, folder, roles.SHEET_FIRST, roles.SHEET_END))
+    people = clock.grid(spark, folder).select("branch", "emp_no").distinct()
+    days = roles.shifted(tc.pivot_events(ledger), "date").join(people, ["branch", "emp_no"], "left_semi")
+    names = ["overtime_events", "absence_events", "other_events"]
+    want = sorted((r.branch, r.emp_no, str(r.date), *(r[n] for n in names)) for r in days.collect())
+    rows = clock.timesheet(spark, folder).filter(" OR ".join(f"{n} <> ''" for n in names))
+    assert want and want == sorted((r.branch, r.emp_no, r.day, *(r[n] for n in names)) for r in rows.collect())
