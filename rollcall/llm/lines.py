@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import staged
+
 MIN_CHARS, MIN_DOCUMENTS = 40, 5
 BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -161,12 +163,15 @@ def drop_shared_lines(
     suspects = hashed.withColumn("__held", suspected(bits, segments)("__hashes")).select(
         "__id", F.explode(F.filter("__keys", lambda k, i: F.element_at("__held", i + 1))).alias("__key")
     )
+    suspects = staged(suspects)
     shared = (
         suspects.groupBy("__key")
         .agg(F.count(F.lit(1)).alias("__n"), F.max("__id").alias("__keeper"))
         .where(F.col("__n") >= min_documents)
         .select("__key", "__keeper")
     )
+    # A table of its own: the join below then reads plain shuffles, whose hot keys the planner can split.
+    shared = staged(shared)
     gone = (
         suspects.join(shared, "__key")
         .where(~F.col("__id").eqNullSafe(F.col("__keeper")))
