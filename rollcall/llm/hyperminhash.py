@@ -28,8 +28,8 @@ FEW = 40
 EMPTY = np.uint16(0xFFFF)
 #: An estimate must lie this many standard errors below the threshold to drop a pair.
 ERRORS = 6
-#: Rounds in which the members of a bucket are compared with one of them, and documents of a block where all are compared.
-ROUNDS, BLOCK = 2, 256
+#: Documents of a block where all are compared.
+BLOCK = 256
 
 _random = np.random.default_rng(7)
 SEEDS = _random.integers(1, 2**63, REGISTERS, dtype=np.uint64)
@@ -344,22 +344,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     buckets = staged(shared_buckets(banded(classes)))
     regs = classes.select("node", "n", "many", "few").dropDuplicates(["node"])
-    hubs = buckets.where("node <> hub").select("node", "hub")
-    families = labels = None
-    for turn in range(ROUNDS):
-        # Members of a bucket meet one of them; pairs that the registers leave possible make families, those confirmed are links.
-        if turn:
-            chosen = known.groupBy("key").agg(F.min_by(F.struct("node", "family"), F.xxhash64("node")).alias("hub"))
-            hubs = known.join(chosen, "key").where("family <> hub.family").select("node", F.col("hub.node").alias("hub"))
-        pairs = hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        near = staged(promising(pairs, regs, percent))
-        labels = components(confirmed(near, docs, id_col, text_col, percent), labels)
-        families = components(near, families)
-        known = buckets.select("key", "node").join(families.withColumnRenamed("component", "family"), "node", "left")
-        known = known.withColumn("family", F.coalesce("family", "node"))
+    # Members of a bucket meet the smallest of them; pairs that the registers leave possible make families.
+    pairs = buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    near = staged(promising(pairs, regs, percent))
+    families = components(near).withColumnRenamed("component", "family")
+    labels = components(confirmed(near, docs, id_col, text_col, percent))
     # All pairs inside a family, then all pairs of a bucket that are in different families.
-    members = families.withColumnRenamed("component", "family").join(labels, "node", "left")
+    members = families.join(labels, "node", "left")
     inside = family_links(members.withColumn("component", F.coalesce("component", "node")), docs, id_col, text_col, percent)
+    known = buckets.select("key", "node").join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
     mixed = known.groupBy("key").agg(F.min("family").alias("least"), F.max("family").alias("most")).where("least < most")
     across = staged(block_pairs(known.join(mixed.select("key"), "key"), regs, percent))
     labels = components(inside.union(confirmed(across, docs, id_col, text_col, percent)), labels)
