@@ -262,6 +262,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = staged(anchor_rows(docs, span))
     # Anchors that occur more than once, and whether with different surroundings.
     often = found.groupBy("a").agg((F.min("f") != F.max("f")).alias("mixed"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    often = staged(often)  # joins with a written table read plain shuffles, whose hot keys the planner can split
     entries = staged(
         found.join(often.select("a", "mixed"), "a")
         .groupBy("a", "f", "mixed")
@@ -276,7 +277,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         contexts = staged(contexts)
         spans = indexed_spans(contexts.join(large, "a", "left_anti"), span).union(counted_spans(contexts.join(large, "a", "left_semi"), span))
     whole = entries.where("not mixed and n > 1").select("a", "f", F.lit(0).cast("long").alias("first"), (F.col("one.tail") - F.col("one.head")).alias("last"))
-    spans = spans.union(whole).groupBy("a", "f").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = staged(spans.union(whole).groupBy("a", "f").agg(F.collect_list(F.struct("first", "last")).alias("spans")))
     gone = (
         found.select("id", "same", "a", "f", "head")
         .join(spans, ["a", "f"])
