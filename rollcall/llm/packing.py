@@ -21,9 +21,10 @@ from .tokens import worker_encoder
 
 SEQUENCE, END_ID = 4096, 1
 #: Lengths are priced in so many classes at most: sizes are rounded up to a class, and best fit uses what that leaves.
-CLASSES = 256
-#: The share of all tokens, in the shortest pieces, that is kept back to fill gaps.
-FILLER = 0.02
+CLASSES = 512
+#: Shares of all tokens, in the shortest pieces, that are kept back for best fit; the better of the plans is taken. The program
+#: decides which of the longer pieces share a sequence, and the short ones fill what its rounded sizes leave.
+FILLERS = (0.05, 0.5)
 STEP = 0.15
 #: Pieces of one length are ranked in groups of about so many.
 RANKED = 100_000
@@ -120,12 +121,17 @@ class Bins:
 
 def plan(histogram: dict[int, int], size: int = SEQUENCE, unit: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """Groups of equal bins that hold all pieces of the histogram (length: number); ``unit``: the width of a class."""
-    unit = unit or max(1, size // CLASSES)
+    plans = [filled(histogram, size, unit or max(1, size // CLASSES), share) for share in FILLERS]
+    return min(plans, key=lambda groups: sum(number for _, number in groups))
+
+
+def filled(histogram: dict[int, int], size: int, unit: int, share: float) -> list[tuple[tuple[int, ...], int]]:
+    """The plan that keeps back ``share`` of the tokens."""
     left = np.zeros(size + 1, np.int64)
     for length, number in histogram.items():
         left[length] = number
     tokens = left * np.arange(size + 1)
-    filler = int(np.searchsorted(np.cumsum(tokens), FILLER * tokens.sum())) if tokens.any() else 0
+    filler = int(np.searchsorted(np.cumsum(tokens), share * tokens.sum())) if tokens.any() else 0
     classes = -(-np.arange(size + 1) // unit)
     planned = left.copy()
     planned[: filler + 1] = 0
