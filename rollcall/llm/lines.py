@@ -154,14 +154,16 @@ def drop_shared_lines(
     named ``n_lines`` or ``n_dropped`` are replaced.
     """
     spark = docs.sparkSession
-    keys = docs.select(F.col(id_col).alias("__id"), long_keys(text_col, min_chars).alias("__keys"))
-    hashed = keys.select("__id", "__keys", F.transform("__keys", lambda k: F.xxhash64(k)).alias("__hashes"))
+    # A row is told by id and text, so that rows that share an id, or have none, do not meet in one group.
+    same = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    keys = docs.select(F.col(id_col).alias("__id"), same.alias("__same"), long_keys(text_col, min_chars).alias("__keys"))
+    hashed = keys.withColumn("__hashes", F.transform("__keys", lambda k: F.xxhash64(k)))
     # A line of min_chars code points has at least as many bytes: this bounds the number of lines.
     chars = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     segments = int(min(MAX_SEGMENTS, max(1, -(-chars // min_chars) * BITS_PER_LINE // 2 // SEGMENT_BITS + 1)))
     bits = spark.sparkContext.broadcast(repeat_filter(hashed.select("__hashes"), segments))
     suspects = hashed.withColumn("__held", suspected(bits, segments)("__hashes")).select(
-        "__id", F.explode(F.filter("__keys", lambda k, i: F.element_at("__held", i + 1))).alias("__key")
+        "__id", "__same", F.explode(F.filter("__keys", lambda k, i: F.element_at("__held", i + 1))).alias("__key")
     )
     suspects = staged(suspects)
     shared = (
@@ -175,11 +177,11 @@ def drop_shared_lines(
     gone = (
         suspects.join(shared, "__key")
         .where(~F.col("__id").eqNullSafe(F.col("__keeper")))
-        .groupBy("__id")
+        .groupBy("__id", "__same")
         .agg(F.collect_set("__key").alias("__gone"))
     )
     others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]), "left")
+    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (same == gone["__same"]), "left")
     return joined.select(
         *[docs[c] for c in others], without_lines(F.coalesce(docs[text_col], F.lit("")), F.col("__gone")).alias("__out")
     ).select(*[c for c in others], F.col("__out.text").alias(text_col), "__out.n_lines", "__out.n_dropped")
