@@ -33,8 +33,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, its lineage cut; the folder is set where the session names none."""
+    prepare(df.sparkSession)
+    return df.checkpoint()
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder as a table and read again: later jobs start from the table."""
+    """``df`` written to the shared folder as a table and read again: later jobs start from the table. The table stays, as results
+    may still read it; whoever owns the folder clears it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)

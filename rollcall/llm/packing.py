@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import checkpointed
 from .tokens import worker_encoder
 
 SEQUENCE, END_ID = 4096, 1
@@ -231,7 +232,7 @@ def pack_documents(
     alone. A repeated row is packed again. Ties among pieces of a length go by id, then piece. An empty table packs to no row; other
     columns are not read. ``packed_ids`` gives the ids of the sequences.
     """
-    pieces = token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id, with_ids=False).checkpoint()
+    pieces = checkpointed(token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id, with_ids=False))
     counted = pieces.groupBy("length").count().collect()  # a row for each length: ``size`` rows at most
     table = docs.sparkSession.sparkContext.broadcast(places(plan({r["length"]: r["count"] for r in counted}, size)))
     groups = F.pmod(F.xxhash64(id_col, "piece"), F.lit(1 + sum(r["count"] for r in counted) // RANKED))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, text_bytes
+from .common import checkpointed, pieces, text_bytes
 from .labelled import labelled_sample
 from .words import BYTE_VALUE, inverse_powers, mix, running_hash, words
 
@@ -208,7 +208,8 @@ def train_toxicity(
     groups=IDENTITY_TERMS, swap: float = SWAP,
 ) -> ToxicityModel:
     """A model of ``label`` over whole texts, fitted on a bounded sample of the given labels."""
-    sample = labelled_sample(docs.select(id_col, text_col), labels, label, id_col, rows).select("__label", text_col).checkpoint()
+    sample = labelled_sample(docs.select(id_col, text_col), labels, label, id_col, rows)
+    sample = checkpointed(sample.select("__label", text_col))
     classes = {r["__label"]: r["count"] for r in sample.groupBy("__label").count().collect()}
     total, positive = sum(classes.values()), sum(n for k, n in classes.items() if k > 0)
     chosen = np.zeros(0, np.int64)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, shared_folder
+from .common import checkpointed, clean_text, shared_folder
 
 REVISIT_BYTES = 1000
 #: An archive ends with the record that takes it past so many bytes.
@@ -158,7 +158,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         if out is not None:
             yield close()
 
-    return rows.mapInArrow(run, "archive string, bytes long, records long").checkpoint()
+    return checkpointed(rows.mapInArrow(run, "archive string, bytes long, records long"))
 
 
 def frames(stream, chunk: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
