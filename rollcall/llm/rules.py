@@ -83,13 +83,16 @@ def holds(x: np.ndarray, conditions: tuple[Condition, ...]) -> np.ndarray:
 
 def lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[float, np.ndarray]:
     """Bias and weights that minimise the mean logistic loss plus ``penalty`` times the sum of absolute weights (accelerated
-    proximal gradient; the bias is not penalised)."""
-    x = np.column_stack([np.ones(len(x)), x])
-    step = 4 * len(x) / max(np.linalg.norm(x, 2) ** 2, 1e-9)
-    w, ahead, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
+    proximal gradient; the bias is not penalised). One single-precision copy of ``x`` is all that is held."""
+    x, y = np.asarray(x, np.float32), np.asarray(y, np.float32)
+    n, k = x.shape
+    step = 4 * n / (n + max(float(np.linalg.eigvalsh(x.T @ x)[-1]), 1e-9)) if k else 4.0
+    # The bias stands at place 0.
+    w, ahead, t = np.zeros(k + 1), np.zeros(k + 1), 1.0
     for _ in range(steps):
-        slope = x.T @ (1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30))) - y) / len(x)
-        new = ahead - step * slope
+        margin = x @ ahead[1:].astype(np.float32) + np.float32(ahead[0])
+        off = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y
+        new = ahead - step * np.concatenate([[off.mean()], off @ x / n])
         new[1:] = np.sign(new[1:]) * np.maximum(np.abs(new[1:]) - step * penalty, 0)
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         ahead = new + (before - 1) / t * (new - w)
@@ -108,7 +111,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 8) -> RuleModel:
     fired = np.column_stack([holds(x, p) for p in paths])
     _, unlike = np.unique(fired, axis=1, return_index=True)  # rules that hold for the same rows count once
     paths, fired = [paths[i] for i in sorted(unlike)], fired[:, sorted(unlike)]
-    bias, weights = lasso_logistic(fired.astype(np.float64), y.astype(np.float64))
+    bias, weights = lasso_logistic(fired, y)
     return RuleModel(bias, tuple((p, float(w)) for p, w in zip(paths, weights) if w))
 
 
