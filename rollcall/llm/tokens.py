@@ -11,7 +11,7 @@ from itertools import islice
 from types import ModuleType
 
 #: Chunks that a worker process keeps encoded, at most; then it goes on with the first, which are the common ones.
-KEPT_CHUNKS, FIRST_CHUNKS = 1_000_000, 300_000
+KEPT_CHUNKS, FIRST_CHUNKS = 850_000, 450_000
 ENDINGS = ".,;:!?"
 
 
