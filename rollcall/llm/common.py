@@ -39,11 +39,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder as a table and read again: later jobs start from the table. The table stays, as results
     may still read it; whoever owns the folder clears it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = new_folder(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,8 +12,11 @@ from .hyperminhash import near_duplicates
 from .labelled import remainder
 from .lines import drop_shared_lines
 from .packing import pack_documents
+from .periods import periodic_runs
+from .repair import repair_report, repaired_digests
 from .runindex import remove_repeats
 from .rules import score_quality, train_quality
+from .shards import read_shards, write_shards
 from .tokens import word_tokenizer
 from .topk import top_k, whole_vector
 from .toxicity import score_toxicity, train_toxicity
@@ -81,7 +84,86 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(rows.where(F.col("vec_id") % 100 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_format, op3_repeats, op4_warc, op5_toxicity, op6_packing, op7_near_dedup, op8_quality, op9_line_dedup, op10_topk)}
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    text = F.coalesce("text", F.lit(""))
+    return read_shards(docs, write_shards(docs)).select(
+        "doc_id",
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults: the hash of conversation and turn drops, empties, cuts, repeats or reroles a turn."""
+    space = F.lit(" ")
+    number = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(number[0], F.lit(":"), number[1]).cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    hurt = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    rows = turns.where(fault != 0).select("conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"), hurt.alias("text"), fault.alias("fault"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1)))).drop("col")
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    rows = damaged(turns)
+    report = repair_report(rows)
+    digests = repaired_digests(rows, report).withColumnRenamed("conv_id", "id")
+    report = report.withColumnRenamed("conv_id", "of")
+    both = turns.select("conv_id").distinct().join(report, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    both = both.join(digests, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return both.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents, of which each whose hash is divisible by ten has words that repeat from one place to its end."""
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
+    some = docs.where((number % 10 == 0) & F.col("text").isNotNull()).withColumns({"__words": words, "__g": F.floor(number / 10)})
+    some = some.withColumn("__n", F.size("__words").cast("long"))
+    some = some.withColumn("__a", F.when(F.col("__n") > 0, F.col("__g") % F.col("__n")).otherwise(0).cast("int"))
+    some = some.withColumn("__p", (F.floor((F.col("__n") - F.col("__a")) / (F.col("__g") % 8 + 3)) + 1).cast("int"))
+    rest = (F.col("__n") - F.col("__a")).cast("int")
+    period = F.array_repeat(F.slice("__words", F.col("__a") + 1, F.col("__p")), F.ceil(rest / F.col("__p")).cast("int"))
+    made = F.concat(F.slice("__words", F.lit(1), F.col("__a")), F.slice(F.flatten(period), F.lit(1), rest))
+    some = some.withColumn("text", F.when(F.col("__n") > 0, F.array_join(made, " ")).otherwise(F.col("text")))
+    others = docs.where((number % 10 != 0) | F.col("text").isNull())
+    return others.unionByName(some.select(*docs.columns))
+
+
+def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
+    out = periodic_runs(with_periods(table(spark, folder, "documents").select("doc_id", "text")))
+    # The longest run; of equal ones the first, then that of the smallest period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("s"), r["period"].alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = out.withColumns({"__best": best, "__listed": F.array_join(listed, "")})
+    length, period = -F.col("__best.n"), F.col("__best.p")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("__best.s").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.call_function("div", length * 1000, period).alias("exponent_milli"),
+        F.sha2(F.col("__listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_chat_format, op3_repeats, op4_warc, op5_toxicity, op6_packing, op7_near_dedup, op8_quality,
+        op9_line_dedup, op10_topk, op11_sharding, op12_repair, op13_periods,
+    )
+}
 
 ORACLE: dict[str, str] = {
     "op2_chat_format": r"""
@@ -144,5 +226,120 @@ WITH vectors AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
 )
 SELECT * FROM ranked WHERE rank <= 10
+""",
+    "op12_repair": """
+WITH RECURSIVE source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                          lambda c: ascii(c)::BIGINT) AS bytes
+    FROM conversations
+), fault AS (
+    SELECT *, CRC32(bytes) % 20 AS f FROM source
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+           CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN f = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM fault WHERE f <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           rtrim(translate(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' ') AS shown
+    FROM damaged
+), judged AS (
+    SELECT *, shown = '' AS blank,
+           shown <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+           left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+    FROM placed
+), turns AS (
+    SELECT *, NOT blank AND NOT duplicate AND right(shown, 1) NOT IN ('.', '!', '?') AS truncated FROM judged
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+           count(*) FILTER (i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+    FROM turns GROUP BY conv_id
+), moves(q, letter, price, initial, r) AS (
+    VALUES (0, 'D', 3, '', 0), (1, 'D', 3, '', 1), (2, 'D', 3, '', 2), (3, 'D', 3, '', 3), (0, 'K', 0, 's', 1), (0, 'K', 0, 'u', 2), (1, 'K', 0, 'u', 2),
+           (3, 'K', 0, 'u', 2), (2, 'K', 0, 'a', 3), (0, 'R', 2, '', 2), (1, 'R', 2, '', 2), (2, 'R', 2, '', 3), (3, 'R', 2, '', 2)
+), inserts(p, letters, q) AS (
+    VALUES (0, '', 0), (1, '', 1), (2, '', 2), (3, '', 3), (0, 'I', 2), (0, 'II', 3), (1, 'I', 2), (1, 'II', 3), (2, 'I', 3), (2, 'II', 2), (3, 'I', 2), (3, 'II', 3)
+), steps AS (
+    SELECT p, letters || letter AS letters, 2 * length(letters) + price AS price, letter, moves.initial, r FROM inserts JOIN moves USING (q)
+), search(conv_id, i, q, cost, audit) AS (
+    SELECT conv_id, 0::BIGINT, 0, 0, '' FROM counts
+    UNION ALL
+    SELECT conv_id, i, q, cost, audit FROM (
+        SELECT s.conv_id, t.i, steps.r AS q, s.cost + steps.price + CASE WHEN t.truncated AND steps.letter <> 'D' THEN 1 ELSE 0 END AS cost,
+               s.audit || steps.letters AS audit,
+               row_number() OVER (PARTITION BY s.conv_id, steps.r ORDER BY s.cost + steps.price
+                   + CASE WHEN t.truncated AND steps.letter <> 'D' THEN 1 ELSE 0 END, s.audit || steps.letters) AS best
+        FROM search s JOIN turns t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i + 1
+        JOIN steps ON steps.p = s.q AND (steps.initial = '' OR steps.initial = t.initial)
+        WHERE steps.letter = 'D' OR NOT (t.blank OR t.duplicate)
+    ) WHERE best = 1
+), ended AS (
+    SELECT c.conv_id, s.cost + 2 * length(x.letters) AS cost, s.audit || x.letters AS audit,
+           row_number() OVER (PARTITION BY c.conv_id ORDER BY s.cost + 2 * length(x.letters), s.audit || x.letters) AS best
+    FROM counts c JOIN search s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.i = c.n JOIN inserts x ON x.p = s.q AND x.q IN (0, 3)
+), letters AS (
+    SELECT conv_id, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS pos FROM ended WHERE best = 1 AND audit <> ''
+), used AS (
+    SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY pos) AS i,
+           count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY pos) AS place
+    FROM letters
+), given AS (
+    SELECT u.conv_id, u.pos, u.letter, u.place, t.role, t.text,
+           max(CASE WHEN u.letter = 'K' AND t.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY u.conv_id) AS shift
+    FROM used u JOIN turns t ON t.conv_id IS NOT DISTINCT FROM u.conv_id AND t.i = greatest(u.i, 1) WHERE u.letter <> 'D'
+), repaired AS (
+    SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END
+               || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos)) AS repaired_sha256
+    FROM given GROUP BY conv_id
+)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.cost, 0)::BIGINT AS cost, coalesce(e.audit, '') AS audit,
+       coalesce(r.repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id AND e.best = 1 LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM d.conv_id
+""",
+    "op13_periods": r"""
+WITH source AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: ascii(c)::BIGINT) AS bytes
+    FROM documents
+), hashed AS (
+    SELECT doc_id, words, len(words)::BIGINT AS n, CRC32(bytes) AS h FROM source
+), planned AS (
+    SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM hashed
+), made AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: words[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1)::BIGINT]) ELSE words END AS words
+    FROM planned
+), word AS (
+    SELECT doc_id, n, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i FROM made
+), equal AS (
+    SELECT x.doc_id, y.i - x.i AS p, x.i FROM word x JOIN word y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+), islands AS (
+    SELECT doc_id, p, i, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM equal
+), stretches AS (
+    SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM islands GROUP BY doc_id, p, island HAVING count(*) + p >= greatest(12, 2 * p)
+), runs AS (
+    SELECT doc_id, start, length, min(p) AS period FROM stretches GROUP BY doc_id, start, length
+), covered AS (
+    SELECT doc_id, i FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM runs) GROUP BY doc_id, i
+), collapsed AS (
+    SELECT word.doc_id, string_agg(w, ' ' ORDER BY word.i) AS text FROM word ANTI JOIN covered ON word.doc_id = covered.doc_id AND word.i = covered.i
+    GROUP BY word.doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM runs GROUP BY doc_id
+), best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+)
+SELECT m.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length, b.period::BIGINT AS period,
+       (1000 * b.length // b.period)::BIGINT AS exponent_milli, sha256(coalesce(l.text, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256
+FROM made m LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN collapsed c USING (doc_id)
 """,
 }
+# The checksum of a list of bytes, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, byte: list_reduce(
+    list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, unused: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT)"""
+ORACLE = {name: sql.replace("CRC32(bytes)", CRC32) for name, sql in ORACLE.items()}

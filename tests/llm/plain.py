@@ -86,3 +86,78 @@ def edits_within(item, words):
             new.append(min(cost[j - 1] + (a != b), cost[j] + 1, new[-1] + 1))
         cost = new
     return min(cost)
+
+
+def word_runs(words, least=12):
+    """Every maximal run of words by trying each period: ``(start, length, period)``."""
+    found = {}
+    for p in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + p < len(words):
+            j = i
+            while j + p < len(words) and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(least, 2 * p):
+                found.setdefault((i, j + p), p)
+            i = max(j, i + 1)
+    return sorted((a, b - a, p) for (a, b), p in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for a, n, p in runs for i in range(a + p, a + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def best_edits(turns):
+    """Cheapest edits by trying all of them, turn by turn: ``turns`` are ``(role, truncated, gone)``; the result ``(cost, letters)``."""
+    follows = {"": "u", "s": "u", "u": "a", "a": "u"}
+    best = {"": (0, "")}
+
+    def offer(table, state, way):
+        if state not in table or way < table[state]:
+            table[state] = way
+
+    def inserted(table):
+        for _ in range(4):
+            for state, (cost, letters) in list(table.items()):
+                offer(table, follows[state], (cost + 2, letters + "I"))
+        return table
+
+    for role, truncated, gone in turns:
+        new = {}
+        for state, (cost, letters) in inserted(best).items():
+            offer(new, state, (cost + 3, letters + "D"))
+            if not gone:
+                offer(new, follows[state], (cost + 2 + truncated, letters + "R"))
+                first = role[:1]
+                if first and first == follows[state] or (first == "s" and state == ""):
+                    offer(new, first, (cost + truncated, letters + "K"))
+        best = new
+    return min(way for state, way in inserted(best).items() if state in ("", "a"))
+
+
+def repaired(rows):
+    """What is wrong with the turns ``(turn, role, text)`` of a conversation and how they look after the cheapest edits."""
+    rows = sorted(((t, " " if r is None else r, " " if x is None else x) for t, r, x in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    seen, turns, faults = set(), [], Counter()
+    for _, role, text in rows:
+        shown = text.strip(BLANKS)
+        fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else ""
+        faults[fault] += 1
+        seen.add((role, text))
+        turns.append((role, int(fault == "truncated"), fault in ("blank", "duplicate")))
+    numbers = [t for t, _, _ in rows if t is not None]
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    cost, letters = best_edits(turns)
+    out, left, names = [], iter(rows), {"u": "user", "a": "assistant"}
+    follows = {"": "u", "s": "u", "u": "a", "a": "u"}
+    for letter in letters:
+        before = out[-1][0][:1] if out else ""
+        if letter == "I":
+            out.append((names[follows[before]], ""))
+            continue
+        _, role, text = next(left)
+        if letter != "D":
+            out.append((names[follows[before]] if letter == "R" else role, text))
+    return (gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, letters), out

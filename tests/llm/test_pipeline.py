@@ -103,5 +103,5 @@ def test_query_matches_sql(spark, name):
     assert differences(QUERIES[name](spark, FOLDER), connect(FOLDER), ORACLE[name]) == []
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_queries_of_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
