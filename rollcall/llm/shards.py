@@ -78,7 +78,8 @@ def write_shards(
 
     # Records with so many copies that one bucket would be full of them are counted instead of moved, and dealt copy by copy.
     hot = (F.col("__n") > 1) & (F.col("__n") * F.col("__size") > bucket_bytes // 4)
-    common = counted.where(hot)
+    # A table of its own, usually empty: Spark sees its size before it plans the joins, and moves no record for them where it is small.
+    common = staged(counted.where(hot))
     numbered = held.withColumn("__number", record)
     single = numbered.join(common, "__number", "left_anti").withColumn("__copy", F.lit(0).cast("long"))
     copies = numbered.join(common, "__number", "left_semi").groupBy("__number", *own).agg(F.count(F.lit(1)).alias("__n"))
