@@ -31,9 +31,9 @@ def hhmm_to_hours(c: Column) -> Column:
 
 
 def rate(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part / whole`` in percent, halves rounded up; NULL where ``whole`` is zero.
+    """``part / whole`` in percent, halves rounded to the even neighbour (12.5 hundredths are 0.12); NULL where ``whole`` is zero.
 
     Worked out in decimals, so that a value halfway between two results does not depend on binary fractions.
     """
     exact = F.try_divide(part.cast("decimal(20,6)") * 100, whole.cast("decimal(20,6)"))
-    return F.round(exact, digits).cast("double")
+    return F.bround(exact, digits).cast("double")

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from rollcall.functions.text import run_text
+from rollcall.functions.text import joined, run_text
+from rollcall.streaming.folders import staged
+
+#: Entries of a list that is written out; longer lists stay as runs.
+LIST_LIMIT = 10_000
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggregate) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -145,25 +150,62 @@ def run_lists(df: DataFrame, keys: Sequence[str], value: str, into: str, order:
     )
 
 
-def assign_recno(
-    df: DataFrame, start: DataFrame, key: str, within: Sequence[str] = (), width: int = 100_000, into: str = "recno"
-) -> DataFrame:
+def _runs(value: str, order: str) -> Column:
+    run = F.struct(F.col(order).alias("o"), F.col(value).alias("value"), F.col("_n").alias("copies"))
+    return F.transform(F.array_sort(F.collect_list(run)), lambda r: F.struct(r["value"].alias("value"), r["copies"].alias("copies")))
+
+
+def value_lists(df: DataFrame, keys: Sequence[str], value: str, into: str, order: str | None = None) -> DataFrame:
+    """Per key, the values in order as a list of runs ``(value, copies)`` and their number, as ``into`` and ``into_count``.
+
+    Copies are counted before a list is built, so a list has an entry per distinct value (minutes of a day, names of a catalogue), however
+    many rows share it. ``expanded`` makes the list of all values of it, ``list_text`` its text. NULL values are left out.
+    """
+    order = order or value
+    columns = list(dict.fromkeys([*keys, order, value]))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.groupBy(*keys).agg(_runs(value, order).alias(into), F.sum("_n").alias(f"{into}_count"))
+
+
+def pivot_lists(df: DataFrame, keys: Sequence[str], column: str, names: Sequence[str], value: str, order: str | None = None) -> DataFrame:
+    """One row per key and a list of runs for each of the given values of ``column``; a value that a key lacks has an empty list."""
+    order = order or value
+    columns = list(dict.fromkeys([*keys, column, order, value]))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    wide = counted.groupBy(*keys).pivot(column, list(names)).agg(_runs(value, order))
+    kind = wide.schema[names[0]].dataType
+    return wide.withColumns({n: F.coalesce(n, F.array().cast(kind)) for n in names})
+
+
+def expanded(runs: Column) -> Column:
+    """The list of all values of a list of runs."""
+    return F.flatten(F.transform(runs, lambda r: F.array_repeat(r["value"], r["copies"].cast("int"))))
+
+
+def list_text(runs: Column, limit: int = LIST_LIMIT) -> Column:
+    """A list of runs as text, each value as often as it occurs: ``a | a | b``. A list of more than ``limit`` values is written by runs,
+    ``a x20000 | b``, which says the same."""
+    count = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["copies"])
+    by_runs = F.transform(runs, lambda r: run_text(r["value"].cast("string"), r["copies"]))
+    return F.when(count <= limit, joined(expanded(runs))).otherwise(joined(by_runs))
+
+
+def assign_recno(df: DataFrame, start: DataFrame, key: str, within: Sequence[str] = (), into: str = "recno") -> DataFrame:
     """Gapless ids in the order of ``(within, key)`` that go on from the number in the one-row frame ``start``.
 
-    ``key`` is a unique whole number. Rows are numbered inside slices of ``width`` key values, so a slice has that many rows
-    at most and there are more slices where there are more rows; a slice's offset is the number of rows before it. Only the
-    slice counts are ordered, per ``within`` and then over all; the ids do not depend on ``width``.
+    The key may have any type that can be ordered, be sparse, and repeat: ties go by the other columns, so the ids depend on the rows alone;
+    rows that are alike in all columns are exchangeable. Rows are dealt to the tasks by ranges of that order and sorted there, and written
+    with their place; an id is that place plus the number of rows in the ranges before. Only the ranges' counts, a row for each task, are added
+    up in one place.
     """
-    groups, slices = list(within), [*within, "_slice"]
-    cut = df.withColumn("_slice", F.floor(F.col(key) / F.lit(width)))
-    counts = cut.groupBy(*slices).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(*slices, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    numbered = cut.withColumn("_at", F.row_number().over(W.partitionBy(*slices).orderBy(key))).join(offsets, slices)
-    total = F.col("_before") + F.col("_at") + F.coalesce(start.scalar(), F.lit(0))
-    if groups:
-        sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_n"))
-        before = W.orderBy(*groups).rowsBetween(W.unboundedPreceding, -1)
-        sizes = sizes.select(*groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_groups"))
-        numbered, total = numbered.join(sizes, groups), total + F.col("_groups")
-    return numbered.withColumn(into, total).drop("_slice", "_at", "_before", "_groups")
+    order = list(dict.fromkeys([*within, key, *df.columns]))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The lower 33 bits of Spark's increasing id are the place of a row in its task.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    # Ranges are drawn from a sample, anew in each run, so the rows are written once.
+    placed = staged(ranged.withColumns({"_range": F.spark_partition_id(), "_at": place}), "numbered")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    total = F.col("_before") + F.col("_at") + 1 + F.coalesce(start.scalar(), F.lit(0))
+    return placed.join(before, "_range").withColumn(into, total).drop("_range", "_at", "_before")

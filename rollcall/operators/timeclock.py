@@ -12,7 +12,7 @@ from rollcall.functions.dates import DateLike, clock_minutes, clock_seconds, min
 from rollcall.functions.hours import hhmm_minutes
 from rollcall.functions.text import drop_decimal_suffix, keep_last
 from rollcall.operators.calendar import day_grid
-from rollcall.operators.relational import anti_load, keep_first, keyed_join, known, run_lists
+from rollcall.operators.relational import anti_load, keep_first, keyed_join, known, list_text, pivot_lists, value_lists
 
 EMPLOYEE = ["branch", "emp_no"]
 AFD_LENGTH = 34
@@ -74,17 +74,21 @@ def event_class(description: Column) -> Column:
     )
 
 
+# Column of the pivot for each class.
+EVENT_COLUMNS = {codes.OVERTIME: "overtime_events", codes.ABSENCE: "absence_events", codes.NO_CLASS: "other_events"}
+
+
+def event_lists(ledger: DataFrame) -> DataFrame:
+    """One row per employee and day, the event names of each class as a list of runs, empty where there is none."""
+    name = F.lit(None)
+    for klass, column in EVENT_COLUMNS.items():
+        name = F.when(event_class(F.col("event_desc")) == klass, column).otherwise(name)
+    return pivot_lists(ledger.withColumn("_column", name), [*EMPLOYEE, "date"], "_column", list(EVENT_COLUMNS.values()), "event_desc")
+
+
 def pivot_events(ledger: DataFrame) -> DataFrame:
     """One row per employee and day, the event names of each class as one text."""
-    classed = ledger.withColumn("event_class", event_class(F.col("event_desc")))
-    lists = run_lists(classed, [*EMPLOYEE, "date", "event_class"], "event_desc", "events")
-    columns = {"overtime_events": codes.OVERTIME, "absence_events": codes.ABSENCE, "other_events": codes.NO_CLASS}
-    return lists.groupBy(*EMPLOYEE, "date").agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("event_class") == value, F.col("events"))), F.lit("")).alias(name)
-            for name, value in columns.items()
-        ]
-    )
+    return event_lists(ledger).withColumns({c: list_text(F.col(c)) for c in EVENT_COLUMNS.values()})
 
 
 # ---- device punches -------------------------------------------------------------------------------
@@ -156,12 +160,17 @@ def reconcile(matched: DataFrame, erp: DataFrame) -> DataFrame:
     return joined.withColumn("in_erp", F.coalesce("in_erp", F.lit(False)))
 
 
-def daily_punches(worked: DataFrame) -> DataFrame:
-    """Punches of an employee and work date in time order, as one text."""
+def punch_lists(worked: DataFrame) -> DataFrame:
+    """Punches of an employee and work date in time order, as a list of runs."""
     timed = worked.filter("emp_no IS NOT NULL AND work_date IS NOT NULL").withColumn(
         "time", minutes_text(F.col("minute"))
     )
-    return run_lists(timed, [*EMPLOYEE, "work_date"], "time", "punches", order="minute")
+    return value_lists(timed, [*EMPLOYEE, "work_date"], "time", "punches", order="minute")
+
+
+def daily_punches(worked: DataFrame) -> DataFrame:
+    """Punches of an employee and work date in time order, as one text."""
+    return punch_lists(worked).withColumn("punches", list_text(F.col("punches")))
 
 
 def with_parity(daily: DataFrame) -> DataFrame:

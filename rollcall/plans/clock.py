@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.operators import leave, timeclock
-from rollcall.operators.relational import all_duplicates, assign_recno, max_or
+from rollcall.operators.relational import all_duplicates, assign_recno, expanded, max_or
 from rollcall.plans import roles
 from rollcall.plans.report import report
 from rollcall.sources.files import parse_clockings
@@ -167,17 +167,40 @@ def surrogate_ids(spark: SparkSession, folder: str) -> DataFrame:
     return report(assign_recno(rows, start, "number", within=["date"]), "id", "date", "recno")
 
 
+def event_list_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists of the pivot, entry by entry."""
+    lists = timeclock.event_lists(ledger(spark, folder))
+    cells = [F.struct(F.lit(c).alias("list"), expanded(F.col(c)).alias("entries")) for c in timeclock.EVENT_COLUMNS.values()]
+    cells = lists.select("branch", "emp_no", "date", F.inline(F.array(*cells)))
+    return report(cells.select("branch", "emp_no", "date", "list", F.posexplode("entries").alias("position", "event")))
+
+
+def daily_punch_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """The punches of each day, entry by entry."""
+    lists = timeclock.punch_lists(worked(spark, folder))
+    return report(lists.select("branch", "emp_no", "work_date", F.posexplode(expanded(F.col("punches"))).alias("position", "time")))
+
+
 def stream_clockings(spark: SparkSession, folder: str) -> DataFrame:
+    """Five deliveries, a batch for each of their files: on time, repeated while the state remembers, repeated later, late, late again."""
     out = run_folder(spark, "clockings")
-    arriving = parse_clockings(roles.clockings(roles.punches(spark, folder, stream=True)))
+    arriving = parse_clockings(roles.deliver_punches(spark, folder, f"{out}/deliveries"))
     clocking_stream(arriving, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint").awaitTermination()
-    schema = timeclock.import_rows(arriving).schema
+    schema = "id string, pis string, nsr string, date string, seconds int"
     return report(spark.read.schema(schema).parquet(f"{out}/table"), "id", "pis", "nsr", "date", "seconds")
 
 
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Punches of the deliveries whose date could not be read, each once."""
+    out = run_folder(spark, "clockings")
+    arriving = parse_clockings(roles.deliver_punches(spark, folder, f"{out}/deliveries"))
+    clocking_stream(arriving, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint").awaitTermination()
+    return report(spark.read.schema("id string, pis string, nsr string").parquet(f"{out}/rejects"), "id", "pis", "nsr")
+
+
 def stream_pending_by_day(spark: SparkSession, folder: str) -> DataFrame:
     out = run_folder(spark, "by-day")
-    arriving = parse_clockings(roles.clockings(roles.punches(spark, folder, stream=True)))
+    arriving = parse_clockings(roles.deliver_punches(spark, folder, f"{out}/deliveries"))
     emp, loaded = roles.employees(spark, folder), roles.loaded_punches(spark, folder)
     pending_stream(arriving, emp, loaded, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return report(pending_days(spark, f"{out}/table"))

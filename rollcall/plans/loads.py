@@ -11,7 +11,10 @@ from rollcall.operators import consent, payroll, receipts
 from rollcall.operators.relational import all_duplicates, as_strings, keep_first, keep_last
 from rollcall.plans import roles
 from rollcall.plans.report import report
-from rollcall.streaming.folders import run_folder
+from rollcall.sources.files import new_sheets as new_sheet_files
+from rollcall.sources.files import read_new_payroll_files
+from rollcall.streaming.folders import run_folder, staged
+from rollcall.streaming.jobs import read_payroll_stream
 from rollcall.streaming.jobs import stream_payroll as payroll_stream
 
 WATERMARK = "1998-07-01"
@@ -35,30 +38,48 @@ def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     return report(payroll.high_water_mark(held(spark, folder), "file_date"))
 
 
+def delivered(spark: SparkSession, folder: str) -> str:
+    """The sheets as files: a folder of CSV for each name, as Spark exports them."""
+    path = run_folder(spark, "sheets")
+    sheets(spark, folder).repartition("file_name").write.partitionBy("file_name").option("header", "true").csv(path)
+    return path
+
+
+def mark(spark: SparkSession, folder: str):
+    return payroll.high_water_mark(held(spark, folder), "file_date").scalar()
+
+
 def fresh(spark: SparkSession, folder: str) -> DataFrame:
-    mark = payroll.high_water_mark(held(spark, folder), "file_date").scalar()
-    return payroll.new_files(sheets(spark, folder), mark)
+    """Rows of the sheets that are newer than the mark; the others are not opened."""
+    return read_new_payroll_files(spark, delivered(spark, folder), mark(spark, folder))
 
 
 def new_files(spark: SparkSession, folder: str) -> DataFrame:
     return report(fresh(spark, folder).groupBy("file_name", "file_date").agg(F.count(F.lit(1)).alias("rows")))
 
 
+def new_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """The names of the new sheets, found without opening one."""
+    found = new_sheet_files(spark, delivered(spark, folder), mark(spark, folder))
+    return report(found.select("file_name", "file_date").distinct())
+
+
 def payroll_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    good, _ = payroll.ingest_payroll(fresh(spark, folder), TARGET)
+    good, _ = payroll.ingest_payroll(staged(fresh(spark, folder), "payroll"), TARGET)
     return report(good)
 
 
 def payroll_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    _, bad = payroll.ingest_payroll(fresh(spark, folder), TARGET)
+    _, bad = payroll.ingest_payroll(staged(fresh(spark, folder), "payroll"), TARGET)
     return report(bad)
 
 
 def stream_payroll(spark: SparkSession, folder: str) -> DataFrame:
+    """The sheets as a stream of files, in batches of 16 files."""
     out = run_folder(spark, "payroll")
-    arriving = roles.table_stream(spark, folder, "orders")
+    arriving = read_payroll_stream(spark, delivered(spark, folder), files=16)
     query = payroll_stream(
-        roles.payroll_rows(arriving), TARGET, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint", ".xlsx"
+        arriving, TARGET, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint", ".xlsx", f"{out}/quarantine"
     )
     query.awaitTermination()
     loaded = spark.read.schema(TARGET).parquet(f"{out}/table")

@@ -50,13 +50,10 @@ def weekday(date: str, labels: list[str]) -> str:
     return f"([{text_list(labels)}])[isodow({date})]"
 
 
-def copies(value: str, n: str) -> str:
-    return f"CASE WHEN {n} = 1 THEN {value} ELSE {value} || ' x' || {n} END"
-
-
 def percent(part: str, whole: str) -> str:
-    """Whole numbers only, halves up to two places."""
-    return f"(2 * 10000 * ({part}) + {whole}) // (2 * {whole}) / 100"
+    """Whole numbers only, halves to the even neighbour."""
+    down, rest = f"(10000 * ({part}) // ({whole}))", f"(10000 * ({part}) % ({whole}))"
+    return f"({down} + CASE WHEN 2 * {rest} > ({whole}) OR 2 * {rest} = ({whole}) AND {down} % 2 = 1 THEN 1 ELSE 0 END) / 100"
 
 
 ZONE_HOURS = "(CASE user_id % 5 WHEN 0 THEN -3 WHEN 1 THEN 2 WHEN 2 THEN 5 WHEN 3 THEN 0 ELSE -7 END)"
@@ -108,6 +105,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         FROM nation, range(7) AS r(k) WHERE k < 6 OR n_regionkey < 3"""),
     "dep_name": (("dep",), "SELECT DISTINCT dept, dept_desc FROM dep"),
     "job": ((), "SELECT 'J' || k AS job, 'JOB ' || k AS job_desc FROM range(9) AS r(k)"),
+    "snapshot": ((), "SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 101 = 0"),
     "shifts": ((), values(roles.SHIFTS, "shift, shift_desc")),
     "event_code": ((), values(roles.EVENT_CODES, "code, event_desc")),
     "leave_type": ((), values(roles.LEAVE_TYPES, "leave_type, leave_desc")),
@@ -183,11 +181,11 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         JOIN shifts USING (shift) JOIN dep_name USING (dept) JOIN job USING (job)
         WHERE hours_calc - hours_waived > 0 AND processed = ''"""),
     "event_lists": (("ledger",), f"""
-        SELECT branch, emp_no, date, class, string_agg({copies('event_desc', 'n')}, ' | ' ORDER BY event_desc) AS events
-        FROM (SELECT branch, emp_no, date, event_desc, count(*) AS n,
+        SELECT branch, emp_no, date, class, string_agg(event_desc, ' | ' ORDER BY event_desc) AS events
+        FROM (SELECT branch, emp_no, date, event_desc,
             CASE WHEN event_desc IN ({text_list(codes.ABSENCE_EVENTS)}) THEN 'A'
               WHEN event_desc IN ({text_list(codes.OVERTIME_EVENTS)}) THEN 'H' ELSE '' END AS class
-          FROM ledger GROUP BY ALL) GROUP BY ALL"""),
+          FROM ledger) GROUP BY ALL"""),
     "event_days": (("event_lists",), """
         SELECT branch, emp_no, date, coalesce(max(events) FILTER (class = 'H'), '') AS overtime_events,
           coalesce(max(events) FILTER (class = 'A'), '') AS absence_events,
@@ -223,11 +221,10 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "device": (("matched",), """
         SELECT branch, emp_no, date, minute, count(*) AS punches FROM matched
         WHERE emp_no IS NOT NULL AND date IS NOT NULL GROUP BY ALL"""),
-    "daily": (("worked",), f"""
-        SELECT branch, emp_no, work_date, CAST(sum(n) AS BIGINT) AS punches_count,
-          string_agg({copies("printf('%02d:%02d:00', minute // 60, minute % 60)", 'n')}, ' | ' ORDER BY minute) AS punches
-        FROM (SELECT branch, emp_no, work_date, minute, count(*) AS n FROM worked WHERE work_date IS NOT NULL GROUP BY ALL)
-        GROUP BY ALL"""),
+    "daily": (("worked",), """
+        SELECT branch, emp_no, work_date, count(*) AS punches_count,
+          string_agg(printf('%02d:%02d:00', minute // 60, minute % 60), ' | ' ORDER BY minute) AS punches
+        FROM worked WHERE work_date IS NOT NULL GROUP BY ALL"""),
     "grid": (("staff", "latest", "daily"), f"""
         SELECT s.branch, s.emp_no, g.day, s.cost_centre, name, shift_desc, supervisor, manager,
           coalesce(leave_desc, '') AS leave_desc, {iso(f'(start_date + {roles.TIME_SHIFT})')} AS start_date,
@@ -459,6 +456,16 @@ ORACLE: dict[str, str] = {
         SELECT cost_centre, CAST(m AS VARCHAR) AS month, count(*) AS headcount
         FROM months JOIN emp ON admission < m AND (termination IS NULL OR termination >= m) GROUP BY ALL""",
         "emp", "months"),
+    "headcount_snapshots": sql("""
+        SELECT cost_centre, CAST(day AS VARCHAR) AS day, count(*) AS headcount
+        FROM emp JOIN snapshot ON admission < day AND (termination IS NULL OR termination >= day) GROUP BY ALL""", "emp", "snapshot"),
+    "active_on_snapshots": sql("""
+        SELECT branch, CAST(day AS VARCHAR) AS day, count(*) AS employees, CAST(sum(emp_no) AS BIGINT) AS numbers
+        FROM emp JOIN snapshot ON admission < day AND (termination IS NULL OR termination >= day) GROUP BY ALL""", "emp", "snapshot"),
+    "events_on_leave": sql("""
+        SELECT e.emp_no, CAST(e.date AS VARCHAR) AS date, leave_type, count(*) AS events, CAST(min(start_date) AS VARCHAR) AS first_start
+        FROM ev e JOIN leaves l ON l.emp_no = e.emp_no AND e.date >= start_date AND (end_date IS NULL OR e.date <= end_date)
+        WHERE e.date >= DATE '1998-01-01' AND e.date < DATE '1999-01-01' GROUP BY ALL""", "ev", "leaves"),
     "active_days": sql("""
         SELECT branch, CAST(day AS VARCHAR) AS day, count(*) AS employees FROM spine GROUP BY ALL""", "spine"),
     "scheduled_hours": sql("""
@@ -581,6 +588,16 @@ ORACLE: dict[str, str] = {
         FROM device d ANTI JOIN erp_punch e USING (branch, emp_no, date, minute)""", "device", "erp_punch"),
     "daily_punch_list": sql("""
         SELECT branch, emp_no, CAST(work_date AS VARCHAR) AS work_date, punches_count, punches FROM daily""", "daily"),
+    "daily_punch_entries": sql("""
+        SELECT branch, emp_no, CAST(work_date AS VARCHAR) AS work_date,
+          CAST(row_number() OVER (PARTITION BY branch, emp_no, work_date ORDER BY minute) - 1 AS INTEGER) AS position,
+          printf('%02d:%02d:00', minute // 60, minute % 60) AS time
+        FROM worked WHERE work_date IS NOT NULL""", "worked"),
+    "event_list_pivot": sql(f"""
+        SELECT branch, emp_no, {iso('date')} AS date, list,
+          CAST(row_number() OVER (PARTITION BY branch, emp_no, date, list ORDER BY event_desc) - 1 AS INTEGER) AS position, event_desc AS event
+        FROM (SELECT *, CASE WHEN event_desc IN ({text_list(codes.ABSENCE_EVENTS)}) THEN 'absence_events'
+            WHEN event_desc IN ({text_list(codes.OVERTIME_EVENTS)}) THEN 'overtime_events' ELSE 'other_events' END AS list FROM ledger)""", "ledger"),
     "punch_parity": sql("""
         SELECT branch, emp_no, CAST(work_date AS VARCHAR) AS work_date, punches_count,
           punches_count % 2 <> 0 AS inconsistent FROM daily""", "daily"),
@@ -601,9 +618,12 @@ ORACLE: dict[str, str] = {
     "stream_clockings": sql("""
         SELECT id, CAST(user_id AS VARCHAR) AS pis, right(id, 9) AS nsr, date, seconds FROM import_once""", "import_once"),
     "stream_pending_by_day": sql("SELECT date, count(*) AS punches FROM pending GROUP BY ALL", "pending"),
+    "stream_rejects": sql("""
+        SELECT id, CAST(user_id AS VARCHAR) AS pis, right(id, 9) AS nsr FROM import_once WHERE event_id % 28 = 0""", "import_once"),
     "high_water_mark": sql("SELECT CAST(file_date AS VARCHAR) AS file_date FROM mark", "mark"),
     "new_files": sql("""
         SELECT file_name, CAST(file_date AS VARCHAR) AS file_date, count(*) AS rows FROM fresh GROUP BY ALL""", "fresh"),
+    "new_sheets": sql("SELECT DISTINCT file_name, CAST(file_date AS VARCHAR) AS file_date FROM fresh", "fresh"),
     "payroll_ingest": sql(f"""
         SELECT CAST(o_custkey AS VARCHAR) AS matricula, {branch('o_custkey')} AS filial,
           CASE WHEN o_orderkey % 23 <> 0 THEN lpad(CAST(o_custkey * 37 + 1 AS VARCHAR), 11, '0') ELSE '' END AS cpf,
@@ -653,6 +673,20 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, source FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""",
     "append_orders": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
     "refresh_orders": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'",
+    "publish_orders": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 2 = 1",
+    "load_orders": """
+        WITH checked AS (
+          SELECT o_orderkey, year(o_orderdate) AS year, CASE WHEN o_orderkey % 10 = 0 THEN 'round key' WHEN o_totalprice < 20000 THEN 'too cheap'
+            WHEN o_orderkey % 40 = 1 THEN 'no customer' ELSE '' END AS reason FROM orders),
+        brought AS (
+          SELECT *, 'until-1994' AS load, 1 AS times FROM checked WHERE year < 1995 UNION ALL
+          SELECT *, 'until-1998', CASE WHEN year = 1997 THEN 2 ELSE 1 END FROM checked WHERE year <> 1993)
+        SELECT o_orderkey, CAST(year AS INTEGER) AS year, load, CAST(1 AS BIGINT) AS copies,
+          CASE WHEN reason = '' AND load = 'until-1998' AND year < 1995 THEN 'key exists' WHEN reason = '' AND n > 1 THEN 'key repeats' ELSE reason END AS reason
+        FROM brought, range(1, 3) AS r(n) WHERE n <= times""",
+    "numbered_parts": """
+        SELECT p_partkey, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY p_type, p_brand, p_partkey) AS recno FROM part""",
+    "numbered_orders": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS recno FROM orders",
     "append_rejects": """
         SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 10 <> 0 THEN 'good' ELSE 'bad' END AS part FROM orders""",
     "export_report": sql(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions import codes
-from rollcall.operators import absence, calendar, headcount, leave, registry
+from rollcall.operators import absence, calendar, headcount, intervals, leave, registry
 from rollcall.plans import roles
 from rollcall.plans.report import report
 
@@ -36,6 +36,29 @@ def headcount_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return report(headcount.headcount(roles.employees(spark, folder), roles.FIRST_MONTH, roles.MONTHS, "start"))
 
 
+def headcount_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Active employees per cost centre on days at irregular distances: admitted before the day and not terminated before it."""
+    counted = intervals.counts_on(
+        roles.snapshots(spark, folder), roles.employees(spark, folder), "day", "admission", "termination", ["cost_centre"], True, "headcount"
+    )
+    return report(counted)
+
+
+def active_on_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The employees themselves on each of these days, as their number and the sum of their salaries per branch."""
+    emp = roles.employees(spark, folder).select("branch", "emp_no", "admission", "termination")
+    pairs = intervals.interval_join(roles.snapshots(spark, folder), emp, "day", "admission", "termination", after_start=True)
+    return report(pairs.groupBy("branch", "day").agg(F.count(F.lit(1)).alias("employees"), F.sum("emp_no").alias("numbers")))
+
+
+def events_on_leave(spark: SparkSession, folder: str) -> DataFrame:
+    """Clock events of employees on days on which they were on leave."""
+    events = roles.clock_events(spark, folder, *YEAR).select("branch", "emp_no", "date", "code")
+    leaves = roles.leaves(spark, folder)
+    pairs = intervals.interval_join(events, leaves, "date", "start_date", "end_date", ["branch", "emp_no"])
+    return report(pairs.groupBy("emp_no", "date", "leave_type").agg(F.count(F.lit(1)).alias("events"), F.min("start_date").alias("first_start")))
+
+
 def active_days(spark: SparkSession, folder: str) -> DataFrame:
     emp = roles.employees(spark, folder).select("branch", "emp_no", "admission", "termination")
     spine = calendar.active_day_spine(emp, roles.FIRST_MONTH, roles.MONTHS)

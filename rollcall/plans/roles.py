@@ -77,11 +77,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table read as a stream of its files."""
-    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{name}.parquet*")
-
-
 def branch_of(emp_no: str) -> str:
     return f"CASE WHEN {emp_no} % 10 < 6 THEN '01' WHEN {emp_no} % 10 < 9 THEN '02' ELSE '03' END"
 
@@ -340,10 +335,9 @@ def benefits(spark: SparkSession, folder: str) -> DataFrame:
     return project(table(spark, folder, "orders"), columns)
 
 
-def punches(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    """Device punches from ``events``, read as a table or as a stream of files."""
-    source = (table_stream if stream else table)(spark, folder, "events")
-    return project(source, {"id": "event_id", "pis": "user_id", "device": "event_type", "at": "ts"})
+def punches(spark: SparkSession, folder: str) -> DataFrame:
+    """Device punches from ``events``."""
+    return project(table(spark, folder, "events"), {"id": "event_id", "pis": "user_id", "device": "event_type", "at": "ts"})
 
 
 def afd_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -426,6 +420,26 @@ def known_receipts(spark: SparkSession, folder: str) -> DataFrame:
     return project(table(spark, folder, "orders").filter("o_orderstatus = 'P'"), {"receipt": name})
 
 
+DELIVERIES = [
+    "dayofmonth(at) <= 10 AND id % 9 <> 0",
+    # Two days come again, soon enough for the state of the stream.
+    "(dayofmonth(at) BETWEEN 11 AND 20 AND id % 9 <> 0) OR (dayofmonth(at) IN (9, 10) AND id % 9 <> 0 AND id % 4 = 1)",
+    # The first days come again, when the state has forgotten them.
+    "dayofmonth(at) > 20 OR (dayofmonth(at) <= 10 AND id % 9 <> 0 AND id % 4 = 1)",
+    # Punches nobody delivered before, some of them weeks late.
+    "dayofmonth(at) <= 20 AND id % 9 = 0",
+    "dayofmonth(at) <= 20 AND id % 9 = 0 AND id % 2 = 0",
+]
+
+
+def deliver_punches(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """The punches as the device service delivers them, in turn: on time, again and late. The result is the stream of the deliveries."""
+    for number, part in enumerate(DELIVERIES):
+        clockings(punches(spark, folder).filter(part)).coalesce(1).write.parquet(f"{path}/delivery={number}")
+    reader = spark.readStream.schema("payload string, delivery int").option("maxFilesPerTrigger", 1)
+    return reader.parquet(path).drop("delivery")
+
+
 def payroll_rows(orders: DataFrame) -> DataFrame:
     """Payroll sheet rows from ``orders``, all text, with the name of their file; one column is missing, one too many.
 
@@ -445,6 +459,11 @@ def payroll_rows(orders: DataFrame) -> DataFrame:
     return project(orders, columns)
 
 
+def snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Days at irregular distances, on which someone asks for the head count: those of some orders."""
+    return table(spark, folder, "orders").filter("o_orderkey % 101 = 0").selectExpr("CAST(o_orderdate AS date) AS day").distinct()
+
+
 def consent_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Consent requests from ``orders``; some without consent, photo or CPF."""
     columns = {

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.dates import pay_cycle as cycle_bounds
 from rollcall.operators import absence, consent
-from rollcall.operators.relational import first_rows
+from rollcall.operators.relational import assign_recno, first_rows, max_or
 from rollcall.plans import clock, people, roles, vouchers
 from rollcall.plans.report import report
-from rollcall.sinks import tables
+from rollcall.sinks import loads, tables, versions
 from rollcall.sources.erp import target_columns as columns_of
 from rollcall.sources.files import read_dim, read_receipt_pages
 from rollcall.streaming.folders import run_folder
@@ -38,6 +38,30 @@ def refresh_orders(spark: SparkSession, folder: str) -> DataFrame:
     return report(spark.read.parquet(out), *ORDER)
 
 
+def publish_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of all orders refreshed twice: from itself, without the finished ones, and from itself again, by status."""
+    out = run_folder(spark, "published")
+    versions.publish(orders(spark, folder), out)
+    versions.publish(versions.published(spark, out).filter("o_orderstatus <> 'F'"), out)
+    versions.publish(versions.published(spark, out).filter("o_orderkey % 2 = 1"), out, ["o_orderstatus"])
+    return report(versions.published(spark, out), *ORDER, "o_orderstatus")
+
+
+def load_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders loaded by year of their date, each year twice, the last with all years before it; rejected ones with their reason."""
+    out = run_folder(spark, "loaded")
+    rows = roles.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    rows = rows.withColumn("o_custkey", F.when(F.col("o_orderkey") % 40 != 1, F.col("o_custkey")))
+    rules = {"round key": F.col("o_orderkey") % 10 != 0, "too cheap": F.col("o_totalprice") >= 20_000, "no customer": F.col("o_custkey").isNotNull()}
+    first = rows.filter("year < 1995")
+    loads.load(first, out, "until-1994", rules, ["o_orderkey"])
+    loads.load(first, out, "until-1994", rules, ["o_orderkey"])
+    # Rows that came before, and those of 1997 twice.
+    again = rows.filter("year <> 1993").unionByName(rows.filter("year = 1997"))
+    loads.load(again, out, "until-1998", rules, ["o_orderkey"])
+    return report(loads.rows(spark, out, rows.schema), "o_orderkey", "year", "reason", "copies", "load")
+
+
 def append_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with a round key are rejected; accepted and rejected rows side by side."""
     out = run_folder(spark, "checked")
@@ -129,8 +153,22 @@ def planned_by_day(spark: SparkSession, folder: str) -> DataFrame:
     return report(absence.weekday_minutes(roles.schedule(spark, folder), ["day"]).fillna(0))
 
 
+def numbered_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts numbered by type and brand, which are text and repeat."""
+    rows = roles.table(spark, folder, "part").select("p_type", "p_brand", "p_partkey")
+    start = max_or(roles.table(spark, folder, "supplier"), "s_suppkey", 0)
+    return report(assign_recno(rows, start, "p_brand", within=["p_type"]), "p_partkey", "recno")
+
+
+def numbered_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders numbered by a key with wide gaps."""
+    rows = roles.table(spark, folder, "orders").selectExpr("o_orderkey * 1000003 AS number", "o_orderkey")
+    return report(assign_recno(rows, max_or(spark.range(0), "id", 0), "number"), "o_orderkey", "recno")
+
+
 QUERIES = (
-    append_orders, refresh_orders, append_rejects, export_report, export_by_payment_day, export_by_manager,
+    numbered_parts, numbered_orders,
+    append_orders, refresh_orders, publish_orders, load_orders, append_rejects, export_report, export_by_payment_day, export_by_manager,
     export_duplicate_punches, export_shift_gaps, dimension_sheet, receipt_pages, target_columns, pay_cycle, employee_lookup,
     first_punches, planned_by_day,
 )

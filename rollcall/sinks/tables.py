@@ -21,7 +21,8 @@ def append_jdbc(df: DataFrame, table: str, options: dict[str, str], batch: int =
 
 
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a Parquet table in one job. ``df`` must not read the table it replaces."""
+    """Replace a Parquet folder in place, for tables that nobody reads meanwhile; ``versions.publish`` replaces one under its readers.
+    ``df`` must not read the table it replaces."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -32,7 +33,10 @@ def refresh_jdbc(df: DataFrame, table: str, options: dict[str, str], batch: int
 
 
 def append_with_rejects(df: DataFrame, valid: Column, path: str) -> None:
-    """Add rows to a table and those that are not valid to its rejects, in one job: the folders ``valid=true`` and ``valid=false``."""
+    """Add rows to a table and those that are not valid to its rejects, in one job: the folders ``valid=true`` and ``valid=false``.
+
+    Every call adds rows; ``loads.load`` keeps a log, so that a load counts once, and a reason for each rejected row.
+    """
     df.withColumn("valid", F.coalesce(valid, F.lit(False))).write.mode("append").partitionBy("valid").parquet(path)
 
 
@@ -51,10 +55,18 @@ def export(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def export_by(df: DataFrame, column: str, path: str, files: int = 8) -> None:
-    """A report split by the values of a column: one folder per value, with ``files`` files at most, however many tasks write."""
-    part = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(files))
-    writer = df.repartition(F.col(column), part).write.mode("overwrite")
+def export_by(df: DataFrame, column: str, path: str, files: int | None = None, rows_per_file: int = 1_000_000) -> None:
+    """A report split by the values of a column: one folder per value, with files by rows.
+
+    The adaptive planner gathers the rows of small values in one task and splits those of a large one over several, so the number of files
+    follows the rows. With ``files``, each value has so many files at most, however many rows it has.
+    """
+    if files:
+        part = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(files))
+        dealt = df.repartition(F.col(column), part)
+    else:
+        dealt = df.hint("rebalance", F.col(column))
+    writer = dealt.write.mode("overwrite").option("maxRecordsPerFile", 0 if files else rows_per_file)
     writer.partitionBy(column).option("header", "true").csv(path)
 
 

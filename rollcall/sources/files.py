@@ -6,50 +6,62 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.operators.payroll import PAYROLL_COLUMNS
+from rollcall.operators.payroll import PAYROLL_COLUMNS, new_files
 from rollcall.operators.timeclock import CLOCKING_FIELDS
 
 CLOCKING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CLOCKING_FIELDS])
 PAYROLL_HEADINGS = list(PAYROLL_COLUMNS)
 
 
-def sheet_lines(lines: DataFrame) -> DataFrame:
-    """Lines of sheets exported as CSV, with the file and the place in it that they come from."""
-    return lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("file_block"),
-    )
+def sheet_name(path: Column) -> Column:
+    """The name of the sheet that a file belongs to: the folder's, where Spark exported the sheet as a folder, else the file's own."""
+    folder = F.regexp_extract(path, r"([^/=]+\.\w+)/part-[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]*)$", 1))
 
 
-def sheet_rows(lines: DataFrame, headings: list[str], separator: str = ",") -> DataFrame:
-    """Rows of sheets, each file read by its own heading line: the named columns as text, and ``file_name``.
+def sheet_files(files: DataFrame) -> DataFrame:
+    """Files with the name of their sheet, from a listing (``path``) or a stream of one. No content is read."""
+    return files.select("path", sheet_name(F.col("path")).alias("file_name"), "length", "modificationTime")
+
+
+def list_sheets(spark: SparkSession, path: str) -> DataFrame:
+    """The files below a folder, one row each. Spark reads their names, lengths and times only."""
+    return sheet_files(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path))
+
+
+def new_sheets(spark: SparkSession, path: str, watermark: Column | None = None, extension: str = ".xlsx") -> DataFrame:
+    """The files below a folder that ``new_files`` takes: found by their names, before any of them is opened."""
+    return new_files(list_sheets(spark, path), watermark, extension=extension)
 
-    A heading that a file lacks is NULL in its rows, one that is not asked for is left out, and their order does not count.
-    A file with none of the headings gives rows of NULL only, which ``ingest_payroll`` reports. Empty lines are no rows.
-    """
-    # Lines keep their order inside a task, and the first block of a file is read by one task.
-    placed = lines.withColumn("_at", F.monotonically_increasing_id())
-    first = placed.filter("file_block = 0").groupBy("file_path").agg(F.min(F.struct("_at", "value")).alias("_first"))
-    first = first.select("file_path", F.col("_first._at").alias("_heading_at"), F.col("_first.value").alias("_heading"))
-    # As many columns as the widest heading has; quoted separators only make the count too high.
-    width = first.agg(F.max(F.size(F.split("_heading", f"[{separator}]")))).first()[0] or 1
-    kind = ", ".join(f"c{i} string" for i in range(width))
 
-    def cells(line: str) -> Column:
-        parsed = F.from_csv(F.regexp_replace(F.col(line), "\r$", ""), kind, {"sep": separator})
-        return F.array(*[F.trim(parsed[f"c{i}"]) for i in range(width)])
+def sheet_rows(spark: SparkSession, paths: list[str], headings: list[str], separator: str = ",") -> DataFrame:
+    """Rows of sheets exported as CSV, each file read by its own heading line: the named columns as text, and ``file_name``.
 
-    rows = placed.join(first, "file_path").filter("_at <> _heading_at AND trim(value) <> ''")
-    rows = rows.withColumns({"_cells": cells("value"), "_names": cells("_heading")})
+    A heading that a file lacks is NULL in its rows, one that is not asked for is left out, and their order does not count. Quoted values may
+    hold line ends. A file with none of the headings gives rows of NULL only, which ``ingest_payroll`` reports. Empty lines are no rows.
+    """
+    if not paths:
+        return spark.createDataFrame([], ", ".join(f"`{h}` string" for h in [*headings, "file_name"]))
+    reader = spark.read.option("recursiveFileLookup", "true")
+    # As many columns as the widest heading has; quoted separators only make the count too high.
+    lines = reader.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start").filter("file_block_start = 0")
+    firsts = lines.withColumn("_at", F.monotonically_increasing_id()).groupBy("file_path").agg(F.min(F.struct("_at", "value")).alias("_first"))
+    width = firsts.agg(F.max(F.size(F.split("_first.value", f"[{separator}]")))).first()[0] or 1
+    cells = reader.schema(", ".join(f"c{i} string" for i in range(width))).option("multiLine", "true").option("sep", separator).csv(paths)
+    trimmed = F.array(*[F.trim(F.regexp_replace(f"c{i}", "\r$", "")) for i in range(width)])
+    # A file is read by one task, its rows in order.
+    placed = cells.select(F.col("_metadata.file_path").alias("_path"), trimmed.alias("_cells")).withColumn("_at", F.monotonically_increasing_id())
+    first = placed.groupBy("_path").agg(F.min(F.struct("_at", "_cells")).alias("_first"))
+    first = first.select("_path", F.col("_first._at").alias("_heading_at"), F.col("_first._cells").alias("_names"))
+    rows = placed.join(first, "_path").filter("_at <> _heading_at")
     place = {h: F.coalesce(F.array_position("_names", h), F.lit(0)) for h in headings}
-    return rows.select(*[F.when(p > 0, F.get("_cells", (p - 1).cast("int"))).alias(h) for h, p in place.items()], "file_name")
+    named = [F.when(p > 0, F.get("_cells", (p - 1).cast("int"))).alias(h) for h, p in place.items()]
+    return rows.select(*named, sheet_name(F.col("_path")).alias("file_name"))
 
 
 def read_dim(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """A dimension sheet exported as CSV: ``columns`` names the column for each heading. All are text without outer blanks."""
-    sheet = sheet_rows(sheet_lines(spark.read.text(path)), list(columns))
+    sheet = sheet_rows(spark, [path], list(columns))
     return sheet.select(*[F.col(f"`{heading}`").alias(name) for heading, name in columns.items()])
 
 
@@ -78,7 +90,16 @@ def split_records(df: DataFrame, column: str = "value") -> DataFrame:
 
 def read_payroll_files(spark: SparkSession, path: str) -> DataFrame:
     """Payroll sheets exported as CSV, each read by its headings, with the name of their file."""
-    return sheet_rows(sheet_lines(spark.read.text(path)), PAYROLL_HEADINGS)
+    return sheet_rows(spark, [path], PAYROLL_HEADINGS)
+
+
+def read_new_payroll_files(spark: SparkSession, path: str, watermark: Column | None = None, extension: str = ".xlsx") -> DataFrame:
+    """Rows of the payroll sheets that are new; older files and those with other names are not opened.
+
+    The paths of the new files are read first, as the reader needs them: a text for each new file.
+    """
+    paths = [r["path"] for r in new_sheets(spark, path, watermark, extension).select("path").collect()]
+    return new_files(sheet_rows(spark, paths, PAYROLL_HEADINGS), None, extension=extension)
 
 
 def read_receipt_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,3 +17,27 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own for one run; it stays, as its tables are the result of the run."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` written once to a folder of its own and read from there, whatever reads it."""
+    spark, path = df.sparkSession, run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def written_once(df: DataFrame, name: str = "batch") -> Iterator[DataFrame]:
+    """``df`` written to a folder that is removed at the end of the block; whatever reads it there, it is worked out once."""
+    spark, path = df.sparkSession, run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)

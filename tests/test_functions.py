@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,6 +97,13 @@ def test_hours(spark):
     assert row.asDict() == {"half": 7.5, "minutes": 539, "zero": 0.0, "tie": 2.18, "nothing": None}
 
 
+def test_rates_round_halves_to_even(spark):
+    """Exact ties as pandas rounds them."""
+    parts = [1, 3, 5, 7, 9, 11]
+    row = one(spark, **{f"r{p}": hours.rate(F.lit(p), F.lit(800)) for p in parts})
+    assert list(row) == [float(pd.Series([p / 800 * 100]).round(2)[0]) for p in parts] == [0.12, 0.38, 0.62, 0.88, 1.12, 1.38]
+
+
 @settings(max_examples=20, deadline=None)
 @given(h=st.integers(0, 400), m=st.integers(0, 59))
 def test_hhmm_round_trip(spark, h, m):

@@ -238,3 +238,141 @@ def test_run_folder_follows_the_cluster():
 
 def test_duplicates_of_whole_rows(spark):
     assert all_duplicates(spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "x string, y int"), ["x", "y"]).count() == 2
+
+
+def test_only_new_sheets_are_opened(spark, tmp_path):
+    for month in ("2024-01-01", "2024-02-01", "2024-03-01"):
+        (tmp_path / f"{month}.csv").write_text(f"CPF,Valor\n{month},1\n")
+    (tmp_path / "notes.csv").write_text("CPF\nx\n")
+    # A sheet that Spark exported: a folder with the name of the sheet.
+    spark.createDataFrame([("a", "2")], "CPF string, Valor string").coalesce(1).write.option("header", "true").csv(str(tmp_path / "file_name=2024-04-01.csv"))
+    mark = F.lit("2024-01-15").cast("date")
+    found = files.new_sheets(spark, str(tmp_path), mark, ".csv")
+    assert sorted(r.file_name for r in found.collect()) == ["2024-02-01.csv", "2024-03-01.csv", "2024-04-01.csv"]
+    rows = files.read_new_payroll_files(spark, str(tmp_path), mark, ".csv")
+    opened = {f.split("/")[-1].split("-0")[0] + f.split("/")[-2] if "part-" in f else f.split("/")[-1] for f in rows.inputFiles()}
+    assert {o for o in opened if not o.startswith("part")} == {"2024-02-01.csv", "2024-03-01.csv"} and len(opened) == 3
+    assert sorted((r.file_name, r.CPF) for r in rows.collect()) == [("2024-02-01.csv", "2024-02-01"), ("2024-03-01.csv", "2024-03-01"), ("2024-04-01.csv", "a")]
+    late = files.read_new_payroll_files(spark, str(tmp_path), F.lit("2030-01-01").cast("date"), ".csv")
+    assert late.count() == 0 and "CPF" in late.columns
+
+
+def test_quoted_line_ends(spark, tmp_path):
+    (tmp_path / "2024-01-01.csv").write_text('CPF,"Descrição Verba",Valor\r\n7,"two\nlines, one value",1.5\r\n\r\n8,plain,2.5\r\n', encoding="utf-8")
+    got = files.read_payroll_files(spark, str(tmp_path)).select("CPF", "Descrição Verba", "Valor").collect()
+    assert sorted(tuple(r) for r in got) == [("7", "two\nlines, one value", "1.5"), ("8", "plain", "2.5")]
+
+
+def test_payroll_batches_survive_a_stop(spark, tmp_path, monkeypatch):
+    """A file a batch; the job is stopped once after a batch wrote its rows and before it was committed."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    head = ",".join(payroll.PAYROLL_COLUMNS)
+    for month in range(1, 7):
+        value = "ten" if month == 4 else str(month)
+        line = ",".join({"CPF": "7", "Valor": value, "PERIODO DA FOLHA": f"2024{month:02}"}.get(c, "") for c in payroll.PAYROLL_COLUMNS)
+        (source / f"2024-{month:02}-01.csv").write_text(f"{head}\n{line}\n", encoding="utf-8")
+    real, stops = jobs.write_batch, []
+
+    def stopping(df, path, batch_id):
+        real(df, path, batch_id)
+        if path.endswith("quarantine") and batch_id == 2 and not stops:
+            stops.append(batch_id)
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(jobs, "write_batch", stopping)
+
+    def run():
+        stream = jobs.read_payroll_stream(spark, str(source), files=1)
+        query = jobs.stream_payroll(stream, TARGET, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint", quarantine=f"{out}/quarantine")
+        query.awaitTermination()
+        return len(query.recentProgress)
+
+    with pytest.raises(Exception, match="stopped"):
+        run()
+    assert run() >= 4 and stops == [2]
+    loaded = spark.read.schema(TARGET).parquet(f"{out}/table").collect()
+    assert sorted(r.data_referencia.month for r in loaded) == [1, 2, 3, 5, 6]
+    assert [r.file_name for r in spark.read.parquet(f"{out}/rejects").collect()] == ["2024-04-01.csv"]
+    aside = spark.read.schema("value string, path string").parquet(f"{out}/quarantine").collect()
+    assert len(aside) == 2 and all(r.path.endswith("2024-04-01.csv") for r in aside)
+
+
+def deliver(source, name, clockings):
+    (source / name).write_text(json.dumps(clockings))
+
+
+def at(i, day, hour=8, month=3):
+    return clocking(i, f"{day:02}{month:02}2024{hour:02}0000")
+
+
+def test_late_punches_are_loaded_once(spark, tmp_path):
+    """Four deliveries: on time, repeated, so late that the state has forgotten the day, and the late ones again."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    deliver(source, "a.json", [at(i, i) for i in range(1, 11)] + [clocking(90, "none")])
+    query = None
+
+    def run():
+        stream = jobs.read_clocking_stream(spark, str(source), files=1)
+        query = jobs.stream_clockings(stream, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint", delay="2 days")
+        query.awaitTermination()
+        rows = spark.read.parquet(f"{out}/table").collect()
+        assert len({r.id for r in rows}) == len(rows)
+        return {int(r.nsr): r.late for r in rows}, jobs.state_rows(query)
+
+    got, state = run()
+    # All days count as on time in the first delivery; the state then keeps those of the last days only.
+    assert got == {i: False for i in range(1, 11)} and min(state) < 10
+    deliver(source, "b.json", [at(i, i) for i in (9, 10)] + [at(11, 11), clocking(90, "none"), clocking(91, "none")])
+    got, _ = run()
+    assert got == {i: False for i in range(1, 12)}
+    # Day 2 is over for the state: one punch comes again, one for the first time.
+    deliver(source, "c.json", [at(2, 2), at(40, 2, 9), at(40, 2, 9), at(20, 20), at(90, 20)])
+    got, _ = run()
+    assert got == {**{i: False for i in range(1, 12)}, 40: True, 20: False, 90: False}
+    deliver(source, "d.json", [at(40, 2, 9), at(41, 1), at(20, 20), at(30, 30)])
+    got, state = run()
+    assert got == {**{i: False for i in range(1, 12)}, 40: True, 20: False, 90: False, 41: True, 30: False}
+    assert state[-1] <= 2 and {int(r.nsr) for r in spark.read.parquet(f"{out}/rejects").collect()} == {90, 91}
+
+
+def test_windows_of_days_over_batches(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    emp = spark.createDataFrame([("A", 5)], "status string, pis long")
+    loaded = spark.createDataFrame([("3.0",)], "id string")
+
+    def run():
+        stream = jobs.read_clocking_stream(spark, str(source), files=1)
+        query = jobs.stream_pending_by_day(stream, emp, loaded, f"{out}/table", f"{out}/checkpoint", delay="2 days")
+        query.awaitTermination()
+        return {int(r.date[6:]): r.punches for r in jobs.pending_days(spark, f"{out}/table").collect()}, jobs.state_rows(query)
+
+    deliver(source, "a.json", [at(i, 1 + i % 2) for i in range(1, 7)])
+    assert run()[0] == {1: 3, 2: 2}
+    # The same day in a later batch adds to its window; a repeated id does not.
+    deliver(source, "b.json", [at(7, 2), at(1, 2), at(8, 3)])
+    assert run()[0] == {1: 3, 2: 3, 3: 1}
+    deliver(source, "c.json", [at(9, 25), at(10, 25)])
+    deliver(source, "d.json", [at(11, 1), at(12, 1), at(11, 1), at(13, 24)])
+    got, state = run()
+    assert got == {1: 5, 2: 3, 3: 1, 24: 1, 25: 2}
+    assert state[-1] <= 2
+
+
+def test_jdbc_predicates_deal_each_row_once():
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 10 = 0 THEN NULL WHEN i % 3 = 0 THEN 7 ELSE i * i END AS n, 'it''s ' || (i % 17) AS s, DATE '2024-01-01' + CAST(i // 9 AS INTEGER) AS d FROM range(500) r(i)")
+    for column in ("n", "s", "d"):
+        edges = [r[0] for r in con.sql(erp.edges_query("t", column, 8)).fetchall()]
+        predicates = erp.range_predicates(column, edges)
+        counts = [con.sql(f"SELECT count(*) FROM t WHERE {p}").fetchall()[0][0] for p in predicates]
+        assert sum(counts) == 500 and 3 < len(predicates) <= 8
+        assert con.sql(f"SELECT count(*) FROM t WHERE {' AND '.join(f'NOT coalesce({p}, false)' for p in predicates)}").fetchall()[0][0] == 0
+        # Half of the values differ by far, one holds a third of the rows: no other share is much larger than an eighth.
+        assert sorted(counts)[-2] <= 130
+    assert erp.range_predicates("n", []) == erp.range_predicates("n", [5]) == ["1 = 1"]
+    with pytest.raises(TypeError):
+        erp.sql_literal(True)

@@ -103,11 +103,58 @@ def test_run_lists_keep_every_copy(spark):
     assert got == {"e": ("a | b x2", 3), "f": ("c x20", 20)}
 
 
-@pytest.mark.parametrize("width", [1, 7, 100_000])
-def test_recno_has_no_gaps_and_keeps_the_order(spark, width):
+def test_value_lists_expand_to_every_copy(spark):
+    df = spark.createDataFrame([("e", "b", 2)] * 2 + [("e", "a", 9)] + [("f", "c", 1)] * 20 + [("f", None, 0)], "k string, v string, o int")
+    lists = rel.value_lists(df, ["k"], "v", "all", order="o")
+    got = {r.k: r for r in lists.select("*", rel.expanded(F.col("all")).alias("list"), rel.list_text(F.col("all"), 10).alias("text")).collect()}
+    assert [tuple(x) for x in got["e"]["all"]] == [("b", 2), ("a", 1)] and got["e"].all_count == 3
+    assert (got["e"].list, got["e"].text) == (["b", "b", "a"], "b | b | a")
+    # A list beyond the limit is written by runs, and expands all the same.
+    assert (got["f"].list, got["f"].text) == (["c"] * 20, "c x20")
+
+
+def test_pivot_lists(spark):
+    rows = [(1, "x", "b"), (1, "x", "a"), (1, "x", "a"), (1, "z", "n"), (2, "y", "q"), (3, "x", None)]
+    wide = rel.pivot_lists(spark.createDataFrame(rows, "k int, c string, v string"), ["k"], "c", ["x", "y"], "v")
+    assert wide.columns == ["k", "x", "y"] and dict(wide.dtypes)["x"] == "array<struct<value:string,copies:bigint>>"
+    got = {r.k: (r.x, r.y) for r in wide.select("k", *[rel.expanded(F.col(c)).alias(c) for c in ("x", "y")]).collect()}
+    assert got == {1: (["a", "a", "b"], []), 2: ([], ["q"])}
+
+
+def numbers(df, spark, key, within=(), last=41):
+    start = rel.max_or(spark.createDataFrame([(last,)] if last else [], "recno long"), "recno", 0)
+    return rel.assign_recno(df, start, key, within=within).collect()
+
+
+def test_recno_has_no_gaps_and_keeps_the_order(spark):
     rows = spark.range(500).select((F.col("id") * 3 - 200).alias("id"), F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise("2024-01-02").alias("date"))
-    start = rel.max_or(spark.createDataFrame([(41,)], "recno long"), "recno", 0)
-    got = rel.assign_recno(rows, start, "id", within=["date"], width=width).orderBy("date", "id")
-    assert [r.recno for r in got.collect()] == list(range(42, 542))
-    empty = rel.max_or(spark.createDataFrame([], "recno long"), "recno", 0)
-    assert [r.recno for r in rel.assign_recno(rows, empty, "id", width=width).orderBy("id").collect()] == list(range(1, 501))
+    got = sorted(numbers(rows, spark, "id", ["date"]), key=lambda r: (r.date, r.id))
+    assert [r.recno for r in got] == list(range(42, 542))
+    assert [r.recno for r in sorted(numbers(rows, spark, "id", last=0), key=lambda r: r.id)] == list(range(1, 501))
+    assert numbers(rows.filter("id > 9000"), spark, "id") == []
+
+
+def test_recno_of_sparse_keys(spark):
+    rows = spark.range(0, 3000, 1, 6).select((F.col("id") * 7_919_000_000_003 - 10**15).alias("id")).repartition(5)
+    assert [r.recno for r in sorted(numbers(rows, spark, "id"), key=lambda r: r.id)] == list(range(42, 3042))
+
+
+def test_recno_of_text_keys_and_ties(spark):
+    """A third of the rows has one key, some have none; ties go by the other columns, whatever the partitions."""
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "same").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("key"), "id"
+    )
+    want = sorted(((r.key is not None, r.key or "", r.id) for r in rows.collect()))
+    for parts in (1, 7):
+        got = numbers(rows.repartition(parts, "id"), spark, "key")
+        assert [(r.key is not None, r.key or "", r.id) for r in sorted(got, key=lambda r: r.recno)] == want
+        assert sorted(r.recno for r in got) == list(range(42, 942))
+    # Rows that are alike in all columns get a number each.
+    assert sorted(r.recno for r in numbers(spark.range(8).select(F.lit("x").alias("key")), spark, "key", last=0)) == list(range(1, 9))
+
+
+def test_no_window_over_rows(spark):
+    """The only window of a numbering runs over counts: its input is an aggregate by range."""
+    placed = rel.assign_recno(spark.range(100), rel.max_or(spark.range(0), "id", 0), "id")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") == 1 and "Aggregate [_range" in plan
