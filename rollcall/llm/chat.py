@@ -218,11 +218,13 @@ def conversation_digests(formatted: DataFrame, id_col: str = "conv_id") -> DataF
     """Per conversation, read back from the formatted turns: number of turns, hash of all turns, length and hash of all text under
     the loss mask, and the length of the whole text. Turns pass one by one, so a conversation of any length needs little memory."""
     # The segment orders ties: it begins with the role, then the text.
-    ordered = formatted.repartition(F.col(id_col)).sortWithinPartitions(id_col, "turn", "segment")
     kind = formatted.schema[id_col].dataType
+    # As text an id passes as it is, whatever its type, beside null ids as well.
+    texts = formatted.withColumn(id_col, F.col(id_col).cast("string"))
+    ordered = texts.repartition(F.col(id_col)).sortWithinPartitions(id_col, "turn", "segment")
     schema = T.StructType(
         [
-            T.StructField(id_col, kind),
+            T.StructField(id_col, T.StringType()),
             T.StructField("n_turns", T.LongType()),
             T.StructField("turns_sha256", T.StringType()),
             T.StructField("loss_chars", T.LongType()),
@@ -240,7 +242,6 @@ def conversation_digests(formatted: DataFrame, id_col: str = "conv_id") -> DataF
         for batch in batches:
             out = []
             for key, segment, start, length in zip(batch[id_col].tolist(), batch["segment"], batch["loss_start"], batch["loss_length"]):
-                key = None if key is None or key != key else key
                 if state is None or state["id"] != key:
                     if state is not None:
                         out.append(row(state))
@@ -256,4 +257,4 @@ def conversation_digests(formatted: DataFrame, id_col: str = "conv_id") -> DataF
         if state is not None:
             yield pd.DataFrame([row(state)], columns=schema.names)
 
-    return ordered.mapInPandas(run, schema)
+    return ordered.mapInPandas(run, schema).withColumn(id_col, F.col(id_col).cast(kind))

@@ -192,10 +192,14 @@ def contaminated(
 
     def passed(block: int) -> DataFrame:
         rows = own.where(F.col("block") == block).orderBy("id", "text").collect()  # ITEM_BYTES on average
-        items = spark.sparkContext.broadcast(Items([r["id"] for r in rows], [r["text"] for r in rows]))
+        # Plain lists: a worker builds the items itself, once, so that it needs no copy of this package.
+        items = spark.sparkContext.broadcast({"ids": [r["id"] for r in rows], "texts": [r["text"] for r in rows]})
 
         def run(batches):
-            held = items.value
+            own = items.value
+            if "items" not in own:
+                own["items"] = Items(own["ids"], own["texts"])
+            held = own["items"]
             for batch in batches:
                 for part, data, offsets in pieces(batch, text_col):
                     found = matches(held, *plain_words(data, offsets))

@@ -119,7 +119,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [
                         rows.column(id_col),
                         pa.array(sizes, pa.int64()),
-                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([r.tobytes() if n > FEW else None for r, n in zip(regs, sizes)], pa.binary()),
                         pa.array([few_registers(s).tobytes() if 0 < n <= FEW * 4 / 3 else None for s, n in zip(sets, sizes)], pa.binary()),
                     ],
@@ -271,7 +271,18 @@ def common_elements(left: list[np.ndarray], right: list[np.ndarray], width: int
     return out
 
 
-def family_links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+def class_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """For each of ``nodes`` the ``__digest`` of its set and the texts of the document that stands for it, as ``__text``. An id may have
+    several texts; the one that counts has a set with this digest."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    return nodes.join(classes.select("node", "id", "__digest"), "node").join(texts, "id").drop("id")
+
+
+def set_digest(members: np.ndarray) -> bytes:
+    return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
+
+
+def family_links(members: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Links between different components of a family (``node``, ``family``, ``component``), from the full sets.
 
     The largest component of a family is never compared with itself: its blocks only meet the blocks of all others. Out of a pair of
@@ -289,7 +300,6 @@ def family_links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str
         "other", F.explode(F.when(main, F.sequence(mains, mains + rest - 1)).otherwise(F.sequence(F.lit(0), mains + rest - 1)))
     )
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
 
     def run(key, rows):
         found = []
@@ -297,7 +307,8 @@ def family_links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str
         if rows is not None:
             own, node, component = (rows.column(c).to_numpy() for c in ("own", "node", "component"))
             sets = text_sets(rows, "__text")
-            low, high = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == key[2].as_py())
+            meant = np.array([set_digest(s) == d for s, d in zip(sets, rows.column("__digest").to_pylist())], bool)
+            low, high = (np.flatnonzero((own == key[i].as_py()) & meant) for i in (1, 2))
             sizes = np.array([len(x) for x in sets])
             common = common_elements([sets[i] for i in low], [sets[i] for i in high]).astype(np.int64)
             linked = (common > 0) & (100 * common >= percent * (sizes[low][:, None] + sizes[high][None, :] - common))
@@ -307,25 +318,37 @@ def family_links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str
         a, b = found or (np.zeros(0, np.int64), np.zeros(0, np.int64))
         return pa.Table.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    rows = dealt.select("family", "low", "high", "own", "node", "component").join(texts, "node")
+    rows = class_texts(dealt.select("family", "low", "high", "own", "node", "component"), classes, docs, id_col, text_col)
     return rows.groupBy("family", "low", "high").applyInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    left = texts.select(F.col("__id").alias("a"), F.col("__text").alias("text_a"))
-    right = texts.select(F.col("__id").alias("b"), F.col("__text").alias("text_b"))
+    for end in ("a", "b"):
+        named = class_texts(pairs.withColumnRenamed(end, "node"), classes, docs, id_col, text_col)
+        pairs = named.withColumnsRenamed({"node": end, "__text": f"text_{end}", "__digest": f"digest_{end}"})
 
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(text_sets(batch, "text_a"), text_sets(batch, "text_b")):
+            digests = batch.column("digest_a").to_pylist(), batch.column("digest_b").to_pylist()
+            for x, y, *own in zip(text_sets(batch, "text_a"), text_sets(batch, "text_b"), *digests):
                 both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                near = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+                keep.append(near and [set_digest(x), set_digest(y)] == own)
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.select("a", "b", "digest_a", "digest_b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+
+
+def same_id_links(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of ids that have several different sets."""
+    several = known.groupBy("__id").agg(F.min("__digest").alias("least"), F.max("__digest").alias("most")).where("least <> most")
+    own = known.join(several.select("__id", "least"), "__id").select("__digest", "least").distinct()
+    nodes = classes.select("__digest", "node")
+    return own.join(nodes, "__digest").select(F.col("node").alias("a"), F.col("least").alias("__digest")).join(
+        nodes.withColumnRenamed("node", "b"), "__digest"
+    ).where("a <> b").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -334,31 +357,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are linked when their sets of word shingles share at least ``percent`` of their union; ``component_id`` is the smallest id
     that links reach, and ``kept`` marks the document that has it. Rows with equal sets are one class from the start. A text with no
     word, empty or null, has no shingle and is linked with nothing. Rows that share an id are one document, linked by any of its
-    texts; a row with a null id is linked with nothing and kept. An empty table gives no row; other columns are not read.
+    texts; a row with a null id is linked with nothing and kept. Of a very long text every shingle counts. An empty table gives no row;
+    other columns are not read.
     """
     sets = staged(document_sets(docs, id_col, text_col))
+    known = sets.where("__digest is not null and __id is not null")
+    # A class is numbered, as an id may stand for several; the numbers are written, so they stay.
     classes = staged(
-        sets.where("__digest is not null and __id is not null")
-        .groupBy("__digest")
-        .agg(F.min("__id").alias("node"), F.first("__n").alias("n"), F.first("__many").alias("many"), F.first("__few").alias("few"))
+        known.groupBy("__digest")
+        .agg(F.min("__id").alias("id"), F.first("__n").alias("n"), F.first("__many").alias("many"), F.first("__few").alias("few"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     buckets = staged(shared_buckets(banded(classes)))
-    regs = classes.select("node", "n", "many", "few").dropDuplicates(["node"])
+    regs = classes.select("node", "n", "many", "few")
     # Members of a bucket meet the smallest of them; pairs that the registers leave possible make families.
     pairs = buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     near = staged(promising(pairs, regs, percent))
     families = components(near).withColumnRenamed("component", "family")
-    labels = components(confirmed(near, docs, id_col, text_col, percent))
+    texts = (classes, docs, id_col, text_col, percent)
+    labels = components(confirmed(near, *texts).union(same_id_links(known, classes)))
     # All pairs inside a family, then all pairs of a bucket that are in different families.
     members = families.join(labels, "node", "left")
-    inside = family_links(members.withColumn("component", F.coalesce("component", "node")), docs, id_col, text_col, percent)
-    known = buckets.select("key", "node").join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
-    mixed = known.groupBy("key").agg(F.min("family").alias("least"), F.max("family").alias("most")).where("least < most")
-    across = staged(block_pairs(known.join(mixed.select("key"), "key"), regs, percent))
-    labels = components(inside.union(confirmed(across, docs, id_col, text_col, percent)), labels)
-    own = classes.select("__digest", "node").join(labels, "node", "left").select("__digest", F.coalesce("component", "node").alias("component"))
+    inside = family_links(members.withColumn("component", F.coalesce("component", "node")), *texts)
+    placed = buckets.select("key", "node").join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
+    mixed = placed.groupBy("key").agg(F.min("family").alias("least"), F.max("family").alias("most")).where("least < most")
+    across = staged(block_pairs(placed.join(mixed.select("key"), "key"), regs, percent))
+    labels = components(inside.union(confirmed(across, *texts)), labels)
+    # The smallest id of each component; a class without links has its own.
+    ids = classes.select("__digest", "node", "id")
+    smallest = labels.join(ids, "node").groupBy("component").agg(F.min("id").alias("least"))
+    labelled = labels.join(smallest, "component").select("node", "least")
+    own = staged(ids.join(labelled, "node", "left").select("__digest", F.coalesce("least", "id").alias("component")))
     out = sets.select("__id", "__n", "__digest").join(own, "__digest", "left")
-    by_id = F.when(F.col("__id").isNotNull(), F.coalesce("component", "__id"))
+    # A row without a shingle belongs to the document of its id, if that has other texts.
+    empty = sets.where("__digest is null and __id is not null").select("__id").distinct()
+    beside = sets.where("__digest is not null").select("__id", "__digest").join(empty, "__id").join(own, "__digest")
+    beside = beside.groupBy("__id").agg(F.min("component").alias("beside"))
+    out = out.join(beside, "__id", "left")
+    by_id = F.when(F.col("__id").isNotNull(), F.coalesce("component", "beside", "__id"))
     kind = docs.schema[id_col].dataType
     return out.select(
         F.col("__id").cast(kind).alias(id_col), F.col("__n").alias("n_shingles"), by_id.cast(kind).alias("component_id"), by_id.eqNullSafe(F.col("__id")).alias("kept")

@@ -150,8 +150,8 @@ def drop_shared_lines(
     A line's key is the line without blanks at both ends, A-Z in lower case; keys under ``min_chars`` code points always stay. A
     shared key stays in the document with the largest id. A null text is empty: one empty line. Each row is a document: a repeated
     row counts again, and rows with the largest id all keep the line. A null id is never the largest, unless a key has no other. A
-    document that loses all lines has an empty text. An empty table stays empty; other columns pass through, but columns that are
-    named ``n_lines`` or ``n_dropped`` are replaced.
+    document that loses all lines has an empty text. Of very long texts every line counts. An empty table stays empty; other columns
+    pass through, whatever their names, but columns that are named ``n_lines`` or ``n_dropped`` are replaced.
     """
     spark = docs.sparkSession
     # A row is told by id and text, so that rows that share an id, or have none, do not meet in one group.
@@ -182,6 +182,10 @@ def drop_shared_lines(
     )
     others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     joined = docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (same == gone["__same"]), "left")
-    return joined.select(
-        *[docs[c] for c in others], without_lines(F.coalesce(docs[text_col], F.lit("")), F.col("__gone")).alias("__out")
-    ).select(*[c for c in others], F.col("__out.text").alias(text_col), "__out.n_lines", "__out.n_dropped")
+    # The columns of the documents keep their names to the end only, as any name may be among them.
+    kept = joined.select(
+        *[docs[c].alias(f"c{i}") for i, c in enumerate(others)], without_lines(F.coalesce(docs[text_col], F.lit("")), gone["__gone"]).alias("out")
+    )
+    return kept.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], F.col("out.text").alias(text_col), "out.n_lines", "out.n_dropped"
+    )

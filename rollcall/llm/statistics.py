@@ -32,7 +32,7 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         out[2 + row] = (sums[offsets[1:]] - sums[offsets[:-1]]) / size
         if row == 4:
             symbols = sums.copy()
-    hashes, first, last, bounds = words(data, offsets)
+    hashes, first, last, bounds = words(data, offsets, rolling=True)
     count = np.diff(bounds)
     some = np.maximum(count, 1)
 

@@ -10,8 +10,9 @@ from array import array
 from itertools import islice
 from types import ModuleType
 
-#: Chunks that a worker process keeps encoded, at most; then it goes on with the first, which are the common ones.
-KEPT_CHUNKS, FIRST_CHUNKS = 850_000, 450_000
+#: Chunks that a worker process keeps encoded, at most; then it goes on with the first, which are the common ones. Longer chunks than
+#: KEPT_LETTERS, as texts without blanks have, are encoded each time.
+KEPT_CHUNKS, FIRST_CHUNKS, KEPT_LETTERS = 850_000, 450_000, 100
 ENDINGS = ".,;:!?"
 
 
@@ -53,7 +54,8 @@ class Encoder(dict):
                 found = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
         else:
             found = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        self[chunk] = found
+        if len(chunk) <= KEPT_LETTERS:
+            self[chunk] = found
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -18,6 +18,8 @@ CANDIDATES, QUERIES = 4096, 512
 DEPTHS = (0.1, 0.25, 0.4, 0.55, 0.7, 0.85, 1.0)
 #: Whole numbers up to here are exact as doubles.
 EXACT = 1 << 52
+#: Bits of the lower part of a score.
+LOW = 62
 
 
 def whole_vector(column: Column, scale: int = 1024) -> Column:
@@ -67,17 +69,23 @@ def bounded_reads(x: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> list
     return out
 
 
-def block_top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, candidate and score of the ``k`` best candidates of a block for each query; ties go to smaller ids."""
+def block_top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, copies: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Query, candidate and score of the ``k`` best candidates of a block for each query, a candidate as often as it has copies; ties go to
+    smaller ids. A score is two numbers: its multiple of 2 ** LOW, and the rest."""
     found = []
     for i, may in enumerate(bounded_reads(x, q, query_ids[:, None] == ids[None, :], k)):
         if np.abs(x).max(initial=0) * float(np.abs(q[i]).max(initial=0)) * x.shape[1] < EXACT:
             score = x[may] @ q[i]
+            high, low = score >> LOW, score & ((1 << LOW) - 1)
         else:
-            score = np.array([sum(int(a) * int(b) for a, b in zip(row, q[i])) for row in x[may]], object)
-            score = np.clip(score, -(2**63), 2**63 - 1).astype(np.int64) if len(score) else np.zeros(0, np.int64)
-        best = np.lexsort((ids[may], -score))[:k]
-        found.append((np.full(len(best), query_ids[i]), ids[may][best], score[best]))
+            score = [sum(int(a) * int(b) for a, b in zip(row, q[i])) for row in x[may]]
+            if any(abs(s) >> (LOW + 63) for s in score):
+                raise OverflowError(f"a score of query {query_ids[i]} has more than {LOW + 63} bits")
+            high = np.array([s >> LOW for s in score], np.int64)
+            low = np.array([s & ((1 << LOW) - 1) for s in score], np.int64)
+        best = np.lexsort((ids[may], -low, -high))[:k]
+        best = np.repeat(best, np.minimum(copies[may][best], k))[:k]
+        found.append((np.full(len(best), query_ids[i]), ids[may][best], high[best], low[best]))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -85,37 +93,42 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str =
     """``query_id``, ``rank`` (from 1), the candidate's id and ``score`` of the ``k`` candidates with the largest inner product.
 
     Vectors are arrays of whole numbers; rows with a null id or vector take no part, and a query meets candidates of its own length
-    only. A candidate with the query's id is the query itself and left out. Rows that repeat id and vector count once; rows that
-    repeat an id alone count each. Ties go to the smaller id. Fewer than ``k`` candidates give fewer rows, an empty table none. Other
-    columns are dropped.
+    only. A candidate with the query's id is the query itself and left out. Every other row is a candidate: rows that repeat an id and
+    a vector count each, also as results; a query that is repeated is asked once. Ties go to the smaller id. Ranks follow the exact
+    products; ``score`` holds the nearest 64-bit number where a product has more bits, and products of more than 125 bits stop the search.
+    Fewer than ``k`` candidates give fewer rows, an empty table none. Other columns are dropped.
     """
 
     def blocks(df: DataFrame, size: int) -> tuple[DataFrame, int]:
         rows = df.select(F.col(id_col).cast("long").alias("__id"), F.col(vector_col).cast("array<long>").alias("__vector"))
-        rows = rows.where("__id is not null and __vector is not null").distinct()
+        # Copies are counted before they meet, so that they do not fill a block.
+        rows = rows.where("__id is not null and __vector is not null").groupBy("__id", "__vector").agg(F.count(F.lit(1)).alias("__copies"))
         number = -(-rows.count() // size) or 1
         return rows.withColumn("__block", F.pmod(F.xxhash64("__id", "__vector"), F.lit(number)).cast("int")), number
 
     asked, asked_blocks = blocks(queries, QUERIES)
     given, given_blocks = blocks(candidates, CANDIDATES)
-    pair = [F.size("__vector").alias("width"), "__id", "__vector"]
+    pair = [F.size("__vector").alias("width"), "__id", "__vector", "__copies"]
     # Each block of queries meets each block of candidates.
     asked = asked.select(F.col("__block").alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(given_blocks - 1))).alias("given"), *pair)
     given = given.select(F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))).alias("asked"), F.col("__block").alias("given"), *pair)
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", id_col, "score"]
+        names = ["query_id", id_col, "high", "low"]
         if not len(left) or not len(right):
-            return pa.Table.from_arrays([pa.array([], pa.int64())] * 3, names=names)
+            return pa.Table.from_arrays([pa.array([], pa.int64())] * 4, names=names)
 
         def matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             flat = rows.column("__vector").combine_chunks().flatten().to_numpy()
             return rows.column("__id").to_numpy(), flat.reshape(len(rows), -1).astype(np.int64)
 
-        return pa.Table.from_arrays([pa.array(c) for c in block_top(*matrix(left), *matrix(right), k)], names=names)
+        copies = right.column("__copies").to_numpy()
+        return pa.Table.from_arrays([pa.array(c) for c in block_top(*matrix(left), *matrix(right), copies, k)], names=names)
 
     groups = ["asked", "given", "width"]
-    found = asked.groupBy(*groups).cogroup(given.groupBy(*groups)).applyInArrow(run, f"query_id long, `{id_col}` long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(id_col))
+    found = asked.groupBy(*groups).cogroup(given.groupBy(*groups)).applyInArrow(run, f"query_id long, `{id_col}` long, high long, low long")
+    best = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), F.asc(id_col))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), id_col, "score")
+    # 64 bits hold the multiples -2 to 1 of the upper part.
+    score = F.when(F.col("high") >= 2, F.lit(2**63 - 1)).when(F.col("high") < -2, F.lit(-(2**63))).otherwise(F.shiftleft("high", LOW) + F.col("low"))
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), id_col, score.alias("score"))

@@ -58,7 +58,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np
     """The words with the first byte of each: their places, then those of their beginnings, for words that are longer."""
     data = PUNCTUATION[data]
     shift = np.uint64(64 - BITS)
-    hashes, first, last, _ = words(data, offsets)
+    hashes, first, last, _ = words(data, offsets, rolling=True)
     out = [((hashes >> shift).astype(np.int32), first)]
     sums, back = running_hash(data, BYTE_VALUE), inverse_powers(len(data) + 1)
     for n in BEGINNINGS:

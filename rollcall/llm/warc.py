@@ -24,7 +24,8 @@ from .common import checkpointed, clean_text, shared_folder
 REVISIT_BYTES = 1000
 #: An archive ends with the record that takes it past so many bytes.
 ARCHIVE_BYTES = 64 << 20
-DICTIONARY_BYTES, DICTIONARY_RECORDS, LEVEL = 32 << 10, 300, 3
+#: A dictionary is trained on the first records of an archive: so many, or so many bytes.
+DICTIONARY_BYTES, DICTIONARY_RECORDS, SAMPLE_BYTES, LEVEL = 32 << 10, 300, 16 << 20, 3
 # Fixed values of the formats.
 DICTIONARY_MAGIC, ZSTD_MAGIC = 0x184D2A5D, b"\x28\xb5\x2f\xfd"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -78,11 +79,9 @@ def archive_head(samples: list[bytes]) -> tuple[bytes, object]:
     return struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed, zstandard.ZstdCompressor(dict_data=dictionary, write_checksum=True)
 
 
-def roles(pages: DataFrame, id_col: str, payload_col: str) -> DataFrame:
-    """``pages`` with ``__digest``, ``__bytes``, ``__revisit`` and ``__refers_to``."""
-    hashed = pages.select(
-        F.col(id_col).alias("__page"), F.sha1(clean_text(payload_col)).alias("__digest"), F.octet_length(clean_text(payload_col)).alias("__bytes")
-    )
+def roles(pages: DataFrame) -> DataFrame:
+    """``pages`` (``page``, ``url``, ``payload``) with ``__digest``, ``__bytes``, ``__revisit`` and ``__refers_to``."""
+    hashed = pages.select(F.col("page").alias("__page"), F.sha1("payload").alias("__digest"), F.octet_length("payload").alias("__bytes"))
     repeated = (
         hashed.where(F.col("__bytes") >= REVISIT_BYTES)
         .groupBy(F.col("__digest").alias("__same"), F.col("__bytes").alias("__long"))
@@ -90,9 +89,9 @@ def roles(pages: DataFrame, id_col: str, payload_col: str) -> DataFrame:
         .where("__n > 1")
         .drop("__n")
     )
-    own = pages.withColumns({"__digest": F.sha1(clean_text(payload_col)), "__bytes": F.octet_length(clean_text(payload_col))})
+    own = pages.withColumns({"__digest": F.sha1("payload"), "__bytes": F.octet_length("payload")})
     joined = own.join(repeated, (own["__digest"] == repeated["__same"]) & (own["__bytes"] == repeated["__long"]), "left")
-    return joined.withColumn("__revisit", F.col("__same").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("__refers_to")))
+    return joined.withColumn("__revisit", F.col("__same").isNotNull() & ~F.col("page").eqNullSafe(F.col("__refers_to")))
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -100,15 +99,16 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
     Of rows with equal payloads of at least REVISIT_BYTES, the one with the largest id is a response and the others revisit it (rows
     that repeat the largest id are responses too; a null id is never the largest unless all are null); smaller payloads are always
-    responses. Null payloads and addresses are empty. An empty table writes nothing. Other columns are not written.
+    responses. Null payloads and addresses are empty; of very long payloads a task holds one record, and at most SAMPLE_BYTES of records
+    besides while it collects what the dictionary learns from. An empty table writes nothing. Ids are whole numbers; other columns, whatever
+    their names, are not written.
     """
     folder = f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     if "://" not in folder and not folder.startswith("/"):
         folder = "/" + folder.removeprefix("file:").lstrip("/")
     folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file:///") else folder
-    rows = roles(pages, id_col, payload_col).select(
-        id_col, clean_text(F.col(url_col).cast("string")).alias("__url"), clean_text(payload_col).cast("binary").alias("__payload"), "__digest", "__refers_to", "__revisit"
-    )
+    own = pages.select(F.col(id_col).alias("page"), clean_text(F.col(url_col).cast("string")).alias("url"), clean_text(payload_col).alias("payload"))
+    rows = roles(own).select("page", "url", F.col("payload").cast("binary").alias("payload"), "__digest", "__refers_to", "__revisit")
 
     def run(batches):
         where, root = opened(folder)
@@ -141,7 +141,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
                 record = record_bytes(*values)
                 if out is None:
                     samples.append(record)
-                    if len(samples) < DICTIONARY_RECORDS:
+                    if len(samples) < DICTIONARY_RECORDS and sum(map(len, samples)) < SAMPLE_BYTES:
                         continue
                     begin()
                     for r in samples:

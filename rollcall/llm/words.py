@@ -1,7 +1,8 @@
 """Words and word shingles of many texts at once, as 64-bit hashes in numpy arrays.
 
-A word is a run of bytes other than space and 0x09 to 0x0D; A-Z count as a-z. Its hash is a polynomial over random byte values,
-taken from one running sum over all bytes, then mixed.
+A word is a run of bytes other than space and 0x09 to 0x0D; A-Z count as a-z. Its hash is the sum of random byte values, each times a
+random number for its place in the word, then mixed. With ``rolling`` it is a polynomial, which can be taken of any part of a word as
+well, but which different words of regular patterns share.
 """
 
 from __future__ import annotations
@@ -28,6 +29,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def numbers_of(place: np.ndarray) -> np.ndarray:
+    return mix(mix(place.astype(np.uint64) * np.uint64(BASE) + PLACE[6])) | np.uint64(1)
+
+
+#: The numbers of the places that most words have.
+NUMBERS = numbers_of(np.arange(256))
+
+
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     if n:
@@ -46,7 +55,17 @@ def inverse_powers(n: int) -> np.ndarray:
     return powers(pow(BASE, -1, 1 << 64), n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def by_place(word: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each byte the random number of its place in its word."""
+    at = np.arange(len(word))
+    place = at - np.maximum.accumulate(np.where(begins, at, 0))
+    out = NUMBERS[np.minimum(place, len(NUMBERS) - 1)]
+    far = np.flatnonzero(word & (place >= len(NUMBERS)))
+    out[far] = numbers_of(place[far])
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray, rolling: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end of each word, and the first word of each text with the number of words at the end."""
     word = IS_WORD[data]
     begins, ends = word.copy(), word.copy()
@@ -57,8 +76,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lasts = offsets[1:][offsets[1:] > offsets[:-1]] - 1
     ends[lasts] = word[lasts]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    sums = running_hash(data, BYTE_VALUE)
-    hashes = mix((sums[last] - sums[first]) * inverse_powers(len(data) + 1)[first])
+    if rolling:
+        sums = running_hash(data, BYTE_VALUE)
+        hashes = mix((sums[last] - sums[first]) * inverse_powers(len(data) + 1)[first])
+    else:
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_VALUE[data] * by_place(word, begins), out=sums[1:])
+        hashes = mix(sums[last] - sums[first] + (last - first).astype(np.uint64) * PLACE[7])
     return hashes, first, last, np.searchsorted(first, offsets)
 
 
@@ -86,4 +110,4 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> lis
 def hash_of(word: str) -> int:
     """The hash of one word."""
     data = np.frombuffer(word.encode(), np.uint8)
-    return int(words(data, np.array([0, len(data)]))[0][0])
+    return int(words(data, np.array([0, len(data)]), rolling=True)[0][0])

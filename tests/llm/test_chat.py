@@ -85,5 +85,14 @@ def test_fingerprint_ignores_order():
     assert chat.fingerprint(["b", "a.c", "a"]) == chat.fingerprint(["a", "a.c", "b", "b"]) != chat.fingerprint(["a", "c", "b"])
 
 
+def test_wide_ids_beside_a_null(spark):
+    ids = [2**53, 2**53 + 1, 2**53 + 2, None, -(2**63), 2**63 - 1]
+    rows = [(i, t, "user", f"{i} {t}") for i in ids for t in range(2)]
+    turns = prepare(spark).createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    got = chat.conversation_digests(chat.format_turns(turns))
+    assert dict(got.dtypes)["conv_id"] == "bigint"
+    assert {r["conv_id"]: r["n_turns"] for r in got.collect()} == dict.fromkeys(ids, 2)
+
+
 def test_empty(spark):
     assert chat.conversation_digests(chat.format_turns(turns(spark, []))).count() == 0

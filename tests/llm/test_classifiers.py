@@ -123,6 +123,16 @@ def test_swapping_groups_hardly_moves_scores(spark):
     assert np.mean([(out[i] >= 0.5) == bool(v) for i, _, v in rows]) > 0.97
 
 
+def test_sample_of_one_id_is_bounded(spark):
+    prepare(spark)
+    known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    docs = spark.range(0, 20_000, 1, 8).selectExpr("CAST(1 AS long) AS doc_id", "concat('text ', id) AS text")
+    alike = spark.range(0, 20_000, 1, 8).selectExpr("CAST(2 AS long) AS doc_id", "'same' AS text")
+    for df, least in ((docs, 300), (alike, 300), (docs.union(alike), 300)):
+        assert least == labelled_sample(df, known, "quality", "doc_id", 300).count()
+    assert labelled_sample(docs.limit(100), known, "quality", "doc_id", 300).count() == 100
+
+
 def test_toxicity_edges(spark):
     rows = toxic_rows(200)
     prepare(spark)

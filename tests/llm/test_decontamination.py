@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +53,26 @@ def test_matches_plain(spark):
     assert all(n == edits_within(item_words(dict(ITEMS[:9])[k]), item_words(text[i])) for (i, k), n in edits.items() if k != 1)
 
 
+ELSEWHERE = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.warehouse.dir", {folder!r}).getOrCreate()
+from rollcall.llm.common import prepare
+from rollcall.llm.decontamination import contaminated
+item = " ".join(f"w{{i}}" for i in range(30))
+docs = prepare(spark).createDataFrame([(1, "x " + item), (2, "y")], "doc_id long, text string")
+print("FOUND", [r["doc_id"] for r in contaminated(docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()])
+"""
+
+
+def test_executors_without_the_package(tmp_path):
+    code = ELSEWHERE.format(repo=str(Path(__file__).resolve().parents[2]), folder=str(tmp_path / "warehouse"))
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300)
+    assert "FOUND [1]" in out.stdout, out.stderr[-2000:]
+
+
 def test_recall_with_edits():
     items = d.Items([i for i, _ in ITEMS[:6]], [t for _, t in ITEMS[:6]])
     found = tried = 0

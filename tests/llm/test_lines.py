@@ -33,6 +33,15 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert got == sorted(repr(r) for r in shared_lines(rows()))
 
 
+def test_names_that_clash(spark):
+    names = ["__gone", "__same", "__keys", "__hashes", "__held", "__key", "out", "c0", "__out"]
+    docs = documents(prepare(spark), rows())
+    out = lines.drop_shared_lines(docs.selectExpr("*", *[f"'x' AS `{n}`" for n in names]))
+    assert set(names) <= set(out.columns) and out.where("`__gone` <> 'x' or out <> 'x' or c0 <> 'x'").isEmpty()
+    got = sorted((repr(tuple(r)) for r in out.select("doc_id", "n_lines", "n_dropped", "text").collect()))
+    assert got == sorted(repr(r) for r in shared_lines(rows()))
+
+
 @pytest.mark.parametrize("kept", [[], [(1, None)]])
 def test_empty(spark, kept):
     assert lines.drop_shared_lines(documents(prepare(spark), kept)).count() == len(kept)

@@ -42,6 +42,36 @@ def test_without_rounds_blocks_find_all(spark, monkeypatch):
     assert got == group
 
 
+def morse(size):
+    """Two words of two letters whose polynomials agree modulo any power of two."""
+    word = "a"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_words_are_told_apart(spark):
+    one, other = morse(1024)
+    data = [(1, f"{one} b c d e f g"), (2, f"{other} b c d e f g"), (3, one * 300), (4, other * 300), (5, f"{one} b c d e f g")]
+    got = {r["doc_id"]: r["component_id"] for r in h.near_duplicates(documents(prepare(spark), data)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_ids_with_several_texts(spark):
+    """Rows that share an id are linked by any of their texts, also where their other text is that of a smaller id, short or empty."""
+    rng = random.Random(9)
+    first, second = (list(family(rng, 80, 20, 3)) for _ in range(2))
+    data = [(100 + i, f"other {i} " * 30 if i % 2 else first[0]) for i in range(20)]
+    data += [(100 + i, t) for i, t in enumerate(second)] + [(200 + i, t) for i, t in enumerate(second)]
+    data += [(300, ""), (300, second[3]), (301, ""), (301, None), (302, "x y"), (302, "x z")]
+    group, _ = near_groups(data)
+    pairs = {}
+    for i, _ in data:
+        pairs.setdefault(i, i)
+    got = {(r["doc_id"], r["component_id"]) for r in h.near_duplicates(documents(prepare(spark), data)).collect()}
+    assert got == {(i, group[i]) for i in group}
+
+
 def test_empty(spark):
     assert h.near_duplicates(documents(prepare(spark), [])).count() == 0
     assert [tuple(r) for r in h.near_duplicates(documents(prepare(spark), [(3, None)])).collect()] == [(3, 0, 3, True)]

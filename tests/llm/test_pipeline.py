@@ -83,6 +83,30 @@ def test_decontamination(spark, docs):
     assert same(rows_of(out), [(i, t) for i, t in rows_of(docs) if not held(t)])
 
 
+ITEM = " ".join(f"item{i}" for i in range(40))
+
+
+def few(spark, docs, rows):
+    """Documents of the table's columns with these ids and texts."""
+    base = docs.where("doc_id = 3").limit(1).drop("doc_id", "text")
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    return made.join(base).select(*docs.columns)
+
+
+def test_rows_without_an_id_are_judged_each(spark, docs, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = [(None, "a clean row"), (5, "another clean row"), (None, None), (6, ""), (6, "twice"), (6, "twice")]
+    rows = few(spark, docs, [*clean, (None, f"dirty {ITEM}"), (5, f"{ITEM} dirty")])
+    out = STAGES["decontamination"](spark, rows, str(tmp_path))
+    assert same(rows_of(out), clean)
+
+
+def test_texts_of_one_id_all_stay(spark, docs):
+    rows = [(5, "one text of five words here"), (5, "quite another text of the same id"), (5, "one text of five words here"), (6, "one text of five words here"), (None, "x"), (None, "x"), (7, None), (7, "")]
+    out = STAGES["near_dedup"](spark, few(spark, docs, rows), FOLDER)
+    assert same(rows_of(out), [*rows[:2], (None, "x"), (None, "x"), (7, None), (7, "")])
+
+
 def test_stages_in_turn(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "line_dedup", "near_dedup", "decontamination", "packing"]

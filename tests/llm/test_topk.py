@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 
 def plain(rows, queries, k):
-    rows = sorted({(i, tuple(v)) for i, v in rows if i is not None and v is not None})
+    rows = sorted((i, tuple(v)) for i, v in rows if i is not None and v is not None)
     out = []
     for q, v in {(q, tuple(v)) for q, v in queries if q is not None and v is not None}:
         scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v))[:k]
@@ -33,6 +33,26 @@ def test_matches_plain(spark, monkeypatch, block):
     assert [r for r in got if r[0] != 404] == [r for r in wide if r[0] != 404]
 
 
+def test_copies_and_wide_scores(spark):
+    """Each copy of a candidate counts; products beyond 64 bits are ranked as they are."""
+    big = 2**40
+    rows = [(0, [big, big]), (1, [3, 4])] + [(2, [5, 5])] * 30_000 + [(3, [big, big - 1]), (4, [big, big + 1]), (5, [-big, 7]), (6, [big, big - 1])]
+    df = prepare(spark).createDataFrame(rows, "vec_id long, vector array<long>").repartition(8)
+    got = topk.top_k(df.where("vec_id in (0, 1)"), df, k=4).collect()
+    assert [r["vec_id"] for r in sorted(got) if r["query_id"] == 0] == [4, 3, 6, 2]
+    assert [(r["vec_id"], r["score"]) for r in sorted(got) if r["query_id"] == 1] == [(4, 7 * big + 4), (0, 7 * big), (3, 7 * big - 4), (6, 7 * big - 4)]
+    assert [r["score"] for r in sorted(got) if r["query_id"] == 0][:3] == [2**63 - 1] * 3
+    few = topk.top_k(df.where("vec_id = 5"), df.where("vec_id in (1, 2, 5)"), k=4).collect()
+    assert [(r["rank"], r["vec_id"]) for r in sorted(few)] == [(1, 1), (2, 2), (3, 2), (4, 2)]
+
+
+def test_scores_beyond_all_bounds_stop(spark):
+    rows = [(0, [2**62] * 9), (1, [2**62] * 9)]
+    df = prepare(spark).createDataFrame(rows, "vec_id long, vector array<long>")
+    with pytest.raises(Exception, match="bits"):
+        topk.top_k(df, df).collect()
+
+
 def test_reading_stops_early():
     source = np.random.default_rng(1)
     x = (source.normal(0, 1, (4000, 8)) * np.array([400, 30, 10, 5, 5, 5, 5, 5])).astype(np.int64)

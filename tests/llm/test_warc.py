@@ -86,5 +86,19 @@ def test_good_record():
     assert warc.page_row(GOOD)["payload"] == b"hello"
 
 
+def test_names_that_clash(spark):
+    names = ["__same", "__long", "__page", "__digest", "__bytes", "__revisit", "__refers_to", "page", "payload"]
+    own = prepare(spark).createDataFrame([r for r in pages() if r[0] != 64], "page_id long, url string, html string")
+    wide = own.selectExpr("*", *[f"'x' AS `{n}`" for n in names])
+    got, want = (warc.read_archives(warc.write_archives(df)).drop("archive", "position").collect() for df in (wide, own))
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_samples_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_BYTES", 10_000)
+    out = warc.read_archives(warc.write_archives(table(spark, pages())))
+    assert out.count() == len(pages())
+
+
 def test_empty(spark):
     assert warc.read_archives(warc.write_archives(table(spark, []))).count() == 0
