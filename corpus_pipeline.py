@@ -1,8 +1,9 @@
 """A corpus from raw documents to packed training sequences.
 
 Each stage is one operator of ``rollcall.llm`` whose decision takes effect on the documents that the stage before kept. Stages take and
-return the columns of ``documents``; the last returns the places of the documents' pieces in the sequences. Nulls, empty texts, ties,
-repeated rows and empty tables have the results that the operators state.
+return the columns of ``documents``; the last returns the places of the documents' pieces in the sequences. Stages decide about rows, which
+are told by their id and text together: rows that share an id, or have none, do not share a decision. Nulls, empty texts, ties, repeated
+rows and empty tables have the results that the operators state.
 """
 
 from __future__ import annotations
@@ -40,18 +41,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once; rows without an id all stay."""
+    """The document with the smallest id of each group of near duplicates; rows without an id all stay.
+
+    Rows that share an id are one document: it stays with each of its different texts once, the one with the smallest other columns.
+    """
     prepare(spark)
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.union(docs.where("doc_id is null")).select(*docs.columns)
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn("__text", F.sha2(F.coalesce("text", F.lit("\0")), 256))
+    first = F.min(F.struct(*[f"`{c}`" for c in docs.columns if c != "doc_id"])).alias("__row")
+    one = rows.groupBy("doc_id", "__text").agg(first)
+    one = one.select(*["doc_id" if c == "doc_id" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    return one.union(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows whose text holds no benchmark item."""
     prepare(spark)
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti").select(*docs.columns)
+    text = F.coalesce("text", F.lit(""))
+    row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.sha2(text, 256))
+    found = contaminated(docs.select(row.alias("row"), "text"), table(spark, sf_dir, "benchmark"), id_col="row").select("row").distinct()
+    # The key is worked out again for the join only.
+    return docs.join(found, row == found["row"], "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
