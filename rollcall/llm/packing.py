@@ -1,8 +1,8 @@
 """Packing of documents into as few training sequences as possible.
 
 The lengths of all pieces are counted; a configuration linear program over that histogram is solved by multiplicative weights, with
-a knapsack program as pricing, and rounded down; best fit places what is left, first into the gaps. All this depends on the sequence
-length alone, however many documents there are. Each piece then looks up its place from its rank among the pieces of its length.
+a knapsack program as pricing, and rounded down; best fit places what is left, first into the gaps, and is a plan by itself as well. All
+this depends on the sequence length alone, however many documents there are. Each piece then looks up its place from its rank among the pieces of its length.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ from .tokens import worker_encoder
 
 SEQUENCE, END_ID = 4096, 1
 #: Lengths are priced in so many classes at most: sizes are rounded up to a class, and best fit uses what that leaves.
-CLASSES = 512
-#: Shares of all tokens, in the shortest pieces, that are kept back for best fit; the better of the plans is taken. The program
+CLASSES = 256
+#: Shares of all tokens, in the shortest pieces, that are kept back for best fit; the best plan is taken. The program
 #: decides which of the longer pieces share a sequence, and the short ones fill what its rounded sizes leave.
-FILLERS = (0.05, 0.5)
-STEP = 0.15
+FILLERS = (0.0, 0.05, 0.5)
+#: How much of a size's demand a round covers at most, and rounds.
+STEP, ROUNDS = 0.1, 600
 #: Pieces of one length are ranked in groups of about so many.
 RANKED = 100_000
 
@@ -48,34 +49,54 @@ def price(values: np.ndarray, capacity: int) -> np.ndarray:
     return counts
 
 
-def configurations(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
-    """Rounded solution of the configuration program: which sizes share a bin, and how many such bins.
+def configurations(demand: np.ndarray, rounds: int = ROUNDS) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """A solution of the configuration program: which sizes share a bin and how many such bins (not whole numbers) cover the demand, and
+    a number of bins that no solution falls below.
 
-    ``demand[s - 1]`` pieces have size s, and a bin holds ``len(demand)``. Weights fall with the share of a size's demand that is
-    covered; each round adds, of the bin that weighs most, as much as covers STEP of some size. The sum, cut to what is needed, is
-    rounded down.
+    ``demand[s - 1]`` pieces have size s, and a bin holds ``len(demand)``. The weight of a piece falls with the share of its size's demand
+    that the bins so far cover. Each round prices the bin that weighs most and adds as many as cover STEP of some size's demand. All pieces
+    together weigh no more than the bins of any solution, each of which weighs no more than the priced bin: that is the bound. The solution
+    is the average of the rounds, scaled so that the size that is covered least is covered.
     """
-    capacity, some = len(demand), demand > 0
-    if not some.any():
-        return []
-    covered, amounts = np.zeros(capacity), {}
-    while covered[some].min() < 1:
-        open_sizes = some & (covered < 1)
-        values = np.where(open_sizes, np.exp(-3 * covered) / np.maximum(demand, 1), 0) + 0.0
-        values *= 1 + 1e-3 * np.arange(1, capacity + 1) / capacity
-        # Weight per size would favour rare sizes alone; what a bin holds counts as well.
-        values = values / values.max() + np.where(open_sizes, np.arange(1, capacity + 1) / capacity, 0)
-        counts = price(np.where(open_sizes, values, -1.0), capacity)
-        used = counts > 0
-        if not used.any():
-            break
-        share = counts[used] / demand[used]
-        amount = float((np.minimum(STEP, 1 - covered[used]) / share).min())
+    capacity, some = len(demand), np.flatnonzero(demand)
+    if not len(some):
+        return [], 0.0
+    covered, amounts, bound = np.zeros(capacity), {}, 0.0
+    need = demand[some].astype(np.float64)
+    for _ in range(rounds):
+        weights = np.full(capacity, -1.0)
+        weights[some] = np.exp(-(covered[some] - covered[some].min()) / STEP / 4) / need
+        counts = price(weights, capacity)
+        used = np.flatnonzero(counts)
+        value = float((counts[used] * weights[used]).sum())
+        bound = max(bound, float((weights[some] * need).sum()) / value)
+        amount = STEP / float((counts[used] / demand[used]).max())
+        covered[used] += amount * counts[used] / demand[used]
         key = counts.tobytes()
         amounts[key] = amounts.get(key, 0.0) + amount
-        covered[used] += amount * share
-        covered[np.abs(covered - 1) < 1e-9] = 1
-    return [(np.frombuffer(k, np.int64), int(a + 1e-9)) for k, a in amounts.items() if int(a + 1e-9)]
+    least = covered[some].min()
+    return [(np.frombuffer(k, np.int64), a / least) for k, a in amounts.items()] if least else [], bound
+
+
+def least_bins(histogram: dict[int, int], size: int = SEQUENCE, rounds: int = ROUNDS) -> int:
+    """A number of bins that no plan for the histogram falls below: of the tokens alone, or of the program over sizes that are rounded
+    down, so that any real bin is a bin of it."""
+    unit = max(1, size // CLASSES)
+    tokens = -(-sum(k * v for k, v in histogram.items()) // size)
+    capacity = size // unit
+    demand = np.zeros(capacity, np.int64)
+    for length, number in histogram.items():
+        if length >= unit:
+            demand[length // unit - 1] += number
+    sizes = np.arange(1, capacity + 1)
+    # Besides the weights of the rounds: one for each piece, and one for each full part of a bin that a piece takes.
+    bounds = [tokens, configurations(demand, rounds)[1]]
+    for weights in [np.ones(capacity), *(((k * sizes - 1) // capacity).astype(np.float64) for k in range(2, 13))]:
+        weights[demand == 0] = -1.0
+        value = float((price(weights, capacity) * weights).sum())
+        if value > 0:
+            bounds.append(float((demand * np.maximum(weights, 0)).sum()) / value)
+    return int(np.ceil(max(bounds) - 1e-6))
 
 
 class Bins:
@@ -121,13 +142,17 @@ class Bins:
 
 
 def plan(histogram: dict[int, int], size: int = SEQUENCE, unit: int | None = None) -> list[tuple[tuple[int, ...], int]]:
-    """Groups of equal bins that hold all pieces of the histogram (length: number); ``unit``: the width of a class."""
-    plans = [filled(histogram, size, unit or max(1, size // CLASSES), share) for share in FILLERS]
+    """Groups of equal bins that hold all pieces of the histogram (length: number); ``unit``: the width of a class.
+
+    Of the rounded solutions of the program, one for each share of FILLERS that is left to best fit, and best fit alone the one with the
+    fewest bins."""
+    shares = [*FILLERS, 1.0]
+    plans = [filled(histogram, size, unit or max(1, size // CLASSES), share) for share in shares]
     return min(plans, key=lambda groups: sum(number for _, number in groups))
 
 
 def filled(histogram: dict[int, int], size: int, unit: int, share: float) -> list[tuple[tuple[int, ...], int]]:
-    """The plan that keeps back ``share`` of the tokens."""
+    """The plan that keeps back ``share`` of the tokens, in the shortest pieces, for best fit."""
     left = np.zeros(size + 1, np.int64)
     for length, number in histogram.items():
         left[length] = number
@@ -138,8 +163,12 @@ def filled(histogram: dict[int, int], size: int, unit: int, share: float) -> lis
     planned[: filler + 1] = 0
     demand = np.bincount(classes, weights=planned, minlength=size // unit + 1)[1 : size // unit + 1].astype(np.int64)
     bins = Bins(size)
-    for counts, number in configurations(demand):
+    amounts, _ = configurations(demand) if share < 1 else ([], 0.0)
+    # Full bins first: what the solution covers more than once is then left out of bins with room.
+    room = {id(c): len(c) - int((c * np.arange(1, len(c) + 1)).sum()) for c, _ in amounts}
+    for counts, amount in sorted(amounts, key=lambda x: (room[id(x[0])], -x[1])):
         sizes = np.repeat(np.arange(1, len(counts) + 1), counts)[::-1]
+        number = int(amount + 1e-9)
         while number:
             # The longest lengths left of each size class; as many equal bins as their numbers allow.
             lengths, taken = [], {}
@@ -148,7 +177,8 @@ def filled(histogram: dict[int, int], size: int, unit: int, share: float) -> lis
                 if own is not None:
                     lengths.append(own)
                     taken[own] = taken.get(own, 0) + 1
-            if not lengths:
+            # Only whole bins of the solution; single pieces are for best fit.
+            if len(lengths) < len(sizes):
                 break
             equal = min(number, *(int(planned[x]) // k for x, k in taken.items()))
             for x, k in taken.items():

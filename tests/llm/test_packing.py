@@ -66,6 +66,56 @@ def test_plan_beats_pairs_that_greedy_spoils():
     assert sum(n for _, n in groups) <= 803
 
 
+SHAPES = {
+    "long tail": lambda r: min(4096, max(1, int(r.lognormvariate(6.5, 1)))),
+    "middle": lambda r: r.randint(700, 1500),
+    "any": lambda r: r.randint(1, 4096),
+    "three of a kind": lambda r: r.randint(1200, 1365),
+    "two humps": lambda r: r.randint(1800, 2300) if r.random() < 0.5 else r.randint(20, 400),
+    "few sizes": lambda r: r.choice([2458, 1638, 2048, 1229, 819]),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_plan_lies_between_the_bound_and_best_fit(shape):
+    rng = random.Random(6)
+    histogram = dict(Counter(SHAPES[shape](rng) for _ in range(20_000)))
+    number = sum(n for _, n in packing.plan(histogram))
+    alone = sum(n for _, n in packing.filled(histogram, packing.SEQUENCE, 16, 1.0))
+    least = packing.least_bins(histogram)
+    assert least <= number <= alone and number <= 1.02 * least
+    if shape == "middle":
+        assert number < 0.98 * alone
+    if shape == "three of a kind":
+        assert number == least
+
+
+def test_bound_is_below_the_best_plan():
+    """Small cases whose best plan is found by trying all."""
+
+    def fewest(lengths, rooms=()):
+        if not lengths:
+            return len(rooms)
+        first, rest = lengths[0], lengths[1:]
+        tried = [fewest(rest, (*rooms[:i], r - first, *rooms[i + 1 :])) for i, r in enumerate(rooms) if r >= first]
+        return min([*tried, fewest(rest, (*rooms, 12 - first))])
+
+    rng = random.Random(8)
+    for _ in range(40):
+        lengths = [rng.randint(1, 12) for _ in range(7)]
+        best = fewest(tuple(lengths))
+        assert packing.least_bins(dict(Counter(lengths)), 12, 60) <= best <= sum(n for _, n in packing.plan(dict(Counter(lengths)), 12))
+
+
+def test_store_is_bounded(monkeypatch):
+    with open(word_tokenizer(), encoding="utf-8") as file:
+        encoder = Encoder(file.read())
+    long = "x" * 5000
+    texts = [f"{long} a{i}" for i in range(300)]
+    whole = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert whole == direct(texts) and max(map(len, encoder)) <= 100
+
+
 @pytest.mark.parametrize("histogram", [{}, {4096: 3}, {1: 1}, {4095: 2, 1: 1}, {2048: 5}])
 def test_small_plans(histogram):
     groups = packing.plan(histogram)
