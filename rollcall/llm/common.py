@@ -21,8 +21,15 @@ PIECE_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one below the warehouse where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    """The folder that all executors share: ``spark.checkpoint.dir``, or one below the warehouse where that is unset. A warehouse on a local
+    disk is shared by the tasks of one machine only, so a cluster has to name a folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"the executors do not share {warehouse}: set spark.checkpoint.dir to a folder that they share")
+    return warehouse + "/checkpoints"
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -82,24 +82,37 @@ def packed_hashes(segments: int):
     return run
 
 
-def twice_filter(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    """One segment of the filter of lines seen twice."""
-    once, twice = np.zeros(SEGMENT_BITS, bool), np.zeros(SEGMENT_BITS, bool)
-    for hashes, again in zip(group["hashes"], group["again"]):
-        hashes = np.frombuffer(hashes, np.uint64)
-        places = probes(hashes)
-        seen = once[places].all(axis=0) | np.unpackbits(np.frombuffer(again, np.uint8), count=len(hashes)).astype(bool)
-        twice[places[:, seen]] = True
-        once[places] = True
-    return pd.DataFrame({"segment": [key[0]], "bits": [np.packbits(twice, bitorder="little").tobytes()]})
+def segment_filters(batches):
+    """The filter of lines seen twice, segment by segment. Hashes pass in the order of their segments, so a task holds the bits of one
+    segment however many lines it has."""
+    own, once, twice = None, np.zeros(SEGMENT_BITS, bool), np.zeros(SEGMENT_BITS, bool)
+
+    def done():
+        return pa.RecordBatch.from_pydict({"segment": pa.array([own], pa.int32()), "bits": [np.packbits(twice, bitorder="little").tobytes()]})
+
+    for batch in batches:
+        for segment, hashes, again in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if segment != own:
+                if own is not None:
+                    yield done()
+                own = segment
+                once[:], twice[:] = False, False
+            hashes = np.frombuffer(hashes, np.uint64)
+            places = probes(hashes)
+            seen = once[places].all(axis=0) | np.unpackbits(np.frombuffer(again, np.uint8), count=len(hashes)).astype(bool)
+            twice[places[:, seen]] = True
+            once[places] = True
+    if own is not None:
+        yield done()
 
 
 def repeat_filter(hashed: DataFrame, segments: int) -> bytes:
     """The filter of lines seen twice: ``segments`` x 128 KB, 64 MB at most."""
     rows = (
         hashed.mapInArrow(packed_hashes(segments), "segment int, hashes binary, again binary")
-        .groupBy("segment")
-        .applyInPandas(twice_filter, "segment int, bits binary")
+        .repartition("segment")
+        .sortWithinPartitions("segment")
+        .mapInArrow(segment_filters, "segment int, bits binary")
         .collect()
     )
     out = bytearray(segments * SEGMENT_BITS // 8)

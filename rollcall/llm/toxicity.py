@@ -25,7 +25,9 @@ TRAIN_ROWS = 20_000
 BITS, LEAST_TEXTS, CHOSEN = 22, 5, 4096
 #: Bytes of a word's beginning that are features besides the word.
 BEGINNINGS = (4, 5, 6, 7, 8)
-LASSO, RIDGE, SWAP = 1e-3, 3e-5, 1.0
+#: Penalties that training tries, from strong to weak: lasso, which chooses features, and ridge for those. FOLDS parts of the permitted
+#: rows, told apart by a hash of the text, are held out in turn to choose among them.
+PENALTIES, FOLDS, SWAP = ((3e-3, 1e-4), (1e-3, 3e-5), (3e-4, 1e-5)), 3, 1.0
 #: Groups of terms that may stand for each other (fixed values).
 IDENTITY_TERMS = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -80,25 +82,34 @@ def places_held(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None
 
 
 def place_counts(sample: DataFrame, text_col: str) -> DataFrame:
-    """From each task, in how many of its texts of either label each place is held; the sample bounds the number of rows."""
+    """For each place held by LEAST_TEXTS texts or more, in how many of either label and of each fold: ``clean0`` .. ``toxic0`` ..;
+    the sample bounds the number of rows."""
+    kinds = 2 * FOLDS
 
     def run(batches):
-        counts = np.zeros((2, 1 << BITS), np.int32)
+        waiting, size = [], 0
+
+        def counted():
+            keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys // kinds), pa.array(keys % kinds), pa.array(counts)], names=["place", "kind", "n"])
+
         for batch in batches:
-            labels = batch.column("__label").to_numpy()
+            kind = batch.column("__fold").to_numpy() * 2 + (batch.column("__label").to_numpy() > 0)
             done = 0
             for rows, data, offsets in pieces(batch, text_col):
                 text, place = places_held(data, offsets)
-                toxic = labels[done + text] > 0
-                for label in (0, 1):
-                    counts[label] += np.bincount(place[toxic == bool(label)], minlength=1 << BITS).astype(np.int32)
+                waiting.append(place * kinds + kind[done + text])
+                size += len(place)
                 done += len(rows)
-        some = np.flatnonzero(counts.sum(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some]), pa.array(counts[1, some])], names=["place", "clean", "toxic"])
+                if size > 2_000_000:
+                    yield counted()
+                    waiting, size = [], 0
+        if size:
+            yield counted()
 
-    return sample.mapInArrow(run, "place long, clean int, toxic int").groupBy("place").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    )
+    counts = sample.mapInArrow(run, "place long, kind long, n long")
+    own = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"{('clean', 'toxic')[k % 2]}{k // 2}") for k in range(kinds)]
+    return counts.groupBy("place").agg(F.sum("n").alias("n"), *own).where(F.col("n") >= LEAST_TEXTS).drop("n")
 
 
 def place_sets(sample: DataFrame, text_col: str, chosen: np.ndarray, groups=IDENTITY_TERMS) -> DataFrame:
@@ -116,7 +127,7 @@ def place_sets(sample: DataFrame, text_col: str, chosen: np.ndarray, groups=IDEN
 
         for batch in batches:
             done = 0
-            labels = batch.column("__label")
+            labels, folds = batch.column("__label"), batch.column("__fold")
             for rows, _, _ in pieces(batch, text_col):
                 texts = [t or "" for t in rows.column(text_col).to_pylist()]
                 others = [swapped_text(t, groups) for t in texts]
@@ -125,14 +136,15 @@ def place_sets(sample: DataFrame, text_col: str, chosen: np.ndarray, groups=IDEN
                 yield pa.RecordBatch.from_arrays(
                     [
                         labels.slice(done, len(rows)),
+                        folds.slice(done, len(rows)),
                         pa.array([x.tobytes() for x in sets(texts)], pa.binary()),
                         pa.array([after[i].tobytes() if i in after else None for i in range(len(texts))], pa.binary()),
                     ],
-                    names=["label", "places", "swapped"],
+                    names=["label", "fold", "places", "swapped"],
                 )
                 done += len(rows)
 
-    return sample.mapInArrow(run, "label int, places binary, swapped binary")
+    return sample.mapInArrow(run, "label int, fold int, places binary, swapped binary")
 
 
 def choose(place: np.ndarray, clean: np.ndarray, toxic: np.ndarray, rows: int, positive: int) -> np.ndarray:
@@ -150,8 +162,14 @@ def sparse(sets: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.n
     return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(chosen, flat)
 
 
-def fit_toxicity(labels: np.ndarray, chosen: np.ndarray, sets: list[np.ndarray], swapped: list[np.ndarray | None], swap: float = SWAP) -> ToxicityModel:
-    """With one class only, or no rows at all, every score is the smoothed share of ones."""
+def fit_toxicity(
+    labels: np.ndarray, chosen: np.ndarray, sets: list[np.ndarray], swapped: list[np.ndarray | None], swap: float = SWAP,
+    penalties: tuple[float, float] = PENALTIES[1], steps: int = 400,
+) -> ToxicityModel:
+    """With one class only, or no rows at all, every score is the smoothed share of ones. Only ``chosen`` places of the sets count."""
+    lasso, ridge = penalties
+    sets = [s[np.isin(s, chosen, assume_unique=True)] for s in sets]
+    swapped = [None if s is None else s[np.isin(s, chosen, assume_unique=True)] for s in swapped]
     y = labels.astype(np.float64)
     share = (y.sum() + 0.5) / (len(y) + 1)
     prior = float(np.log(share / (1 - share)))
@@ -192,13 +210,13 @@ def fit_toxicity(labels: np.ndarray, chosen: np.ndarray, sets: list[np.ndarray],
             bias, w = new_bias, new
         return bias, w
 
-    _, w = descend(LASSO, 0.0, np.ones(k, bool), 400)
+    _, w = descend(lasso, 0.0, np.ones(k, bool), steps)
     support = w != 0
     used = support[col]  # the second fit only has what the lasso kept
     row, col = row[used], col[used]
     used = support[d_col]
     d_row, d_col, d_value = d_row[used], d_col[used], d_value[used]
-    bias, w = descend(0.0, RIDGE, support, 400)
+    bias, w = descend(0.0, ridge, support, steps)
     weights[chosen[support]] = w[support]
     return ToxicityModel(float(bias), weights)
 
@@ -207,19 +225,55 @@ def train_toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS,
     groups=IDENTITY_TERMS, swap: float = SWAP,
 ) -> ToxicityModel:
-    """A model of ``label`` over whole texts, fitted on a bounded sample of the given labels."""
+    """A model of ``label`` over whole texts, fitted on a bounded sample of the given labels.
+
+    The penalties are those of PENALTIES with the least loss on folds of the given rows that were held out, features included; copies of a
+    text are in one fold. Null labels and ids take no part, an id with several labels has the larger one, null and empty texts are texts that
+    hold nothing, repeated rows count each (as far as the bound on rows allows). With no rows or one class every text has the same score.
+    """
     sample = labelled_sample(docs.select(id_col, text_col), labels, label, id_col, rows)
-    sample = checkpointed(sample.select("__label", text_col))
-    classes = {r["__label"]: r["count"] for r in sample.groupBy("__label").count().collect()}
-    total, positive = sum(classes.values()), sum(n for k, n in classes.items() if k > 0)
-    chosen = np.zeros(0, np.int64)
-    if 0 < positive < total:
-        counts = place_counts(sample, text_col).where(F.col("clean") + F.col("toxic") >= LEAST_TEXTS).toPandas().to_numpy(np.int64)
-        chosen = choose(*counts[np.argsort(counts[:, 0])].T, total, positive) if len(counts) else chosen
-    found = sorted((r["label"], r["places"], r["swapped"] is not None, r["swapped"] or b"") for r in place_sets(sample, text_col, chosen, groups).collect())
-    sets = [np.frombuffer(w, np.int32) for _, w, _, _ in found]
-    swapped = [np.frombuffer(s, np.int32) if named else None for _, _, named, s in found]
-    return fit_toxicity(np.array([v > 0 for v, _, _, _ in found], np.float64), chosen, sets, swapped, swap)
+    fold = F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(FOLDS)).cast("int").alias("__fold")
+    sample = checkpointed(sample.select("__label", fold, text_col))
+    classes = sample.groupBy("__fold", (F.col("__label") > 0).alias("toxic")).count().collect()
+    held = np.zeros((FOLDS, 2), np.int64)
+    for r in classes:
+        held[r["__fold"], int(r["toxic"])] = r["count"]
+    names = [f"{kind}{f}" for kind in ("clean", "toxic") for f in range(FOLDS)]
+    some = held.sum(axis=0).all()
+    counts = place_counts(sample, text_col).select("place", *names).toPandas().to_numpy(np.int64) if some else np.zeros((0, 1 + 2 * FOLDS), np.int64)
+    counts = counts[np.argsort(counts[:, 0])]
+
+    def without(folds: list[int]) -> np.ndarray:
+        """The places that rows outside these folds choose."""
+        keep = [f for f in range(FOLDS) if f not in folds]
+        clean, toxic = held[keep].sum(axis=0)
+        if not clean or not toxic or not len(counts):
+            return np.zeros(0, np.int64)
+        return choose(counts[:, 0], counts[:, 1:][:, keep].sum(axis=1), counts[:, 1 + FOLDS :][:, keep].sum(axis=1), clean + toxic, toxic)
+
+    chosen, in_folds = without([]), [without([f]) for f in range(FOLDS)]
+    wanted = np.unique(np.concatenate([chosen, *in_folds]))
+    found = sorted((r["label"], r["places"], r["swapped"] is not None, r["swapped"] or b"", r["fold"]) for r in place_sets(sample, text_col, wanted, groups).collect())
+    y = np.array([v > 0 for v, *_ in found], np.float64)
+    sets = [np.frombuffer(w, np.int32) for _, w, *_ in found]
+    swapped = [np.frombuffer(s, np.int32) if named else None for _, _, named, s, _ in found]
+    folds = np.array([f for *_, f in found], np.int64)
+    penalties = best_penalties(y, folds, in_folds, sets, swapped, swap) if len(chosen) else PENALTIES[0]
+    return fit_toxicity(y, chosen, sets, swapped, swap, penalties)
+
+
+def best_penalties(y: np.ndarray, folds: np.ndarray, in_folds: list[np.ndarray], sets: list, swapped: list, swap: float) -> tuple[float, float]:
+    """The penalties with the least loss over all folds, each scored by a model of the others; of equal ones the first."""
+    losses = []
+    for penalties in PENALTIES:
+        loss = 0.0
+        for fold, chosen in enumerate(in_folds):
+            own, rest = np.flatnonzero(folds == fold), np.flatnonzero(folds != fold)
+            model = fit_toxicity(y[rest], chosen, [sets[i] for i in rest], [swapped[i] for i in rest], swap, penalties, 150)
+            margin = np.array([model.bias + model.weights[sets[i]].sum() for i in own])
+            loss += float(np.logaddexp(0, np.where(y[own] > 0, -margin, margin)).sum())
+        losses.append(loss)
+    return PENALTIES[int(np.argmin(losses))]
 
 
 def scores(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -16,10 +16,11 @@ def plain(rows, queries, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block", [(4096, 512), (40, 7)])
+@pytest.mark.parametrize("block", [(4096, 1 << 20), (40, 900)])
 def test_matches_plain(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "CANDIDATES", block[0])
-    monkeypatch.setattr(topk, "QUERIES", block[1])
+    monkeypatch.setattr(topk, "QUERY_BYTES", block[1])
+    monkeypatch.setattr(topk, "TOGETHER", 16)
     source = np.random.default_rng(2)
     centre = source.normal(0, 300, (5, 12))
     rows = [(i, (centre[i % 5] + source.normal(0, 60, 12)).astype(int).tolist()) for i in range(300)]
@@ -57,11 +58,29 @@ def test_reading_stops_early():
     source = np.random.default_rng(1)
     x = (source.normal(0, 1, (4000, 8)) * np.array([400, 30, 10, 5, 5, 5, 5, 5])).astype(np.int64)
     q = (source.normal(0, 1, (5, 8)) * np.array([400, 30, 10, 5, 5, 5, 5, 5])).astype(np.int64)
-    own = np.zeros((5, 4000), bool)
-    sets = topk.bounded_reads(x, q, own, 10)
-    assert all(len(s) < 1000 for s in sets)
+    lists = topk.Lists(x)
+    depths = []
+    lists.read = lambda q, known, first, last, read=lists.read: (depths.append(last), read(q, known, first, last))
+    sets = topk.bounded_reads(lists, q, np.zeros((5, 4000), bool), 10, np.full(5, -np.inf))
+    assert all(len(s) < 1000 for s in sets) and max(depths) < 4000
     for row, s in zip(q, sets):
         assert set(np.argsort(-(x @ row), kind="stable")[:10]) <= set(s)
+    # With what another block has found, less is read, and nothing qualifies where all is worse.
+    depths.clear()
+    least = np.sort(x @ q.T, axis=0)[-1].astype(float)
+    assert all(len(s) <= 130 for s in topk.bounded_reads(lists, q, np.zeros((5, 4000), bool), 10, least + 1))
+    assert max(depths) <= 400
+
+
+def test_bounds_are_carried_from_block_to_block():
+    source = np.random.default_rng(4)
+    x = (source.normal(0, 1, (2000, 6)) * np.array([300, 50, 20, 9, 9, 9])).astype(np.int64)
+    best = topk.Best(np.array([5000]), np.array([[3, -2, 1, 0, 5, -4]]), 10)
+    for first in range(0, 2000, 100):
+        best.meet(np.arange(first, first + 100), x[first : first + 100])
+    score = x @ best.q[0]
+    want = sorted(zip((-score).tolist(), range(2000)))[:10]
+    assert [(-int(h) * 2**topk.LOW - int(l), int(i)) for h, l, i in best.found[0]] == want and best.least(0) == -want[-1][0]
 
 
 def test_whole_vectors(spark):
