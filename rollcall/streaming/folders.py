@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where that is not set. Both are shared."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/runs"
+    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where that is not set. On a cluster a warehouse on a local disk
+    is not shared, which is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"the executors do not share {warehouse}: set spark.checkpoint.dir to a folder that they share")
+    return warehouse + "/runs"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

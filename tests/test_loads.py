@@ -236,6 +236,17 @@ def test_run_folder_follows_the_cluster():
     assert run_folder(SimpleNamespace(conf=conf), "x").startswith("hdfs://shared/dir/x-")
 
 
+@pytest.mark.parametrize("where, master, fails", [("file:/tmp/w", "yarn", True), ("file:/tmp/w", "local[4]", False), ("hdfs://n/w", "yarn", False)])
+def test_a_local_warehouse_is_no_shared_folder(where, master, fails):
+    conf = SimpleNamespace(get=lambda key, default=None: {"spark.sql.warehouse.dir": where}.get(key, default))
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    if fails:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            run_folder(session, "x")
+    else:
+        assert run_folder(session, "x").startswith(f"{where}/runs/x-")
+
+
 def test_duplicates_of_whole_rows(spark):
     assert all_duplicates(spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "x string, y int"), ["x", "y"]).count() == 2
 
