@@ -13,6 +13,7 @@ from rollcall.functions.hours import hhmm_minutes
 from rollcall.functions.text import drop_decimal_suffix, keep_last
 from rollcall.operators.calendar import day_grid
 from rollcall.operators.relational import anti_load, keep_first, keyed_join, known, list_text, pivot_lists, value_lists
+from rollcall.sinks.loads import load
 
 EMPLOYEE = ["branch", "emp_no"]
 AFD_LENGTH = 34
@@ -264,6 +265,19 @@ def pending_punches(rows: DataFrame, emp: DataFrame, loaded: DataFrame) -> DataF
     return anti_load(once, loaded_ids(loaded), ["id"])
 
 
+#: Why a punch is not loaded, in the order of the checks; ``sinks.loads`` adds ids that were loaded before or come twice.
+NO_DATE, UNKNOWN_EMPLOYEE = "no readable date", "no active employee"
+
+
+def load_punches(rows: DataFrame, emp: DataFrame, path: str, load_id: str) -> bool:
+    """Load import rows into the table at ``path`` under the id of their delivery: those of active employees with a date, each id once.
+    The others are kept with their reason. False where that delivery was loaded before."""
+    flagged = rows.join(active_pis(emp).distinct().withColumn("_active", F.lit(True)), "pis", "left")
+    flagged = flagged.select(*rows.columns, F.coalesce("_active", F.lit(False)).alias("active"))
+    rules = {NO_DATE: F.col("date").isNotNull(), UNKNOWN_EMPLOYEE: F.col("active")}
+    return load(flagged, path, load_id, rules, ["id"])
+
+
 def pending_by_day(pending: DataFrame) -> DataFrame:
     """Number of pending punches per day."""
     return pending.groupBy("date").agg(F.count(F.lit(1)).alias("punches"))

@@ -28,7 +28,7 @@ QUERIES: dict[str, Query] = {
         clock.matched_punches, clock.unmatched_punches, clock.work_date_shift, clock.punch_reconciliation,
         clock.punches_missing_in_erp, clock.daily_punch_list, clock.daily_punch_entries, clock.event_list_pivot, clock.punch_parity, clock.attendance_grid,
         clock.timesheet, clock.import_rows, clock.import_rows_keep_date, clock.pending_punches,
-        clock.pending_punches_by_day, clock.surrogate_ids, clock.stream_clockings, clock.stream_rejects, clock.stream_pending_by_day,
+        clock.pending_punches_by_day, clock.surrogate_ids, clock.stream_clockings, clock.stream_rejects, clock.punch_load, clock.stream_pending_by_day,
         loads.high_water_mark, loads.new_files, loads.new_sheets, loads.payroll_ingest, loads.payroll_rejects, loads.stream_payroll,
         loads.all_text, loads.receipt_extract, loads.receipt_rejects, loads.text_markers, loads.consent_register,
         loads.consent_rejects, loads.first_order, loads.last_order, loads.repeated_texts, *tables.QUERIES,

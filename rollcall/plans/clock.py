@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.operators import leave, timeclock
 from rollcall.operators.relational import all_duplicates, assign_recno, expanded, max_or
 from rollcall.plans import roles
 from rollcall.plans.report import report
+from rollcall.sinks import loads
 from rollcall.sources.files import parse_clockings
 from rollcall.streaming.folders import run_folder
 from rollcall.streaming.jobs import pending_days
@@ -190,6 +192,18 @@ def stream_clockings(spark: SparkSession, folder: str) -> DataFrame:
     return report(spark.read.schema(schema).parquet(f"{out}/table"), "id", "pis", "nsr", "date", "seconds")
 
 
+def punch_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries, the second with the first ten days again, each tried twice: what was loaded, and what was not and why."""
+    out, rows = run_folder(spark, "punches"), imports(spark, folder)
+    emp = roles.employees(spark, folder)
+    early = F.coalesce(F.col("date") <= "20240110", F.lit(True))
+    for part, name in ((rows.filter(early), "first"), (rows, "all")):
+        for _ in range(2):
+            timeclock.load_punches(part, emp, out, name)
+    schema = T.StructType([*rows.schema.fields, T.StructField("active", T.BooleanType())])
+    return report(loads.rows(spark, out, schema).groupBy("load", "date", "reason").agg(F.sum("copies").alias("punches"), F.count("id").alias("rows")))
+
+
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Punches of the deliveries whose date could not be read, each once."""
     out = run_folder(spark, "clockings")

@@ -618,6 +618,23 @@ ORACLE: dict[str, str] = {
     "stream_clockings": sql("""
         SELECT id, CAST(user_id AS VARCHAR) AS pis, right(id, 9) AS nsr, date, seconds FROM import_once""", "import_once"),
     "stream_pending_by_day": sql("SELECT date, count(*) AS punches FROM pending GROUP BY ALL", "pending"),
+    "punch_load": sql("""
+        SELECT * FROM (WITH brought AS (
+          SELECT *, 'all' AS load FROM imports UNION ALL
+          SELECT *, 'first' FROM imports WHERE date = '' OR date <= '20240110'),
+        checked AS (
+          SELECT id, date, load, CASE WHEN date = '' THEN 'no readable date'
+            WHEN NOT EXISTS (SELECT 1 FROM emp WHERE status <> 'D' AND emp.pis = b.user_id) THEN 'no active employee' ELSE '' END AS reason
+          FROM brought b),
+        once AS (
+          SELECT *, row_number() OVER (PARTITION BY load, reason, id) AS copy,
+            load = 'all' AND reason = '' AND date <= '20240110' AS held FROM checked),
+        named AS (
+          SELECT load, date, id, CASE WHEN held THEN 'key exists' WHEN reason = '' AND copy > 1 THEN 'key repeats' ELSE reason END AS reason,
+            reason = '' AS counted, copy > 1 AS again FROM once)
+        SELECT load, date, reason, count(*) AS punches,
+          CAST(count(DISTINCT CASE WHEN counted THEN id || again END) + count(*) FILTER (NOT counted) AS BIGINT) AS rows
+        FROM named GROUP BY ALL)""", "imports", "emp"),
     "stream_rejects": sql("""
         SELECT id, CAST(user_id AS VARCHAR) AS pis, right(id, 9) AS nsr FROM import_once WHERE event_id % 28 = 0""", "import_once"),
     "high_water_mark": sql("SELECT CAST(file_date AS VARCHAR) AS file_date FROM mark", "mark"),

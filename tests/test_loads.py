@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -310,7 +311,9 @@ def test_payroll_batches_survive_a_stop(spark, tmp_path, monkeypatch):
 
 
 def deliver(source, name, clockings):
+    """A delivery; deliveries are a second apart by their names, as the stream takes them by time."""
     (source / name).write_text(json.dumps(clockings))
+    os.utime(source / name, (1_700_000_000 + ord(name[0]),) * 2)
 
 
 def at(i, day, hour=8, month=3):
@@ -348,6 +351,36 @@ def test_late_punches_are_loaded_once(spark, tmp_path):
     assert state[-1] <= 2 and {int(r.nsr) for r in spark.read.parquet(f"{out}/rejects").collect()} == {90, 91}
 
 
+def test_punch_batches_survive_a_stop(spark, tmp_path, monkeypatch):
+    """The job is stopped after a batch wrote its punches and before it was committed; late punches and rejects are not lost or doubled."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for n, rows in enumerate(([at(1, 1), at(2, 20)], [at(3, 1), at(3, 1), clocking(9, "none"), at(2, 20)], [at(4, 21), at(3, 1), at(5, 2)])):
+        deliver(source, f"{n}.json", rows)
+    real, stops = jobs.write_batch, []
+
+    def stopping(df, path, batch_id):
+        real(df, path, batch_id)
+        if len(stops) < 3 and batch_id == len(stops):
+            stops.append(path)
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(jobs, "write_batch", stopping)
+
+    def run():
+        stream = jobs.read_clocking_stream(spark, str(source), files=1)
+        jobs.stream_clockings(stream, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint", delay="2 days").awaitTermination()
+
+    for _ in range(3):
+        with pytest.raises(Exception, match="stopped"):
+            run()
+    run()
+    rows = spark.read.parquet(f"{out}/table").collect()
+    # The stream tells late from on time by the punches of the batch before the last one.
+    assert sorted((int(r.nsr), r.late) for r in rows) == [(1, False), (2, False), (3, False), (4, False), (5, True)]
+    assert [int(r.nsr) for r in spark.read.parquet(f"{out}/rejects").collect()] == [9]
+
+
 def test_windows_of_days_over_batches(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
