@@ -25,6 +25,8 @@ WALKS, STEPS, SAMPLES, TAKEN = 4, 12, 2, 6
 STRIDE = 4
 #: Items with fewer words allow no edit and are looked up as they are.
 LEAST_WORDS = 100 // EDIT_PERCENT
+#: Hits, or words of windows, that are looked at together.
+HITS = 1 << 20
 #: Bytes of items that are sent to the tasks at once; more items take further passes over the documents.
 ITEM_BYTES = 8 << 20
 PUNCTUATION = np.arange(256, dtype=np.uint8)
@@ -92,14 +94,20 @@ class Items:
         sieve[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
         return keys, owner, offset, sieve, np.uint64(64 - bits)
 
-    def hits(self, table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which of ``keys`` are in the table, with each item and offset that they lead to."""
+    def hits(self, table, keys: np.ndarray):
+        """Which of ``keys`` are in the table, with each item and offset that they lead to, in parts of about HITS."""
         known, owner, offset, sieve, shift = table
         maybe = np.flatnonzero(sieve[(keys >> shift).astype(np.int64)])
         low, high = np.searchsorted(known, keys[maybe], "left"), np.searchsorted(known, keys[maybe], "right")
         counts = high - low
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        return np.repeat(maybe, counts), owner[entry], offset[entry]
+        ends = np.cumsum(counts)
+        first = 0
+        while first < len(maybe):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + HITS, "right")))
+            some = counts[first:last]
+            entry = np.repeat(low[first:last] - np.concatenate([[0], np.cumsum(some)[:-1]]), some) + np.arange(some.sum())
+            yield np.repeat(maybe[first:last], some), owner[entry], offset[entry]
+            first = last
 
 
 def phrase_keys(hashes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
@@ -128,28 +136,66 @@ def edit_distance(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end
 
 
+def candidates(items: Items, hashes: np.ndarray, bounds: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Text, item and first word of every place where an item may begin, by item, text and place, each once however many samples and
+    offsets lead there."""
+    places = np.arange(len(hashes))
+    starts = places[(places - bounds[text]) % STRIDE == 0] if len(hashes) else places
+    # One number for the three: a place may lie before its text by the length of an item.
+    before = int(items.lengths.max(initial=0))
+    wide, texts = len(hashes) + before + 1, len(bounds)
+    found = [np.zeros(0, np.int64)]
+    for table, (keys, _) in zip(items.tables, walk_keys(hashes, starts)):
+        for window, item, offset in items.hits(table, keys):
+            at = starts[window] - offset + before
+            found.append(np.unique((item.astype(np.int64) * texts + text[starts[window]]) * wide + at))
+    both, at = np.divmod(np.unique(np.concatenate(found)), wide)
+    item, doc = np.divmod(both, texts)
+    return np.stack([doc, item, at - before])
+
+
+def likely(hashes: np.ndarray, own: np.ndarray, first: np.ndarray, last: np.ndarray, most: int) -> np.ndarray:
+    """Which windows of words hold all but ``most`` of an item's number of words."""
+    keep = np.zeros(len(first), bool)
+    width = len(own) + 2 * most
+    for part in range(0, len(first), max(1, HITS // width)):
+        some = slice(part, part + max(1, HITS // width))
+        window = first[some, None] + np.arange(width)
+        held = np.isin(hashes[np.minimum(window, len(hashes) - 1)], own) & (window < last[some, None])
+        keep[some] = held.sum(axis=1) >= len(own) - most
+    return np.flatnonzero(keep)
+
+
+def regions(doc: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """Windows that overlap, in order, as one: text, first word and end."""
+    at = 0
+    while at < len(doc):
+        end, to = int(last[at]), at + 1
+        while to < len(doc) and doc[to] == doc[at] and first[to] < end:
+            end, to = max(end, int(last[to])), to + 1
+        yield int(doc[at]), int(first[at]), end
+        at = to
+
+
 def matches(items: Items, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """Text, item, edits, first word and end of the best match of each item that a text holds."""
+    """Text, item, edits, first word and end of the best match of each item that a text holds.
+
+    Windows that overlap are compared with an item once, together, so that texts that repeat themselves cost no more than others.
+    """
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     places = np.arange(len(hashes))
-    starts = places[(places - bounds[text]) % STRIDE == 0] if len(hashes) else places
-    seen = []
-    for table, (keys, _) in zip(items.tables, walk_keys(hashes, starts)):
-        window, item, offset = items.hits(table, keys)
-        seen.append(np.stack([text[starts[window]], item, starts[window] - offset]))
-    seen, votes = np.unique(np.concatenate(seen, axis=1), axis=1, return_counts=True)
-    seen = seen[:, np.argsort(-votes, kind="stable")]  # what many samples point to is checked first
-    for item in np.unique(seen[1]).tolist():
+    seen = candidates(items, hashes, bounds, text)
+    cuts = np.flatnonzero(np.diff(seen[1], prepend=-1))
+    for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), seen.shape[1]]):
+        item = int(seen[1, low])
         own = items.words[items.bounds[item] : items.bounds[item + 1]]
         most = len(own) * EDIT_PERCENT // 100
-        doc, at = seen[0, seen[1] == item], seen[2, seen[1] == item]
+        doc, at = seen[0, low:high], seen[2, low:high]
         first, last = np.maximum(bounds[doc], at - most), np.minimum(bounds[doc + 1], at + len(own) + most)
         # A window within the edits allowed has all but so many of the item's words, and the item has as many of its.
-        window = first[:, None] + np.arange(len(own) + 2 * most)
-        held = np.isin(hashes[np.minimum(window, len(hashes) - 1)], own) & (window < last[:, None])
-        near = np.flatnonzero(held.sum(axis=1) >= len(own) - most)
-        for doc, first, last in zip(doc[near].tolist(), first[near].tolist(), last[near].tolist()):
+        near = likely(hashes, own, first, last, most)
+        for doc, first, last in regions(doc[near], first[near], last[near]):
             if found.get((doc, item), (1,))[0] == 0 or np.isin(own, hashes[first:last]).sum() < len(own) - most:
                 continue
             edits, begin, end = edit_distance(own, hashes[first:last])
@@ -159,11 +205,13 @@ def matches(items: Items, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[
     for n, table in items.short.items():
         own = places[: max(0, len(places) - n + 1)]
         own = own[own + n <= bounds[text[own] + 1]]
-        window, item, _ = items.hits(table, phrase_keys(hashes, own, n))
-        for at, i in zip(own[window].tolist(), item.tolist()):
-            if np.array_equal(hashes[at : at + n], items.words[items.bounds[i] : items.bounds[i + 1]]):
-                begin = at - int(bounds[text[at]])
-                found.setdefault((int(text[at]), i), (0, begin, begin + n))
+        for window, item, _ in items.hits(table, phrase_keys(hashes, own, n)):
+            # The first place of each text and item.
+            _, once = np.unique(text[own[window]] * np.int64(len(items.lengths)) + item, return_index=True)
+            for at, i in zip(own[window[once]].tolist(), item[once].tolist()):
+                if np.array_equal(hashes[at : at + n], items.words[items.bounds[i] : items.bounds[i + 1]]):
+                    begin = at - int(bounds[text[at]])
+                    found.setdefault((int(text[at]), i), (0, begin, begin + n))
     return [(doc, item, *best) for (doc, item), best in sorted(found.items())]
 
 
@@ -175,8 +223,8 @@ def contaminated(
     A document holds an item if some run of its words lies within EDIT_PERCENT percent of the item's words in edits (whole words put
     in, left out or replaced); the row has the run with the fewest edits that was found, the first of several. Case of A-Z and
     punctuation do not count. Items of fewer than LEAST_WORDS words must be there as they are; items without words, null or empty,
-    are nowhere, and null or empty texts hold nothing. Repeated documents and items have a row each. Empty tables give no row; other
-    columns are not read. Items go to the tasks in blocks of ITEM_BYTES, each a pass over the documents.
+    are nowhere, and null or empty texts hold nothing. Of very long texts every word counts, and texts that repeat themselves take no
+    longer than others. Repeated documents and items have a row each. Empty tables give no row; other columns are not read. Items go to the tasks in blocks of ITEM_BYTES, each a pass over the documents.
     """
     spark = docs.sparkSession
     own = benchmark.select(F.col(item_col).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))

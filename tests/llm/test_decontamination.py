@@ -4,10 +4,12 @@ import os
 import random
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from rollcall.llm import decontamination as d
 from rollcall.llm.common import prepare, text_bytes
 from tests.llm.plain import documents, edits_within, item_words
@@ -53,6 +55,23 @@ def test_matches_plain(spark):
     assert all(n == edits_within(item_words(dict(ITEMS[:9])[k]), item_words(text[i])) for (i, k), n in edits.items() if k != 1)
 
 
+@pytest.mark.parametrize("item, text", [("word " * 1000, "word " * 10_000), ("a b " * 500, "b a " * 4000 + "c " + "a b " * 4000), ("x y z " * 200 + "w", "x y z q " * 3000)])
+def test_texts_that_repeat_themselves(item, text):
+    """An item of one word and a document of it: the hits of all offsets are not unfolded, and windows that overlap are compared once."""
+    begun = time.monotonic()
+    items = d.Items([1], [item])
+    words = d.plain_words(*text_bytes(pa.array([text, "other words " + item], pa.large_string())))
+    found = {m[0]: m[2] for m in d.matches(items, *words)}
+    assert time.monotonic() - begun < 20 and found[1] == 0
+    most = len(item.split()) // 10
+    exact = edits_of(item.split(), text.split())
+    assert found.get(0, most + 1) == min(exact, most + 1)
+
+
+def edits_of(item, words):
+    return d.edit_distance(*(np.array([hash(w) for w in x], np.int64) for x in (item, words)))[0]
+
+
 ELSEWHERE = """
 import sys
 sys.path.insert(0, {repo!r})
