@@ -119,7 +119,8 @@ def turn_list(mapping: Mapping, field) -> Column:
 def table_turns(df: DataFrame, id_col: str, mappings=MAPPINGS) -> DataFrame:
     """The turns (id, ``turn``, ``role``, ``text``) of a table whose columns, the id aside, are laid out as one of the mappings.
 
-    Columns that no mapping knows raise an error that names the fingerprint. Null roles and texts are empty.
+    Columns that no mapping knows raise an error that names the fingerprint. Null roles and texts are empty, very long texts whole; a null id
+    is an id, repeated rows are turns of their own, and an empty table has no turns.
     """
     inner = T.StructType([f for f in df.schema.fields if f.name != id_col])
     found = fingerprint(schema_paths(inner))
@@ -149,7 +150,8 @@ def record_fingerprints(ignored: str):
 def record_turns(df: DataFrame, id_col: str, record_col: str, mappings=MAPPINGS) -> tuple[DataFrame, DataFrame]:
     """Turns of JSON records of mixed layouts, and the records whose fingerprint no mapping has, with that ``fingerprint``.
 
-    The id is a column of its own; a field of the same name in a record is not part of its layout.
+    The id is a column of its own; a field of the same name in a record is not part of its layout. Null records, and texts that are no
+    object, have no layout that is known and come back among the second; repeated records have their turns again. Other columns are dropped.
     """
     marked = df.select(F.col(id_col), F.col(record_col).alias("__record")).withColumn(
         "fingerprint", record_fingerprints(id_col)("__record")

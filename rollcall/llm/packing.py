@@ -259,7 +259,7 @@ def pack_documents(
     """One row for each piece of a document: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset``.
 
     A document's ids end with ``end_id``; only those longer than ``size`` are cut. A null or empty text is a piece with ``end_id``
-    alone. A repeated row is packed again. Ties among pieces of a length go by id, then piece. An empty table packs to no row; other
+    alone; a very long text is encoded whole where it is read. A repeated row is packed again. Ties among pieces of a length go by id, then piece. An empty table packs to no row; other
     columns are not read. ``packed_ids`` gives the ids of the sequences.
     """
     pieces = checkpointed(token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id, with_ids=False))

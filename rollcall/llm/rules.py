@@ -118,7 +118,12 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 8) -> RuleModel:
 def train_quality(
     docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS
 ) -> RuleModel:
-    """A model of ``label`` over the texts' statistics, fitted on a bounded sample of the given labels."""
+    """A model of ``label`` over the texts' statistics, fitted on a bounded sample of the given labels.
+
+    Null labels and ids take no part, an id with several labels has the larger one, null and empty texts have statistics of 0, very long
+    texts count whole, and repeated rows count each (as far as the bound on rows allows). With fewer than 12 rows or one class every text
+    has the same score.
+    """
     sample = labelled_sample(docs.select(id_col, text_col), labels, label, id_col, rows)
     found = with_statistics(sample, text_col).select("__label", *[PREFIX + f for f in FEATURES]).toPandas()
     values = found.sort_values(list(found.columns)).to_numpy(np.float64)

@@ -253,7 +253,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``n_removed``, and ``spans`` (``start``, ``end`` of the maximal runs of removed bytes, ascending).
 
     A byte goes if a string of ``span`` bytes around it also starts somewhere else, in the same document or another; overlaps count,
-    and all is judged on the texts as they come in. Null texts are empty; a text shorter than ``span`` stays as it is. Repeated rows
+    and all is judged on the texts as they come in. Null texts are empty; a text shorter than ``span`` stays as it is; of a very long
+    text every byte counts, and it needs memory for a few numbers a byte where it is read. Repeated rows
     are documents of their own, so they remove each other whole. Null ids are allowed; an empty table gives no row; other columns are
     not read.
     """

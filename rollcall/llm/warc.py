@@ -27,7 +27,7 @@ ARCHIVE_BYTES = 64 << 20
 #: A dictionary is trained on the first records of an archive: so many, or so many bytes.
 DICTIONARY_BYTES, DICTIONARY_RECORDS, SAMPLE_BYTES, LEVEL = 32 << 10, 300, 16 << 20, 3
 # Fixed values of the formats.
-DICTIONARY_MAGIC, ZSTD_MAGIC = 0x184D2A5D, b"\x28\xb5\x2f\xfd"
+DICTIONARY_MAGIC, ZSTD_MAGIC, TRAINED_MAGIC = 0x184D2A5D, b"\x28\xb5\x2f\xfd", b"\x37\xa4\x30\xec"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NEEDED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 DATE = "2024-01-01T00:00:00Z"
@@ -66,14 +66,16 @@ def record_bytes(page, url: str, payload: bytes, digest: str, refers_to: int | N
 
 
 def archive_head(samples: list[bytes]) -> tuple[bytes, object]:
-    """The leading frame with a dictionary trained on some records, and a compressor; no frame where there is too little to learn."""
+    """The leading frame with a dictionary trained on some records, and a compressor; where there is too little to learn from, the records'
+    own beginnings are the dictionary."""
     import zstandard
 
     try:
         size = max(256, min(DICTIONARY_BYTES, sum(map(len, samples)) // 16))
         dictionary = zstandard.train_dictionary(size, samples, level=LEVEL)
     except zstandard.ZstdError:
-        return b"", zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
+        own = b"".join(r[: DICTIONARY_BYTES // len(samples)] for r in samples)
+        dictionary = zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     packed = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes())
     dictionary.precompute_compress(level=LEVEL)
     return struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed, zstandard.ZstdCompressor(dict_data=dictionary, write_checksum=True)
@@ -184,7 +186,9 @@ def frames(stream, chunk: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
         dictionary = data[8 : 8 + size]
         if dictionary[:4] == ZSTD_MAGIC:
             dictionary = decoder.decompress(dictionary)
-        decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+        trained = dictionary[:4] == TRAINED_MAGIC
+        kind = zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT
+        decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=kind))
         at = 8 + size
     while more(1):
         begin, one, parts = base + at, decoder.decompressobj(), []

@@ -123,6 +123,22 @@ def test_swapping_groups_hardly_moves_scores(spark):
     assert np.mean([(out[i] >= 0.5) == bool(v) for i, _, v in rows]) > 0.97
 
 
+def test_a_score_is_the_sum_over_words(spark):
+    """Each word alone gives its places; a text has the weights of all of them, each once."""
+    rng = np.random.default_rng(2)
+    model = toxicity.ToxicityModel(-0.3, rng.normal(0, 1, 1 << toxicity.BITS))
+    texts = ["one two two, three-four! it's", "", "éa Éa aé " * 5, "extraordinarily unremarkable words", "a" * 300]
+
+    def arrays(some):
+        return text_bytes(pa.array(some, pa.large_string()))
+
+    got = toxicity.scores(model, *arrays(texts))
+    for text, score in zip(texts, got):
+        words = "".join(c if not c.isascii() or c.isalnum() or c in "'-" else " " for c in text).split()
+        held = {int(p) for w in words for p in toxicity.places_held(*arrays([w]))[1]}
+        assert abs(np.log(score / (1 - score)) - (model.bias + sum(model.weights[p] for p in held))) < 1e-6
+
+
 def test_sample_of_one_id_is_bounded(spark):
     prepare(spark)
     known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")

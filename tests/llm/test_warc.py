@@ -54,6 +54,14 @@ def test_dictionary_leads(spark):
     assert one.unused_data  # the next record has a frame of its own
 
 
+@pytest.mark.parametrize("count", [1, 2, 5])
+def test_few_records_have_a_dictionary_too(spark, count):
+    manifest = warc.write_archives(table(spark, [(i, "u", f"<p>{i}</p>") for i in range(count)]).coalesce(1))
+    with open(manifest.first()["archive"], "rb") as file:
+        assert struct.unpack("<I", file.read(4))[0] == 0x184D2A5D
+    assert sorted(r["page_id"] for r in warc.read_archives(manifest).collect()) == list(range(count))
+
+
 def test_plain_dictionary_and_small_reads():
     records = [warc.record_bytes(i, "u", (b"page %d " % i) * 30, hashlib.sha1((b"page %d " % i) * 30).hexdigest(), None, False) for i in range(200)]
     trained = zstandard.train_dictionary(4096, records)
