@@ -72,6 +72,29 @@ def test_ids_with_several_texts(spark):
     assert got == {(i, group[i]) for i in group}
 
 
+def test_wide_buckets_are_parted(spark, monkeypatch):
+    """With tiny buckets every bucket is wide; the links stay the same."""
+    monkeypatch.setattr(h, "WIDE", 3)
+    monkeypatch.setattr(h, "BLOCK", 4)
+    data = rows()
+    group, _ = near_groups(data)
+    got = {r["doc_id"]: r["component_id"] for r in h.near_duplicates(documents(prepare(spark), data)).collect()}
+    assert got == group
+
+
+def test_a_bucket_of_strangers_stays_linear(spark, monkeypatch):
+    """Members of one bucket that share nothing else: a row for each band, and no block is compared."""
+    monkeypatch.setattr(h, "WIDE", 500)
+    prepare(spark)
+    for n in (1000, 3000):
+        regs = np.random.default_rng(n).integers(0, 1 << 15, (n, h.REGISTERS), dtype=np.uint16)
+        regs[:, : h.ROWS] = 7
+        key = int(h.band_keys(regs[:1], 0).view(np.int64)[0, 0])
+        classes = spark.createDataFrame([(i, 500, r.tobytes(), None) for i, r in enumerate(regs)], "node long, n long, many binary, few binary")
+        buckets = spark.createDataFrame([(key, i, i) for i in range(n)], "key long, node long, family long")
+        assert h.narrowed(buckets, classes).count() <= n // 100
+
+
 def test_empty(spark):
     assert h.near_duplicates(documents(prepare(spark), [])).count() == 0
     assert [tuple(r) for r in h.near_duplicates(documents(prepare(spark), [(3, None)])).collect()] == [(3, 0, 3, True)]
