@@ -25,6 +25,12 @@ def whole(value: Column, by: int) -> Column:
     return F.call_function("div", value.cast("long"), F.lit(by).cast("long"))
 
 
+def record_hashes(columns: list[str], seed: int) -> dict[str, Column]:
+    """Two hashes of a record, 128 bits together; Spark's hash passes over nulls, so these are hashed as well."""
+    nulls = [F.col(c).isNull() for c in columns]
+    return {"__number": F.xxhash64(F.lit(seed), *columns, *nulls), "__other": F.xxhash64(F.lit(~seed), *nulls, *columns[::-1])}
+
+
 def bucket_of(seed: int, number: Column, copy: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), number, copy), F.lit(buckets))
 
@@ -67,11 +73,11 @@ def write_shards(
     names = [c for c in docs.columns if c not in ("shard", "slot")]
     held = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     own, text = held.columns, f"c{names.index(text_col)}"
-    record = F.xxhash64(F.lit(seed), *own)
+    record, both = record_hashes(own, seed), ["__number", "__other"]
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES
 
-    narrow = held.select(record.alias("__number"), size.alias("__size"))
-    counted = staged(narrow.groupBy("__number").agg(F.count(F.lit(1)).alias("__n"), F.max("__size").alias("__size")))
+    narrow = held.select(*[c.alias(name) for name, c in record.items()], size.alias("__size"))
+    counted = staged(narrow.groupBy(*both).agg(F.count(F.lit(1)).alias("__n"), F.max("__size").alias("__size")))
     rows, total = counted.agg(F.sum("__n"), F.sum(F.col("__n") * F.col("__size"))).first()
     buckets = int(-(-(total or 1) // bucket_bytes))
     tasks = -(-buckets // BUCKETS_A_TASK)
@@ -80,9 +86,9 @@ def write_shards(
     hot = (F.col("__n") > 1) & (F.col("__n") * F.col("__size") > bucket_bytes // 4)
     # A table of its own, usually empty: Spark sees its size before it plans the joins, and moves no record for them where it is small.
     common = staged(counted.where(hot))
-    numbered = held.withColumn("__number", record)
-    single = numbered.join(common, "__number", "left_anti").withColumn("__copy", F.lit(0).cast("long"))
-    copies = numbered.join(common, "__number", "left_semi").groupBy("__number", *own).agg(F.count(F.lit(1)).alias("__n"))
+    numbered = held.withColumns(record)
+    single = numbered.join(common, both, "left_anti").withColumn("__copy", F.lit(0).cast("long"))
+    copies = numbered.join(common, both, "left_semi").groupBy(*both, *own).agg(F.count(F.lit(1)).alias("__n"))
     copies = unfolded(copies, F.col("__n"), "__copy").drop("__n")
     bucket = bucket_of(seed, F.col("__number"), F.col("__copy"), buckets).alias("__bucket")
     scattered = single.unionByName(copies).select("*", bucket)
