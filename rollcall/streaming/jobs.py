@@ -105,8 +105,8 @@ def stream_payroll(
     """Load payroll files once each; the checkpoint takes the place of a date watermark.
 
     ``rows`` are new files (``path``), which are read by the heading of each, or rows with a ``file_name``. A file that cannot be loaded is
-    reported in ``rejects``, and with ``quarantine`` its lines are set aside there, to be mended and delivered again. Each file of a sheet that
-    is a folder of files is judged by itself.
+    reported in ``rejects``, and with ``quarantine`` its lines are set aside there, to be mended and delivered again. Of a sheet that is a
+    folder of files, those that come in one batch are judged together.
     """
     by_path = "path" in rows.columns
 
@@ -114,14 +114,14 @@ def stream_payroll(
         spark = batch.sparkSession
         if by_path:
             # As many paths as a batch has files.
-            paths = [r["path"] for r in new_files(batch, None, extension=extension).select("path").collect()]
-            batch = sheet_rows(spark, paths, PAYROLL_HEADINGS)
+            files = new_files(batch, None, extension=extension).select("path", "file_name").collect()
+            batch = sheet_rows(spark, [r["path"] for r in files], PAYROLL_HEADINGS)
         good, bad = ingest_payroll(new_files(batch, None, extension=extension), target)
         write_batch(good, sink, batch_id)
         write_batch(bad, rejects, batch_id)
         if quarantine and by_path:
-            names = [r["file_name"] for r in bad.select("file_name").collect()]
-            aside = [p for p in paths if any(n in p for n in names)]
+            names = {r["file_name"] for r in bad.select("file_name").collect()}
+            aside = [r["path"] for r in files if r["file_name"] in names]
             lines = spark.read.text(aside) if aside else spark.createDataFrame([], "value string")
             where = F.col("_metadata.file_path") if aside else F.lit(None).cast("string")
             write_batch(lines.select("value", where.alias("path")), quarantine, batch_id)
