@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed
+from .common import checkpointed, pieces
 from .tokens import worker_encoder
 
 SEQUENCE, END_ID = 4096, 1
@@ -28,6 +28,8 @@ CLASSES = 256
 FILLERS = (0.0, 0.05, 0.5)
 #: How much of a size's demand a round covers at most, and rounds.
 STEP, ROUNDS = 0.1, 600
+#: Bytes of text that are encoded together; each different chunk of them is looked up once.
+ENCODED = 4 << 20
 #: Pieces of one length are ranked in groups of about so many.
 RANKED = 100_000
 
@@ -226,11 +228,9 @@ def token_pieces(
     def run(batches):
         encoder = worker_encoder(model.value)
         for batch in batches:
-            for first in range(0, len(batch), 200):
-                rows = batch.slice(first, min(200, len(batch) - first))
+            for rows, _, _ in pieces(batch, text_col, ENCODED):
                 ids, cuts = [], []
-                texts = rows.column(1).to_pylist()
-                for n, data in enumerate(encoder.encode([t or "" for t in texts])):
+                for n, data in enumerate(encoder.encode(rows.column(1).fill_null(""))):
                     data += end
                     for piece, start in enumerate(range(0, len(data) // 4, size)):
                         own = data[4 * start : 4 * (start + size)]
@@ -262,11 +262,11 @@ def pack_documents(
     alone; a very long text is encoded whole where it is read. A repeated row is packed again. Ties among pieces of a length go by id, then piece. An empty table packs to no row; other
     columns are not read. ``packed_ids`` gives the ids of the sequences.
     """
-    pieces = checkpointed(token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id, with_ids=False))
-    counted = pieces.groupBy("length").count().collect()  # a row for each length: ``size`` rows at most
+    cut = checkpointed(token_pieces(docs, tokenizer_path, id_col, text_col, size, end_id, with_ids=False))
+    counted = cut.groupBy("length").count().collect()  # a row for each length: ``size`` rows at most
     table = docs.sparkSession.sparkContext.broadcast(places(plan({r["length"]: r["count"] for r in counted}, size)))
     groups = F.pmod(F.xxhash64(id_col, "piece"), F.lit(1 + sum(r["count"] for r in counted) // RANKED))
-    grouped = pieces.withColumn("__group", groups)
+    grouped = cut.withColumn("__group", groups)
     sizes = grouped.groupBy("length", "__group").count()
     before = sizes.select(
         "length", "__group", (F.sum("count").over(Window.partitionBy("length").orderBy("__group")) - F.col("count")).alias("__before")
@@ -287,7 +287,7 @@ def pack_documents(
 
 def packed_ids(docs: DataFrame, packed: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE) -> DataFrame:
     """``sequence_id`` and ``ids`` (binary, ``size`` ids at most) of each sequence. Ids of documents must not repeat."""
-    pieces = token_pieces(docs, tokenizer_path, id_col, text_col, size).select(id_col, "piece", "ids")
-    joined = packed.select(id_col, "piece", "sequence_id", "offset").join(pieces, [id_col, "piece"])
+    cut = token_pieces(docs, tokenizer_path, id_col, text_col, size).select(id_col, "piece", "ids")
+    joined = packed.select(id_col, "piece", "sequence_id", "offset").join(cut, [id_col, "piece"])
     parts = joined.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("__parts"))
     return parts.select("sequence_id", F.aggregate("__parts", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
