@@ -30,7 +30,7 @@ EMPTY = np.uint16(0xFFFF)
 ERRORS = 6
 #: Documents of a block where all are compared.
 BLOCK = 256
-#: Buckets with more members are parted by a second band. A linked pair that shares this band shares another of the 39 but for 4 in 10
+#: Buckets with more members outside their largest family are parted by a second band. A linked pair that shares this band shares another of the 39 but for 4 in 10
 #: million, so a pair at the threshold is missed with a probability of 5 in a million if all of its bands are such buckets.
 WIDE = 1024
 
@@ -210,13 +210,27 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def strangers(buckets: DataFrame) -> DataFrame:
+    """For each bucket (``key``, ``node``, ``family``) of several families the largest of them, ``main``, with its size, ``mains``, and the
+    number of members of all others, ``rest``."""
+    sizes = buckets.groupBy("key", "family").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("key").agg(
+        F.max_by("family", F.struct("n", "family")).alias("main"), F.max("n").alias("mains"), (F.sum("n") - F.max("n")).alias("rest")
+    )
+    return split.where("rest > 0")
+
+
 def block_pairs(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Promising pairs of different families in the same bucket (``key``, ``node``, ``family``). Members of a bucket are dealt into
-    blocks of about BLOCK; each pair of blocks is compared at once, and only promising pairs come out."""
-    sizes = buckets.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = buckets.join(sizes, "key").join(classes, "node")
-    members = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks of about BLOCK; each pair of blocks is compared at once, and only promising pairs come out. The blocks of a bucket's largest
+    family only meet those of the others."""
+    members = buckets.join(strangers(buckets), "key").join(classes, "node")
+    main = F.col("family") == F.col("main")
+    mains, rest = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("mains", "rest"))
+    own = F.when(main, F.pmod(F.xxhash64("node"), mains)).otherwise(mains + F.pmod(F.xxhash64("node"), rest)).cast("int")
+    members = members.withColumn("own", own).withColumn(
+        "other", F.explode(F.when(main, F.sequence(mains, mains + rest - 1)).otherwise(F.sequence(F.lit(0), mains + rest - 1)))
+    )
     members = members.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
     def run(key, rows):
@@ -243,11 +257,10 @@ def block_pairs(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFra
 
 
 def narrowed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Buckets (``key``, ``node``, ``family``) of more than WIDE members as smaller ones, of members that share a second band as well; those
-    of one family alone are left out. A member has a row for each band, whatever the size of its bucket."""
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    sized = buckets.join(sizes, "key")
-    wide = sized.where(F.col("members") > WIDE).join(classes.select("node", "many", "few"), "node")
+    """Buckets (``key``, ``node``, ``family``) with more than WIDE members outside their largest family as smaller ones, of members that share
+    a second band as well; those of one family alone are left out. A member has a row for each band, whatever the size of its bucket."""
+    sized = buckets.join(strangers(buckets).select("key", "rest"), "key")
+    wide = sized.where(F.col("rest") > WIDE).join(classes.select("node", "many", "few"), "node")
 
     def run(batches):
         for batch in batches:
@@ -266,14 +279,7 @@ def narrowed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
                     )
 
     parted = wide.select("key", "node", "family", "many", "few").mapInArrow(run, "key long, node long, family long")
-    parted = staged(parted)
-    return sized.where(F.col("members") <= WIDE).select("key", "node", "family").union(of_several_families(parted))
-
-
-def of_several_families(buckets: DataFrame) -> DataFrame:
-    """The buckets whose members are not all of one family."""
-    mixed = buckets.groupBy("key").agg(F.min("family").alias("least"), F.max("family").alias("most")).where("least < most")
-    return buckets.join(mixed.select("key"), "key")
+    return sized.where(F.col("rest") <= WIDE).select("key", "node", "family").union(parted)
 
 
 def text_sets(batch: pa.RecordBatch, text: str) -> list[np.ndarray]:
@@ -361,9 +367,13 @@ def family_links(members: DataFrame, classes: DataFrame, docs: DataFrame, id_col
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
+    # The documents that stand for both ends first, then their texts, which are moved once each.
+    for end in ("a", "b"):
+        own = classes.select(F.col("node").alias(end), F.col("id").alias(f"id_{end}"), F.col("__digest").alias(f"digest_{end}"))
+        pairs = pairs.join(own, end)
     for end in ("a", "b"):
-        named = class_texts(pairs.withColumnRenamed(end, "node"), classes, docs, id_col, text_col)
-        pairs = named.withColumnsRenamed({"node": end, "__text": f"text_{end}", "__digest": f"digest_{end}"})
+        own = docs.select(F.col(id_col).cast("long").alias(f"id_{end}"), F.coalesce(F.col(text_col), F.lit("")).alias(f"text_{end}"))
+        pairs = pairs.join(own, f"id_{end}")
 
     def run(batches):
         for batch in batches:
@@ -417,7 +427,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = families.join(labels, "node", "left")
     inside = family_links(members.withColumn("component", F.coalesce("component", "node")), *texts)
     placed = buckets.select("key", "node").join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
-    across = staged(block_pairs(narrowed(of_several_families(placed), regs), regs, percent))
+    across = staged(block_pairs(narrowed(placed, regs), regs, percent))
     labels = components(inside.union(confirmed(across, *texts)), labels)
     # The smallest id of each component; a class without links has its own.
     ids = classes.select("__digest", "node", "id")

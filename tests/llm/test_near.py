@@ -92,7 +92,18 @@ def test_a_bucket_of_strangers_stays_linear(spark, monkeypatch):
         key = int(h.band_keys(regs[:1], 0).view(np.int64)[0, 0])
         classes = spark.createDataFrame([(i, 500, r.tobytes(), None) for i, r in enumerate(regs)], "node long, n long, many binary, few binary")
         buckets = spark.createDataFrame([(key, i, i) for i in range(n)], "key long, node long, family long")
-        assert h.narrowed(buckets, classes).count() <= n // 100
+        parted = h.narrowed(buckets, classes)
+        assert parted.count() <= n * (h.BANDS - 1) and h.strangers(parted).count() <= n // 100
+        assert h.block_pairs(parted, classes, 75).count() == 0
+
+
+def test_a_family_in_a_bucket_meets_strangers_only(spark):
+    """The rows of a bucket grow with its family and its strangers, not with the square of the family."""
+    prepare(spark)
+    buckets = spark.createDataFrame([(1, i, 0) for i in range(20_000)] + [(1, i, i) for i in range(20_000, 20_010)], "key long, node long, family long")
+    got = h.strangers(buckets).collect()
+    assert [tuple(r) for r in got] == [(1, 0, 20_000, 10)]
+    assert h.narrowed(buckets, spark.createDataFrame([], "node long, n long, many binary, few binary")).count() == 20_010
 
 
 def test_empty(spark):
