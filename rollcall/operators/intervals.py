@@ -43,8 +43,9 @@ def interval_join(
         return F.floor(F.col(day) / (F.lit(bin_days) * F.pow(F.lit(2), F.col("_level")))).cast("long")
 
     held = levelled.withColumn("_bin", F.explode(F.sequence(bin_of("_begin"), bin_of("_until"))))
-    top = levelled.agg(F.coalesce(F.max("_level"), F.lit(0))).scalar()
-    asked = dated.withColumn("_level", F.explode(F.sequence(F.lit(0), top))).withColumn("_bin", bin_of("_day"))
+    # The levels that intervals have: a number for each doubling of their length.
+    levels = levelled.agg(F.collect_set("_level")).scalar()
+    asked = dated.withColumn("_level", F.explode(levels)).withColumn("_bin", bin_of("_day"))
     pairs = asked.join(held, [*on, "_level", "_bin"]).filter("_day BETWEEN _begin AND _until")
     return pairs.drop("_level", "_bin", "_day", "_begin", "_until")
 
