@@ -75,9 +75,9 @@ def payroll_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_payroll(spark: SparkSession, folder: str) -> DataFrame:
-    """The sheets as a stream of files, in batches of 16 files."""
+    """The sheets as a stream of files, in batches of 32 files."""
     out = run_folder(spark, "payroll")
-    arriving = read_payroll_stream(spark, delivered(spark, folder), files=16)
+    arriving = read_payroll_stream(spark, delivered(spark, folder), files=32)
     query = payroll_stream(
         arriving, TARGET, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint", ".xlsx", f"{out}/quarantine"
     )

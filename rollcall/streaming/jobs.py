@@ -116,11 +116,13 @@ def stream_payroll(
             # As many paths as a batch has files.
             files = new_files(batch, None, extension=extension).select("path", "file_name").collect()
             batch = sheet_rows(spark, [r["path"] for r in files], PAYROLL_HEADINGS)
-        good, bad = ingest_payroll(new_files(batch, None, extension=extension), target)
-        write_batch(good, sink, batch_id)
-        write_batch(bad, rejects, batch_id)
+        # Sheets are parsed once, whatever reads their rows.
+        with written_once(new_files(batch, None, extension=extension)) as rows:
+            good, bad = ingest_payroll(rows, target)
+            write_batch(good, sink, batch_id)
+            write_batch(bad, rejects, batch_id)
         if quarantine and by_path:
-            names = {r["file_name"] for r in bad.select("file_name").collect()}
+            names = {r["file_name"] for r in spark.read.parquet(f"{rejects}/batch={batch_id}").select("file_name").collect()}
             aside = [r["path"] for r in files if r["file_name"] in names]
             lines = spark.read.text(aside) if aside else spark.createDataFrame([], "value string")
             where = F.col("_metadata.file_path") if aside else F.lit(None).cast("string")
