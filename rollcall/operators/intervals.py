@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -27,7 +27,8 @@ def interval_join(
     An interval without an end is still open; one without a start, and a point without a day, hold nothing. Rows with equal ``on`` columns
     meet. An interval belongs to the level whose bins (``bin_days`` times a power of two) are as long as it is, so it lies in two or three of
     them; a point is looked up in its bin of each level. Point and interval meet in one bin, so no pair comes twice, and bins are an equality
-    that Spark joins by hash or by sorting.
+    that Spark joins by hash or by sorting. Without ``on`` there are few bins, however many rows they hold, so both sides are also dealt to
+    cells (see ``dealt``).
     """
     day = F.unix_date(F.col(at).cast("date"))
     dated = points.filter(F.col(at).isNotNull()).withColumn("_day", day)
@@ -46,8 +47,35 @@ def interval_join(
     # The levels that intervals have: a number for each doubling of their length.
     levels = levelled.agg(F.collect_set("_level")).scalar()
     asked = dated.withColumn("_level", F.explode(levels)).withColumn("_bin", bin_of("_day"))
-    pairs = asked.join(held, [*on, "_level", "_bin"]).filter("_day BETWEEN _begin AND _until")
-    return pairs.drop("_level", "_bin", "_day", "_begin", "_until")
+    keys = [*on, "_level", "_bin"]
+    if not on:
+        keys += ["_row", "_column"]
+        asked, held = dealt(asked, held, dated, levelled, keys)
+    pairs = asked.join(held, keys).filter("_day BETWEEN _begin AND _until")
+    return pairs.drop("_level", "_bin", "_row", "_column", "_day", "_begin", "_until")
+
+
+def dealt(asked: DataFrame, held: DataFrame, points: DataFrame, intervals: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on few keys in the cells of a grid, a cell for each shuffle partition: a point belongs to a row of it and an
+    interval to a column, so each pair meets in one cell. The side with fewer rows is copied more often.
+
+    A task is given by the number of cells, not by the size of what it reads, which says nothing about its pairs.
+    """
+    cells = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, m = (df.agg(F.count(F.lit(1))).scalar() for df in (points, intervals))
+    rows = F.least(F.lit(cells), F.greatest(F.lit(1), F.round(F.sqrt(cells * n / F.greatest(m, F.lit(1)))).cast("int")))
+    columns = F.ceil(cells / rows).cast("int")
+
+    def place(df: DataFrame, count: Column) -> Column:
+        # Worked out from the row alone, so that a task that runs again deals alike.
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns]), count).cast("int")
+
+    def every(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    asked = asked.withColumn("_row", place(points, rows)).withColumn("_column", every(columns))
+    held = held.withColumn("_column", place(intervals, columns)).withColumn("_row", every(rows))
+    return asked.repartition(cells, *keys), held.repartition(cells, *keys)
 
 
 def counts_on(

@@ -56,6 +56,21 @@ def test_any_width_gives_the_same_pairs(spark, bin_days):
     assert sorted(rows[0]) == sorted(rows[1])
 
 
+def test_a_join_without_keys_is_dealt_to_all_tasks(spark):
+    """One bin holds everything, and what the sides weigh says nothing about their pairs."""
+    points = spark.range(40).select(F.date_add(F.lit(FIRST), F.col("id").cast("int")).alias("at"))
+    spans = spark.range(300).select("id", F.lit(FIRST).alias("s"), F.lit(None).cast("date").alias("e"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pairs = intervals.interval_join(points, spans, "at", "s", "e").withColumn("task", F.spark_partition_id())
+        shares = [r["count"] for r in pairs.groupBy("task").count().collect()]
+        few = intervals.interval_join(points, spans.limit(2), "at", "s", "e").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(shares) == 40 * 300 and len(shares) > 1 and max(shares) < 40 * 300
+    assert few == 40 * 2
+
+
 @pytest.mark.parametrize("after", [False, True])
 def test_counts_equal_the_join(spark, after):
     points, spans, p, s = frames(spark, 5)
