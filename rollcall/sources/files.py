@@ -15,8 +15,10 @@ PAYROLL_HEADINGS = list(PAYROLL_COLUMNS)
 
 def sheet_name(path: Column) -> Column:
     """The name of the sheet that a file belongs to: the folder's, where Spark exported the sheet as a folder, else the file's own."""
-    folder = F.regexp_extract(path, r"([^/=]+\.\w+)/part-[^/]*$", 1)
-    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]*)$", 1))
+    # A pattern that looks for its start all along a path costs more than reading a line of the file.
+    name, parent = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    folder = F.when(name.startswith("part-") & path.contains("/"), F.regexp_extract(parent, r"([^=]+\.\w+)$", 1)).otherwise("")
+    return F.when(folder != "", folder).otherwise(name)
 
 
 def sheet_files(files: DataFrame) -> DataFrame:
@@ -51,12 +53,14 @@ def sheet_rows(spark: SparkSession, paths: list[str], headings: list[str], separ
     trimmed = F.array(*[F.trim(F.regexp_replace(f"c{i}", "\r$", "")) for i in range(width)])
     # A file is read by one task, its rows in order.
     placed = cells.select(F.col("_metadata.file_path").alias("_path"), trimmed.alias("_cells")).withColumn("_at", F.monotonically_increasing_id())
-    first = placed.groupBy("_path").agg(F.min(F.struct("_at", "_cells")).alias("_first"))
-    first = first.select("_path", F.col("_first._at").alias("_heading_at"), F.col("_first._cells").alias("_names"))
+    # The path is taken from the first row, as a filter on the name would otherwise be worked out for each row below.
+    first = placed.groupBy("_path").agg(F.min(F.struct("_at", "_cells", F.col("_path").alias("_of"))).alias("_first"))
+    # What a file's name and headings say is worked out once a file: the place of each heading, -1 where it is missing.
+    places = F.array(*[F.coalesce(F.array_position("_first._cells", h), F.lit(0)).cast("int") - 1 for h in headings])
+    first = first.select("_path", F.col("_first._at").alias("_heading_at"), places.alias("_places"), sheet_name(F.col("_first._of")).alias("file_name"))
     rows = placed.join(first, "_path").filter("_at <> _heading_at")
-    place = {h: F.coalesce(F.array_position("_names", h), F.lit(0)) for h in headings}
-    named = [F.when(p > 0, F.get("_cells", (p - 1).cast("int"))).alias(h) for h, p in place.items()]
-    return rows.select(*named, sheet_name(F.col("_path")).alias("file_name"))
+    named = [F.get("_cells", F.get("_places", F.lit(i))).alias(h) for i, h in enumerate(headings)]
+    return rows.select(*named, "file_name")
 
 
 def read_dim(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:

@@ -275,6 +275,24 @@ def test_quoted_line_ends(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == [("7", "two\nlines, one value", "1.5"), ("8", "plain", "2.5")]
 
 
+def test_names_of_sheets(spark):
+    paths = ["file:/a/b=c/2024-01-01.csv", "/in/file_name=2024-04-01.csv/part-0-x.csv", "/in/2024-05-01.xlsx/part-1", "/in/plain/part-1", "part-1.csv", "2024.csv", "/in/a=b=2024-06-01.csv/part-2", "", None]
+    got = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, path string").select("i", files.sheet_name(F.col("path")).alias("n")).collect()
+    assert [r.n for r in sorted(got)] == ["2024-01-01.csv", "2024-04-01.csv", "2024-05-01.xlsx", "part-1", "part-1.csv", "2024.csv", "2024-06-01.csv", "", None]
+
+
+def test_names_and_places_are_worked_out_once_a_file(spark, tmp_path):
+    for month in ("2024-01-01", "2024-02-01"):
+        (tmp_path / f"{month}.csv").write_text("CPF,Valor\n" + "7,1\n" * 50)
+    rows = payroll.new_files(files.read_payroll_files(spark, str(tmp_path)), None, extension=".csv")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate") :]  # the side of the headings
+    assert "substring_index" not in below.split("Aggregate", 1)[1].split("\n", 1)[1] and "regexp_extract(_metadata" not in plan
+    above = plan[: plan.index("Join")]
+    assert "array_position" not in above and "substring_index" not in above and "part-" not in above
+    assert rows.count() == 100
+
+
 def test_payroll_batches_survive_a_stop(spark, tmp_path, monkeypatch):
     """A file a batch; the job is stopped once after a batch wrote its rows and before it was committed."""
     source, out = tmp_path / "in", str(tmp_path / "out")
