@@ -432,11 +432,22 @@ DELIVERIES = [
 ]
 
 
+#: Punches in each file of the smallest delivery, at least.
+FILE_PUNCHES = 10_000
+
+
 def deliver_punches(spark: SparkSession, folder: str, path: str) -> DataFrame:
-    """The punches as the device service delivers them, in turn: on time, again and late. The result is the stream of the deliveries."""
+    """The punches as the device service delivers them, in turn: on time, again and late. The result is the stream of the deliveries.
+
+    Every delivery has the same number of files, which grows with the smallest, and the stream takes that many at a time: a delivery.
+    """
+    source = punches(spark, folder)
+    sizes = source.agg(*[F.count_if(F.expr(part)) for part in DELIVERIES]).first()
+    files = max(1, min(sizes) // FILE_PUNCHES)
     for number, part in enumerate(DELIVERIES):
-        clockings(punches(spark, folder).filter(part)).coalesce(1).write.parquet(f"{path}/delivery={number}")
-    reader = spark.readStream.schema("payload string, delivery int").option("maxFilesPerTrigger", 1)
+        # Dealt before the JSON is written, so that only the fields move.
+        clockings(source.filter(part).repartition(files)).write.parquet(f"{path}/delivery={number}")
+    reader = spark.readStream.schema("payload string, delivery int").option("maxFilesPerTrigger", files)
     return reader.parquet(path).drop("delivery")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from rollcall.operators import consent, payroll, receipts
 from rollcall.operators.relational import all_duplicates
+from rollcall.plans import roles
 from rollcall.sinks import tables
 from rollcall.sources import erp, files
 from rollcall.streaming import jobs
@@ -423,6 +424,20 @@ def test_windows_of_days_over_batches(spark, tmp_path):
     assert state[-1] <= 2
 
 
+def test_a_delivery_of_many_files_is_one_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(roles, "FILE_PUNCHES", 20)
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 28, 8, i % 60), i % 50, "click") for i in range(1, 2001)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    arriving = roles.deliver_punches(spark, str(tmp_path), str(tmp_path / "deliveries"))
+    counts = [len(list((tmp_path / f"deliveries/delivery={n}").glob("part-*"))) for n in range(5)]
+    assert len(set(counts)) == 1 and counts[0] > 1
+    batches = []
+    query = arriving.writeStream.foreachBatch(lambda df, _: batches.append(df.count())).option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    wanted = [spark.createDataFrame(rows, "id long, at timestamp_ntz, pis long, device string").filter(p).count() for p in roles.DELIVERIES]
+    assert batches == wanted
+
+
 def test_jdbc_predicates_deal_each_row_once():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
