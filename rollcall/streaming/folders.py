@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +40,13 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def written_once(df: DataFrame, name: str = "batch") -> Iterator[DataFrame]:
-    """``df`` written to a folder that is removed at the end of the block; whatever reads it there, it is worked out once."""
+def written_once(df: DataFrame, name: str = "batch", by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``df`` written to a folder that is removed at the end of the block; whatever reads it there, it is worked out once.
+
+    Who reads the rows of one value of ``by`` opens their files only.
+    """
     spark, path = df.sparkSession, run_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
